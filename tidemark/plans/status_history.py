@@ -17,6 +17,7 @@ per distinct cutoff (see ``runs_by_cutoff``).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -32,6 +33,7 @@ from tidemark.operators.intervals import SCD_ROW, event_points, scd_rows_startin
 from tidemark.operators.merge import merge_range_update, merge_upsert
 from tidemark.operators.rules import derive_status, init_inactive_flag, reason_rewrite
 from tidemark.params import RunDates
+from tidemark.sources.tables import stage_table
 
 c = F.col
 
@@ -76,12 +78,32 @@ class HistorySources:
 
 
 class StatusHistoryJob:
+    """The history job over ``src`` for the window ``rd``.
+
+    ``materialize`` decides what happens at the stage boundaries where a small
+    change frame feeds several consumers (plan items, change versions, planned
+    rows, status rows, final rows): ``"stage"`` (default) writes it as parquet
+    to the session's checkpoint folder (``spark.checkpoint.dir``) and reads it
+    back, cutting lineage so downstream plans stay small and a lost executor
+    costs one stage, not the whole job; ``"persist"`` caches it; ``None`` keeps
+    one fused plan.
+    """
+
     def __init__(self, src: HistorySources, rd: RunDates, categories: list[str] | None = None,
-                 on_multi_plan: str = "latest"):
+                 on_multi_plan: str = "latest", materialize: str | None = "stage"):
         self.src = src
         self.rd = rd
         self.categories = categories
         self.on_multi_plan = on_multi_plan
+        self.materialize = materialize
+        self._run_id = f"run-{rd.cutoff_text}-{rd.today_text}-{uuid.uuid4().hex[:12]}"
+
+    def _cut(self, df: DataFrame, name: str) -> DataFrame:
+        if self.materialize == "stage":
+            return stage_table(df, f"{self._run_id}/{name}")
+        if self.materialize == "persist":
+            return df.persist()
+        return df
 
     # ---- 1. change extraction -------------------------------------------------
     @cached_property
@@ -94,7 +116,7 @@ class StatusHistoryJob:
 
     @cached_property
     def plan_items(self) -> DataFrame:
-        return dl.plan_items(self.plan_delta, self.subs)
+        return self._cut(dl.plan_items(self.plan_delta, self.subs), "plan_items")
 
     @cached_property
     def plans_starting(self) -> DataFrame:
@@ -156,7 +178,7 @@ class StatusHistoryJob:
         points = pts[0]
         for p in pts[1:]:
             points = points.unionByName(p)
-        return self.scd_starts.unionByName(self.versions_at(points.distinct())).distinct()
+        return self._cut(self.scd_starts.unionByName(self.versions_at(points.distinct())).distinct(), "delta_versions")
 
     # ---- 3. plans, bills, status --------------------------------------------
     @cached_property
@@ -167,8 +189,8 @@ class StatusHistoryJob:
         p = self.plan_items.alias("p")
         cond = all_of([c(f"v.{k}") == c(f"p.{k}") for k in ITEM_KEYS]
                       + [c("v._start_text") >= c("p.bp_start_date"), c("v._start_text") <= c("p.bp_end_date")])
-        return v.join(p, cond, "left").select(*[
-            c(f"p.{x}") if x.startswith("bp_") else c(f"v.{x}") for x in PLANNED_COLS])
+        return self._cut(v.join(p, cond, "left").select(*[
+            c(f"p.{x}") if x.startswith("bp_") else c(f"v.{x}") for x in PLANNED_COLS]), "with_plans")
 
     @cached_property
     def billed_before(self) -> DataFrame:
@@ -224,7 +246,7 @@ class StatusHistoryJob:
         s = derive_status(self.status_input)
         s = init_inactive_flag(s)
         link = F.concat(*[c(k).cast("string") for k in VERSION_KEYS])
-        return s.select(
+        s = s.select(
             "client", "sales_document", "sales_document_item", "start_date", typed_null("date").alias("end_date"),
             "sales_document_type", "billing_block_header", "billing_block_item", "bp_billing_block",
             "bp_net_price", c("bp_start").alias("bp_start_date"), "cancellation_reason",
@@ -233,6 +255,7 @@ class StatusHistoryJob:
             "subscription_status", "init_inactive_flag", "subscription_quantity", link.alias("link_id"),
             typed_null("string").alias("prev_link_id"), "subscription_category", "bp_upd_ind",
         ).distinct()
+        return self._cut(s, "status_rows")
 
     # ---- 4. reopen ----------------------------------------------------------
     @cached_property
@@ -273,7 +296,9 @@ class StatusHistoryJob:
             & (c("k.posnr") == c("v.sales_document_item")), "left")
         j = j.select(*[c(f"v.{x}") for x in STATUS_COLS], c("d.route_to_market"), c("k.inco3_l"))
         j = reason_rewrite(j)
-        return j.withColumn("last_modified", F.lit(self.rd.as_of_ts).cast("timestamp_ntz")).select(*FINAL_COLS)
+        return self._cut(
+            j.withColumn("last_modified", F.lit(self.rd.as_of_ts).cast("timestamp_ntz")).select(*FINAL_COLS),
+            "final_rows")
 
     @cached_property
     def merged(self) -> DataFrame:

@@ -52,6 +52,5 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
