@@ -8,7 +8,9 @@ Placeholders ``{name}`` name another view or a base table.
 
 from __future__ import annotations
 
+import os
 import string
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -131,12 +133,24 @@ def view_deps(sql: str) -> list[str]:
     return [name for _, name, _, _ in string.Formatter().parse(sql) if name]
 
 
+# Derived views staged once per process and session (they stand for stored source tables).
+_STAGED: dict[tuple[int, str, str], DataFrame] = {}
+_PROCESS_TOKEN = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
+
+
 class Fixtures:
-    """Lazily built fixture views for one scale-factor directory."""
+    """Fixture views for one scale-factor directory.
+
+    With ``stage=True`` (default) each derived view is written once per process
+    as parquet under the session's checkpoint folder and read back, like the
+    stored source tables it stands for; queries then scan it instead of
+    re-deriving it from the raw tables. ``stage=False`` keeps pure views.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, stage: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.stage = stage
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -144,9 +158,19 @@ class Fixtures:
             if name in BASE_TABLES:
                 self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
+                key = (id(self.spark), self.sf_dir, name)
+                if self.stage and key in _STAGED:
+                    self._cache[name] = _STAGED[key]
+                    return self._cache[name]
                 sql = VIEWS[name]
                 deps = {d: self.table(d) for d in view_deps(sql)}
-                self._cache[name] = self.spark.sql(sql, **deps) if deps else self.spark.sql(sql)
+                df = self.spark.sql(sql, **deps) if deps else self.spark.sql(sql)
+                if self.stage:
+                    from tidemark.sources.tables import stage_table
+                    tag = self.sf_dir.strip("/").replace("/", "_")
+                    df = stage_table(df, f"fixtures-{_PROCESS_TOKEN}/{tag}/{name}")
+                    _STAGED[key] = df
+                self._cache[name] = df
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
