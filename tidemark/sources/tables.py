@@ -2,11 +2,68 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
 
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.operators.merge import merge_range_update, merge_upsert
 from tidemark.session import ensure_checkpoint_dir
 
 
+# ---- scans ------------------------------------------------------------------------------
+
+def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
+    """Catalog table by name, or a parquet directory by path."""
+    if "/" in name_or_path:
+        return spark.read.parquet(name_or_path)
+    return spark.read.table(name_or_path)
+
+
+def jdbc_options(url: str, dbtable: str, *, user: str | None = None, password: str | None = None,
+                 driver: str | None = None, partition_column: str | None = None,
+                 bounds: tuple[int, int] | None = None, num_partitions: int | None = None,
+                 fetch_size: int = 10_000) -> dict[str, str]:
+    """Options of a JDBC read.
+
+    ``numPartitions`` alone parallelises nothing: Spark splits a JDBC read only
+    on ``partitionColumn`` with ``lowerBound``/``upperBound``. Without a
+    partition column the read is one task, so ``num_partitions`` is then not set.
+    """
+    opts = {"url": url, "dbtable": dbtable, "fetchsize": str(fetch_size)}
+    if user is not None:
+        opts["user"] = user
+    if password is not None:
+        opts["password"] = password
+    if driver is not None:
+        opts["driver"] = driver
+    if partition_column is not None:
+        if bounds is None or num_partitions is None:
+            raise ValueError("a partitioned JDBC read needs bounds and num_partitions")
+        opts.update(partitionColumn=partition_column, lowerBound=str(bounds[0]), upperBound=str(bounds[1]),
+                    numPartitions=str(num_partitions))
+    return opts
+
+
+def read_jdbc(spark: SparkSession, url: str, dbtable: str, *, partition_column: str | None = None,
+              num_partitions: int = 10, bounds: tuple[int, int] | None = None, **conn) -> DataFrame:
+    """JDBC scan of a table or parenthesised sub-query, split on ``partition_column`` when given.
+
+    Bounds default to ``min``/``max`` of the partition column, read with one
+    pushed-down aggregate query. Filters applied to the result are pushed to
+    the database by Spark, so no literal needs to be formatted into SQL.
+    """
+    if partition_column is not None and bounds is None:
+        probe = f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {dbtable} t) b"
+        row = spark.read.format("jdbc").options(**jdbc_options(url, probe, **conn)).load().first()
+        bounds = (int(row["lo"] or 0), int(row["hi"] or 0))
+    opts = jdbc_options(url, dbtable, partition_column=partition_column, bounds=bounds,
+                        num_partitions=num_partitions if partition_column else None, **conn)
+    return spark.read.format("jdbc").options(**opts).load()
+
+
+# ---- stage tables -----------------------------------------------------------------------
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the session's checkpoint folder and read it back.
 
@@ -21,8 +78,73 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:
-    """Catalog table by name, or a parquet directory by path."""
-    if "/" in name_or_path:
-        return spark.read.parquet(name_or_path)
-    return spark.read.table(name_or_path)
+def write_stage(df: DataFrame, table: str, mode: str = "overwrite") -> None:
+    """Append to or replace a managed stage table (``saveAsTable``)."""
+    df.write.mode(mode).saveAsTable(table)
+
+
+def truncate(spark: SparkSession, *tables: str) -> None:
+    """``TRUNCATE TABLE`` for each table (stages written with ``overwrite`` need no separate step)."""
+    for t in tables:
+        spark.sql(f"TRUNCATE TABLE {t}")
+
+
+# ---- merge sink ---------------------------------------------------------------------------
+
+class MergeSink:
+    """A parquet history table that is merged into bucket by bucket.
+
+    Rows are hash-partitioned on disk by ``bucket_keys`` (all versions of an
+    item share one bucket directory). A merge reads only the buckets the source
+    touches (partition pruning on the bucket column), merges them, stages the
+    result in the checkpoint folder, then replaces exactly those bucket
+    directories with a dynamic partition overwrite. Reading and overwriting the
+    same path in one job is not allowed, and staging makes the final step
+    re-runnable after a failure. Untouched buckets are never read or written.
+    """
+
+    BUCKET = "_bucket"
+
+    def __init__(self, path: str, bucket_keys: Sequence[str], buckets: int = 256):
+        self.path = path.rstrip("/")
+        self.bucket_keys = list(bucket_keys)
+        self.buckets = buckets
+
+    def bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(k) for k in self.bucket_keys]), F.lit(self.buckets)).cast("int")
+
+    def create(self, df: DataFrame) -> None:
+        df.withColumn(self.BUCKET, self.bucket_of()).write.mode("overwrite").partitionBy(self.BUCKET).parquet(self.path)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(self.path).drop(self.BUCKET)
+
+    def _touched(self, source: DataFrame) -> list[int]:
+        # at most `buckets` small integers cross the driver
+        return [r[0] for r in source.select(self.bucket_of().alias("b")).distinct().collect()]
+
+    def _replace(self, spark: SparkSession, merged: DataFrame, tag: str) -> None:
+        staged = stage_table(merged.withColumn(self.BUCKET, self.bucket_of()), f"merge/{tag}")
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(self.BUCKET).parquet(self.path))
+
+    def upsert(self, source: DataFrame, keys: Sequence[str], update: Sequence[str] | None = None,
+               insert: Sequence[str] | None = None, tag: str = "upsert") -> None:
+        spark = source.sparkSession
+        touched = self._touched(source)
+        if not touched:
+            return
+        target = spark.read.parquet(self.path).where(F.col(self.BUCKET).isin(touched)).drop(self.BUCKET)
+        self._replace(spark, merge_upsert(target, source, keys, update, insert), tag)
+
+    def range_update(self, source: DataFrame, keys: Sequence[str], at: str, start: str, end: str,
+                     set_col: str, from_col: str, target_key: Sequence[str], on_multi: str = "error",
+                     prefer: Sequence[str] = (), tag: str = "range") -> None:
+        spark = source.sparkSession
+        touched = self._touched(source)
+        if not touched:
+            return
+        target = spark.read.parquet(self.path).where(F.col(self.BUCKET).isin(touched)).drop(self.BUCKET)
+        merged = merge_range_update(target, source, keys, at, start, end, set_col, from_col, target_key,
+                                    on_multi=on_multi, prefer=prefer)
+        self._replace(spark, merged, tag)
