@@ -101,3 +101,29 @@ def test_timestamp_history_closes_by_microsecond(spark):
                  key=lambda r: r.start_ts)
     assert out[0].end_ts == t0 + dt.timedelta(hours=1) - dt.timedelta(microseconds=1)
     assert out[1].end_ts == dt.datetime(9999, 12, 31)
+
+
+def test_hot_key_path_equals_plain_windows(spark):
+    from tidemark.operators.neighbors import hot_keys
+    df = spark.createDataFrame(random_history(seed=3, rows=900)).withColumn(
+        "link_id", __import__("pyspark.sql.functions", fromlist=["x"]).concat_ws("-", "sales_document", "start_date"))
+    assert hot_keys(df, ["client", "sales_document", "sales_document_item"], 50).count() == 1   # key 0 only
+    kw = dict(hot_rows=50, bucket_width=30.0)
+    plain = hs.close_intervals(hs.link_versions(hs.collapse_runs(hs.drop_reactivation(df))))
+    split = hs.close_intervals(hs.link_versions(hs.collapse_runs(hs.drop_reactivation(df, **kw), **kw), **kw), **kw)
+    assert split.columns == plain.columns
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+    lag_plain = sorted(map(tuple, hs.lag_status(df).collect()), key=str)
+    lag_split = sorted(map(tuple, hs.lag_status(df, **kw).collect()), key=str)
+    assert lag_plain == lag_split
+
+
+def test_hot_key_path_on_timestamps(spark):
+    rows = [Row(user_id=1, start_ts=dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i), status="AI"[i % 3 == 0])
+            for i in range(300)] + [Row(user_id=2, start_ts=dt.datetime(2024, 1, 1), status="A")]
+    df = spark.createDataFrame(rows, "user_id long, start_ts timestamp_ntz, status string")
+    kw = dict(keys=["user_id"], order=["start_ts"], start="start_ts", end="end_ts")
+    plain = hs.close_intervals(hs.collapse_runs(df, keys=["user_id"], order=["start_ts"], status="status"), **kw)
+    split = hs.close_intervals(hs.collapse_runs(df, keys=["user_id"], order=["start_ts"], status="status",
+                                                hot_rows=20, bucket_width=2.0), hot_rows=20, bucket_width=2.0, **kw)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))

@@ -3,7 +3,14 @@
 All steps share ``Window.partitionBy(keys).orderBy(order)``; chained, Spark
 plans one exchange and one sort for the whole chain (the filters between the
 steps keep the partitioning and the order), so the cost is one shuffle of the
-change rows no matter how many steps run.
+rows no matter how many steps run.
+
+A key's rows all go to one task under that spec. Every operator therefore
+takes ``hot_rows``: when set, keys with more rows than that are split into
+time buckets and their neighbours are stitched across bucket edges
+(``tidemark.operators.neighbors``), so no task holds a whole hot key. The
+history job's own window pass does not need it: after one version per
+``(key, start)`` a key has at most one row per day of the run window.
 """
 
 from __future__ import annotations
@@ -16,6 +23,7 @@ from pyspark.sql.types import DateType
 
 from tidemark.functions.dates import OPEN_END
 from tidemark.operators.common import ITEM_KEYS
+from tidemark.operators.neighbors import with_neighbors
 
 c = F.col
 
@@ -23,10 +31,17 @@ ACTIVE = "ACTIVE"
 INACTIVE = "INACTIVE"
 
 
-def _keep_where(df: DataFrame, flag: Column, negate: bool = False) -> DataFrame:
-    """Filter on a window-derived flag (window functions are not allowed inside WHERE)."""
-    out = df.withColumn("_flag", flag)
-    return out.where(~c("_flag") if negate else c("_flag")).drop("_flag")
+def _with_prev(df: DataFrame, keys, order, src: str, out: str, hot_rows: int | None,
+               bucket_width: float, lead: bool = False) -> DataFrame:
+    """``out`` = previous (or, with ``lead``, next) value of ``src`` per key in ``order``."""
+    if hot_rows is None:
+        fn = F.lead if lead else F.lag
+        return df.withColumn(out, fn(src).over(version_window(keys, order)))
+    if len(order) != 1 or not isinstance(order[0], str):
+        raise ValueError("the hot-key path orders by exactly one column")
+    spec = {src: out}
+    return with_neighbors(df, keys, order[0], lead_cols=spec if lead else None, lag_cols=None if lead else spec,
+                          hot_rows=hot_rows, bucket_width=bucket_width)
 
 
 def version_window(keys: Sequence[str] = ITEM_KEYS, order: Sequence[str | Column] = ("start_date",)):
@@ -34,54 +49,63 @@ def version_window(keys: Sequence[str] = ITEM_KEYS, order: Sequence[str | Column
 
 
 def lag_status(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-               status: str = "subscription_status", out: str = "lag_subscription_status") -> DataFrame:
+               status: str = "subscription_status", out: str = "lag_subscription_status",
+               hot_rows: int | None = None, bucket_width: float = 30.0) -> DataFrame:
     """Previous version's status (NULL on the first version)."""
-    return df.withColumn(out, F.lag(status).over(version_window(keys, order)))
+    return _with_prev(df, keys, order, status, out, hot_rows, bucket_width)
 
 
 def drop_reactivation(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
                       status: str = "subscription_status", reason: str = "cancellation_reason",
-                      old_reason: str = "cancellation_reason_old") -> DataFrame:
+                      old_reason: str = "cancellation_reason_old", hot_rows: int | None = None,
+                      bucket_width: float = 30.0) -> DataFrame:
     """Drop ACTIVE-after-INACTIVE rows whose cancellation reason went SA -> SC (reactivation noise).
 
     A NULL comparison does not mark the row as noise, so it is kept.
     """
-    prev = F.lag(status).over(version_window(keys, order))
-    noise = (c(status) == ACTIVE) & (prev == INACTIVE) & (c(reason) == "SC") & (c(old_reason) == "SA")
-    return _keep_where(df, F.coalesce(noise, F.lit(False)), negate=True)
+    d = _with_prev(df, keys, order, status, "_prev", hot_rows, bucket_width)
+    noise = (c(status) == ACTIVE) & (c("_prev") == INACTIVE) & (c(reason) == "SC") & (c(old_reason) == "SA")
+    return d.where(~F.coalesce(noise, F.lit(False))).drop("_prev")
 
 
 def collapse_runs(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-                  status: str = "subscription_status") -> DataFrame:
+                  status: str = "subscription_status", hot_rows: int | None = None,
+                  bucket_width: float = 30.0) -> DataFrame:
     """Gaps-and-islands: keep the first row of every run of equal status.
 
     A row survives unless its status equals the previous row's; the first row
     of a key (NULL previous) always survives.
     """
-    prev = F.lag(status).over(version_window(keys, order))
-    return _keep_where(df, F.coalesce(c(status) == prev, F.lit(False)), negate=True)
+    d = _with_prev(df, keys, order, status, "_prev", hot_rows, bucket_width)
+    return d.where(~F.coalesce(c(status) == c("_prev"), F.lit(False))).drop("_prev")
 
 
 def link_versions(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-                  link: str = "link_id", prev_link: str = "prev_link_id") -> DataFrame:
+                  link: str = "link_id", prev_link: str = "prev_link_id", hot_rows: int | None = None,
+                  bucket_width: float = 30.0) -> DataFrame:
     """Back-link each version to its predecessor's link id."""
-    return df.withColumn(prev_link, F.lag(link).over(version_window(keys, order)))
+    d = _with_prev(df.drop(prev_link) if prev_link in df.columns else df, keys, order, link, prev_link,
+                   hot_rows, bucket_width)
+    return d.select(*[c(x) for x in df.columns] + ([c(prev_link)] if prev_link not in df.columns else []))
 
 
 def close_intervals(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-                    start: str = "start_date", end: str = "end_date") -> DataFrame:
+                    start: str = "start_date", end: str = "end_date", hot_rows: int | None = None,
+                    bucket_width: float = 30.0) -> DataFrame:
     """End of each version = next version's start minus one unit; the last version stays open.
 
     Dates step by one day and end on 9999-12-31; timestamps step by one
     microsecond and end on 9999-12-31 00:00:00.
     """
-    nxt = F.lead(start).over(version_window(keys, order))
+    cols = df.columns + ([end] if end not in df.columns else [])
+    df = _with_prev(df, keys, order, start, "_next", hot_rows, bucket_width, lead=True)
+    nxt = c("_next")
     if isinstance(df.schema[start].dataType, DateType):
         closed = F.coalesce(F.date_sub(nxt, 1), F.lit(OPEN_END))
     else:
         closed = F.coalesce(nxt - F.expr("INTERVAL 1 MICROSECOND"),
                             F.lit("9999-12-31 00:00:00").cast(df.schema[start].dataType))
-    return df.withColumn(end, closed)
+    return df.withColumn(end, closed).select(*cols)
 
 
 def close_intervals_observed(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),

@@ -29,6 +29,10 @@ c = F.col
 
 FIXTURE_DATES = RunDates(cutoff=_dt.date(1998, 6, 1), today=_dt.date(1998, 6, 30))
 FIXTURE_PARAMS = RunParams(as_of=_dt.date(1998, 6, 30), days_back=3, default_start=_dt.date(1998, 1, 1))
+# Keys with more rows than this are split into time buckets in whole-history window queries.
+HOT_ROWS = 1_000_000
+HOT = dict(hot_rows=HOT_ROWS, bucket_width=30.0)
+
 SCHEMA_OF = {**{t: "tpch" for t in "region nation customer supplier part orders lineitem".split()},
              "events": "events",
              **{t: "corpus" for t in "documents embeddings pages benchmark labels conversations".split()}}
@@ -181,34 +185,34 @@ def _link(df: DataFrame) -> DataFrame:
 
 
 def q_lag_status(spark, sf_dir):
-    return hs.lag_status(_fx(spark, sf_dir).hist)
+    return hs.lag_status(_fx(spark, sf_dir).hist, **HOT)
 
 
 def q_drop_reactivation(spark, sf_dir):
-    return hs.drop_reactivation(_fx(spark, sf_dir).hist)
+    return hs.drop_reactivation(_fx(spark, sf_dir).hist, **HOT)
 
 
 def q_collapse_runs(spark, sf_dir):
-    return hs.collapse_runs(_fx(spark, sf_dir).hist)
+    return hs.collapse_runs(_fx(spark, sf_dir).hist, **HOT)
 
 
 def q_link_versions(spark, sf_dir):
-    return hs.link_versions(_link(hs.collapse_runs(_fx(spark, sf_dir).hist)))
+    return hs.link_versions(_link(hs.collapse_runs(_fx(spark, sf_dir).hist, **HOT)), **HOT)
 
 
 def q_close_intervals(spark, sf_dir):
-    return hs.close_intervals(hs.collapse_runs(_fx(spark, sf_dir).hist))
+    return hs.close_intervals(hs.collapse_runs(_fx(spark, sf_dir).hist, **HOT), **HOT)
 
 
 def q_close_intervals_observed(spark, sf_dir):
-    h = _link(hs.collapse_runs(_fx(spark, sf_dir).hist)).withColumn("prev_link_id", F.lit(None).cast("string"))
+    h = _link(hs.collapse_runs(_fx(spark, sf_dir).hist, **HOT)).withColumn("prev_link_id", F.lit(None).cast("string"))
     return hs.close_intervals_observed(h)
 
 
 def q_user_status_intervals(spark, sf_dir):
     u = _fx(spark, sf_dir).user_hist
-    u = hs.collapse_runs(u, keys=["user_id"], order=["start_ts"], status="status")
-    return hs.close_intervals(u, keys=["user_id"], order=["start_ts"], start="start_ts", end="end_ts")
+    u = hs.collapse_runs(u, keys=["user_id"], order=["start_ts"], status="status", **HOT)
+    return hs.close_intervals(u, keys=["user_id"], order=["start_ts"], start="start_ts", end="end_ts", **HOT)
 
 
 def q_reason_rewrite(spark, sf_dir):
