@@ -28,3 +28,19 @@ def test_catalog_walk(spark):
     names = {r.name: r.sizeinbytes for r in sizes.collect()}
     assert "spark_catalog.inv_demo.numbers" in names and names["spark_catalog.inv_demo.numbers"] > 0
     assert errors.count() == 0
+
+
+def test_catalog_walk_captures_schema_errors(spark, monkeypatch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS inv_broken")
+    real = spark.catalog.listTables
+
+    def failing(db=None, *a, **k):
+        if db and db.endswith("inv_broken"):
+            spark.sql("SHOW TABLES IN no_such_schema_xyz").collect()   # a real JVM-side error
+        return real(db, *a, **k)
+
+    monkeypatch.setattr(spark.catalog, "listTables", failing)
+    sizes, errors = inv.catalog_sizes(spark)
+    rows = errors.collect()
+    assert [r.schema_name for r in rows] == ["spark_catalog.inv_broken"]
+    assert rows[0].error_class == "SCHEMA_NOT_FOUND" and rows[0].sqlstate == "42704"

@@ -297,7 +297,7 @@ class StatusHistoryJob:
         j = j.select(*[c(f"v.{x}") for x in STATUS_COLS], c("d.route_to_market"), c("k.inco3_l"))
         j = reason_rewrite(j)
         return self._cut(
-            j.withColumn("last_modified", F.lit(self.rd.as_of_ts).cast("timestamp_ntz")).select(*FINAL_COLS),
+            j.withColumn("last_modified", F.lit(self.rd.today).cast("timestamp_ntz")).select(*FINAL_COLS),
             "final_rows")
 
     @cached_property

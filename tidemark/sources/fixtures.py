@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import string
+import threading
 import uuid
 from functools import cached_property
 
@@ -136,6 +137,7 @@ def view_deps(sql: str) -> list[str]:
 # Derived views staged once per process and session (they stand for stored source tables).
 _STAGED: dict[tuple[int, str, str], DataFrame] = {}
 _PROCESS_TOKEN = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
+_LOCK = threading.RLock()
 
 
 class Fixtures:
@@ -154,6 +156,10 @@ class Fixtures:
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        with _LOCK:
+            return self._table(name)
+
+    def _table(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name in BASE_TABLES:
                 self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
