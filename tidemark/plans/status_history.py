@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import text_to_date
 from tidemark.operators import deltas as dl
-from tidemark.operators.common import ITEM_KEYS, VERSION_KEYS, all_of, typed_null
+from tidemark.operators.common import ITEM_KEYS, VERSION_KEYS, all_of, broadcast_bounded, typed_null
 from tidemark.operators.history import (
     close_intervals, collapse_runs, drop_reactivation, link_versions, one_version_per_start)
 from tidemark.operators.intervals import SCD_ROW, event_points, scd_rows_starting, version_at
@@ -37,6 +37,9 @@ from tidemark.sources.tables import stage_table
 
 c = F.col
 
+# Change frames up to this many rows are broadcast into joins with full-size tables.
+MAX_BROADCAST_CHANGE_ROWS = 2_000_000
+
 # Column layout of a status version (target table plus the two run columns).
 STATUS_COLS = [
     "client", "sales_document", "sales_document_item", "start_date", "end_date", "sales_document_type",
@@ -98,6 +101,12 @@ class StatusHistoryJob:
         self.materialize = materialize
         self._run_id = f"run-{rd.cutoff_text}-{rd.today_text}-{uuid.uuid4().hex[:12]}"
 
+    def _small(self, df: DataFrame, name: str) -> DataFrame:
+        """Stage a change frame and broadcast it when its row count is within the bound."""
+        if self.materialize != "stage":
+            return df
+        return broadcast_bounded(self._cut(df, name), MAX_BROADCAST_CHANGE_ROWS)
+
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize == "stage":
             return stage_table(df, f"{self._run_id}/{name}")
@@ -116,7 +125,13 @@ class StatusHistoryJob:
 
     @cached_property
     def plan_items(self) -> DataFrame:
-        return self._cut(dl.plan_items(self.plan_delta, self.subs), "plan_items")
+        """Plan items of the window with their subscription.
+
+        The plan delta grows with the window, not with the plan table; staged
+        and bounded, it is broadcast, so the subscription dimension is streamed
+        instead of shuffled.
+        """
+        return self._cut(dl.plan_items(self._small(self.plan_delta, "plan_delta"), self.subs), "plan_items")
 
     @cached_property
     def plans_starting(self) -> DataFrame:
@@ -178,7 +193,10 @@ class StatusHistoryJob:
         points = pts[0]
         for p in pts[1:]:
             points = points.unionByName(p)
-        return self._cut(self.scd_starts.unionByName(self.versions_at(points.distinct())).distinct(), "delta_versions")
+        # the points grow with the window, the history with all time: broadcast the points when bounded,
+        # so the history is streamed through the as-of join instead of shuffled
+        points = self._small(points.distinct(), "change_points")
+        return self._cut(self.scd_starts.unionByName(self.versions_at(points)).distinct(), "delta_versions")
 
     # ---- 3. plans, bills, status --------------------------------------------
     @cached_property

@@ -30,6 +30,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("TIDEMARK_DRIVER_MEMORY", "16g"))
+        # one host: waiting for a "more local" slot buys nothing
+        .config("spark.locality.wait", "0s")
     )
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
