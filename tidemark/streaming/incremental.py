@@ -76,8 +76,8 @@ def foreach_batch_upsert(sink: MergeSink, keys: Sequence[str], update: Sequence[
                          insert: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function merging each micro-batch into ``sink``.
 
-    Within a batch the latest row per key wins is not assumed: a batch with two
-    rows for one key fails the merge's cardinality check, as MERGE does.
+    A batch holding two rows for one key fails the merge's cardinality check,
+    as MERGE does; no row is silently preferred.
     """
     def apply(batch: DataFrame, epoch_id: int) -> None:
         sink.upsert(batch, keys, update, insert, tag=f"epoch-{epoch_id}")
