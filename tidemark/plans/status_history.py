@@ -285,6 +285,7 @@ class StatusHistoryJob:
         """
         changed = self.status_rows.groupBy(*ITEM_KEYS).agg(
             F.max("subscription_category").alias("subscription_category"), F.max("bp_upd_ind").alias("bp_upd_ind"))
+        changed = self._small(changed, "changed_items")   # the target history is streamed, not shuffled
         cut = F.lit(self.rd.cutoff_scd)
         open_rows = self.src.target.where((c("start_date") <= cut) & (c("end_date") >= cut))
         return open_rows.select(*TARGET_COLS).join(changed, ITEM_KEYS, "inner").select(*STATUS_COLS)
@@ -306,7 +307,8 @@ class StatusHistoryJob:
     # ---- 6. enrichment and merges ---------------------------------------------
     @cached_property
     def final_rows(self) -> DataFrame:
-        v = self.versions.alias("v")
+        # the rebuilt versions are few; broadcast them into the dimension and business-data joins
+        v = self._small(self.versions, "versions").alias("v")
         d = self.src.dim.select(*ITEM_KEYS, "route_to_market").alias("d")
         k = self.src.business.select("mandt", "vbeln", "posnr", "inco3_l").alias("k")
         j = v.join(d, all_of([c(f"v.{x}") == c(f"d.{x}") for x in ITEM_KEYS]), "inner").join(
