@@ -4,7 +4,6 @@ import datetime as dt
 import tempfile
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import Row
 
 from tidemark.operators.merge import merge_range_update, merge_upsert

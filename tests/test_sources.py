@@ -42,3 +42,11 @@ def test_jdbc_options():
     assert "numPartitions" not in plain          # numPartitions alone would still be one task
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x://h/db", "t", partition_column="id")
+
+
+def test_read_table_by_name_and_path(spark, tmp_path):
+    from tidemark.sources.tables import read_table
+    spark.range(4).write.mode("overwrite").saveAsTable("default.scan_t")
+    spark.range(3).write.parquet(str(tmp_path / "p"))
+    assert read_table(spark, "default.scan_t").count() == 4
+    assert read_table(spark, str(tmp_path / "p")).count() == 3

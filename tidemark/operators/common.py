@@ -19,16 +19,6 @@ def all_of(conds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conds)
 
 
-def any_of(conds: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conds)
-
-
-def eq_keys(left: str, right: str, keys: list[str], right_keys: list[str] | None = None) -> Column:
-    """``left.k1 = right.k1 AND ...`` for two aliased frames."""
-    right_keys = right_keys or keys
-    return all_of([F.col(f"{left}.{a}") == F.col(f"{right}.{b}") for a, b in zip(keys, right_keys)])
-
-
 def broadcast_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast a lookup only after proving it has at most ``max_rows`` rows.
 

@@ -40,12 +40,6 @@ def version_at(events: DataFrame, history: DataFrame, at: str | Column, keys: li
     return events.alias(e).join(history.alias(h), cond, how)
 
 
-def scd_rows_at(events: DataFrame, scd: DataFrame, at: str) -> DataFrame:
-    """The version of each event's item valid at ``at``, re-dated to ``at`` (12 columns)."""
-    return version_at(events, scd, at).select(
-        *[c(f"h.{k}") for k in ITEM_KEYS], c(f"e.{at}").alias("start_date"), *[c(f"h.{a}") for a in SCD_ATTRS])
-
-
 def scd_rows_starting(scd: DataFrame, subs: DataFrame, cutoff, today) -> DataFrame:
     """History versions that start inside the window, for items of active subscriptions."""
     s = subs.select(*ITEM_KEYS)

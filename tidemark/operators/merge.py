@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 c = F.col
@@ -92,8 +92,3 @@ def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str]
     return joined.select(*[
         (F.when(c("r._n").isNotNull(), c("r._val")).otherwise(current).alias(x) if x == set_col
          else (c(x) if x in target_key else c(f"t.{x}"))) for x in out_cols])
-
-
-def source_conflicts(source: DataFrame, keys: Sequence[str]) -> Column:
-    """Rows per merge key in the source (for callers that want to inspect, not fail)."""
-    return F.count(F.lit(1)).over(Window.partitionBy(*keys))

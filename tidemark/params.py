@@ -50,10 +50,6 @@ class RunDates:
     def yesterday_text(self) -> str:
         return to_text(self.yesterday)
 
-    @property
-    def as_of_ts(self) -> _dt.datetime:
-        return _dt.datetime.combine(self.today, _dt.time())
-
 
 @dataclass(frozen=True)
 class RunParams:

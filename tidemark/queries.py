@@ -19,7 +19,6 @@ from tidemark.operators import governance as gov
 from tidemark.operators import history as hs
 from tidemark.operators import inventory as inv
 from tidemark.operators.common import ITEM_KEYS, VERSION_KEYS
-from tidemark.operators.intervals import SCD_ROW
 from tidemark.operators.rules import derive_status, init_inactive_flag
 from tidemark.params import RunDates, RunParams, cutoff_lookup, run_dates_frame
 from tidemark.plans.status_history import STATUS_COLS, HistorySources, StatusHistoryJob
