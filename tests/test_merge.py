@@ -66,3 +66,24 @@ def test_merge_sink_rewrites_only_touched_buckets(spark):
     for n, p in before.items():
         if n not in touched:
             assert max(f.stat().st_mtime_ns for f in p.iterdir()) == mtimes[n]   # untouched bucket not rewritten
+
+
+def test_broadcast_path_equals_full_outer_join(spark):
+    tgt = spark.createDataFrame([Row(k=i, s=D(2021, 1, 1), v=f"old{i}", u="x") for i in range(50)])
+    src = spark.createDataFrame([Row(k=i, s=D(2021, 1, 1), v=f"new{i}", w=i) for i in range(40, 60)])
+    full = merge_upsert(tgt, src, ["k", "s"], update=["v", "w"], insert=["k", "s", "v", "w"])
+    fast = merge_upsert(tgt, src, ["k", "s"], update=["v", "w"], insert=["k", "s", "v", "w"], broadcast_rows=1000)
+    assert fast.columns == full.columns
+    assert sorted(map(str, fast.collect())) == sorted(map(str, full.collect()))
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan            # the target is streamed through broadcast joins
+    dup = src.unionByName(src.limit(1))
+    with pytest.raises(Exception, match="cardinality"):
+        merge_upsert(tgt, dup, ["k", "s"], broadcast_rows=1000).collect()
+    r_full = merge_range_update(_target(spark), _ranges(spark), keys=["k"], at="s", start="b_start", end="b_end",
+                                set_col="u", from_col="flag", target_key=["k", "s"], on_multi="latest",
+                                prefer=["b_start", "item"])
+    r_fast = merge_range_update(_target(spark), _ranges(spark), keys=["k"], at="s", start="b_start", end="b_end",
+                                set_col="u", from_col="flag", target_key=["k", "s"], on_multi="latest",
+                                prefer=["b_start", "item"], broadcast_rows=1000)
+    assert sorted(map(str, r_fast.collect())) == sorted(map(str, r_full.collect()))

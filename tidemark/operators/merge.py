@@ -18,18 +18,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.common import broadcast_bounded
+
 c = F.col
 
 
+def _bounded(df: DataFrame, max_rows: int | None) -> bool:
+    return max_rows is not None and df.limit(max_rows + 1).count() <= max_rows
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update: Sequence[str] | None = None, insert: Sequence[str] | None = None,
-                 check_unique: bool = True) -> DataFrame:
+                 check_unique: bool = True, broadcast_rows: int | None = None) -> DataFrame:
     """``MERGE INTO target USING source ON keys WHEN MATCHED UPDATE SET update WHEN NOT MATCHED INSERT insert``.
 
     Target columns missing from ``insert`` stay NULL on inserted rows; target
     columns missing from ``update`` keep the target's value on matched rows.
     Source columns not in the target are added to it (NULL for old rows).
+
+    With ``broadcast_rows`` and a source proven to have at most that many rows,
+    the target is never shuffled: matched and kept rows come from
+    ``target LEFT JOIN broadcast(source)``, inserts from the source rows whose
+    key is not among ``target SEMI JOIN broadcast(source keys)``. Otherwise it
+    is one full outer join on the keys.
     """
+    if broadcast_rows is not None and _bounded(source, broadcast_rows):
+        return _merge_upsert_broadcast(target, source, keys, update, insert, check_unique)
     keys = list(keys)
     cols = list(target.columns) + [x for x in source.columns if x not in target.columns]
     update = [x for x in (update if update is not None else source.columns) if x not in keys]
@@ -58,20 +72,54 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return j.select(*out)
 
 
+def _merge_upsert_broadcast(target: DataFrame, source: DataFrame, keys: Sequence[str],
+                            update: Sequence[str] | None, insert: Sequence[str] | None,
+                            check_unique: bool) -> DataFrame:
+    keys = list(keys)
+    cols = list(target.columns) + [x for x in source.columns if x not in target.columns]
+    update = [x for x in (update if update is not None else source.columns) if x not in keys]
+    insert = list(insert if insert is not None else source.columns)
+    src = source.withColumn("_src", F.lit(True))
+    if check_unique:
+        n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+        src = src.withColumn("_src", F.when(n > 1, F.raise_error(
+            F.lit("MERGE cardinality violation: several source rows share one merge key"))).otherwise(F.lit(True)))
+    src = F.broadcast(src)
+
+    def dtype(x: str):
+        return (target.schema[x] if x in target.columns else source.schema[x]).dataType
+
+    kept = target.alias("t").join(src.alias("s"), keys, "left")
+    matched = c("s._src").isNotNull()
+    kept = kept.select(*[
+        c(x) if x in keys else
+        (F.when(matched, c(f"s.{x}") if x in source.columns else F.lit(None)).otherwise(
+            c(f"t.{x}") if x in target.columns else F.lit(None)) if x in update
+         else (c(f"t.{x}") if x in target.columns else F.lit(None))).cast(dtype(x)).alias(x)
+        for x in cols])
+    present = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
+    new = src.join(F.broadcast(present), keys, "left_anti")   # present holds at most the source's keys
+    new = new.select(*[(c(x) if x in insert or x in keys else F.lit(None)).cast(dtype(x)).alias(x) for x in cols])
+    return kept.unionByName(new)
+
+
 def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str], at: str,
                        start: str, end: str, set_col: str, from_col: str,
                        target_key: Sequence[str], on_multi: str = "error",
-                       prefer: Sequence[str] = ()) -> DataFrame:
+                       prefer: Sequence[str] = (), broadcast_rows: int | None = None) -> DataFrame:
     """``MERGE ... ON keys AND target.at BETWEEN source.start AND source.end WHEN MATCHED UPDATE SET set_col``.
 
     Matches are resolved per target row (``target_key`` identifies it):
     ``on_multi="error"`` fails the job when a target row has several matches,
     ``on_multi="latest"`` takes the match with the greatest ``prefer`` tuple.
     Unmatched target rows keep their value; the target is returned whole.
+    With ``broadcast_rows``, a source and a set of resolved matches proven
+    within that many rows are broadcast, so the target is streamed, not shuffled.
     """
     target_key = list(target_key)
+    small = broadcast_rows is not None and _bounded(source, broadcast_rows)
     t = target.select(*target_key, *[k for k in keys if k not in target_key]).alias("t")
-    s = source.alias("s")
+    s = (F.broadcast(source) if small else source).alias("s")
     cond = [c(f"t.{k}") == c(f"s.{k}") for k in keys] + [c(f"t.{at}") >= c(f"s.{start}"), c(f"t.{at}") <= c(f"s.{end}")]
     cond_all = cond[0]
     for x in cond[1:]:
@@ -88,6 +136,8 @@ def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str]
         raise ValueError(f"on_multi must be 'error' or 'latest', not {on_multi!r}")
     out_cols = list(target.columns) + ([set_col] if set_col not in target.columns else [])
     current = c(f"t.{set_col}") if set_col in target.columns else F.lit(None).cast(source.schema[from_col].dataType)
+    if small:
+        resolved = broadcast_bounded(resolved, broadcast_rows)
     joined = target.alias("t").join(resolved.alias("r"), target_key, "left")
     return joined.select(*[
         (F.when(c("r._n").isNotNull(), c("r._val")).otherwise(current).alias(x) if x == set_col

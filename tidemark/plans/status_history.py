@@ -100,12 +100,19 @@ class StatusHistoryJob:
         self.on_multi_plan = on_multi_plan
         self.materialize = materialize
         self._run_id = f"run-{rd.cutoff_text}-{rd.today_text}-{uuid.uuid4().hex[:12]}"
+        self._staged: dict[str, DataFrame] = {}
+
+    @property
+    def _broadcast_rows(self) -> int | None:
+        return MAX_BROADCAST_CHANGE_ROWS if self.materialize == "stage" else None
 
     def _small(self, df: DataFrame, name: str) -> DataFrame:
-        """Stage a change frame and broadcast it when its row count is within the bound."""
+        """Stage a change frame (once per name) and broadcast it when its row count is within the bound."""
         if self.materialize != "stage":
             return df
-        return broadcast_bounded(self._cut(df, name), MAX_BROADCAST_CHANGE_ROWS)
+        if name not in self._staged:
+            self._staged[name] = broadcast_bounded(self._cut(df, name), MAX_BROADCAST_CHANGE_ROWS)
+        return self._staged[name]
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize == "stage":
@@ -324,17 +331,17 @@ class StatusHistoryJob:
     def merged(self) -> DataFrame:
         """Target after the upsert on (item keys, start_date)."""
         return merge_upsert(self.src.target, self.final_rows, VERSION_KEYS,
-                            update=FINAL_COLS[4:], insert=FINAL_COLS)
+                            update=FINAL_COLS[4:], insert=FINAL_COLS, broadcast_rows=self._broadcast_rows)
 
     @cached_property
     def plan_ranges(self) -> DataFrame:
         """Billing plans of the window on all subscriptions, with date-typed bounds."""
-        p = self.plan_delta.drop("client").alias("p")
+        p = self._small(self.plan_delta, "plan_delta").drop("client").alias("p")
         d = self.src.dim.alias("d")
-        return p.join(d, c("p.bp_no") == c("d.bill_plan_number"), "inner").select(
+        return self._cut(p.join(d, c("p.bp_no") == c("d.bill_plan_number"), "inner").select(
             *[c(f"d.{k}") for k in ITEM_KEYS], c("p.bp_no"), c("p.bp_item"),
             text_to_date(c("p.bp_start_date")).alias("bp_start_date"),
-            text_to_date(c("p.bp_end_date")).alias("bp_end_date"), c("p.bp_upd_ind"))
+            text_to_date(c("p.bp_end_date")).alias("bp_end_date"), c("p.bp_upd_ind")), "plan_ranges")
 
     @cached_property
     def merged_with_plan_flag(self) -> DataFrame:
@@ -342,4 +349,5 @@ class StatusHistoryJob:
         return merge_range_update(
             self.merged, self.plan_ranges, keys=ITEM_KEYS, at="start_date", start="bp_start_date",
             end="bp_end_date", set_col="upd_ind", from_col="bp_upd_ind", target_key=VERSION_KEYS,
-            on_multi=self.on_multi_plan, prefer=["bp_start_date", "bp_item", "bp_no"])
+            on_multi=self.on_multi_plan, prefer=["bp_start_date", "bp_item", "bp_no"],
+            broadcast_rows=self._broadcast_rows)
