@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -101,6 +102,8 @@ class MergeSink:
     directories with a dynamic partition overwrite. Reading and overwriting the
     same path in one job is not allowed, and staging makes the final step
     re-runnable after a failure. Untouched buckets are never read or written.
+    Within the touched buckets, a source of at most ``broadcast_rows`` rows is
+    broadcast, so even those target rows are not shuffled.
     """
 
     BUCKET = "_bucket"
@@ -124,27 +127,28 @@ class MergeSink:
         return [r[0] for r in source.select(self.bucket_of().alias("b")).distinct().collect()]
 
     def _replace(self, spark: SparkSession, merged: DataFrame, tag: str) -> None:
-        staged = stage_table(merged.withColumn(self.BUCKET, self.bucket_of()), f"merge/{tag}")
+        staged = stage_table(merged.withColumn(self.BUCKET, self.bucket_of()), f"merge/{tag}-{uuid.uuid4().hex[:12]}")
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(self.BUCKET).parquet(self.path))
 
     def upsert(self, source: DataFrame, keys: Sequence[str], update: Sequence[str] | None = None,
-               insert: Sequence[str] | None = None, tag: str = "upsert") -> None:
+               insert: Sequence[str] | None = None, tag: str = "upsert",
+               broadcast_rows: int | None = 2_000_000) -> None:
         spark = source.sparkSession
         touched = self._touched(source)
         if not touched:
             return
         target = spark.read.parquet(self.path).where(F.col(self.BUCKET).isin(touched)).drop(self.BUCKET)
-        self._replace(spark, merge_upsert(target, source, keys, update, insert), tag)
+        self._replace(spark, merge_upsert(target, source, keys, update, insert, broadcast_rows=broadcast_rows), tag)
 
     def range_update(self, source: DataFrame, keys: Sequence[str], at: str, start: str, end: str,
                      set_col: str, from_col: str, target_key: Sequence[str], on_multi: str = "error",
-                     prefer: Sequence[str] = (), tag: str = "range") -> None:
+                     prefer: Sequence[str] = (), tag: str = "range", broadcast_rows: int | None = 2_000_000) -> None:
         spark = source.sparkSession
         touched = self._touched(source)
         if not touched:
             return
         target = spark.read.parquet(self.path).where(F.col(self.BUCKET).isin(touched)).drop(self.BUCKET)
         merged = merge_range_update(target, source, keys, at, start, end, set_col, from_col, target_key,
-                                    on_multi=on_multi, prefer=prefer)
+                                    on_multi=on_multi, prefer=prefer, broadcast_rows=broadcast_rows)
         self._replace(spark, merged, tag)
