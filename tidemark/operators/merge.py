@@ -18,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.common import broadcast_bounded
 
 c = F.col
 
@@ -113,13 +112,33 @@ def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str]
     ``on_multi="error"`` fails the job when a target row has several matches,
     ``on_multi="latest"`` takes the match with the greatest ``prefer`` tuple.
     Unmatched target rows keep their value; the target is returned whole.
-    With ``broadcast_rows``, a source and a set of resolved matches proven
-    within that many rows are broadcast, so the target is streamed, not shuffled.
+
+    With ``broadcast_rows`` and a source proven within that many rows, the
+    target is split by ``keys`` against the broadcast source keys: rows of
+    untouched keys pass through a broadcast anti join, and only rows of
+    touched keys are shuffled for the match resolution.
     """
+    if on_multi not in ("error", "latest"):
+        raise ValueError(f"on_multi must be 'error' or 'latest', not {on_multi!r}")
     target_key = list(target_key)
-    small = broadcast_rows is not None and _bounded(source, broadcast_rows)
+    out_cols = list(target.columns) + ([set_col] if set_col not in target.columns else [])
+    current = c(set_col) if set_col in target.columns else F.lit(None).cast(source.schema[from_col].dataType)
+    if broadcast_rows is not None and _bounded(source, broadcast_rows):
+        items = F.broadcast(source.select(*keys).distinct())
+        src = F.broadcast(source)
+        rest = target.join(items, list(keys), "left_anti").select(
+            *[(current.alias(x) if x == set_col else c(x)) for x in out_cols])
+        touched = target.join(items, list(keys), "left_semi")
+        return rest.unionByName(_range_update(touched, src, keys, at, start, end, set_col, from_col,
+                                              target_key, on_multi, prefer, out_cols, current))
+    return _range_update(target, source, keys, at, start, end, set_col, from_col, target_key, on_multi,
+                         prefer, out_cols, current)
+
+
+def _range_update(target, source, keys, at, start, end, set_col, from_col, target_key, on_multi, prefer,
+                  out_cols, current) -> DataFrame:
     t = target.select(*target_key, *[k for k in keys if k not in target_key]).alias("t")
-    s = (F.broadcast(source) if small else source).alias("s")
+    s = source.alias("s")
     cond = [c(f"t.{k}") == c(f"s.{k}") for k in keys] + [c(f"t.{at}") >= c(f"s.{start}"), c(f"t.{at}") <= c(f"s.{end}")]
     cond_all = cond[0]
     for x in cond[1:]:
@@ -132,13 +151,8 @@ def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str]
     if on_multi == "error":
         resolved = resolved.withColumn("_val", F.when(c("_n") > 1, F.raise_error(
             F.lit("MERGE cardinality violation: several source rows match one target row"))).otherwise(c("_val")))
-    elif on_multi != "latest":
-        raise ValueError(f"on_multi must be 'error' or 'latest', not {on_multi!r}")
-    out_cols = list(target.columns) + ([set_col] if set_col not in target.columns else [])
-    current = c(f"t.{set_col}") if set_col in target.columns else F.lit(None).cast(source.schema[from_col].dataType)
-    if small:
-        resolved = broadcast_bounded(resolved, broadcast_rows)
+    cur = c(f"t.{set_col}") if set_col in target.columns else current
     joined = target.alias("t").join(resolved.alias("r"), target_key, "left")
     return joined.select(*[
-        (F.when(c("r._n").isNotNull(), c("r._val")).otherwise(current).alias(x) if x == set_col
+        (F.when(c("r._n").isNotNull(), c("r._val")).otherwise(cur).alias(x) if x == set_col
          else (c(x) if x in target_key else c(f"t.{x}"))) for x in out_cols])
