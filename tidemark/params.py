@@ -66,10 +66,12 @@ def cutoff_lookup(categories: DataFrame, cutoff_log: DataFrame, params: RunParam
                   log_date: str = "attr_val_dt") -> DataFrame:
     """Per category: logged date minus ``days_back``, or ``default_start`` when not logged.
 
-    ``cutoff_log`` holds one row per processed category (its size is bounded by
-    the number of categories), so it is broadcast; categories without a log row
-    keep NULL from the left join and fall back to the default.
+    ``cutoff_log`` holds one row per processed category; after a size check it
+    is broadcast. Categories without a log row keep NULL from the left join and
+    fall back to the default.
     """
+    from tidemark.operators.common import broadcast_bounded
+
     log = cutoff_log.select(F.col(log_category).alias("_cat"), F.col(log_date).alias("_dt"))
     log = log.groupBy("_cat").agg(F.max("_dt").alias("_dt"))  # one row per category
     default = F.lit(params.default_start)
@@ -79,7 +81,7 @@ def cutoff_lookup(categories: DataFrame, cutoff_log: DataFrame, params: RunParam
     else:
         cutoff = F.coalesce(F.date_sub(F.col("_dt"), params.days_back), default)
     return (
-        categories.join(F.broadcast(log), F.col(category) == F.col("_cat"), "left")
+        categories.join(broadcast_bounded(log), F.col(category) == F.col("_cat"), "left")
         .select(F.col(category), cutoff.alias("cutoff_date"))
     )
 
