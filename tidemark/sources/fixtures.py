@@ -135,7 +135,15 @@ def view_deps(sql: str) -> list[str]:
 
 
 # Derived views staged once per process and session (they stand for stored source tables).
-_STAGED: dict[tuple[int, str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _session_key(spark: SparkSession) -> str:
+    """The Spark application id (a new session after a stop gets a new one)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext
+        return str(id(spark))
 _PROCESS_TOKEN = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
 _LOCK = threading.RLock()
 
@@ -164,7 +172,7 @@ class Fixtures:
             if name in BASE_TABLES:
                 self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
-                key = (id(self.spark), self.sf_dir, name)
+                key = (_session_key(self.spark), self.sf_dir, name)
                 if self.stage and key in _STAGED:
                     self._cache[name] = _STAGED[key]
                     return self._cache[name]
