@@ -12,7 +12,7 @@ Stages (each a property, so any intermediate can be inspected or tested):
 
 All categories run in one job: the category is a column of the subscription
 dimension, not a driver loop. Categories whose cutoffs differ run as one job
-per distinct cutoff (see ``runs_by_cutoff``).
+per distinct cutoff (``tidemark.streaming.incremental.runs_by_cutoff``).
 """
 
 from __future__ import annotations
@@ -90,6 +90,12 @@ class StatusHistoryJob:
     back, cutting lineage so downstream plans stay small and a lost executor
     costs one stage, not the whole job; ``"persist"`` caches it; ``None`` keeps
     one fused plan.
+
+    With ``"stage"``, change frames that meet a full-size table (plan delta,
+    change points, changed items, rebuilt versions, merge source) are also
+    counted on their staged files and broadcast when within
+    ``MAX_BROADCAST_CHANGE_ROWS``, so the full-size side is streamed instead of
+    shuffled; beyond the bound Spark and AQE choose the join.
     """
 
     def __init__(self, src: HistorySources, rd: RunDates, categories: list[str] | None = None,
