@@ -120,6 +120,15 @@ class StatusHistoryJob:
             self._staged[name] = broadcast_bounded(self._cut(df, name), MAX_BROADCAST_CHANGE_ROWS)
         return self._staged[name]
 
+    def _bc(self, df: DataFrame, name: str) -> DataFrame:
+        """Broadcast an already staged change frame once its row count is proven within the bound."""
+        if self.materialize != "stage":
+            return df
+        key = f"broadcast:{name}"
+        if key not in self._staged:
+            self._staged[key] = broadcast_bounded(df, MAX_BROADCAST_CHANGE_ROWS)
+        return self._staged[key]
+
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize == "stage":
             return stage_table(df, f"{self._run_id}/{name}")
@@ -156,11 +165,11 @@ class StatusHistoryJob:
 
     @cached_property
     def bill_docs(self) -> DataFrame:
-        return dl.bill_docs(self.src.bill_item, self.src.bill_hdr, self.plan_items)
+        return dl.bill_docs(self.src.bill_item, self.src.bill_hdr, self._bc(self.plan_items, "plan_items"))
 
     @cached_property
     def bill_docs_sibling(self) -> DataFrame:
-        return dl.bill_docs_sibling(self.src.bill_item, self.src.bill_hdr, self.plan_items)
+        return dl.bill_docs_sibling(self.src.bill_item, self.src.bill_hdr, self._bc(self.plan_items, "plan_items"))
 
     @cached_property
     def bill_docs_cancelled(self) -> DataFrame:
@@ -244,8 +253,12 @@ class StatusHistoryJob:
 
     @cached_property
     def status_input(self) -> DataFrame:
-        """Change versions with subscription, order header, memo and billed-before facts."""
-        t = self.with_plans.alias("t")
+        """Change versions with subscription, order header, memo and billed-before facts.
+
+        The planned rows are broadcast (when bounded) into the inner joins with
+        the subscription dimension and the order headers, which are streamed.
+        """
+        t = self._bc(self.with_plans, "with_plans").alias("t")
         d = self.subs.alias("d")
         v = self.src.order_hdr.alias("v")
         m = self.credit_memos.select(
