@@ -3,13 +3,13 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
 from scripts.oracle_check import compare
 from tests.conftest import SF001
+from tidemark import oracle, queries
 from tidemark.sources.fixtures import BASE_TABLES
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = queries.queries()
+ORACLE = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
