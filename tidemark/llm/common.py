@@ -80,10 +80,21 @@ def out_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def chunks(rows: int, size: int) -> Iterator[slice]:
-    for a in range(0, rows, size):
-        yield slice(a, a + size)
-
+def by_bytes(texts: list[bytes], size: int) -> Iterator[slice]:
+    """Slices of whole texts of about ``size`` bytes together; a longer text stands alone."""
+    start, held = 0, 0
+    for k, x in enumerate(texts):
+        if held and held + len(x) > size:
+            yield slice(start, k)
+            start, held = k, 0
+        held += len(x)
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
+# ASCII white space, the bytes that end a word.
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 # ---- hashes over bytes --------------------------------------------------------------------
 

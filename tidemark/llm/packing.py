@@ -11,7 +11,7 @@ table (writer task, row in its file, bucket), which is unique and stays the same
 from __future__ import annotations
 
 import json
-import re
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,29 +19,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Stages, chunks, out_batch, utf8
+from tidemark.llm.common import BLANK, Stages, by_bytes, out_batch, prefix_hash, span_hashes, utf8
 
 MAX_TOKENS = 4096
 END_ID = 2
-# Entries of each of the two generations of the word cache.
-CACHE_WORDS = 200_000
+# Distinct chunks that a task keeps the ids of (about 40 bytes each), and the text it tokenizes at a time.
+MOST_WORDS = 1_200_000
+BATCH_BYTES = 1024 * 1024
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                      ("doc_tokens", pa.int64())])
 
-# Letters (ASCII and Latin-1) followed by ASCII punctuation without the apostrophe: two separate pre-tokens.
-_WORD_PUNCTUATION = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
+# ASCII punctuation without the apostrophe. The tokenizer splits between letters and a run of these, and neither side
+# can change the other.
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable letter that byte-level tokenizers write for each byte: itself where printable, else 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = (b for b in range(256) if b not in printable)
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
 class WordTokens:
-    """Token ids of whole texts through a bounded cache of white-space separated chunks.
+    """Token ids of whole texts through a table of the white-space separated chunks seen so far.
 
-    Valid for tokenizers that drop white space and never merge across it, as the word-end BPE does:
-    the ids of a text are then the ids of its chunks one after another. The constructor checks this.
+    Valid for tokenizers that drop white space and never merge across it, as the word-end BPE does: the ids of a
+    text are then the ids of its chunks one after another. Each distinct chunk of a batch is looked up once, by a
+    64-bit hash of its bytes, and new ones are tokenized; the table is emptied when it holds ``most_words``.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, most_words: int = MOST_WORDS):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -49,40 +60,70 @@ class WordTokens:
         if spec["model"].get("end_of_word_suffix") is None:
             raise ValueError("a tokenizer whose words end at white space is needed")
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache_words = cache_words
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        self.new.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(words, found))
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.new) > self.cache_words:
-            self.old, self.new = self.new, {}
-        missing, joined = set(), {}
-        for w in words:
-            if w in self.new:
-                continue
-            if (kept := self.old.get(w)) is not None:
-                self.new[w] = kept
-            elif m := _WORD_PUNCTUATION.fullmatch(w):
-                joined[w] = m.groups()
-                missing.update(x for x in m.groups() if x not in self.new)
-            else:
-                missing.add(w)
-        if missing:
-            self._encode(list(missing))
-        for w, (letters, rest) in joined.items():
-            self.new[w] = self.new[letters] + self.new[rest]
-
-    def ids(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        words = text.split()
-        unseen = set(words).difference(self.new)
-        if unseen:
-            self._learn(set(words) if len(self.new) > self.cache_words else unseen)
-        return b"".join([self.new[w] for w in words])
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
+        self.most_words = most_words
+        self._clear()
+
+    def _clear(self) -> None:
+        self.hashes = np.empty(0, np.uint64)
+        self.first = np.empty(0, np.int64)  # where the ids of a chunk start in the pool
+        self.count = np.empty(0, np.int64)
+        self.pool = np.empty(0, np.uint32)
+        self.parts: dict[str, list[int]] = {}
+
+    def _part(self, part: str) -> list[int]:
+        """One pre-token that normalisation leaves as it is: straight to the merges."""
+        if (found := self.parts.get(part)) is None:
+            written = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            if len(self.parts) >= self.most_words // 8:
+                self.parts.clear()
+            self.parts[part] = found = [t.id for t in self.model.tokenize(written)]
+        return found
+
+    def _chunk(self, chunk: bytes) -> list[int]:
+        text = chunk.decode()
+        lower = text.lower()
+        letters = lower.rstrip(PUNCTUATION)
+        # Latin-1 letters are composed already and have one lower case each
+        if not letters.isalpha() or not (text.isascii() or max(text) <= "\xff"):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        rest = lower[len(letters):]
+        return self._part(letters) + self._part(rest) if rest else self._part(letters)
+
+    def _learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
+        ids = [self._chunk(w) for w in words]
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        new = np.fromiter((i for x in ids for i in x), np.uint32, int(count.sum()))
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.first = np.insert(self.first, at, len(self.pool) + np.cumsum(count) - count)
+        self.count = np.insert(self.count, at, count)
+        self.pool = np.concatenate([self.pool, new])
+
+    def ids(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's ids start (one entry more than texts)."""
+        data = b" ".join([*texts, b""])
+        blank = np.empty(len(data) + 1, dtype=bool)
+        blank[0], blank[1:] = True, BLANK[np.frombuffer(data, np.uint8)]
+        starts = np.flatnonzero(blank[:-1] & ~blank[1:])
+        ends = np.flatnonzero(~blank[:-1] & blank[1:])
+        found, first, word = np.unique(span_hashes(prefix_hash(data), starts, ends), return_index=True,
+                                       return_inverse=True)
+        if len(self.hashes) >= self.most_words:
+            self._clear()
+        at = np.searchsorted(self.hashes, found)
+        new = np.ones(len(found), dtype=bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != found[inside]
+        if new.any():
+            self._learn(found[new], [data[starts[i]:ends[i]] for i in first[new]])
+            at = np.searchsorted(self.hashes, found)
+        count = self.count[at][word]
+        before = np.concatenate(([0], np.cumsum(count)))
+        ids = self.pool[np.repeat(self.first[at][word] - before[:-1], count) + np.arange(before[-1])]
+        text_starts = np.cumsum([0, *(len(x) + 1 for x in texts)])
+        return ids, before[np.searchsorted(starts, text_starts)]
 
 
 def piece_lengths(n: int, max_tokens: int = MAX_TOKENS) -> list[int]:
@@ -105,14 +146,16 @@ def decompose(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens(vocabulary)
         for batch in batches:
-            for part in chunks(batch.num_rows, 512):
-                rows = batch.slice(part.start, part.stop - part.start)
+            doc_ids, texts = batch.column(0).to_pylist(), utf8(batch, "text")
+            for part in by_bytes(texts, BATCH_BYTES):
+                ids, first = words.ids(texts[part])
+                data = memoryview(ids.astype("<u4", copy=False)).cast("B")
                 out: list[list] = [[], [], [], [], []]
-                for doc_id, text in zip(rows.column(0).to_pylist(), utf8(rows, "text")):
-                    ids = words.ids(text) + end
-                    n, at = len(ids) // 4, 0
+                for doc_id, a, b in zip(doc_ids[part], first[:-1].tolist(), first[1:].tolist()):
+                    n, at = b - a + 1, 0
+                    own = bytes(data[4 * a:4 * b]) + end
                     for length in piece_lengths(n, max_tokens):
-                        for column, value in zip(out, (doc_id, at, length, ids[4 * at:4 * (at + length)], n)):
+                        for column, value in zip(out, (doc_id, at, length, own[4 * at:4 * (at + length)], n)):
                             column.append(value)
                         at += length
                 yield out_batch(_PIECES, out)
