@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, packing
+from tidemark.llm import bitsliced, licences, mixing, packing, pseudonyms, quality, warc
 from tidemark.llm.common import read, workers_import
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -26,11 +26,39 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-OPERATORS = (op1_packing, op4_mixing)
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+# Key of the registered query and the pipeline; a real run passes its own secret.
+PSEUDONYM_KEY = b"tidemark demonstration key"
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pseudonymised texts, with the number of spans and their kinds."""
+    done = pseudonyms.replace_private(read(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    return done.select("doc_id", "text", F.size("private").cast("long").alias("n_private"),
+                       F.array_sort(F.array_distinct("private.kind")).alias("kinds"))
+
+
+def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(read(spark, sf_dir, "documents"))
+
+
+OPERATORS = (op1_packing, op3_topk, op4_mixing, op5_quality, op7_warc, op9_pii, op10_licences)
 
 
 def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
