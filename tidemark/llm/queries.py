@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced, licences, mixing, packing, pseudonyms, quality, warc
+from tidemark.llm import bitsliced, imatch, jaccard, licences, mixing, packing, pseudonyms, quality, warc
 from tidemark.llm.common import read, workers_import
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -26,6 +26,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "offset")
 
 
+def op2_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.compare_edits(read(spark, sf_dir, "documents"))
+
+
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
@@ -38,6 +42,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(read(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -58,7 +66,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(read(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_packing, op3_topk, op4_mixing, op5_quality, op7_warc, op9_pii, op10_licences)
+OPERATORS = (op1_packing, op2_imatch, op3_topk, op4_mixing, op5_quality, op6_jaccard, op7_warc, op9_pii, op10_licences)
 
 
 def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
