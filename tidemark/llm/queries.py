@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced, imatch, jaccard, licences, mixing, packing, pseudonyms, quality, warc
+from tidemark.llm import bitsliced, imatch, jaccard, licences, mixing, packing, pseudonyms, quality, repeats, warc
 from tidemark.llm.common import read, workers_import
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -51,6 +51,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents"), with_kept=False).drop("kept")
+
+
 # Key of the registered query and the pipeline; a real run passes its own secret.
 PSEUDONYM_KEY = b"tidemark demonstration key"
 
@@ -66,7 +70,7 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(read(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_packing, op2_imatch, op3_topk, op4_mixing, op5_quality, op6_jaccard, op7_warc, op9_pii, op10_licences)
+OPERATORS = (op1_packing, op2_imatch, op3_topk, op4_mixing, op5_quality, op6_jaccard, op7_warc, op8_repeats, op9_pii, op10_licences)
 
 
 def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
