@@ -69,51 +69,102 @@ def source_targets(sizes: DataFrame, stages: Stages, weights=WEIGHTS, max_repeat
                          F.least(F.col("cap").cast("double"), F.col("weight") * F.lit(float(level))).alias("target"))
 
 
-def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 20) -> DataFrame:
-    """``doc_id, source, hash, size, source_size, target, taken`` for every row of ``docs``.
+def _width() -> Column:
+    return F.lit(100) + F.octet_length(KEY)
 
-    ``taken`` counts the words the mix takes of the row: whole copies, plus one more copy of rows whose hash is
-    below the source's threshold, plus part of the rows at the threshold hash. It never exceeds
-    ``max_repeats * size``. The hash depends on the id and the seed alone, so reruns agree and equal ids (repeated
-    rows, null ids) share a hash; when they stand at the threshold, the remaining budget is split by size.
-    Null texts have size 0; a source without words has target 0; an empty table gives no rows.
+
+HASH, SIZE, KEY = "_mix_hash", "_mix_size", "_mix_key"
+
+
+def measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
+    """``docs`` with the hash, size and join key of every row."""
+    return docs.withColumns({
+        HASH: F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col).cast("long")), 1),
+        SIZE: word_count(F.col(text_col).cast("string")), KEY: _join_key(source_col)})
+
+
+def thresholds(sized: DataFrame, stages: Stages, weights, max_repeats: int) -> DataFrame:
+    """Per source: target, whole copies, and the threshold hash with the words left for the rows at it.
+
+    ``sized`` is a staged table of ``source`` and the columns of ``measured``.
     """
-    stages = Stages(docs.sparkSession, "mixing")
-    sized = stages.put(docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col).cast("long")), 1).alias("hash"),
-        word_count(F.col(text_col).cast("string")).alias("size")), "sized")
     words = F.round("target").cast("long")
     budgets = stages.put(
-        source_targets(sized, stages, weights, max_repeats)
+        source_targets(sized.withColumnRenamed(SIZE, "size"), stages, weights, max_repeats)
         .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0))
         .withColumn("budget", words - F.col("whole") * F.col("source_size"))
-        .withColumn("key", _join_key("source")).drop("source"), "budgets")
-    rows = sized.withColumn("key", _join_key("source"))
-    width = F.lit(100) + F.octet_length("key")
-    edges, bits = budgets.select("key", F.col("budget").alias("left")), 0
+        .withColumn(KEY, _join_key("source")).drop("source"), "budgets")
+    edges, bits = budgets.select(KEY, F.col("budget").alias("left")), 0
     while bits < HASH_BITS:
         step = min(LEVEL_BITS, HASH_BITS - bits)
-        inside = rows if not bits else rows.join(broadcast_if_small(edges, width), "key").where(
-            F.shiftright("hash", HASH_BITS - bits) == F.col("prefix")).select(*rows.columns)
-        buckets = inside.groupBy("key", F.shiftright("hash", HASH_BITS - bits - step).alias("prefix")).agg(
-            F.sum("size").alias("words"), F.min("hash").alias("low"), F.max("hash").alias("high"))
-        running = Window.partitionBy("key").orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+        inside = sized if not bits else sized.join(broadcast_if_small(edges, _width()), KEY).where(
+            F.shiftright(HASH, HASH_BITS - bits) == F.col("prefix")).select(*sized.columns)
+        buckets = inside.groupBy(KEY, F.shiftright(HASH, HASH_BITS - bits - step).alias("prefix")).agg(
+            F.sum(SIZE).alias("words"), F.min(HASH).alias("low"), F.max(HASH).alias("high"))
+        running = Window.partitionBy(KEY).orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
         ends = buckets.withColumn("upto", F.sum("words").over(running)).join(
-            edges.select("key", "left"), "key").where(F.col("upto") > F.col("left"))
+            edges.select(KEY, "left"), KEY).where(F.col("upto") > F.col("left"))
         found = F.struct("prefix", "words", "low", "high", (F.col("left") - F.col("upto") + F.col("words")).alias("left"))
-        edges = stages.put(ends.groupBy("key").agg(F.min_by(found, "prefix").alias("b")).select("key", "b.*"),
+        edges = stages.put(ends.groupBy(KEY).agg(F.min_by(found, "prefix").alias("b")).select(KEY, "b.*"),
                            f"edges{bits}")
         bits += step
         if edges.where(F.col("low") != F.col("high")).isEmpty():
             break
-    # 'left' words remain for the rows at the threshold hash 'edge', which hold 'words' in all
-    plan = stages.put(budgets.join(edges.select("key", F.col("low").alias("edge"), "left", "words"), "key", "left"),
-                      "plan")
-    part = (F.when(F.col("hash") < F.col("edge"), F.col("size"))
-            .when(F.col("hash") == F.col("edge"),
-                  F.floor(F.col("size").cast("decimal(20,0)") * F.col("left") / F.col("words")))
+    edge = edges.select(KEY, F.col("low").alias("_mix_edge"), F.col("left").alias("_mix_left"),
+                        F.col("words").alias("_mix_words"))
+    return stages.put(budgets.drop("budget").withColumnsRenamed(
+        {"whole": "_mix_whole", "target": "_mix_target", "source_size": "_mix_source_size"}).join(edge, KEY, "left"),
+        "plan")
+
+
+def with_taken(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Measured rows with ``_mix_taken``: 'left' words go to the rows at the threshold hash, which hold 'words'."""
+    part = (F.when(F.col(HASH) < F.col("_mix_edge"), F.col(SIZE))
+            .when(F.col(HASH) == F.col("_mix_edge"),
+                  F.floor(F.col(SIZE).cast("decimal(20,0)") * F.col("_mix_left") / F.col("_mix_words")))
             .otherwise(0)).cast("long")
-    return rows.join(broadcast_if_small(plan, width), "key").select(
-        "doc_id", "source", "hash", "size", "source_size", "target", (F.col("whole") * F.col("size") + part).alias("taken"))
+    return rows.join(broadcast_if_small(plan, _width()), KEY).withColumn("_mix_taken", F.col("_mix_whole") * F.col(SIZE) + part)
+
+
+def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+        weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 20) -> DataFrame:
+    """``doc_id, source, hash, size, source_size, target, taken`` for every row of ``docs``.
+
+    ``taken`` counts the words the mix takes of the row: whole copies, plus one more copy of rows whose hash is
+    below the source's threshold, plus part of the rows at the threshold hash. It never exceeds
+    ``max_repeats * size``. The hash depends on the id and the seed alone, so reruns agree and equal ids (repeated
+    rows, null ids) share a hash; when they stand at the threshold, the remaining budget is split by size.
+    Null texts have size 0; a source without words has target 0; an empty table gives no rows.
+    """
+    stages = Stages(docs.sparkSession, "mixing")
+    sized = stages.put(measured(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                                            F.col(source_col).cast("string").alias("source")),
+                                "doc_id", "text", "source", seed).drop("text"), "sized")
+    done = with_taken(sized, thresholds(sized, stages, weights, max_repeats))
+    return done.select("doc_id", "source", F.col(HASH).alias("hash"), F.col(SIZE).alias("size"),
+                       F.col("_mix_source_size").alias("source_size"), F.col("_mix_target").alias("target"),
+                       F.col("_mix_taken").alias("taken"))
+
+
+def first_words(text: Column, count: Column) -> Column:
+    """The text up to its ``count``-th word."""
+    return F.array_join(F.slice(F.split(text, r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), F.lit(1), count.cast("int")), "")
+
+
+def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+          weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 20) -> DataFrame:
+    """The mix itself: the rows of ``docs`` as often as they are taken, with all their columns.
+
+    A row taken in part gives one more row with its first words. The texts are not shuffled (unless the sources are
+    too many to broadcast): what a row gives follows from its hash and its source's threshold.
+    """
+    stages = Stages(docs.sparkSession, "mixing")
+    rows = measured(docs, id_col, text_col, source_col, seed)
+    sized = stages.put(rows.select(F.col(source_col).cast("string").alias("source"), HASH, SIZE, KEY), "sized")
+    done = with_taken(rows, thresholds(sized, stages, weights, max_repeats)).where("_mix_taken > 0")
+    rest = F.col("_mix_taken") % F.col(SIZE)
+    copies = F.ceil(F.col("_mix_taken") / F.col(SIZE)).cast("int")
+    done = done.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), copies)))
+    cut = (F.col("_mix_copy") == copies) & (rest > 0)
+    return done.withColumn(text_col, F.when(cut, first_words(F.col(text_col), rest)).otherwise(F.col(text_col))).select(
+        *docs.columns)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Stages, out_batch, utf8
+from tidemark.llm.common import Stages, broadcast_if_small, out_batch, utf8
 
 # Shrinkage of a class covariance towards the pooled one, and of the result towards a scaled identity.
 TO_POOLED = 0.05
@@ -78,15 +78,16 @@ def statistics(text: bytes) -> list[float]:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, x``: the statistics of every row (null text: empty)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("x", pa.list_(pa.float64()))])
+    """``doc_id, text_hash, x``: the statistics of every row (null text: empty)."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield out_batch(schema, [batch.column(0), [statistics(x) for x in utf8(batch, "text")]])
+            yield out_batch(schema, [batch.column(0), batch.column(1), [statistics(x) for x in utf8(batch, "text")]])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-                       ).mapInArrow(run, "doc_id long, x array<double>")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text")
+                       ).mapInArrow(run, "doc_id long, text_hash long, x array<double>")
 
 
 @dataclass(frozen=True)
@@ -169,24 +170,24 @@ def held_out(doc_id: Column) -> Column:
 
 
 def score(rows: DataFrame, model: Discriminant | float) -> DataFrame:
-    """``doc_id, score`` for rows ``doc_id, x``."""
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+    """``doc_id, text_hash, score`` for rows ``doc_id, text_hash, x``."""
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if isinstance(model, float) or not batch.num_rows:
                 found = np.full(batch.num_rows, model if isinstance(model, float) else 0.0)
             else:
-                x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
                 found = model.score(x)
-            yield out_batch(schema, [batch.column(0), found])
+            yield out_batch(schema, [batch.column(0), batch.column(1), found])
 
-    return rows.select("doc_id", "x").mapInArrow(run, "doc_id long, score double")
+    return rows.select("doc_id", "text_hash", "x").mapInArrow(run, "doc_id long, text_hash long, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "quality", threshold: float = THRESHOLD, **shrinkage) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row of ``docs``.
+    """``doc_id, text_hash, held_out, score, predicted`` for every row of ``docs``.
 
     The model is fitted on all labelled rows that are not held out. Only the text enters a score. Null and empty
     texts are scored like any other; labels that are null or neither 0 nor 1 and labels of unknown ids count
@@ -196,5 +197,16 @@ def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     rows = stages.put(features(docs, id_col, text_col), "features")
     known = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).alias("y"))
     model = fit(rows.where(~held_out(F.col("doc_id"))).join(known, "doc_id"), **shrinkage)
-    return score(rows, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+    return score(rows, model).select("doc_id", "text_hash", held_out(F.col("doc_id")).alias("held_out"), "score",
                                      (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that ``classify`` predicts 1 for, with all their columns."""
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    stages = Stages(docs.sparkSession, "accepted")
+    rejected = stages.put(classify(docs, labels, **options).where("predicted = 0").select(
+        F.col("doc_id").alias("_rejected_id"), F.col("text_hash").alias("_rejected_hash")).distinct(), "rejected")
+    same = (F.col(id_col).cast("long").eqNullSafe(F.col("_rejected_id"))
+            & (F.xxhash64(F.col(text_col).cast("string")) == F.col("_rejected_hash")))
+    return docs.join(broadcast_if_small(rejected, 16), same, "left_anti")

@@ -39,7 +39,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("text_hash")
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
