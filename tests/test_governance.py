@@ -4,7 +4,7 @@ from pyspark.sql import Row
 
 from tidemark.operators import governance as gov
 
-CITIES = [("New York", "US"), ("Bombay", "India"), ("Shanghai", "China"), ("Madras", None)]
+CITIES = [("Lyon", "France"), ("Porto", "Portugal"), ("Gent", "Belgium"), ("Nowhere", None)]
 EMPLOYEE = [("emp_a", "000-00-0001"), ("emp_b", "000-00-0002"), ("emp_c", "000-00-0003")]
 MEMBERS = [("alice", "HR"), ("alice", "admins"), ("bob", "eng")]
 
@@ -19,16 +19,16 @@ def _members(spark):
 
 def test_sql_function_filter_true_on_both_arms_keeps_everything(spark):
     fn = gov.register_sql_function(spark, "t_country_filter", "country_name STRING",
-                                   "IF(isnull(country_name), true, true)")
+                                   "IF(country_name IS NULL, true, length(country_name) > 0)")
     assert gov.apply_row_filter(_cities(spark), fn, ["country_name"]).count() == 4
 
 
 def test_if_filter_with_predicate_arms_and_null_drop(spark):
-    fn = lambda c: gov.if_filter(c.isNull(), False, (c == "India") | (c == "US"))
+    fn = lambda c: gov.if_filter(c.isNull(), False, (c == "Portugal") | (c == "France"))
     out = sorted(r.city_name for r in gov.apply_row_filter(_cities(spark), fn, ["country_name"]).collect())
-    assert out == ["Bombay", "New York"]
+    assert out == ["Lyon", "Porto"]
     # a filter yielding NULL drops the row
-    nullish = lambda c: c == "US"
+    nullish = lambda c: c == "France"
     assert gov.apply_row_filter(_cities(spark), nullish, ["country_name"]).count() == 1
 
 
@@ -39,10 +39,10 @@ def test_duplicates_are_not_removed(spark):
 
 def test_registry_second_filter_replaces_first_and_drop(spark):
     reg = gov.PolicyRegistry()
-    reg.set_row_filter("cities", lambda c: c == "US", ["country_name"])
-    reg.set_row_filter("cities", lambda c: c == "China", ["country_name"])
+    reg.set_row_filter("cities", lambda c: c == "France", ["country_name"])
+    reg.set_row_filter("cities", lambda c: c == "Belgium", ["country_name"])
     out = gov.secured(_cities(spark), "cities", reg, "bob", _members(spark)).collect()
-    assert [r.city_name for r in out] == ["Shanghai"]
+    assert [r.city_name for r in out] == ["Gent"]
     reg.drop_row_filter("cities")
     assert gov.secured(_cities(spark), "cities", reg, "bob", _members(spark)).count() == 4
 
@@ -50,11 +50,29 @@ def test_registry_second_filter_replaces_first_and_drop(spark):
 def test_column_mask_by_group(spark):
     emp = spark.createDataFrame(EMPLOYEE, "emp_name string, ssn string")
     reg = gov.PolicyRegistry()
-    reg.set_mask("employee", "ssn", "HR")
+    reg.set_mask("employee", "ssn", "HR", "#")
     hr = gov.secured(emp, "employee", reg, "alice", _members(spark)).collect()
     other = gov.secured(emp, "employee", reg, "bob", _members(spark)).collect()
     assert [r.ssn for r in hr] == [e[1] for e in EMPLOYEE]
-    assert {r.ssn for r in other} == {"***-**-****"}
+    assert {r.ssn for r in other} == {"#"}
+
+
+def test_mask_by_sql_function(spark):
+    emp = spark.createDataFrame(EMPLOYEE, "emp_name string, ssn string")
+    reg = gov.PolicyRegistry()
+    reg.set_mask("employee", "ssn", "HR", gov.register_sql_function(spark, "t_tail", "v STRING", "right(v, 2)"))
+    assert sorted(r.ssn for r in gov.secured(emp, "employee", reg, "bob", _members(spark)).collect()) == ["01", "02", "03"]
+    assert sorted(r.ssn for r in gov.secured(emp, "employee", reg, "alice", _members(spark)).collect()) == [
+        e[1] for e in EMPLOYEE]
+
+
+def test_tag_rule_filters_every_tagged_column(spark):
+    df = spark.createDataFrame([(1, "France", "Portugal"), (2, "France", "France"), (3, None, "France")],
+                               "id long, home string, work string")
+    for column in ("home", "work"):
+        df = gov.tag_column(df, column, "geo")
+    rule = gov.TagRule("french", "geo", lambda c: c == "France", ["admins"])
+    assert [r.id for r in gov.apply_tag_rule(df, rule, lambda group: True).collect()] == [2]
 
 
 def test_membership(spark):
@@ -69,7 +87,7 @@ def test_tag_rule_applies_to_tagged_tables_for_members_only(spark, tmp_path):
     reread = spark.read.parquet(str(tmp_path / "c"))
     assert gov.tagged_columns(reread, "country") == ["country_name"]
     reg = gov.PolicyRegistry()
-    reg.add_tag_rule(gov.TagRule("by_country", "country", lambda c: c == "India", ["admins"]))
+    reg.add_tag_rule(gov.TagRule("by_country", "country", lambda c: c == "Portugal", ["admins"]))
     assert gov.secured(reread, "cities", reg, "alice", _members(spark)).count() == 1   # admin: rule applies
     assert gov.secured(reread, "cities", reg, "bob", _members(spark)).count() == 4     # not in group
     assert gov.secured(_cities(spark), "cities", reg, "alice", _members(spark)).count() == 4  # untagged table

@@ -4,8 +4,10 @@ import datetime as dt
 import random
 
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from tidemark.operators import history as hs
+from tidemark.operators.neighbors import by_key_size, hot_keys
 
 D0 = dt.date(2020, 1, 1)
 
@@ -103,27 +105,54 @@ def test_timestamp_history_closes_by_microsecond(spark):
     assert out[1].end_ts == dt.datetime(9999, 12, 31)
 
 
-def test_hot_key_path_equals_plain_windows(spark):
-    from tidemark.operators.neighbors import hot_keys
+ITEM = ["client", "sales_document", "sales_document_item"]
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def _chain(d, split):
+    d = hs.link_versions(hs.collapse_runs(hs.drop_reactivation(d, split=split), split=split), split=split)
+    return hs.close_intervals(d, split=split)
+
+
+def test_hot_keys_give_the_same_rows_as_plain_windows(spark):
     df = spark.createDataFrame(random_history(seed=3, rows=900)).withColumn(
-        "link_id", __import__("pyspark.sql.functions", fromlist=["x"]).concat_ws("-", "sales_document", "start_date"))
-    assert hot_keys(df, ["client", "sales_document", "sales_document_item"], 50).count() == 1   # key 0 only
-    kw = dict(hot_rows=50, bucket_width=30.0)
-    plain = hs.close_intervals(hs.link_versions(hs.collapse_runs(hs.drop_reactivation(df))))
-    split = hs.close_intervals(hs.link_versions(hs.collapse_runs(hs.drop_reactivation(df, **kw), **kw), **kw), **kw)
-    assert split.columns == plain.columns
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
-    lag_plain = sorted(map(tuple, hs.lag_status(df).collect()), key=str)
-    lag_split = sorted(map(tuple, hs.lag_status(df, **kw).collect()), key=str)
-    assert lag_plain == lag_split
-
-
-def test_hot_key_path_on_timestamps(spark):
+        "link_id", F.concat_ws("-", "sales_document", "start_date")).withColumn("prev_link_id", F.lit(None).cast("string"))
+    assert hot_keys(df, ITEM, 50).count() == 1   # key 0 only
+    for hot_rows in (2, 50):
+        assert _rows(by_key_size(df, ITEM, hot_rows, _chain)) == _rows(_chain(df, None))
+        assert _rows(by_key_size(df, ITEM, hot_rows, lambda d, s: hs.lag_status(d, split=s))) == _rows(hs.lag_status(df))
+        assert _rows(by_key_size(df, ITEM, hot_rows, lambda d, s: hs.close_intervals_observed(d, split=s))) == _rows(
+            hs.close_intervals_observed(df))
+
+
+def test_null_order_values_and_null_keys_agree_for_hot_keys(spark):
+    days = [None, dt.date(2021, 1, 1), dt.date(2021, 3, 1), dt.date(2021, 6, 1)]
+    rows = [Row(client="c", sales_document=k, sales_document_item=10, start_date=d, subscription_status=s)
+            for k in (1, None) for d, s in zip(days, "ABCD")]
+    df = spark.createDataFrame(rows, "client string, sales_document long, sales_document_item int, start_date date, "
+                                     "subscription_status string")
+    split = by_key_size(df, ITEM, 2, lambda d, s: hs.lag_status(d, split=s))
+    assert _rows(split) == _rows(hs.lag_status(df))
+    assert sorted(map(str, (r.lag_subscription_status for r in split.collect()))) == ["A", "A", "B", "B", "C", "C", "None", "None"]
+
+
+def test_without_hot_keys_the_plan_is_one_exchange(spark):
+    df = spark.createDataFrame(random_history(seed=3, rows=900))
+    plan = by_key_size(df, ITEM, 10_000, lambda d, s: hs.close_intervals(hs.collapse_runs(d, split=s), split=s))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
+def test_hot_keys_on_timestamps(spark):
     rows = [Row(user_id=1, start_ts=dt.datetime(2024, 1, 1) + dt.timedelta(hours=7 * i), status="AI"[i % 3 == 0])
             for i in range(300)] + [Row(user_id=2, start_ts=dt.datetime(2024, 1, 1), status="A")]
     df = spark.createDataFrame(rows, "user_id long, start_ts timestamp_ntz, status string")
-    kw = dict(keys=["user_id"], order=["start_ts"], start="start_ts", end="end_ts")
-    plain = hs.close_intervals(hs.collapse_runs(df, keys=["user_id"], order=["start_ts"], status="status"), **kw)
-    split = hs.close_intervals(hs.collapse_runs(df, keys=["user_id"], order=["start_ts"], status="status",
-                                                hot_rows=20, bucket_width=2.0), hot_rows=20, bucket_width=2.0, **kw)
-    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, split.collect()))
+
+    def steps(d, split):
+        key = dict(keys=["user_id"], order=["start_ts"], split=split)
+        return hs.close_intervals(hs.collapse_runs(d, status="status", **key), start="start_ts", end="end_ts", **key)
+
+    assert _rows(by_key_size(df, ["user_id"], 20, steps, bucket_width=2.0)) == _rows(steps(df, None))

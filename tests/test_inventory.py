@@ -44,3 +44,18 @@ def test_catalog_walk_captures_schema_errors(spark, monkeypatch):
     rows = errors.collect()
     assert [r.schema_name for r in rows] == ["spark_catalog.inv_broken"]
     assert rows[0].error_class == "SCHEMA_NOT_FOUND" and rows[0].sqlstate == "42704"
+
+
+def test_stored_sizes_list_files_only(spark, tmp_path):
+    import pathlib
+
+    spark.range(1000).repartition(3).write.parquet(str(tmp_path / "t"))
+    sizes = inv.stored_sizes(spark, {"a.b.t": str(tmp_path / "t")})
+    files = [f for f in pathlib.Path(tmp_path / "t").iterdir() if not f.name.startswith((".", "_"))]
+    row = sizes.first()
+    assert (row.name, row.sizeinbytes) == ("a.b.t", sum(f.stat().st_size for f in files))
+
+
+def test_sizes_of_nested_and_decimal_values(spark):
+    df = spark.sql("SELECT CAST(1 AS DECIMAL(30,2)) AS d, array('ab', 'c') AS a, named_struct('x', 1) AS s")
+    assert inv.table_sizes({"x.y.z": df}).first().sizeinbytes == 16 + len('{"v":["ab","c"]}') + len('{"v":{"x":1}}')

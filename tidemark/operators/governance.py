@@ -56,11 +56,18 @@ def is_member(membership: DataFrame, principal: str, group: str,
     return len(hit.take(1)) > 0
 
 
-def mask_column(df: DataFrame, column: str, visible: bool | Column, mask: object = "***-**-****") -> DataFrame:
-    """Full value when ``visible``, else the constant ``mask`` (cast to the column's type)."""
+Mask = object | Callable[[Column], Column]
+
+
+def mask_column(df: DataFrame, column: str, visible: bool | Column, mask: Mask) -> DataFrame:
+    """Full value when ``visible``, else ``mask``: a constant, or a function of the value (a registered SQL one, say).
+
+    The masked value is cast to the column's type.
+    """
     vis = visible if isinstance(visible, Column) else F.lit(bool(visible))
     dtype = df.schema[column].dataType
-    return df.withColumn(column, F.when(vis, F.col(column)).otherwise(F.lit(mask).cast(dtype)))
+    masked = mask(F.col(column)) if callable(mask) else F.lit(mask)
+    return df.withColumn(column, F.when(vis, F.col(column)).otherwise(masked.cast(dtype)))
 
 
 # ---- tags ----------------------------------------------------------------------------
@@ -88,7 +95,7 @@ class RowFilterPolicy:
 class MaskPolicy:
     column: str
     group: str
-    mask: object = "***-**-****"
+    mask: Mask
 
 
 @dataclass
@@ -115,7 +122,7 @@ class PolicyRegistry:
     def drop_row_filter(self, table: str) -> None:
         self.row_filters.pop(table, None)
 
-    def set_mask(self, table: str, column: str, group: str, mask: object = "***-**-****") -> None:
+    def set_mask(self, table: str, column: str, group: str, mask: Mask) -> None:
         self.masks.setdefault(table, [])
         self.masks[table] = [m for m in self.masks[table] if m.column != column] + [MaskPolicy(column, group, mask)]
 
@@ -124,11 +131,16 @@ class PolicyRegistry:
 
 
 def apply_tag_rule(df: DataFrame, rule: TagRule, member_of: Callable[[str], bool]) -> DataFrame:
-    """Apply ``rule`` to ``df`` if it has a column with the rule's tag and the principal is in a target group."""
+    """Apply ``rule`` to ``df`` if it has a column with the rule's tag and the principal is in a target group.
+
+    With several tagged columns a row must pass on each of them.
+    """
     cols = tagged_columns(df, rule.tag)
     if not cols or not any(member_of(g) for g in rule.groups):
         return df
-    return apply_row_filter(df, rule.fn, cols[:1])
+    for column in cols:
+        df = apply_row_filter(df, rule.fn, [column])
+    return df
 
 
 def secured(df: DataFrame, table: str, registry: PolicyRegistry, principal: str, membership: DataFrame) -> DataFrame:

@@ -6,11 +6,12 @@ steps keep the partitioning and the order), so the cost is one shuffle of the
 rows no matter how many steps run.
 
 A key's rows all go to one task under that spec. Every operator therefore
-takes ``hot_rows``: when set, keys with more rows than that are split into
-time buckets and their neighbours are stitched across bucket edges
-(``tidemark.operators.neighbors``), so no task holds a whole hot key. The
-history job's own window pass does not need it: after one version per
-``(key, start)`` a key has at most one row per day of the run window.
+takes ``split``: rows of keys too large for one task are computed in time
+buckets of that width and stitched together, with the same result. Use
+``by_key_size`` (``tidemark.operators.neighbors``), which finds the hot keys
+once and runs a whole chain of steps both ways. The history job's own window
+pass does not need it: after one version per ``(key, start)`` a key has at most
+one row per day of the run window.
 """
 
 from __future__ import annotations
@@ -31,17 +32,16 @@ ACTIVE = "ACTIVE"
 INACTIVE = "INACTIVE"
 
 
-def _with_prev(df: DataFrame, keys, order, src: str, out: str, hot_rows: int | None,
-               bucket_width: float, lead: bool = False) -> DataFrame:
+def _with_prev(df: DataFrame, keys, order, src: str, out: str, split: float | None, lead: bool = False) -> DataFrame:
     """``out`` = previous (or, with ``lead``, next) value of ``src`` per key in ``order``."""
-    if hot_rows is None:
+    if split is None:
         fn = F.lead if lead else F.lag
         return df.withColumn(out, fn(src).over(version_window(keys, order)))
     if len(order) != 1 or not isinstance(order[0], str):
-        raise ValueError("the hot-key path orders by exactly one column")
+        raise ValueError("split rows are ordered by exactly one column")
     spec = {src: out}
     return with_neighbors(df, keys, order[0], lead_cols=spec if lead else None, lag_cols=None if lead else spec,
-                          hot_rows=hot_rows, bucket_width=bucket_width)
+                          bucket_width=split)
 
 
 def version_window(keys: Sequence[str] = ITEM_KEYS, order: Sequence[str | Column] = ("start_date",)):
@@ -50,55 +50,50 @@ def version_window(keys: Sequence[str] = ITEM_KEYS, order: Sequence[str | Column
 
 def lag_status(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
                status: str = "subscription_status", out: str = "lag_subscription_status",
-               hot_rows: int | None = None, bucket_width: float = 30.0) -> DataFrame:
+               split: float | None = None) -> DataFrame:
     """Previous version's status (NULL on the first version)."""
-    return _with_prev(df, keys, order, status, out, hot_rows, bucket_width)
+    return _with_prev(df, keys, order, status, out, split)
 
 
 def drop_reactivation(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
                       status: str = "subscription_status", reason: str = "cancellation_reason",
-                      old_reason: str = "cancellation_reason_old", hot_rows: int | None = None,
-                      bucket_width: float = 30.0) -> DataFrame:
+                      old_reason: str = "cancellation_reason_old", split: float | None = None) -> DataFrame:
     """Drop ACTIVE-after-INACTIVE rows whose cancellation reason went SA -> SC (reactivation noise).
 
     A NULL comparison does not mark the row as noise, so it is kept.
     """
-    d = _with_prev(df, keys, order, status, "_prev", hot_rows, bucket_width)
+    d = _with_prev(df, keys, order, status, "_prev", split)
     noise = (c(status) == ACTIVE) & (c("_prev") == INACTIVE) & (c(reason) == "SC") & (c(old_reason) == "SA")
     return d.where(~F.coalesce(noise, F.lit(False))).drop("_prev")
 
 
 def collapse_runs(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-                  status: str = "subscription_status", hot_rows: int | None = None,
-                  bucket_width: float = 30.0) -> DataFrame:
+                  status: str = "subscription_status", split: float | None = None) -> DataFrame:
     """Gaps-and-islands: keep the first row of every run of equal status.
 
     A row survives unless its status equals the previous row's; the first row
     of a key (NULL previous) always survives.
     """
-    d = _with_prev(df, keys, order, status, "_prev", hot_rows, bucket_width)
+    d = _with_prev(df, keys, order, status, "_prev", split)
     return d.where(~F.coalesce(c(status) == c("_prev"), F.lit(False))).drop("_prev")
 
 
 def link_versions(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-                  link: str = "link_id", prev_link: str = "prev_link_id", hot_rows: int | None = None,
-                  bucket_width: float = 30.0) -> DataFrame:
+                  link: str = "link_id", prev_link: str = "prev_link_id", split: float | None = None) -> DataFrame:
     """Back-link each version to its predecessor's link id."""
-    d = _with_prev(df.drop(prev_link) if prev_link in df.columns else df, keys, order, link, prev_link,
-                   hot_rows, bucket_width)
+    d = _with_prev(df.drop(prev_link) if prev_link in df.columns else df, keys, order, link, prev_link, split)
     return d.select(*[c(x) for x in df.columns] + ([c(prev_link)] if prev_link not in df.columns else []))
 
 
 def close_intervals(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-                    start: str = "start_date", end: str = "end_date", hot_rows: int | None = None,
-                    bucket_width: float = 30.0) -> DataFrame:
+                    start: str = "start_date", end: str = "end_date", split: float | None = None) -> DataFrame:
     """End of each version = next version's start minus one unit; the last version stays open.
 
     Dates step by one day and end on 9999-12-31; timestamps step by one
     microsecond and end on 9999-12-31 00:00:00.
     """
     cols = df.columns + ([end] if end not in df.columns else [])
-    df = _with_prev(df, keys, order, start, "_next", hot_rows, bucket_width, lead=True)
+    df = _with_prev(df, keys, order, start, "_next", split, lead=True)
     nxt = c("_next")
     if isinstance(df.schema[start].dataType, DateType):
         closed = F.coalesce(F.date_sub(nxt, 1), F.lit(OPEN_END))
@@ -110,15 +105,16 @@ def close_intervals(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Seque
 
 def close_intervals_observed(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
                              start: str = "start_date", end: str = "end_date", link: str = "link_id",
-                             prev_link: str = "prev_link_id") -> DataFrame:
+                             prev_link: str = "prev_link_id", split: float | None = None) -> DataFrame:
     """Parity variant of linking + closing without ``otherwise``.
 
     Only the last version gets an end ('9999-12-31' as text, others NULL) and
     only the first version keeps its ``prev_link``.
     """
-    w = version_window(keys, order)
-    return df.withColumn(prev_link, F.when(F.lag(link).over(w).isNull(), c(prev_link))).withColumn(
-        end, F.when(F.lead(F.date_sub(c(start), 1)).over(w).isNull(), F.lit("9999-12-31")))
+    d = _with_prev(df, keys, order, link, "_prev_link", split)
+    d = _with_prev(d, keys, order, start, "_next_start", split, lead=True)
+    return d.withColumn(prev_link, F.when(c("_prev_link").isNull(), c(prev_link))).withColumn(
+        end, F.when(F.date_sub("_next_start", 1).isNull(), F.lit("9999-12-31"))).drop("_prev_link", "_next_start")
 
 
 def one_version_per_start(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, start: str = "start_date",
@@ -126,9 +122,9 @@ def one_version_per_start(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, start:
     """Resolve rows that share ``(keys, start)`` to one, deterministically.
 
     INACTIVE wins over ACTIVE; remaining ties go to the smallest row in column
-    order (NULLs first). Expressed as ``min_by`` over a struct, so it is a
-    hash aggregate with map-side partial aggregation: a key with very many
-    rows is reduced before the shuffle.
+    order (NULLs first). Expressed as ``min_by`` over a struct, which Spark
+    aggregates partially on the map side (by sorting, as a struct is no
+    fixed-width buffer): a key with very many rows is reduced before the shuffle.
     """
     cols = [x for x in df.columns if x not in (*keys, start)]
     rank = F.when(c(status) == INACTIVE, 0).when(c(status) == ACTIVE, 1).otherwise(2)

@@ -1,64 +1,38 @@
 """Table-size inventory: a ``(name, sizeinbytes)`` frame and two size reports.
 
-``table_sizes`` measures tables with one aggregate per table (fixed widths per
-column type plus the UTF-8 length of strings), unioned into one job; it reads
-the data, so it is exact for the logical size and grows with it.
-``catalog_sizes`` instead walks the session catalog (metadata only).
-The reports group by the parts of the three-part name.
+Three measures: ``stored_sizes`` lists files (no data is read; the one for large tables), ``catalog_sizes`` walks the
+session catalog's statistics, and ``table_sizes`` reads the tables for the size of their values, which does not depend
+on the file format. The reports group by the parts of the three-part name.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.errors import PySparkException
-
-# Bytes per value of fixed-width types.
-FIXED_WIDTH = {
-    T.IntegerType: 4, T.DateType: 4, T.FloatType: 4, T.LongType: 8, T.DoubleType: 8,
-    T.TimestampType: 8, T.TimestampNTZType: 8, T.BooleanType: 1, T.ShortType: 2, T.ByteType: 1,
-}
-
-
-def _width(field: T.StructField) -> tuple[int, Column | None]:
-    """(fixed bytes per row, variable-size expression or None)."""
-    dt = field.dataType
-    c = F.col(field.name)
-    if isinstance(dt, (T.StringType, T.BinaryType)):
-        return 0, F.coalesce(F.octet_length(c), F.lit(0))
-    if isinstance(dt, T.ArrayType) and type(dt.elementType) in FIXED_WIDTH:
-        return 0, F.when(c.isNull(), 0).otherwise(F.size(c) * FIXED_WIDTH[type(dt.elementType)])
-    return FIXED_WIDTH.get(type(dt), 8), None
-
-
-def estimated_bytes(df: DataFrame) -> Column:
-    """Aggregate: logical size of ``df`` in bytes."""
-    fixed = 0
-    var: list[Column] = []
-    for f in df.schema.fields:
-        n, v = _width(f)
-        fixed += n
-        if v is not None:
-            var.append(v)
-    total = F.lit(fixed) * F.count(F.lit(1))
-    if var:
-        row_var = var[0]
-        for v in var[1:]:
-            row_var = row_var + v
-        total = total + F.coalesce(F.sum(row_var), F.lit(0))
-    return total.cast("bigint")
 
+from tidemark.operators.common import total_bytes
 
 def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per table: ``name`` (three-part) and ``sizeinbytes``."""
-    rows = [df.agg(F.lit(name).alias("name"), estimated_bytes(df).alias("sizeinbytes")) for name, df in tables.items()]
+    rows = [df.agg(F.lit(name).alias("name"), total_bytes(df).alias("sizeinbytes")) for name, df in tables.items()]
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
 
 
+def stored_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """One row per table: ``name`` and the bytes of its files, from a file listing alone."""
+    def one(name: str, path: str) -> DataFrame:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        return files.agg(F.lit(name).alias("name"), F.coalesce(F.sum("length"), F.lit(0)).alias("sizeinbytes"))
+
+    return reduce(DataFrame.unionByName, [one(n, p) for n, p in paths.items()])
+
+
 def _parts(name: Column) -> tuple[Column, Column, Column]:
     return (F.substring_index(name, ".", 1), F.substring_index(F.substring_index(name, ".", 2), ".", -1),
             F.substring_index(name, ".", -1))
@@ -98,21 +72,22 @@ def catalog_sizes(spark: SparkSession, skip_catalogs=("samples", "system"),
     for cat in spark.catalog.listCatalogs():
         if cat.name in skip_catalogs:
             continue
-        for db in spark.catalog.listDatabases():
-            if db.name in skip_schemas:
+        schemas = [r[0] for r in spark.sql(f"SHOW SCHEMAS IN `{cat.name}`").collect()]
+        for schema in schemas:
+            if schema in skip_schemas:
                 continue
             try:
-                for t in spark.catalog.listTables(f"{cat.name}.{db.name}"):
+                for t in spark.catalog.listTables(f"{cat.name}.{schema}"):
                     if t.tableType in ("VIEW", "EXTERNAL", "TEMPORARY") or t.isTemporary:
                         continue
-                    full = f"{cat.name}.{db.name}.{t.name}"
+                    full = f"{cat.name}.{schema}.{t.name}"
                     spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS NOSCAN")
                     stats = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect()
                              if r.col_name == "Statistics"]
                     size = int(stats[0].split()[0]) if stats else 0
                     sizes.append((full, size))
             except PySparkException as ex:
-                errors.append((f"{cat.name}.{db.name}", str(ex.getCondition()),
+                errors.append((f"{cat.name}.{schema}", str(ex.getCondition()),
                                str(ex.getMessageParameters()), str(ex.getSqlState())))
     sizes_df = spark.createDataFrame(sizes, "name string, sizeinbytes bigint")
     errors_df = spark.createDataFrame(errors, "schema_name string, error_class string, parameters string, sqlstate string")

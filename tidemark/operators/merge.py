@@ -7,41 +7,40 @@ target rows whose date falls inside a source interval.
 
 Both carry the MERGE cardinality rule into the plan: a target row matched by
 more than one source row fails the job through ``raise_error`` (no extra
-action on the driver), unless a deterministic resolution is requested.
+action on the driver), unless a deterministic resolution is requested. The
+upsert is stricter on purpose: two source rows with one key fail even when no
+target row has that key, as they would insert the key twice.
 The writer that persists the result is ``tidemark.sources.tables.MergeSink``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.common import is_bounded
 
 c = F.col
 
 
-def _bounded(df: DataFrame, max_rows: int | None) -> bool:
-    return max_rows is not None and df.limit(max_rows + 1).count() <= max_rows
-
-
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  update: Sequence[str] | None = None, insert: Sequence[str] | None = None,
-                 check_unique: bool = True, broadcast_rows: int | None = None) -> DataFrame:
+                 check_unique: bool = True, broadcast_bytes: int | None = None) -> DataFrame:
     """``MERGE INTO target USING source ON keys WHEN MATCHED UPDATE SET update WHEN NOT MATCHED INSERT insert``.
 
     Target columns missing from ``insert`` stay NULL on inserted rows; target
     columns missing from ``update`` keep the target's value on matched rows.
     Source columns not in the target are added to it (NULL for old rows).
 
-    With ``broadcast_rows`` and a source proven to have at most that many rows,
+    With ``broadcast_bytes`` and a source measured within that size (pass a staged one),
     the target is never shuffled: matched and kept rows come from
     ``target LEFT JOIN broadcast(source)``, inserts from the source rows whose
     key is not among ``target SEMI JOIN broadcast(source keys)``. Otherwise it
     is one full outer join on the keys.
     """
-    if broadcast_rows is not None and _bounded(source, broadcast_rows):
+    if broadcast_bytes is not None and is_bounded(source, broadcast_bytes):
         return _merge_upsert_broadcast(target, source, keys, update, insert, check_unique)
     keys = list(keys)
     cols = list(target.columns) + [x for x in source.columns if x not in target.columns]
@@ -96,8 +95,9 @@ def _merge_upsert_broadcast(target: DataFrame, source: DataFrame, keys: Sequence
             c(f"t.{x}") if x in target.columns else F.lit(None)) if x in update
          else (c(f"t.{x}") if x in target.columns else F.lit(None))).cast(dtype(x)).alias(x)
         for x in cols])
-    present = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi")
-    new = src.join(F.broadcast(present), keys, "left_anti")   # present holds at most the source's keys
+    # distinct: however often the target repeats a key, at most the source's keys remain
+    present = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
+    new = src.join(F.broadcast(present), keys, "left_anti")
     new = new.select(*[(c(x) if x in insert or x in keys else F.lit(None)).cast(dtype(x)).alias(x) for x in cols])
     return kept.unionByName(new)
 
@@ -105,7 +105,8 @@ def _merge_upsert_broadcast(target: DataFrame, source: DataFrame, keys: Sequence
 def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str], at: str,
                        start: str, end: str, set_col: str, from_col: str,
                        target_key: Sequence[str], on_multi: str = "error",
-                       prefer: Sequence[str] = (), broadcast_rows: int | None = None) -> DataFrame:
+                       prefer: Sequence[str] = (), broadcast_bytes: int | None = None,
+                       stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``MERGE ... ON keys AND target.at BETWEEN source.start AND source.end WHEN MATCHED UPDATE SET set_col``.
 
     Matches are resolved per target row (``target_key`` identifies it):
@@ -113,22 +114,25 @@ def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str]
     ``on_multi="latest"`` takes the match with the greatest ``prefer`` tuple.
     Unmatched target rows keep their value; the target is returned whole.
 
-    With ``broadcast_rows`` and a source proven within that many rows, the
+    With ``broadcast_bytes`` and a source measured within that size, the
     target is split by ``keys`` against the broadcast source keys: rows of
     untouched keys pass through a broadcast anti join, and only rows of
-    touched keys are shuffled for the match resolution.
+    touched keys are shuffled for the match resolution. ``stage`` writes those
+    touched rows once, as the resolution reads them twice.
     """
     if on_multi not in ("error", "latest"):
         raise ValueError(f"on_multi must be 'error' or 'latest', not {on_multi!r}")
     target_key = list(target_key)
     out_cols = list(target.columns) + ([set_col] if set_col not in target.columns else [])
     current = c(set_col) if set_col in target.columns else F.lit(None).cast(source.schema[from_col].dataType)
-    if broadcast_rows is not None and _bounded(source, broadcast_rows):
+    if broadcast_bytes is not None and is_bounded(source, broadcast_bytes):
         items = F.broadcast(source.select(*keys).distinct())
         src = F.broadcast(source)
         rest = target.join(items, list(keys), "left_anti").select(
             *[(current.alias(x) if x == set_col else c(x)) for x in out_cols])
         touched = target.join(items, list(keys), "left_semi")
+        if stage is not None:
+            touched = stage(touched)
         return rest.unionByName(_range_update(touched, src, keys, at, start, end, set_col, from_col,
                                               target_key, on_multi, prefer, out_cols, current))
     return _range_update(target, source, keys, at, start, end, set_col, from_col, target_key, on_multi,

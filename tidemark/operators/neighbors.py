@@ -1,35 +1,37 @@
 """Previous/next-row values per key without putting a hot key into one task.
 
 ``lag``/``lead`` over ``Window.partitionBy(keys)`` sends every row of a key to
-one task. When one key holds a large share of the rows, this operator splits
-that key's rows into time buckets and computes the neighbours in two levels:
-
-1. hot keys are found with one aggregate (``count`` per key, partial
-   aggregation map-side); at most ``rows / hot_rows`` keys can qualify, so the
-   list is small and is broadcast after a size check;
-2. rows of hot keys get ``bucket = floor(order_value / bucket_width)``, all
-   other keys bucket 0; ``lag``/``lead`` run over ``(keys, bucket)``;
-3. a boundary frame (first and last row of every bucket, via ``min_by``/
+one task. ``by_key_size`` therefore finds the hot keys once (one aggregate),
+runs a chain of window steps plainly on all other rows (one exchange, one
+sort), and on the staged rows of the hot keys with neighbours computed in two
+levels:
+
+1. rows get ``bucket = floor(order_value / bucket_width)``, rows without an
+   order value a bucket before all others; ``lag``/``lead`` run over
+   ``(keys, bucket)``;
+2. a boundary frame (first and last row of every bucket, via ``min_by`` /
    ``max_by`` aggregates) is windowed over ``keys`` ordered by bucket: one
    row per bucket, so even a hot key has few rows there;
-4. each bucket's first row takes its previous value from the previous
+3. each bucket's first row takes its previous value from the previous
    non-empty bucket's last row, and each bucket's last row its next value from
-   the following bucket's first row (a join on ``(keys, bucket)``, which
-   reuses the partitioning of step 2).
+   the following bucket's first row.
 
-The order column must be unique within a key (ties make lag/lead
-nondeterministic anyway) and be a date, timestamp or number.
+Both ways give the same rows whatever the size of a key. The order column must
+be unique within a key (ties make lag/lead nondeterministic anyway) and be a
+date, timestamp or number; NULLs come first, as in a plain window.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.common import broadcast_bounded
+from tidemark.operators.common import all_of, broadcast_bounded
+from tidemark.sources.tables import stage_table
 
 c = F.col
 BUCKET = "_nb_bucket"
@@ -45,49 +47,62 @@ def _order_number(df: DataFrame, order: str) -> Column:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows (bounded: at most ``rows / hot_rows`` of them)."""
+    """Keys with more than ``hot_rows`` rows (at most ``rows / hot_rows`` of them)."""
     return df.groupBy(*keys).count().where(c("count") > hot_rows).select(*keys)
 
 
+def by_key_size(df: DataFrame, keys: Sequence[str], hot_rows: int, steps: Callable[[DataFrame, float | None], DataFrame],
+                bucket_width: float = 30.0) -> DataFrame:
+    """``steps(rows, split)`` on the rows of ordinary keys (split None) and of hot keys (split ``bucket_width``).
+
+    ``steps`` is a chain of the operators of ``tidemark.operators.history``, each called with ``split``. The hot
+    keys are staged; without any, the plan is the plain chain over ``df``.
+    """
+    keys = list(keys)
+    hot = stage_table(hot_keys(df, keys, hot_rows), f"hot-keys/{uuid.uuid4().hex}")
+    if hot.isEmpty():
+        return steps(df, None)
+    hot = broadcast_bounded(hot)
+    # null-safe, so that rows with a null in their key stay with their key
+    same = all_of([df[k].eqNullSafe(hot[k]) for k in keys])
+    return steps(df.join(hot, same, "left_anti"), None).unionByName(steps(df.join(hot, same, "left_semi"), bucket_width))
+
+
 def with_neighbors(df: DataFrame, keys: Sequence[str], order: str, lag_cols: dict[str, str] | None = None,
-                   lead_cols: dict[str, str] | None = None, hot_rows: int = 1_000_000,
-                   bucket_width: float = 30.0) -> DataFrame:
+                   lead_cols: dict[str, str] | None = None, bucket_width: float = 30.0) -> DataFrame:
     """Add ``lag_cols`` (source -> output name) and ``lead_cols`` neighbour values per key.
 
     Equal to ``lag(src).over(w)`` / ``lead(src).over(w)`` with
-    ``w = Window.partitionBy(keys).orderBy(order)``, but hot keys are split into
-    ``bucket_width``-day buckets (``bucket_width`` order units for numbers).
+    ``w = Window.partitionBy(keys).orderBy(order)``, computed in ``bucket_width``-day buckets
+    (``bucket_width`` order units for numbers). The input is staged, as it is read twice.
     """
     keys = list(keys)
     lag_cols = dict(lag_cols or {})
     lead_cols = dict(lead_cols or {})
-    hot = broadcast_bounded(hot_keys(df, keys, hot_rows).withColumn("_nb_hot", F.lit(True)))
-    rows = df.join(hot, keys, "left")
-    rows = rows.withColumn(BUCKET, F.when(c("_nb_hot"), F.floor(_order_number(df, order) / bucket_width))
-                           .otherwise(F.lit(0)).cast("long")).drop("_nb_hot")
+    bucket = F.coalesce(F.floor(_order_number(df, order) / bucket_width).cast("long"), F.lit(-(1 << 62)))
+    rows = stage_table(df.withColumn(BUCKET, bucket), f"neighbors/{uuid.uuid4().hex}")
     w = Window.partitionBy(*keys, BUCKET).orderBy(order)
-    rows = rows.withColumns({
+    place = F.struct(c(order).isNotNull(), c(order))
+    inner = rows.withColumns({
         **{f"_nb_lag_{o}": F.lag(s).over(w) for s, o in lag_cols.items()},
         **{f"_nb_lead_{o}": F.lead(s).over(w) for s, o in lead_cols.items()},
         "_nb_first": F.lag(F.lit(1)).over(w).isNull(),
         "_nb_last": F.lead(F.lit(1)).over(w).isNull(),
     })
     # one row per (key, bucket): its last values (for the next bucket) and first values (for the previous one)
-    last_vals = F.max_by(F.struct(*[c(s).alias(o) for s, o in lag_cols.items()]), c(order)) if lag_cols else None
-    first_vals = F.min_by(F.struct(*[c(s).alias(o) for s, o in lead_cols.items()]), c(order)) if lead_cols else None
     aggs = [F.count(F.lit(1)).alias("_nb_n")]
-    if last_vals is not None:
-        aggs.append(last_vals.alias("_nb_lastv"))
-    if first_vals is not None:
-        aggs.append(first_vals.alias("_nb_firstv"))
-    bounds = df.join(hot, keys, "inner").withColumn(
-        BUCKET, F.floor(_order_number(df, order) / bucket_width).cast("long")).groupBy(*keys, BUCKET).agg(*aggs)
+    if lag_cols:
+        aggs.append(F.max_by(F.struct(*[c(s).alias(o) for s, o in lag_cols.items()]), place).alias("_nb_lastv"))
+    if lead_cols:
+        aggs.append(F.min_by(F.struct(*[c(s).alias(o) for s, o in lead_cols.items()]), place).alias("_nb_firstv"))
+    bounds = rows.groupBy(*keys, BUCKET).agg(*aggs)
     wb = Window.partitionBy(*keys).orderBy(BUCKET)
     edge = bounds.select(
-        *keys, BUCKET,
+        *[c(k).alias(f"_nb_{k}") for k in keys], c(BUCKET).alias("_nb_at"),
         *([F.lag("_nb_lastv").over(wb).alias("_nb_prev")] if lag_cols else []),
         *([F.lead("_nb_firstv").over(wb).alias("_nb_next")] if lead_cols else []))
-    out = rows.join(edge, keys + [BUCKET], "left")
+    same = all_of([c(k).eqNullSafe(c(f"_nb_{k}")) for k in keys] + [c(BUCKET) == c("_nb_at")])
+    out = inner.join(edge, same, "left")
     return out.select(
         *[c(x) for x in df.columns],
         *[F.when(c("_nb_first"), c(f"_nb_prev.{o}")).otherwise(c(f"_nb_lag_{o}")).alias(o) for o in lag_cols.values()],

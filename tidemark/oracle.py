@@ -123,6 +123,9 @@ _SIZE_EXPR = {
 }
 
 STAGES: dict[str, str] = {
+    "own_log": """
+SELECT wrkflw_nm, max(attr_val_dt) AS attr_val_dt FROM {cutoff_log}
+WHERE schma_nm = 'common' AND grp_nm = 'SUBSCRIPTION' AND attr_nm = 'CUTOFF' GROUP BY wrkflw_nm""",
     # ---- fixture-level views used by the rule queries
     "memo": """
 SELECT d.client, d.sales_document, d.sales_document_item, a.order_reason, i.created_date
@@ -352,16 +355,14 @@ WHERE subscription_type = 'IN' AND sales_document_type = 'ZCSB' AND subscription
     "cutoff_lookup": """
 SELECT c.subscription_category, coalesce(CAST(l.attr_val_dt - INTERVAL 3 DAY AS DATE), DATE '1998-01-01') AS cutoff_date
 FROM (SELECT DISTINCT subscription_category FROM {dim} WHERE subscription_type = 'IN' AND sales_document_type = 'ZCSB') c
-LEFT JOIN (SELECT category, max(attr_val_dt) AS attr_val_dt FROM {cutoff_log} GROUP BY category) l
- ON c.subscription_category = l.category""",
+LEFT JOIN {own_log} l ON 'STATUS_HISTORY_' || c.subscription_category = l.wrkflw_nm""",
     "run_dates": """
 SELECT subscription_category, cutoff_date, CAST(cutoff_date - 1 AS DATE) AS cutoff_scd_date,
  strftime(cutoff_date - 1, '%Y%m%d') AS cutoff_scd_text, strftime(cutoff_date, '%Y%m%d') AS cutoff_text,
  '19980630' AS today_text, '19980629' AS yesterday_text
 FROM (SELECT c.subscription_category, coalesce(CAST(l.attr_val_dt - INTERVAL 3 DAY AS DATE), DATE '1998-01-01') AS cutoff_date
       FROM (SELECT DISTINCT subscription_category FROM {dim} WHERE subscription_type = 'IN' AND sales_document_type = 'ZCSB') c
-      LEFT JOIN (SELECT category, max(attr_val_dt) AS attr_val_dt FROM {cutoff_log} GROUP BY category) l
-       ON c.subscription_category = l.category)""",
+      LEFT JOIN {own_log} l ON 'STATUS_HISTORY_' || c.subscription_category = l.wrkflw_nm)""",
     "date_roundtrip": f"""
 SELECT bp_no, bp_item, ofkdat, {tdate('ofkdat')} AS ofk_date, {tdate('ofkdat')} + 1 AS ofk_next,
  {tdate('ofkdat')} - 1 AS ofk_prev, strftime({tdate('ofkdat')} - 1, '%Y%m%d') AS ofk_prev_text,
@@ -452,7 +453,9 @@ FROM (SELECT * EXCLUDE (_prev) FROM (SELECT *, lag(status) {w('start_ts', ['user
     "merge_upsert": "SELECT * FROM {merged}",
     "merge_range_update": "SELECT * FROM {merged_with_plan_flag}",
     # governance over customers with their country
-    "row_filter_if": "SELECT * FROM {customer_geo} WHERE IF(country_name IS NULL, true, true)",
+    "row_filter_if": """
+SELECT * FROM {customer_geo}
+WHERE IF(country_name IS NULL, true, right(country_name, 1) IN ('0', '2', '4', '6', '8'))""",
     "row_filter_null_safe": """
 SELECT * FROM {customer_geo}
 WHERE IF(country_name IS NULL, false, country_name IN ('NATION_1', 'NATION_2', 'NATION_3'))""",
@@ -460,7 +463,16 @@ WHERE IF(country_name IS NULL, false, country_name IN ('NATION_1', 'NATION_2', '
 SELECT * FROM {customer_geo}
 WHERE IF(country_name IS NULL, false, country_name IN ('NATION_4', 'NATION_5'))""",
     "column_mask_group": """
-SELECT c_custkey, '***-**-****' AS c_name, c_acctbal, c_mktsegment, country_name FROM {customer_geo}""",
+SELECT c_custkey, '(hidden)' AS c_name, c_acctbal, c_mktsegment, country_name FROM {customer_geo}""",
+    "column_mask_member": "SELECT * FROM {customer_geo}",
+    "column_mask_function": """
+SELECT c_custkey, '..' || right(c_name, 3) AS c_name, c_acctbal, c_mktsegment, country_name FROM {customer_geo}""",
+    "tag_rule_two_columns": """
+SELECT DISTINCT l_orderkey, l_suppkey, g.country_name, n_name AS supplier_country
+FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer_geo} g ON o_custkey = c_custkey
+JOIN {supplier} ON l_suppkey = s_suppkey JOIN {nation} ON s_nationkey = n_nationkey
+WHERE g.country_name IN ('NATION_3', 'NATION_4', 'NATION_5', 'NATION_6', 'NATION_7', 'NATION_8')
+ AND n_name IN ('NATION_3', 'NATION_4', 'NATION_5', 'NATION_6', 'NATION_7', 'NATION_8')""",
     "inventory_by_schema": """
 SELECT split_part(name, '.', 1) AS catalog_name, split_part(name, '.', 2) AS schema_name,
  round(sum(round(sizeinbytes / 1000000, 2)), 2) AS schema_size_mb

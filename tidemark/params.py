@@ -59,21 +59,37 @@ class RunParams:
     days_back: int = 3
     default_start: _dt.date = _dt.date(1998, 1, 1)
     full_load: bool = False
+    # the rest of the cutoff log's key: rows of other schemas, groups, workflows and attributes are not this job's
+    schema_name: str = "common"
+    group_name: str = "SUBSCRIPTION"
+    workflow_name: str = "STATUS_HISTORY"
+    attribute_name: str = "CUTOFF"
+
+    def log_workflow(self, category: Column) -> Column:
+        """The workflow's name in the log: one entry per category."""
+        return F.concat(F.lit(self.workflow_name), F.lit("_"), category)
+
+    def log_rows(self, cutoffs: DataFrame, category: str = "subscription_category") -> DataFrame:
+        """The log entries of a finished run: every category at ``as_of``."""
+        return cutoffs.select(
+            F.lit(self.schema_name).alias("schma_nm"), F.lit(self.group_name).alias("grp_nm"),
+            self.log_workflow(F.col(category)).alias("wrkflw_nm"), F.lit(self.attribute_name).alias("attr_nm"),
+            F.lit(self.as_of).alias("attr_val_dt"))
 
 
 def cutoff_lookup(categories: DataFrame, cutoff_log: DataFrame, params: RunParams,
-                  category: str = "subscription_category", log_category: str = "category",
-                  log_date: str = "attr_val_dt") -> DataFrame:
+                  category: str = "subscription_category") -> DataFrame:
     """Per category: logged date minus ``days_back``, or ``default_start`` when not logged.
 
-    ``cutoff_log`` holds one row per processed category; after a size check it
-    is broadcast. Categories without a log row keep NULL from the left join and
-    fall back to the default.
+    ``cutoff_log`` (``schma_nm, grp_nm, wrkflw_nm, attr_nm, attr_val_dt``) is looked up by its whole key, so another
+    workflow's row never moves this job's cutoff; of several rows with one key the latest date counts. After a
+    size check the matching rows are broadcast. Categories without one fall back to the default.
     """
     from tidemark.operators.common import broadcast_bounded
 
-    log = cutoff_log.select(F.col(log_category).alias("_cat"), F.col(log_date).alias("_dt"))
-    log = log.groupBy("_cat").agg(F.max("_dt").alias("_dt"))  # one row per category
+    log = cutoff_log.where((F.col("schma_nm") == params.schema_name) & (F.col("grp_nm") == params.group_name)
+                           & (F.col("attr_nm") == params.attribute_name)).groupBy(
+        F.col("wrkflw_nm").alias("_workflow")).agg(F.max("attr_val_dt").alias("_dt"))
     default = F.lit(params.default_start)
     cutoff: Column
     if params.full_load:
@@ -81,7 +97,7 @@ def cutoff_lookup(categories: DataFrame, cutoff_log: DataFrame, params: RunParam
     else:
         cutoff = F.coalesce(F.date_sub(F.col("_dt"), params.days_back), default)
     return (
-        categories.join(broadcast_bounded(log), F.col(category) == F.col("_cat"), "left")
+        categories.join(broadcast_bounded(log), params.log_workflow(F.col(category)) == F.col("_workflow"), "left")
         .select(F.col(category), cutoff.alias("cutoff_date"))
     )
 

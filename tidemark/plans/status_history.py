@@ -26,20 +26,18 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import text_to_date
 from tidemark.operators import deltas as dl
-from tidemark.operators.common import ITEM_KEYS, VERSION_KEYS, all_of, broadcast_bounded, typed_null
+from tidemark.operators.common import (
+    ITEM_KEYS, MAX_BROADCAST_BYTES, VERSION_KEYS, all_of, broadcast_bounded, typed_null)
 from tidemark.operators.history import (
     close_intervals, collapse_runs, drop_reactivation, link_versions, one_version_per_start)
 from tidemark.operators.intervals import SCD_ROW, event_points, scd_rows_starting, version_at
 from tidemark.operators.merge import merge_range_update, merge_upsert
 from tidemark.operators.rules import derive_status, init_inactive_flag, reason_rewrite
 from tidemark.params import RunDates
-from tidemark.sources.tables import stage_table
+from tidemark.sources.tables import drop_stages, stage_table
 
 c = F.col
 
-# Change frames up to this many rows are broadcast into joins with full-size tables.
-MAX_BROADCAST_CHANGE_ROWS = 2_000_000
-
 # Column layout of a status version (target table plus the two run columns).
 STATUS_COLS = [
     "client", "sales_document", "sales_document_item", "start_date", "end_date", "sales_document_type",
@@ -93,8 +91,8 @@ class StatusHistoryJob:
 
     With ``"stage"``, change frames that meet a full-size table (plan delta,
     change points, changed items, rebuilt versions, merge source) are also
-    counted on their staged files and broadcast when within
-    ``MAX_BROADCAST_CHANGE_ROWS``, so the full-size side is streamed instead of
+    measured on their staged files and broadcast when within
+    ``MAX_BROADCAST_BYTES``, so the full-size side is streamed instead of
     shuffled; beyond the bound Spark and AQE choose the join.
     """
 
@@ -109,26 +107,30 @@ class StatusHistoryJob:
         self._staged: dict[str, DataFrame] = {}
 
     @property
-    def _broadcast_rows(self) -> int | None:
-        return MAX_BROADCAST_CHANGE_ROWS if self.materialize == "stage" else None
+    def _broadcast_bytes(self) -> int | None:
+        return MAX_BROADCAST_BYTES if self.materialize == "stage" else None
 
     def _small(self, df: DataFrame, name: str) -> DataFrame:
-        """Stage a change frame (once per name) and broadcast it when its row count is within the bound."""
+        """Stage a change frame (once per name) and broadcast it when its size is within the bound."""
         if self.materialize != "stage":
             return df
         if name not in self._staged:
-            self._staged[name] = broadcast_bounded(self._cut(df, name), MAX_BROADCAST_CHANGE_ROWS)
+            self._staged[name] = broadcast_bounded(self._cut(df, name))
         return self._staged[name]
 
     def _bc(self, df: DataFrame, name: str) -> DataFrame:
-        """Broadcast an already staged change frame once its row count is proven within the bound."""
+        """Broadcast an already staged change frame once its size is measured within the bound."""
         if self.materialize != "stage":
             return df
         key = f"broadcast:{name}"
         if key not in self._staged:
-            self._staged[key] = broadcast_bounded(df, MAX_BROADCAST_CHANGE_ROWS)
+            self._staged[key] = broadcast_bounded(df)
         return self._staged[key]
 
+    def drop_stages(self) -> None:
+        """Remove this run's stage tables, once nothing reads its frames any more."""
+        drop_stages(self.src.dim.sparkSession, self._run_id)
+
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize == "stage":
             return stage_table(df, f"{self._run_id}/{name}")
@@ -165,20 +167,23 @@ class StatusHistoryJob:
 
     @cached_property
     def bill_docs(self) -> DataFrame:
-        return dl.bill_docs(self.src.bill_item, self.src.bill_hdr, self._bc(self.plan_items, "plan_items"))
+        return self._cut(dl.bill_docs(self.src.bill_item, self.src.bill_hdr, self._bc(self.plan_items, "plan_items"),
+                                      self._small), "bill_docs")
 
     @cached_property
     def bill_docs_sibling(self) -> DataFrame:
-        return dl.bill_docs_sibling(self.src.bill_item, self.src.bill_hdr, self._bc(self.plan_items, "plan_items"))
+        return self._cut(dl.bill_docs_sibling(self.src.bill_item, self.src.bill_hdr,
+                                              self._bc(self.plan_items, "plan_items"), self._small), "bill_docs_sibling")
 
     @cached_property
     def bill_docs_cancelled(self) -> DataFrame:
-        return dl.bill_docs_cancelled(self.src.bill_item, self.src.bill_hdr, self.src.scd, self.subs, self.rd)
+        return self._cut(dl.bill_docs_cancelled(self.src.bill_item, self.src.bill_hdr, self.src.scd, self.subs, self.rd,
+                                                self._small), "bill_docs_cancelled")
 
     @cached_property
     def credit_memos(self) -> DataFrame:
-        return dl.credit_memos(self.src.bill_item, self.src.bill_hdr, self.src.order_line, self.src.order_hdr,
-                               self.subs, self.rd)
+        return self._cut(dl.credit_memos(self.src.bill_item, self.src.bill_hdr, self.src.order_line, self.src.order_hdr,
+                                         self.subs, self.rd, self._small), "credit_memos")
 
     @cached_property
     def contract_starts(self) -> DataFrame:
@@ -258,9 +263,12 @@ class StatusHistoryJob:
         The planned rows are broadcast (when bounded) into the inner joins with
         the subscription dimension and the order headers, which are streamed.
         """
-        t = self._bc(self.with_plans, "with_plans").alias("t")
+        planned = self._bc(self.with_plans, "with_plans")
+        t = planned.alias("t")
         d = self.subs.alias("d")
-        v = self.src.order_hdr.alias("v")
+        # the order headers of the planned rows only: the full table is streamed past their keys
+        v = self.src.order_hdr.join(planned.select(c("client").alias("mandt"), c("sales_document").alias("vbeln")).distinct(),
+                                    ["mandt", "vbeln"], "left_semi").alias("v")
         m = self.credit_memos.select(
             *ITEM_KEYS, c("created_date_yyyy_mm_dd"), c("order_reason")).distinct().alias("m")
         b = self.billed_before.alias("b")
@@ -332,31 +340,46 @@ class StatusHistoryJob:
 
     # ---- 6. enrichment and merges ---------------------------------------------
     @cached_property
-    def final_rows(self) -> DataFrame:
-        # the rebuilt versions are few; broadcast them into the dimension and business-data joins
-        v = self._small(self.versions, "versions").alias("v")
+    def enriched(self) -> DataFrame:
+        """Rebuilt versions with route to market and incoterm.
+
+        The versions are few: broadcast, they stream the dimension, and the business data is reduced to their keys
+        before the left join, so neither full-size table is shuffled.
+        """
+        versions = self._small(self.versions, "versions")
+        v = versions.alias("v")
         d = self.src.dim.select(*ITEM_KEYS, "route_to_market").alias("d")
-        k = self.src.business.select("mandt", "vbeln", "posnr", "inco3_l").alias("k")
-        j = v.join(d, all_of([c(f"v.{x}") == c(f"d.{x}") for x in ITEM_KEYS]), "inner").join(
+        keys = versions.select(c("client").alias("mandt"), c("sales_document").alias("vbeln"),
+                               c("sales_document_item").alias("posnr")).distinct()
+        k = self.src.business.select("mandt", "vbeln", "posnr", "inco3_l").join(
+            keys, ["mandt", "vbeln", "posnr"], "left_semi").alias("k")
+        return v.join(d, all_of([c(f"v.{x}") == c(f"d.{x}") for x in ITEM_KEYS]), "inner").join(
             k, (c("k.mandt") == c("v.client")) & (c("k.vbeln") == c("v.sales_document"))
-            & (c("k.posnr") == c("v.sales_document_item")), "left")
-        j = j.select(*[c(f"v.{x}") for x in STATUS_COLS], c("d.route_to_market"), c("k.inco3_l"))
-        j = reason_rewrite(j)
+            & (c("k.posnr") == c("v.sales_document_item")), "left").select(
+            *[c(f"v.{x}") for x in STATUS_COLS], c("d.route_to_market"), c("k.inco3_l"))
+
+    @cached_property
+    def final_rows(self) -> DataFrame:
         return self._cut(
-            j.withColumn("last_modified", F.lit(self.rd.today).cast("timestamp_ntz")).select(*FINAL_COLS),
+            reason_rewrite(self.enriched).withColumn("last_modified", F.lit(self.rd.today).cast("timestamp_ntz")).select(*FINAL_COLS),
             "final_rows")
 
     @cached_property
     def merged(self) -> DataFrame:
         """Target after the upsert on (item keys, start_date)."""
         return merge_upsert(self.src.target, self.final_rows, VERSION_KEYS,
-                            update=FINAL_COLS[4:], insert=FINAL_COLS, broadcast_rows=self._broadcast_rows)
+                            update=FINAL_COLS[4:], insert=FINAL_COLS, broadcast_bytes=self._broadcast_bytes)
 
     @cached_property
     def plan_ranges(self) -> DataFrame:
-        """Billing plans of the window on all subscriptions, with date-typed bounds."""
+        """Billing plans of the window on the run's subscriptions, with date-typed bounds.
+
+        A run for some categories rewrites the flags of those alone; other cutoffs have their own window.
+        """
         p = self._small(self.plan_delta, "plan_delta").drop("client").alias("p")
-        d = self.src.dim.alias("d")
+        dim = self.src.dim if self.categories is None else self.src.dim.where(
+            c("subscription_category").isin(list(self.categories)))
+        d = dim.alias("d")
         return self._cut(p.join(d, c("p.bp_no") == c("d.bill_plan_number"), "inner").select(
             *[c(f"d.{k}") for k in ITEM_KEYS], c("p.bp_no"), c("p.bp_item"),
             text_to_date(c("p.bp_start_date")).alias("bp_start_date"),
@@ -369,4 +392,5 @@ class StatusHistoryJob:
             self.merged, self.plan_ranges, keys=ITEM_KEYS, at="start_date", start="bp_start_date",
             end="bp_end_date", set_col="upd_ind", from_col="bp_upd_ind", target_key=VERSION_KEYS,
             on_multi=self.on_multi_plan, prefer=["bp_start_date", "bp_item", "bp_no"],
-            broadcast_rows=self._broadcast_rows)
+            stage=(lambda rows: self._cut(rows, "touched")) if self.materialize == "stage" else None,
+            broadcast_bytes=self._broadcast_bytes)

@@ -7,6 +7,7 @@ match the DuckDB oracle of the same key in ``tidemark.oracle``.
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,26 +20,35 @@ from tidemark.operators import governance as gov
 from tidemark.operators import history as hs
 from tidemark.operators import inventory as inv
 from tidemark.operators.common import ITEM_KEYS, VERSION_KEYS
+from tidemark.operators.neighbors import by_key_size
 from tidemark.operators.rules import derive_status, init_inactive_flag
 from tidemark.params import RunDates, RunParams, cutoff_lookup, run_dates_frame
-from tidemark.plans.status_history import STATUS_COLS, HistorySources, StatusHistoryJob
+from tidemark.plans.status_history import HistorySources, StatusHistoryJob
 from tidemark.sources.fixtures import BASE_TABLES, Fixtures
 
 c = F.col
 
 FIXTURE_DATES = RunDates(cutoff=_dt.date(1998, 6, 1), today=_dt.date(1998, 6, 30))
 FIXTURE_PARAMS = RunParams(as_of=_dt.date(1998, 6, 30), days_back=3, default_start=_dt.date(1998, 1, 1))
-# Keys with more rows than this are split into time buckets in whole-history window queries.
+# Keys with more rows than this are split into time buckets in whole-history window queries (same result).
 HOT_ROWS = 1_000_000
-HOT = dict(hot_rows=HOT_ROWS, bucket_width=30.0)
 
 SCHEMA_OF = {**{t: "tpch" for t in "region nation customer supplier part orders lineitem".split()},
              "events": "events",
              **{t: "corpus" for t in "documents embeddings pages benchmark labels conversations".split()}}
 
 
+# The job of a session and folder is built once: its staged frames feed all queries that read them.
+_JOBS: dict[tuple[str, str], StatusHistoryJob] = {}
+_LOCK = threading.RLock()
+
+
 def _job(spark: SparkSession, sf_dir: str) -> StatusHistoryJob:
-    return StatusHistoryJob(HistorySources.from_fixtures(Fixtures(spark, sf_dir)), FIXTURE_DATES)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    with _LOCK:
+        if key not in _JOBS:
+            _JOBS[key] = StatusHistoryJob(HistorySources.from_fixtures(Fixtures(spark, sf_dir)), FIXTURE_DATES)
+        return _JOBS[key]
 
 
 def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
@@ -46,7 +56,10 @@ def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
 
 
 def _stage(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: getattr(_job(spark, sf_dir), name)
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with _LOCK:
+            return getattr(_job(spark, sf_dir), name)
+    return q
 
 
 def _lookup(source: str, at, window: bool = False) -> Callable[[SparkSession, str], DataFrame]:
@@ -156,15 +169,40 @@ def q_self_alias_join(spark, sf_dir):
 # ---- rules on the fixture status input -----------------------------------------------
 
 def _fixture_status_input(spark, sf_dir) -> DataFrame:
-    """The fixture ``status_input`` view (whole history joined to plans, memos, bills, params)."""
-    from tidemark.oracle import STAGES
+    """The whole history with the facts the rules read: plans, memos, invoices, order headers, trial offers.
+
+    Built with DataFrame operators; the oracle states the same relation in SQL of its own.
+    """
     fx = _fx(spark, sf_dir)
-    memo = spark.sql(STAGES["memo"], bill_item=fx.bill_item, bill_hdr=fx.bill_hdr, order_line=fx.order_line,
-                     dim=fx.dim, order_hdr=fx.order_hdr)
-    billed = spark.sql(STAGES["billed"], hist=fx.hist, bill_item=fx.bill_item)
-    plan_delta = dl.plan_delta(fx.plans, FIXTURE_DATES)
-    return spark.sql(STAGES["status_input"], hist=fx.hist, dim=fx.dim, order_hdr=fx.order_hdr,
-                     plan_delta=plan_delta, memo=memo, billed=billed, params=fx.params)
+    h = fx.hist.withColumn("_day", date_to_text("start_date"))
+    doc = ["sales_document", "sales_document_item"]
+    memo_docs = fx.bill_hdr.where(c("fkart") == dl.CREDIT_MEMO).select("mandt", c("vbeln").alias("billing_document"))
+    order_reasons = fx.order_hdr.select("mandt", c("vbeln").alias("sales_document"), "order_reason")
+    origin = fx.order_line.select("mandt", c("vbeln").alias("sales_document"), c("posnr").alias("sales_document_item"),
+                                  "vgbel", "vgpos")
+    memos = (fx.bill_item.join(memo_docs, ["mandt", "billing_document"], "left_semi")
+             .join(origin, ["mandt", *doc]).join(order_reasons, ["mandt", "sales_document"])
+             .select(c("mandt").alias("client"), c("vgbel").alias("sales_document"), c("vgpos").alias("sales_document_item"),
+                     c("order_reason").alias("memo_reason"), c("created_date").alias("_day"))
+             .join(fx.dim, ITEM_KEYS, "left_semi")
+             .withColumn("memo_doc", c("sales_document")).drop("client").distinct())
+    first_bill = fx.bill_item.groupBy(*doc).agg(F.min("created_date").alias("_first_bill"))
+    plans = dl.plan_delta(fx.plans, FIXTURE_DATES).select(
+        "client", c("bp_no").alias("sales_document"), "bp_no", "bp_item", c("bp_start_date").alias("_from"),
+        c("bp_end_date").alias("_to"), "bp_billing_block", "bp_net_price", "bp_upd_ind")
+    facts = dl.with_trial_flag(fx.dim, fx.params).select(
+        *ITEM_KEYS, "contract_start_date_bp", "contract_end_date_bp", "payment_method", "billing_frequency",
+        "subscription_category", "trial_order_flag")
+    reasons = fx.order_hdr.select(c("mandt").alias("client"), c("vbeln").alias("sales_document"), "order_reason")
+    v, p = h.join(facts, ITEM_KEYS).join(reasons, ["client", "sales_document"]).alias("v"), plans.alias("p")
+    planned = v.join(p, (c("v.client") == c("p.client")) & (c("v.sales_document") == c("p.sales_document"))
+                     & c("v._day").between(c("p._from"), c("p._to")), "left").select(
+        "v.*", "p.bp_no", "p.bp_item", "p.bp_billing_block", "p.bp_net_price", "p.bp_upd_ind",
+        text_to_date(c("p._from")).alias("bp_start"))
+    billed = (c("_first_bill") <= c("_day"))
+    return (planned.join(memos, [*doc, "_day"], "left").join(first_bill, doc, "left")
+            .withColumn("billed_doc", F.when(billed, c("sales_document")))
+            .drop("_day", "_first_bill").distinct())
 
 
 def q_status_rules(spark, sf_dir):
@@ -183,57 +221,41 @@ def _link(df: DataFrame) -> DataFrame:
     return df.withColumn("link_id", F.concat(*[c(k).cast("string") for k in VERSION_KEYS]))
 
 
-def q_lag_status(spark, sf_dir):
-    return hs.lag_status(_fx(spark, sf_dir).hist, **HOT)
-
-
-def q_drop_reactivation(spark, sf_dir):
-    return hs.drop_reactivation(_fx(spark, sf_dir).hist, **HOT)
-
-
-def q_collapse_runs(spark, sf_dir):
-    return hs.collapse_runs(_fx(spark, sf_dir).hist, **HOT)
-
-
-def q_link_versions(spark, sf_dir):
-    return hs.link_versions(_link(hs.collapse_runs(_fx(spark, sf_dir).hist, **HOT)), **HOT)
+def _versions(steps, keys=ITEM_KEYS):
+    """A chain of window steps over a whole history, split for hot keys where there are any."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        fx = _fx(spark, sf_dir)
+        return by_key_size(fx.hist if keys is ITEM_KEYS else fx.user_hist, keys, HOT_ROWS, steps)
+    return q
 
 
-def q_close_intervals(spark, sf_dir):
-    return hs.close_intervals(hs.collapse_runs(_fx(spark, sf_dir).hist, **HOT), **HOT)
+q_lag_status = _versions(lambda d, split: hs.lag_status(d, split=split))
+q_drop_reactivation = _versions(lambda d, split: hs.drop_reactivation(d, split=split))
+q_collapse_runs = _versions(lambda d, split: hs.collapse_runs(d, split=split))
+q_link_versions = _versions(lambda d, split: hs.link_versions(_link(hs.collapse_runs(d, split=split)), split=split))
+q_close_intervals = _versions(lambda d, split: hs.close_intervals(hs.collapse_runs(d, split=split), split=split))
+q_close_intervals_observed = _versions(lambda d, split: hs.close_intervals_observed(
+    _link(hs.collapse_runs(d, split=split)).withColumn("prev_link_id", F.lit(None).cast("string")), split=split))
 
 
-def q_close_intervals_observed(spark, sf_dir):
-    h = _link(hs.collapse_runs(_fx(spark, sf_dir).hist, **HOT)).withColumn("prev_link_id", F.lit(None).cast("string"))
-    return hs.close_intervals_observed(h)
+def _user_intervals(d: DataFrame, split: float | None) -> DataFrame:
+    key = dict(keys=["user_id"], order=["start_ts"], split=split)
+    return hs.close_intervals(hs.collapse_runs(d, status="status", **key), start="start_ts", end="end_ts", **key)
 
 
-def q_user_status_intervals(spark, sf_dir):
-    u = _fx(spark, sf_dir).user_hist
-    u = hs.collapse_runs(u, keys=["user_id"], order=["start_ts"], status="status", **HOT)
-    return hs.close_intervals(u, keys=["user_id"], order=["start_ts"], start="start_ts", end="end_ts", **HOT)
+q_user_status_intervals = _versions(_user_intervals, keys=["user_id"])
 
 
 def q_reason_rewrite(spark, sf_dir):
     return _job(spark, sf_dir).final_rows
 
 
-def q_enrich_final(spark, sf_dir):
-    job = _job(spark, sf_dir)
-    v = job.versions.alias("v")
-    d = job.src.dim.select(*ITEM_KEYS, "route_to_market").alias("d")
-    k = job.src.business.select("mandt", "vbeln", "posnr", "inco3_l").alias("k")
-    return v.join(d, [c(f"v.{x}") == c(f"d.{x}") for x in ITEM_KEYS], "inner").join(
-        k, (c("k.mandt") == c("v.client")) & (c("k.vbeln") == c("v.sales_document"))
-        & (c("k.posnr") == c("v.sales_document_item")), "left"
-    ).select(*[c(f"v.{x}") for x in STATUS_COLS], c("d.route_to_market"), c("k.inco3_l"))
-
-
 # ---- governance --------------------------------------------------------------------------
 
 def q_row_filter_if(spark, sf_dir):
+    """A filter with two arms: rows without a country are shown, of the others every second country."""
     fn = gov.register_sql_function(spark, "tidemark_country_filter", "country_name STRING",
-                                   "IF(isnull(country_name), true, true)")
+                                   "IF(country_name IS NULL, true, right(country_name, 1) IN ('0', '2', '4', '6', '8'))")
     return gov.apply_row_filter(_fx(spark, sf_dir).customer_geo, fn, ["country_name"])
 
 
@@ -251,16 +273,48 @@ def q_row_filter_null_safe(spark, sf_dir):
 def q_tag_rule_filter(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     reg = gov.PolicyRegistry()
-    reg.add_tag_rule(gov.TagRule("show_rows_by_country", "country", _allowed_countries("NATION_4", "NATION_5"),
-                                 ["admins"]))
-    df = gov.tag_column(fx.customer_geo, "country_name", "country")
+    reg.add_tag_rule(gov.TagRule("two_nations", "geo", _allowed_countries("NATION_4", "NATION_5"), ["admins"]))
+    df = gov.tag_column(fx.customer_geo, "country_name", "geo")
     return gov.secured(df, "customer_geo", reg, "alice", fx.membership)
 
 
+def q_tag_rule_two_columns(spark, sf_dir):
+    """Suppliers and customers by order line pair: both tagged countries must be allowed."""
+    fx = _fx(spark, sf_dir)
+    supplier = fx.supplier.join(fx.nation, c("s_nationkey") == c("n_nationkey")).select(
+        c("s_suppkey"), c("n_name").alias("supplier_country"))
+    pairs = fx.lineitem.select("l_orderkey", "l_suppkey").distinct().join(fx.orders, c("l_orderkey") == c("o_orderkey")).join(
+        fx.customer_geo, c("o_custkey") == c("c_custkey")).join(supplier, c("l_suppkey") == c("s_suppkey")).select(
+        "l_orderkey", "l_suppkey", "country_name", "supplier_country")
+    for column in ("country_name", "supplier_country"):
+        pairs = gov.tag_column(pairs, column, "geo")
+    reg = gov.PolicyRegistry()
+    reg.add_tag_rule(gov.TagRule("some_nations", "geo", _allowed_countries(*[f"NATION_{k}" for k in range(3, 9)]),
+                                 ["admins"]))
+    return gov.secured(pairs, "pairs", reg, "alice", fx.membership)
+
+
 def q_column_mask_group(spark, sf_dir):
     fx = _fx(spark, sf_dir)
     reg = gov.PolicyRegistry()
-    reg.set_mask("customer_geo", "c_name", "HR")
+    reg.set_mask("customer_geo", "c_name", "HR", "(hidden)")
+    return gov.secured(fx.customer_geo, "customer_geo", reg, "bob", fx.membership)
+
+
+def q_column_mask_member(spark, sf_dir):
+    """The same mask for a member of the group: the values are clear."""
+    fx = _fx(spark, sf_dir)
+    reg = gov.PolicyRegistry()
+    reg.set_mask("customer_geo", "c_name", "HR", "(hidden)")
+    return gov.secured(fx.customer_geo, "customer_geo", reg, "alice", fx.membership)
+
+
+def q_column_mask_function(spark, sf_dir):
+    """A mask that is a SQL function of the value: all but the last three characters are hidden."""
+    fx = _fx(spark, sf_dir)
+    mask = gov.register_sql_function(spark, "tidemark_last_three", "name STRING", "concat('..', right(name, 3))")
+    reg = gov.PolicyRegistry()
+    reg.set_mask("customer_geo", "c_name", "HR", mask)
     return gov.secured(fx.customer_geo, "customer_geo", reg, "bob", fx.membership)
 
 
@@ -279,6 +333,12 @@ def q_inventory_by_table(spark, sf_dir):
     return inv.inventory_by_table(_sizes(spark, sf_dir), unit=1e6, size_col="size_mb")
 
 
+def q_inventory_files(spark, sf_dir):
+    """Sizes of the stored files of every table, from a listing (no oracle: SQL does not see the files)."""
+    paths = {f"testdata.{SCHEMA_OF[t]}.{t}": f"{sf_dir}/{t}.parquet" for t in BASE_TABLES}
+    return inv.inventory_by_table(inv.stored_sizes(spark, paths), unit=1e6, size_col="size_mb")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_table": q_scan_table,
@@ -330,7 +390,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reopen_open_rows": _stage("reopened"),
         "union_reopened": _stage("union_reopened"),
         "rebuild_intervals": _stage("versions"),
-        "enrich_final": q_enrich_final,
+        "enrich_final": _stage("enriched"),
         "reason_rewrite": q_reason_rewrite,
         "merge_upsert": _stage("merged"),
         "merge_range_update": _stage("merged_with_plan_flag"),
@@ -338,6 +398,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "row_filter_null_safe": q_row_filter_null_safe,
         "tag_rule_filter": q_tag_rule_filter,
         "column_mask_group": q_column_mask_group,
+        "tag_rule_two_columns": q_tag_rule_two_columns,
+        "column_mask_member": q_column_mask_member,
+        "column_mask_function": q_column_mask_function,
+        "inventory_files": q_inventory_files,
         "inventory_by_schema": q_inventory_by_schema,
         "inventory_by_table": q_inventory_by_table,
     }

@@ -6,7 +6,9 @@ where this repository owns the session (tests, ``bench.py``).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,7 +46,8 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, app: str = "
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) is a private folder created.
+    A cluster without the setting is an error: a folder of the driver's machine is not seen by the executors. Only a
+    session that runs in one process (local mode, as in tests) gets a private folder, removed when the process ends.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -53,6 +56,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -31,7 +31,7 @@ VIEWS: dict[str, str] = {
 SELECT '010' AS client, l_orderkey AS bp_no, l_linenumber AS bp_item,
  CASE WHEN l_linenumber % 5 = 0 THEN '00000000' ELSE replace(CAST(CAST(min(l_shipdate) AS DATE) AS STRING), '-', '') END AS ofkdat,
  replace(CAST(CAST(max(l_shipdate) AS DATE) AS STRING), '-', '') AS fkdat,
- replace(CAST(CAST(max(l_shipdate) + INTERVAL 30 DAY AS DATE) AS STRING), '-', '') AS bp_end_date,
+ replace(CAST(last_day(CAST(max(l_shipdate) + INTERVAL 30 DAY AS DATE)) AS STRING), '-', '') AS bp_end_date,
  CASE WHEN l_linenumber % 4 = 0 THEN '30' WHEN l_linenumber % 3 = 0 THEN '' WHEN l_linenumber % 2 = 0 THEN '12' END AS bp_billing_block,
  CASE WHEN max(l_tax) > 0.06 THEN NULL ELSE min(l_extendedprice) END AS bp_net_price,
  CASE WHEN max(l_returnflag) = 'R' THEN 'RTNE' ELSE '' END AS bp_upd_ind
@@ -41,14 +41,15 @@ GROUP BY l_orderkey, l_linenumber""",
     "dim": """
 SELECT '010' AS client, o_orderkey AS sales_document, 10 AS sales_document_item,
  CAST(o_orderdate AS DATE) AS created_date_item, '0' || substr(o_orderpriority, 1, 1) AS payment_method,
- CAST(o_orderdate + INTERVAL 15 DAY AS DATE) AS contract_start_date_bp,
- CAST(o_orderdate + INTERVAL 730 DAY AS DATE) AS contract_end_date_bp,
+ CASE WHEN o_custkey % 5 < 3 AND first_ship IS NOT NULL THEN first_ship ELSE CAST(o_orderdate + INTERVAL 15 DAY AS DATE) END AS contract_start_date_bp,
+ CASE WHEN o_custkey % 5 < 3 AND first_ship IS NOT NULL THEN CAST(first_ship + INTERVAL 1460 DAY AS DATE) ELSE CAST(o_orderdate + INTERVAL 730 DAY AS DATE) END AS contract_end_date_bp,
  CASE WHEN o_orderstatus = 'P' THEN 'ZOTH' ELSE 'ZCSB' END AS sales_document_type,
  CASE WHEN c_mktsegment = 'MACHINERY' THEN 'SERV' ELSE c_mktsegment END AS subscription_category, o_orderpriority AS offer_type,
  CASE WHEN o_custkey % 4 = 0 THEN 'APP STORE' ELSE 'DIRECT' END AS route_to_market,
  CASE WHEN o_custkey % 3 = 0 THEN 'PUF' ELSE 'MON' END AS billing_frequency, o_orderkey AS bill_plan_number, 'IN' AS subscription_type
 FROM {orders}
-JOIN {customer} ON o_custkey = c_custkey""",
+JOIN {customer} ON o_custkey = c_custkey
+LEFT JOIN (SELECT l_orderkey, CAST(min(l_shipdate) AS DATE) AS first_ship FROM {lineitem} GROUP BY l_orderkey) s ON l_orderkey = o_orderkey""",
     # SCD_SALES_DOCUMENT: closed-interval history of sales document items
     "hist": """
 SELECT '010' AS client, l_orderkey AS sales_document, 10 AS sales_document_item,
@@ -68,12 +69,12 @@ GROUP BY l_orderkey, l_shipdate""",
     # VBRK: billing document headers
     "bill_hdr": """
 SELECT '010' AS mandt, o_orderkey AS vbeln,
- CASE WHEN o_orderstatus = 'P' THEN 'G2' ELSE 'F2' END AS fkart
+ CASE WHEN o_orderstatus = 'P' OR o_custkey % 3 = 1 THEN 'G2' ELSE 'F2' END AS fkart
 FROM {orders}""",
     # VBRP: billing document items
     "bill_item": """
 SELECT '010' AS mandt, l_orderkey AS billing_document, l_linenumber AS billing_document_item, l_orderkey AS sales_document, 10 AS sales_document_item, l_orderkey AS bp_no, l_linenumber AS bp_item,
- replace(CAST(CAST(max(l_shipdate) + INTERVAL 30 DAY AS DATE) AS STRING), '-', '') AS bp_end_date,
+ replace(CAST(last_day(CAST(max(l_shipdate) + INTERVAL 30 DAY AS DATE)) AS STRING), '-', '') AS bp_end_date,
  replace(CAST(CAST(min(l_shipdate) + INTERVAL 5 DAY AS DATE) AS STRING), '-', '') AS created_date
 FROM {lineitem}
 GROUP BY l_orderkey, l_linenumber""",
@@ -84,7 +85,7 @@ FROM {orders}""",
     # VBAK: sales order headers
     "order_hdr": """
 SELECT '010' AS mandt, o_orderkey AS vbeln,
- CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '911' WHEN '2' THEN 'SCC' WHEN '3' THEN '921' WHEN '4' THEN '' END AS order_reason
+ CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '911' WHEN '2' THEN 'SCC' WHEN '3' THEN '921' WHEN '4' THEN '' WHEN '5' THEN CASE WHEN o_orderkey % 2 = 0 THEN 'HCC' END END AS order_reason
 FROM {orders}""",
     # VBKD: business data of sales documents
     "business": """
@@ -95,10 +96,10 @@ FROM {orders}""",
     "params": """
 SELECT *
 FROM (VALUES ('TWP_OFFERS','OFFER_TYPE','1-URGENT'),('TWP_OFFERS','OFFER_TYPE','2-HIGH'),('OTHER','OFFER_TYPE','5-LOW')) AS t(param_categ, param_name, param_val)""",
-    # process_delta_log: last processed date per category (bounded by #categories)
+    # process_delta_log: last processed date per schema, group, workflow with category, and attribute
     "cutoff_log": """
 SELECT *
-FROM (VALUES ('BUILDING', DATE '1998-06-01'),('SERV', DATE '1998-05-15')) AS t(category, attr_val_dt)""",
+FROM (VALUES ('common','SUBSCRIPTION','STATUS_HISTORY_BUILDING','CUTOFF',DATE '1998-06-01'),('common','SUBSCRIPTION','STATUS_HISTORY_SERV','CUTOFF',DATE '1998-05-15'),('common','SUBSCRIPTION','OTHER_JOB_BUILDING','CUTOFF',DATE '1998-06-20'),('common','SUBSCRIPTION','STATUS_HISTORY_SERV','ROWS',DATE '1998-06-21'),('other','SUBSCRIPTION','STATUS_HISTORY_HOUSEHOLD','CUTOFF',DATE '1998-06-22')) AS t(schma_nm, grp_nm, wrkflw_nm, attr_nm, attr_val_dt)""",
     # second history, keyed by user
     "user_hist": """
 SELECT user_id, ts AS start_ts, event_type,

@@ -15,9 +15,8 @@ micro-batch to the bucket-wise merge of ``MergeSink``.
 from __future__ import annotations
 
 import datetime as _dt
-from collections import defaultdict
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,10 +27,6 @@ from tidemark.params import RunDates, RunParams, cutoff_lookup
 from tidemark.plans.status_history import FINAL_COLS, HistorySources, StatusHistoryJob
 from tidemark.sources.tables import MergeSink
 
-# The number of categories is small and bounded; more than this is a data error.
-MAX_CATEGORIES = 10_000
-
-
 @dataclass
 class RunResult:
     runs: list[tuple[RunDates, list[str]]]
@@ -40,14 +35,12 @@ class RunResult:
 
 def runs_by_cutoff(cutoffs: DataFrame, as_of: _dt.date,
                    category: str = "subscription_category") -> list[tuple[RunDates, list[str]]]:
-    """Group categories by cutoff: one job per distinct cutoff, not one per category."""
-    rows = cutoffs.select(category, "cutoff_date").limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"more than {MAX_CATEGORIES} categories")
-    groups: dict[_dt.date, list[str]] = defaultdict(list)
-    for r in rows:
-        groups[r["cutoff_date"]].append(r[category])
-    return [(RunDates(cutoff=d, today=as_of), sorted(cats)) for d, cats in sorted(groups.items())]
+    """Group categories by cutoff: one job per distinct cutoff, not one per category.
+
+    Spark groups; the driver gets one row per distinct cutoff with its categories, as it has to plan a job for each.
+    """
+    rows = cutoffs.groupBy("cutoff_date").agg(F.sort_array(F.collect_set(category)).alias("c")).orderBy("cutoff_date").collect()
+    return [(RunDates(cutoff=r["cutoff_date"], today=as_of), list(r["c"])) for r in rows]
 
 
 def run_incremental(spark: SparkSession, src: HistorySources, cutoff_log: DataFrame, params: RunParams,
@@ -60,15 +53,17 @@ def run_incremental(spark: SparkSession, src: HistorySources, cutoff_log: DataFr
     cutoffs = cutoff_lookup(dl.distinct_categories(src.dim), cutoff_log, params)
     runs = runs_by_cutoff(cutoffs, params.as_of)
     for rd, cats in runs:
-        job = StatusHistoryJob(src, rd, categories=cats, materialize=materialize)
+        # each group merges into what the groups before it have committed
+        own = src if sink is None else replace(src, target=sink.read(spark))
+        job = StatusHistoryJob(own, rd, categories=cats, materialize=materialize)
         if sink is not None:
             sink.upsert(job.final_rows, VERSION_KEYS, update=FINAL_COLS[4:], insert=FINAL_COLS)
             sink.range_update(job.plan_ranges, keys=ITEM_KEYS, at="start_date", start="bp_start_date",
                               end="bp_end_date", set_col="upd_ind", from_col="bp_upd_ind",
                               target_key=VERSION_KEYS, on_multi="latest",
                               prefer=["bp_start_date", "bp_item", "bp_no"])
-    next_log = cutoffs.select(F.col("subscription_category").alias("category"),
-                              F.lit(params.as_of).alias("attr_val_dt"))
+            job.drop_stages()
+    next_log = params.log_rows(cutoffs)
     return RunResult(runs=runs, next_log=next_log)
 
 
