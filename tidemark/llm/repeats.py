@@ -27,7 +27,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Stages, broadcast_if_small, out_batch, prefix_hash, span_hashes, utf8
@@ -231,6 +231,20 @@ def spans_by_count(contexts: DataFrame, length: int) -> DataFrame:
     return strings.join(often, ["h1", "h2"], "left_semi").select("id", "x1", "start", "end")
 
 
+def united_spans(gathered: DataFrame) -> DataFrame:
+    """``id, x1, spans`` with the spans of each row united."""
+    schema = pa.schema([("id", pa.int64()), ("x1", pa.int64()), ("spans", pa.list_(
+        pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            spans = [[{"start": a, "end": b} for a, b in united([(s["start"], s["end"]) for s in x])]
+                     for x in batch.column(2).to_pylist()]
+            yield out_batch(schema, [batch.column(0), batch.column(1), spans])
+
+    return gathered.mapInArrow(run, f"{ROW}, spans array<struct<start:long,end:long>>")
+
+
 def repeated_spans(texts: DataFrame, stages: Stages, length: int, most_group: int) -> DataFrame:
     """``id, x1, spans`` of the rows of ``texts`` (``id, x1, text``) that hold repeated strings."""
     found = stages.put(find_boundaries(texts, length), "boundaries")
@@ -246,8 +260,8 @@ def repeated_spans(texts: DataFrame, stages: Stages, length: int, most_group: in
     if not counts.where(F.col("c") > most_group).isEmpty():
         hot = stages.put(contexts(kept.where(F.col("c") > most_group), "chosen-hot"), "hot")
         spans = spans.union(spans_by_count(hot, length))
-    merged = spans.groupBy("id", "x1").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    out = stages.put(merged, "spans")
+    gathered = spans.groupBy("id", "x1").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    out = stages.put(united_spans(gathered), "spans")
     stages.drop("boundaries", "counts", "chosen", "chosen-hot", "hot")
     return out
 
@@ -288,9 +302,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
             out: list[list] = [[], [], [], [], [], []]
             for doc_id, data, is_copied, spans in zip(batch.column(0).to_pylist(), utf8(batch, "text"),
                                                       batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                cut = united([(s["start"], s["end"]) for s in spans or ()])
-                if is_copied:
-                    cut = [(0, len(data))]
+                cut = [(0, len(data))] if is_copied else [(s["start"], s["end"]) for s in spans or ()]
                 kept, at = [], 0
                 for start, end in cut:
                     kept.append(data[at:start])
