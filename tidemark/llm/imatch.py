@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Stages, mix64, out_batch, prefix_hash, span_hashes, utf8
+from tidemark.llm.common import mix64, out_batch, prefix_hash, small, span_hashes, Stages, utf8
 
 # Lexicon: terms in this share of all documents (lower and upper bound).
 BAND = (0.002, 0.2)
@@ -60,7 +60,7 @@ def lexicon(docs: DataFrame, stages: Stages, band: tuple[float, float] = BAND) -
             codes, n = np.unique(np.concatenate(held), return_counts=True)
             return out_batch(schema, [codes.view(np.int64), n])
 
-        for batch in batches:
+        for batch in small(batches):
             rows += batch.num_rows
             for text in utf8(batch, "text"):
                 held.append(term_codes(text))
@@ -180,7 +180,7 @@ def fingerprint(docs: DataFrame, codes: np.ndarray, *, subsets: tuple[float, ...
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = Fingerprints(codes, subsets)
-        for batch in batches:
+        for batch in small(batches):
             yield out_batch(schema, [batch.column(0), [prints.of(x) for x in utf8(batch, "text")]])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
@@ -209,7 +209,7 @@ def compare_edits(docs: DataFrame, *, band: tuple[float, float] = BAND, subsets:
             return (row[1], len(row[2]), sha256(edited).hexdigest(), row[3], changed, likeness(row[3], changed, subsets),
                     likeness(row[3], own, subsets))
 
-        for batch in batches:
+        for batch in small(batches):
             out = []
             for at, extra, doc_id, text in zip(*[c.to_pylist() for c in batch.columns]):
                 if extra and held is None:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import out_batch, prefix_hash, span_hashes, utf8
+from tidemark.llm.common import out_batch, prefix_hash, small, span_hashes, utf8
 
 THRESHOLD = 0.8
 
@@ -158,7 +158,7 @@ def scan_licences(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, *,
     known = Templates(templates, threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out: list[list] = [[], [], [], [], []]
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch, "text")):
                 grams, starts, ends = word_bigrams(text)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import BLANK, Stages, by_bytes, out_batch, prefix_hash, span_hashes, utf8
+from tidemark.llm.common import BLANK, by_bytes, out_batch, prefix_hash, small, span_hashes, Stages, utf8
 
 MAX_TOKENS = 4096
 END_ID = 2
@@ -145,7 +145,7 @@ def decompose(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordTokens(vocabulary)
-        for batch in batches:
+        for batch in small(batches):
             doc_ids, texts = batch.column(0).to_pylist(), utf8(batch, "text")
             for part in by_bytes(texts, BATCH_BYTES):
                 ids, first = words.ids(texts[part])

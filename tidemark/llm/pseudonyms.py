@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import out_batch
+from tidemark.llm.common import out_batch, small
 
 ROUNDS = 8
 
@@ -287,7 +287,7 @@ def replace_private(docs: DataFrame, key: bytes, *, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Feistel(key, reverse)
-        for batch in batches:
+        for batch in small(batches):
             texts, spans = [], []
             for text in batch.column(0).to_pylist():
                 new, found = (None, []) if text is None else pseudonymise(text, f)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Stages, broadcast_if_small, out_batch, utf8
+from tidemark.llm.common import broadcast_if_small, out_batch, small, Stages, utf8
 
 # Shrinkage of a class covariance towards the pooled one, and of the result towards a scaled identity.
 TO_POOLED = 0.05
@@ -82,7 +82,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("x", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             yield out_batch(schema, [batch.column(0), batch.column(1), [statistics(x) for x in utf8(batch, "text")]])
 
     text = F.col(text_col).cast("string")
@@ -145,7 +145,7 @@ def fit(labelled: DataFrame, **shrinkage) -> Discriminant | float:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in small(batches):
             y = batch.column(1).to_numpy(zero_copy_only=False)
             x = np.array(batch.column(0).to_pylist()).reshape(len(y), -1)
             z = np.hstack([np.ones((len(x), 1)), x])
@@ -174,7 +174,7 @@ def score(rows: DataFrame, model: Discriminant | float) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             if isinstance(model, float) or not batch.num_rows:
                 found = np.full(batch.num_rows, model if isinstance(model, float) else 0.0)
             else:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Stages, broadcast_if_small, out_batch, prefix_hash, span_hashes, utf8
+from tidemark.llm.common import broadcast_if_small, out_batch, prefix_hash, small, span_hashes, Stages, utf8
 
 LENGTH = 400
 GRAM = 16
@@ -149,7 +149,7 @@ def find_boundaries(texts: DataFrame, length: int) -> DataFrame:
                         ("place", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out: list[list] = [[], [], [], []]
             for id_, x1, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch, "text")):
                 place, key = boundaries(text, length)
@@ -168,7 +168,7 @@ def with_context(texts: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
                         ("before", pa.binary()), ("after", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out: list[list] = [[], [], [], [], [], []]
             for id_, x1, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                              utf8(batch, "text"), batch.column(3).to_pylist()):
@@ -196,7 +196,7 @@ def spans_by_order(contexts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        for batch in batches:
+        for batch in small(batches):
             for row in zip(*[c.to_pylist() for c in batch.columns]):
                 if len(held) >= CHUNK_ROWS and row[0] != held[-1][0]:
                     yield solve(held)
@@ -215,7 +215,7 @@ def spans_by_count(contexts: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        for batch in batches:
+        for batch in small(batches):
             for _, id_, x1, place, before, after in zip(*[c.to_pylist() for c in batch.columns]):
                 at, least, most = unpack(place)
                 text = before + after
@@ -237,7 +237,7 @@ def united_spans(gathered: DataFrame) -> DataFrame:
         pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             spans = [[{"start": a, "end": b} for a, b in united([(s["start"], s["end"]) for s in x])]
                      for x in batch.column(2).to_pylist()]
             yield out_batch(schema, [batch.column(0), batch.column(1), spans])
@@ -298,7 +298,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
         broadcast_if_small(spans, F.lit(32) + 32 * F.size("spans")), ["id", "x1"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             out: list[list] = [[], [], [], [], [], []]
             for doc_id, data, is_copied, spans in zip(batch.column(0).to_pylist(), utf8(batch, "text"),
                                                       batch.column(2).to_pylist(), batch.column(3).to_pylist()):
