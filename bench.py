@@ -1,10 +1,11 @@
-"""Bench: headline history-job queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``.
-
-The job's source tables (billing plans, history, dimension, ...) are derived
-from the given parquet tables once and written as parquet, as they would be
-stored tables in production; that setup is not timed. Each query is then run
-to the ``noop`` sink (full computation, no collect) ``$BENCH_RUNS`` times and
-the median is reported. Prints one JSON line.
+"""Bench: registered queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``.
+
+The source tables (billing plans, history, dimension, ...) are derived from the
+given parquet tables once and staged, as they would be stored tables in
+production; that setup is not timed. Each run starts with a new history job, so
+every stage a query needs is computed in it, and writes to the ``noop`` sink
+(full computation, no collect). The median of ``$BENCH_RUNS`` runs is
+reported. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -13,36 +14,15 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark import queries as Q  # noqa: E402
-from tidemark.operators import history as hs  # noqa: E402
-from tidemark.operators.rules import derive_status  # noqa: E402
 from tidemark.plans.status_history import HistorySources, StatusHistoryJob  # noqa: E402
 from tidemark.session import local_session  # noqa: E402
-from tidemark.sources.fixtures import Fixtures  # noqa: E402
-
-SOURCES = ["dim", "params", "plans", "bill_item", "bill_hdr", "order_line", "order_hdr", "business", "hist",
-           "status_hist", "cutoff_log"]
-
-
-def materialize_sources(spark, sf_dir: str, out: str) -> dict:
-    fx = Fixtures(spark, sf_dir)
-    tables = {}
-    for name in SOURCES:
-        path = f"{out}/{name}"
-        fx.table(name).write.mode("overwrite").parquet(path)
-        tables[name] = spark.read.parquet(path)
-    return tables
-
-
-def sources_of(t: dict) -> HistorySources:
-    return HistorySources(dim=t["dim"], params=t["params"], plans=t["plans"], bill_item=t["bill_item"],
-                          bill_hdr=t["bill_hdr"], order_line=t["order_line"], order_hdr=t["order_hdr"],
-                          business=t["business"], scd=t["hist"], target=t["status_hist"])
+from tidemark.sources.fixtures import VIEWS, Fixtures  # noqa: E402
+from tidemark.sources.tables import drop_stages  # noqa: E402
 
 
 def timed(fn, runs: int) -> float:
@@ -60,36 +40,34 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = local_session(cpus=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
                           app="tidemark-bench")
-    scratch = os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="tidemark-bench-")
-    t = materialize_sources(spark, sf_dir, scratch)
-    src = sources_of(t)
-    rd = Q.FIXTURE_DATES
-
-    def job(**kw) -> StatusHistoryJob:
-        return StatusHistoryJob(src, rd, **kw)
+    fixtures = Fixtures(spark, sf_dir)
+    for name in VIEWS:
+        fixtures.table(name)
+    src = HistorySources.from_fixtures(fixtures)
+    registered = Q.queries()
+
+    def query(name: str):
+        def run():
+            Q.forget_jobs()
+            return registered[name](spark, sf_dir)
+        return run
 
     def pipeline_per_category():
-        cats = [r[0] for r in t["dim"].select("subscription_category").distinct().collect()]
+        """The whole job, both merges included, once per category."""
         out = None
-        for cat in sorted(cats):
-            df = job(categories=[cat]).final_rows
+        for cat in sorted(r[0] for r in src.dim.select("subscription_category").distinct().collect()):
+            df = StatusHistoryJob(src, Q.FIXTURE_DATES, categories=[cat]).merged_with_plan_flag
             out = df if out is None else out.unionByName(df)
         return out
 
-    fx_status_input = None
-
-    def status_rules():
-        nonlocal fx_status_input
-        if fx_status_input is None:
-            fx_status_input = Q._fixture_status_input(spark, sf_dir).checkpoint(eager=True)
-        return derive_status(fx_status_input)
-
     headline = {
-        "collapse_close": lambda: hs.close_intervals(hs.collapse_runs(t["hist"])),
-        "delta_union_distinct": lambda: job().delta_versions,
-        "status_rules": status_rules,
-        "merge_upsert": lambda: job().merged,
-        "pipeline_one_job": lambda: job().merged_with_plan_flag,
+        "collapse_close": query("close_intervals"),
+        "link_versions": query("link_versions"),
+        "delta_union_distinct": query("delta_union_distinct"),
+        "status_rules": query("status_rules"),
+        "enrich_final": query("enrich_final"),
+        "merge_upsert": query("merge_upsert"),
+        "pipeline_one_job": query("merge_range_update"),
         "pipeline_per_category": pipeline_per_category,
     }
     only = [k for k in os.environ.get("BENCH_QUERIES", "").split(",") if k]
@@ -102,6 +80,7 @@ def main() -> None:
     print(json.dumps({"metric": "median_query_seconds_total", "value": round(sum(results.values()), 3),
                       "unit": "sec", "queries": results, "sf": float(sf) if sf else sf_dir,
                       "cpus": cpus, "runs": runs}))
+    drop_stages(spark)
 
 
 if __name__ == "__main__":

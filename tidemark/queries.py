@@ -51,6 +51,12 @@ def _job(spark: SparkSession, sf_dir: str) -> StatusHistoryJob:
         return _JOBS[key]
 
 
+def forget_jobs() -> None:
+    """Let the next query build its job anew (its stages are then computed again)."""
+    with _LOCK:
+        _JOBS.clear()
+
+
 def _fx(spark: SparkSession, sf_dir: str) -> Fixtures:
     return Fixtures(spark, sf_dir)
 
