@@ -7,6 +7,7 @@ on the file format. The reports group by the parts of the three-part name.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import PySparkException
@@ -38,6 +39,12 @@ def _parts(name: Column) -> tuple[Column, Column, Column]:
             F.substring_index(name, ".", -1))
 
 
+def without_schemas(info: DataFrame, schemas: Sequence[str]) -> DataFrame:
+    """Rows of ``info`` whose schema is none of ``schemas`` (text inequality on the second part of the name)."""
+    _, schema, _ = _parts(F.col("name"))
+    return info.where(reduce(lambda a, b: a & b, [schema != s for s in schemas], F.lit(True)))
+
+
 def inventory_by_schema(info: DataFrame, unit: float = 1e9, size_col: str = "schema_size_gb") -> DataFrame:
     """Schema sizes: sum of per-table sizes rounded to 2 decimals in ``unit``; empty schemas dropped."""
     cat, sch, _ = _parts(F.col("name"))

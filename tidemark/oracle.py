@@ -4,7 +4,7 @@ Each stage is one SQL statement with ``{name}`` placeholders for the views
 it reads (fixture views, base tables or other stages). ``render`` inlines the
 transitive dependencies as CTEs in dependency order; base tables are the
 driver's pre-registered views. The SQL is written independently of the Spark
-code: it states the semantics, the Spark side the execution.
+code, which imports none of it: it states the semantics, the Spark side the execution.
 """
 
 from __future__ import annotations
@@ -477,6 +477,10 @@ WHERE g.country_name IN ('NATION_3', 'NATION_4', 'NATION_5', 'NATION_6', 'NATION
 SELECT split_part(name, '.', 1) AS catalog_name, split_part(name, '.', 2) AS schema_name,
  round(sum(round(sizeinbytes / 1000000, 2)), 2) AS schema_size_mb
 FROM {table_sizes} WHERE sizeinbytes > 0 GROUP BY ALL HAVING schema_size_mb > 0""",
+    "inventory_skip_schemas": """
+SELECT split_part(name, '.', 1) AS catalog_name, split_part(name, '.', 2) AS schema_name,
+ split_part(name, '.', -1) AS table_name, sizeinbytes, round(sizeinbytes / 1000000, 2) AS size_mb
+FROM {table_sizes} WHERE sizeinbytes > 0 AND split_part(name, '.', 2) <> 'events' AND split_part(name, '.', 2) <> 'corpus'""",
     "inventory_by_table": """
 SELECT split_part(name, '.', 1) AS catalog_name, split_part(name, '.', 2) AS schema_name,
  split_part(name, '.', -1) AS table_name, sizeinbytes, round(sizeinbytes / 1000000, 2) AS size_mb
