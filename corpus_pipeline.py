@@ -43,8 +43,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences: pieces of one document each, of power-of-two length."""
-    return packing.pack(docs, vocabulary())
+    """Training sequences: pieces of one document each, of power-of-two length.
+
+    The executors still hold what the stages before have left in memory, so the word table is kept small.
+    """
+    return packing.pack(docs, vocabulary(), most_words=300_000, batch_bytes=512 * 1024)
 
 
 STAGES = [("quality classifier", quality_classifier), ("n-gram Jaccard join", jaccard_join), ("PII", pii),

@@ -10,7 +10,6 @@ table (writer task, row in its file, bucket), which is unique and stays the same
 
 from __future__ import annotations
 
-import json
 import os
 from collections.abc import Iterator
 
@@ -55,12 +54,10 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        if spec["model"].get("end_of_word_suffix") is None:
-            raise ValueError("a tokenizer whose words end at white space is needed")
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        if getattr(self.model, "end_of_word_suffix", None) is None:
+            raise ValueError("a tokenizer whose words end at white space is needed")
         self.letters = byte_letters()
         self.most_words = most_words
         self._clear()
@@ -133,21 +130,23 @@ def piece_lengths(n: int, max_tokens: int = MAX_TOKENS) -> list[int]:
 
 
 def decompose(docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text",
-              max_tokens: int = MAX_TOKENS, end_id: int = END_ID) -> DataFrame:
+              max_tokens: int = MAX_TOKENS, end_id: int = END_ID, most_words: int = MOST_WORDS,
+              batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Pieces (``doc_id, start, length, ids, doc_tokens``) of every document, in one pass.
 
     Null and empty texts hold the end token alone. Repeated rows are packed once per row; an empty table gives
-    no pieces; other columns are not read. ``ids`` are little-endian unsigned 32-bit integers.
+    no pieces; other columns are not read. ``most_words`` and ``batch_bytes`` bound a task's memory, not its result.
+    ``ids`` are little-endian unsigned 32-bit integers.
     """
     if max_tokens < 1 or max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokens(vocabulary)
+        words = WordTokens(vocabulary, most_words)
         for batch in small(batches):
             doc_ids, texts = batch.column(0).to_pylist(), utf8(batch, "text")
-            for part in by_bytes(texts, BATCH_BYTES):
+            for part in by_bytes(texts, batch_bytes):
                 ids, first = words.ids(texts[part])
                 data = memoryview(ids.astype("<u4", copy=False)).cast("B")
                 out: list[list] = [[], [], [], [], []]
