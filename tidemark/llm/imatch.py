@@ -162,8 +162,9 @@ def in_ranges(docs: DataFrame, rows_per_range: int) -> DataFrame:
     own = F.struct(F.col("range").alias("range"), F.lit(False).alias("extra"))
     copy = F.struct(before.cast("int").alias("range"), F.lit(True).alias("extra"))
     sent = placed.withColumn("to", F.explode(F.when(starts_range("key"), F.array(own, copy)).otherwise(F.array(own))))
-    return sent.select("to.range", "to.extra", "key", "tie", "doc_id", "text").repartition(
-        len(starts), "range").sortWithinPartitions("range", "extra", "key", "tie", "text")
+    # one range per partition: hashing the range numbers would put several into one and none into another
+    return sent.select("to.range", "to.extra", "key", "tie", "doc_id", "text").repartitionById(
+        len(starts), F.col("range")).sortWithinPartitions("range", "extra", "key", "tie", "text")
 
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
