@@ -28,6 +28,7 @@ class Stages:
         self.spark = spark
         base = ensure_checkpoint_dir(spark).rstrip("/")
         self.root = f"{base}/tidemark-stages/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+        self.names: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -37,9 +38,15 @@ class Stages:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name))
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def keep(self, *names: str) -> None:
+        """Remove all tables but those that the returned frames still read."""
+        self.drop(*(self.names - set(names)))
+
     def drop(self, *names: str) -> None:
+        self.names -= set(names)
         jvm = self.spark._jvm
         for name in names:
             path = jvm.org.apache.hadoop.fs.Path(self.path(name))

@@ -141,6 +141,7 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sour
                                             F.col(source_col).cast("string").alias("source")),
                                 "doc_id", "text", "source", seed).drop("text"), "sized")
     done = with_taken(sized, thresholds(sized, stages, weights, max_repeats))
+    stages.keep("sized", "plan")
     return done.select("doc_id", "source", F.col(HASH).alias("hash"), F.col(SIZE).alias("size"),
                        F.col("_mix_source_size").alias("source_size"), F.col("_mix_target").alias("target"),
                        F.col("_mix_taken").alias("taken"))
@@ -162,6 +163,7 @@ def mixed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", so
     rows = measured(docs, id_col, text_col, source_col, seed)
     sized = stages.put(rows.select(F.col(source_col).cast("string").alias("source"), HASH, SIZE, KEY), "sized")
     done = with_taken(rows, thresholds(sized, stages, weights, max_repeats)).where("_mix_taken > 0")
+    stages.keep("plan")
     rest = F.col("_mix_taken") % F.col(SIZE)
     copies = F.ceil(F.col("_mix_taken") / F.col(SIZE)).cast("int")
     done = done.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), copies)))

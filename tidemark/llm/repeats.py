@@ -294,6 +294,7 @@ def remove_repeats(docs: DataFrame, *, length: int = LENGTH, id_col: str = "doc_
     copied = broadcast_if_small(classes, 24)
     single = rows.join(copied, ["x1", "x2"], "left").where("first IS NULL OR first = id").select("id", "x1", "text")
     spans = repeated_spans(single, stages, length, most_group)
+    stages.keep("classes", "spans")
     marked = rows.join(copied.withColumn("copied", F.lit(True)).drop("first"), ["x1", "x2"], "left").join(
         broadcast_if_small(spans, F.lit(32) + 32 * F.size("spans")), ["id", "x1"], "left")
 

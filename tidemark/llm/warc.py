@@ -243,4 +243,6 @@ def archive_pages(pages: DataFrame, **options) -> DataFrame:
     stages = Stages(pages.sparkSession, "warc")
     path = write_archives(pages, stages, **options)
     runs = stages.put(read_archives(pages.sparkSession, path), "runs")
-    return stages.put(merge_runs(runs), "captures")
+    captures = stages.put(merge_runs(runs), "captures")
+    stages.keep("captures")  # the archives are no stage table and stay
+    return captures
