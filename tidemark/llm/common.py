@@ -33,8 +33,9 @@ class Stages:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def put(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-        writer = df.write.mode("overwrite").option("compression", "zstd")
+    def put(self, df: DataFrame, name: str, partition_by: list[str] | None = None, tasks: int | None = None) -> DataFrame:
+        """Write and read back; with ``tasks`` at most that many write (for tables known to be small)."""
+        writer = (df if tasks is None else df.coalesce(tasks)).write.mode("overwrite").option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name))
