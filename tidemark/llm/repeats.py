@@ -254,7 +254,8 @@ def repeated_spans(texts: DataFrame, stages: Stages, length: int, most_group: in
     def contexts(rows: DataFrame, name: str) -> DataFrame:
         places = F.collect_list(F.struct("key", "place"))
         chosen = stages.put(rows.groupBy("id", "x1").agg(places.alias("places")), name)
-        return with_context(texts, broadcast_if_small(chosen, F.lit(32) + 24 * F.size("places")), length)
+        # the places grow with the corpus, so this join is a shuffle at every size
+        return with_context(texts, chosen, length)
 
     spans = spans_by_order(contexts(kept.where(F.col("c") <= most_group), "chosen"), length)
     if not counts.where(F.col("c") > most_group).isEmpty():
