@@ -16,6 +16,10 @@ from tidemark.llm.queries import PSEUDONYM_KEY, vocabulary
 # No stage can be stated in SQL (trained model, keyed permutation, token ids); the tests compare with brute force.
 ORACLE_SQL = None
 
+# Near copies in this pipeline: similarity of 0.8 over five-word shingles. op6_jaccard has its own rule (4 words, 0.85).
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def _with_length(docs: DataFrame) -> DataFrame:
     """``n_chars`` follows a changed text."""
@@ -29,7 +33,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id."""
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,24 @@ def test_near_copies(steps):
     assert {r.doc_id for r in steps[2].collect()} == {i for i, _, component in plain_components(rows) if i == component}
 
 
+def test_near_copies_by_five_words_and_four_fifths(workers):
+    """Links between 0.80 and 0.85 of five-word shingles: 20% of text appended, and scattered edits."""
+    base = [[f"w{g}x{k}" for k in range(200)] for g in range(5)]
+    edited = list(base[1])
+    for k in (30, 80, 130, 180):
+        edited[k] = "other"
+    less = list(base[2])
+    for k in range(10, 200, 30):
+        less[k] = "other"
+    texts = {1: base[0], 2: base[0] + [f"more{k}" for k in range(40)], 3: base[1], 4: edited, 5: base[2], 6: less, 7: base[3]}
+    sets = {i: {tuple(t[k:k + 5]) for k in range(len(t) - 4)} for i, t in texts.items()}
+    near = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert 0.8 <= near(1, 2) < 0.85 and 0.8 <= near(3, 4) < 0.85 and near(5, 6) < 0.8
+    df = workers.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.jaccard_join(workers, df, SF001).collect()}
+    assert kept == {b for b in texts if not any(near(a, b) >= 0.8 for a in texts if a < b)}
+
+
 def test_pii(steps):
     f = pseudonyms.Feistel(PSEUDONYM_KEY)
     before = {r.doc_id: r.text for r in steps[2].collect()}
