@@ -67,6 +67,30 @@ def test_kinds_and_round_trip(text, kind):
     assert length > 0 and P.pseudonymise(text, P.Feistel(b"another key of the tests"))[0] != new
 
 
+@pytest.mark.parametrize("text, value, kind", [
+    ("4111 1111 1111 1111 123", "4111 1111 1111 1111", "card"), ("4111 1111 1111 1111 12/26", "4111 1111 1111 1111", "card"),
+    ("4111111111111111 2 items", "4111111111111111", "card"), ("12 4111 1111 1111 1111", "4111 1111 1111 1111", "card"),
+    ("BE68 5390 0754 7034 EUR 50", "BE68 5390 0754 7034", "iban"), ("BE68539007547034 EUR 50", "BE68539007547034", "iban"),
+    ("ES91 2100 0418 4502 0005 1332 BIC", "ES91 2100 0418 4502 0005 1332", "iban"),
+    ("706-555-3138 124 items", "706-555-3138", "phone"), ("2020-02-29T12:30:00Z", "2020-02-29", "date")])
+def test_values_before_other_digits_and_capitals(text, value, kind):
+    new, found = change(text)
+    at = text.index(value)
+    assert found == [(kind, at, len(value))] and new[:at] == text[:at] and new[at + len(value):] == text[at + len(value):]
+    assert new[at:at + len(value)] != value and P.pseudonymise(new, BACK)[0] == text
+    assert text.startswith("12 ") or new[at:at + len(value)] == change(value)[0]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("0123456789", min_size=15, max_size=15), st.sampled_from([" 123", " 7", " 12/26", "-123", " 12 items"]),
+       st.sampled_from(["", "no 5 "]))
+def test_cards_among_other_digits_have_a_way_back(payload, behind, before):
+    digits = payload + P.luhn_digit(payload)
+    text = before + " ".join(digits[k:k + 4] for k in range(0, 16, 4)) + behind
+    new, found = change(text)
+    assert found[0][0] == "card" and P.pseudonymise(new, BACK)[0] == text
+
+
 def test_phones_link_across_formats():
     digits = lambda t: "".join(c for c in change(t)[0] if c.isdigit())
     assert digits("+1 (706) 555-3138")[-10:] == digits("(706) 555-3138") == digits("706-555-3138")

@@ -6,6 +6,11 @@ permutation of their own format: digits stay digits, check digits stay right, da
 place. Equal values get equal pseudonyms in all documents, whatever their separators; different values get different
 ones. With the key the permutation can be undone (``reverse=True``), and a pseudonym is found by the same patterns.
 
+Where a match reaches into digits or capitals that follow a value and its check fails, its parts between separators are
+tried (an IBAN has the length of its country, cards the longest first), then the other kinds at the same place. A
+pseudonym there that would read as another value with what stands around it is permuted again until it does not, so
+that the way back finds it; only such values may lose the link to equal ones elsewhere.
+
 The permutation numbers the values of a format from 0 to N - 1 and applies a balanced Feistel network of keyed BLAKE2b
 rounds, walking the cycle until the result lies in the range again.
 """
@@ -98,6 +103,14 @@ def _iban_check(country: str, account: str) -> str:
     return f"{98 - int(number) % 97:02d}"
 
 
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 "
+    "FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 "
+    "LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 "
+    "RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+
+
 def iban(f: Feistel, text: str) -> str | None:
     plain = text.replace(" ", "")
     country, check, account = plain[:2], plain[2:4], plain[4:]
@@ -222,7 +235,7 @@ KINDS: tuple[tuple[str, str, Callable[[Feistel, str], str | None]], ...] = (
     ("access key", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)(?P<v_access_key>[A-Z0-9]{16})(?![A-Za-z0-9])", credential),
     ("iban", r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)", iban),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", address),
-    ("date", r"(?<![\w/.-])(?:\d{4}([-/.])\d{2}\g<SEP>\d{2}|\d{2}([-/.])\d{2}\g<SEP2>\d{4})(?!\w|[-/.]\d)", date),
+    ("date", r"(?<![\w/.-])(?:\d{4}([-/.])\d{2}\g<SEP>\d{2}|\d{2}([-/.])\d{2}\g<SEP2>\d{4})(?!(?!T\d)\w|[-/.]\d)", date),
     ("social", r"(?<![\w-])\d{3}-\d{2}-\d{4}(?!\w|-\d)", social),
     ("card", r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?!\w|[.-]\d)", card),
     ("phone", r"(?<![\w+(])(?:\+\d{1,3}[ .-]?)(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-]?)\d{3,4}[ .-]?\d{3,4}(?!\w|[-.]\d)"
@@ -231,41 +244,91 @@ KINDS: tuple[tuple[str, str, Callable[[Feistel, str], str | None]], ...] = (
 )
 
 
-def _pattern() -> re.Pattern:
-    parts = []
+def _patterns() -> dict[str, str]:
+    parts = {}
     for name, pattern, _ in KINDS:
         group = name.replace(" ", "_")
         pattern = pattern.replace(r"([-/.])\d{2}\g<SEP>", r"(?P<sep>[-/.])\d{2}(?P=sep)").replace(
             r"([-/.])\d{2}\g<SEP2>", r"(?P<sep2>[-/.])\d{2}(?P=sep2)")
-        parts.append(f"(?P<{group}>{pattern})")
-    return re.compile("|".join(parts))
+        parts[group] = f"(?P<{group}>{pattern})"
+    return parts
 
 
-_FIND = _pattern()
+_FIND = re.compile("|".join(_patterns().values()))
+_AT = {group: re.compile(pattern) for group, pattern in _patterns().items()}
 _FORMATS = {name.replace(" ", "_"): make for name, _, make in KINDS}
 # Every kind holds a digit, an at sign or an assignment; texts without any are left at once.
 _ANY = re.compile(r"[0-9@=:]")
 
 
+def _parts(kind: str, text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """The spans of a match that may be the value, in order of precedence."""
+    if kind == "iban":
+        length = IBAN_LENGTHS.get(text[start:start + 2])
+        for e in [end, *(k for k in range(end - 1, start, -1) if text[k] == " ")]:
+            if length in (None, e - start - text.count(" ", start, e)):
+                yield start, e
+    elif kind == "card":
+        yield start, end
+        starts = [start, *(k + 1 for k in range(start, end) if text[k] == " ")]
+        ends = [*(k for k in range(start, end) if not text[k].isdigit()), end]
+        sized = [(-len(_digits(text[a:e])), a, e) for a in starts for e in ends if a < e and (a, e) != (start, end)]
+        yield from ((a, e) for n, a, e in sorted(sized) if 13 <= -n <= 19)
+    else:
+        yield start, end
+
+
+def _value_at(f: Feistel, text: str, at: int) -> tuple[int, str, int, int, str] | None:
+    """The first valid value of a match at ``at``: its place among the candidates, kind, start, end and pseudonym."""
+    number = 0
+    for kind, pattern in _AT.items():
+        if m := pattern.match(text, at):
+            for start, end in _parts(kind, text, *m.span(f"v_{kind}" if f"v_{kind}" in pattern.groupindex else kind)):
+                if (new := _FORMATS[kind](f, text[start:end])) is not None:
+                    return number, kind, start, end, new
+                number += 1
+    return None
+
+
+# Characters behind a match that may belong to a longer one at the same place.
+_REACH = 64
+
+
+def _next_value(f: Feistel, text: str, at: int) -> tuple[str, int, int, str, int | None] | None:
+    """Kind, start, end and pseudonym of the first value from ``at`` on, and where a match that failed reaches into it."""
+    failed, reach = None, 0
+    while m := _FIND.search(text, at):
+        found = _value_at(f, text, m.start())
+        if failed is None or reach <= m.start():
+            failed = m.start()
+        if found is not None:
+            number, kind, start, end, new = found
+            return kind, start, end, new, failed if number or failed < m.start() else None
+        reach = max(reach, m.end() + _REACH)
+        at = m.start() + 1
+        # no value here: look again behind its first run of word characters
+        while at < m.end() and text[at].isalnum() and text[at - 1].isalnum():
+            at += 1
+    return None
+
+
 def pseudonymise(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and the replaced spans (kind, start, length) in code points of the input."""
     if not _ANY.search(text):
         return text, []
-    out, found, done, at = [], [], 0, 0
-    while m := _FIND.search(text, at):
-        kind = m.lastgroup if m.lastgroup in _FORMATS else next(k for k in _FORMATS if m.group(k) is not None)
-        value = f"v_{kind}" if f"v_{kind}" in _FIND.groupindex else kind
-        start, end = m.span(value)
-        new = _FORMATS[kind](f, text[start:end])
-        if new is None:
-            at = m.start() + 1
-            # not a value of this kind: look again behind its first run of word characters
-            while at < m.end() and text[at].isalnum() and text[at - 1].isalnum():
-                at += 1
-            continue
+    out, found, done = [], [], 0
+    while value := _next_value(f, text, done):
+        kind, start, end, new, failed = value
+        if failed is not None:  # with some pseudonyms another value would be found here: walk on to one that is found
+            low, high = max(done, failed - 2), end + 2 * _REACH
+            while True:
+                again = _next_value(f, text[low:start] + new + text[end:high], failed - low)
+                if again is not None and again[:3] == (kind, start - low, end - low):
+                    break
+                new = _FORMATS[kind](f, new)
         out += [text[done:start], new]
         found.append((kind, start, end - start))
-        done = at = end
+        done = end
     return "".join(out) + text[done:], found
 
 
