@@ -3,6 +3,7 @@
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -55,6 +56,60 @@ def test_templates_are_found_whole_edited_and_inside_other_text(workers):
     assert licences.scan_licences(df.limit(0)).collect() == []
 
 
+def names(text):
+    known = Templates(TEMPLATES, licences.THRESHOLD)
+    return [known.names[k] for k, _, _, _ in known.scan(word_bigrams(f"Words before it. {text} Words behind it.".encode())[0])]
+
+
+@pytest.mark.parametrize("name, old, new, want", [
+    ("GPL-3.0", "GNU General", "GNU Lesser General", ["LGPL-3.0"]), ("GPL-3.0", "GNU General", "GNU Affero General", ["AGPL-3.0"]),
+    ("GPL-3.0", "version 3", "version 2", ["GPL-2.0"]), ("GPL-3.0", "version 3", "version 1", []),
+    ("LGPL-3.0", "version 3", "version 2.1", ["LGPL-2.1"]), ("GPL-3.0", "version 3 of the License", "", []),
+    ("GPL-3.0 notice", "General", "Lesser General", ["LGPL-3.0 notice"]), ("GPL-3.0 notice", "version 3", "version 2", ["GPL-2.0 notice"]),
+    ("Apache-2.0 notice", "2.0", "1.1", []), ("Apache-2.0", "Version 2.0", "Version 1.1", []),
+    ("CC-BY-NC-4.0 notice", "4.0", "3.0", []), ("CC-BY-4.0 notice", "BY", "BY-NC-SA", ["CC-BY-NC-SA-4.0 notice"]),
+    ("CC-BY-SA-4.0 notice", "4.0", "3.0", []), ("CC-BY-4.0", "4.0", "3.0", []),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the\nSoftware.", "", []),
+    ("BSD-3-Clause text", "may be used", "can be used", ["BSD-3-Clause text"]), ("BSD-2-Clause text", "ADVISED", "TOLD", ["BSD-2-Clause text"]),
+    ("GPL-2.0 text", "Version 2, June 1991", "Version 1, February 1989", ["GPL-2.0"]),  # the header it quotes
+    ("GPL-3.0 text", "freedom", "liberty", ["GPL-3.0 text"]),
+    ("AGPL-3.0 text", "freedom", "liberty", ["AGPL-3.0 text"]), ("Apache-2.0 text", "Contributor", "Author", ["Apache-2.0 text"]),
+    ("CC0-1.0 text", "Affirmer", "Author", ["CC0-1.0 text"]), ("MPL-2.0 text", "Exhibit", "Annex", ["MPL-2.0 text"])])
+def test_versions_and_variants_get_their_own_name(name, old, new, want):
+    assert old in TEMPLATES[name]
+    text = TEMPLATES[name].replace(old, new)
+    assert set(names(text)) == set(want)
+
+
+def plain_scan(words, templates, threshold):
+    """All windows that start and end with a hit, best first, taken unless they meet a taken one."""
+    grams = list(zip(words, words[1:]))
+    sets = [set(zip(t, t[1:])) for t in templates]
+    found = []
+    for k, want in enumerate(sets):
+        for a in range(len(grams)):
+            for b in range(a, min(len(grams), a + int(len(want) * (2 - threshold) / threshold + 1e-9))):
+                own = set(grams[a:b + 1])
+                dice = 2 * len(own & want) / (len(own) + len(want))
+                if grams[a] in want and grams[b] in want and grams[b] not in grams[a:b] and dice >= threshold:
+                    found.append((-dice, -len(want), a, b, k))
+    taken = []
+    for dice, _, a, b, k in sorted(found):
+        if all(b + 1 < x or y + 1 < a for _, _, x, y in taken):
+            taken.append((k, -dice, a, b))
+    return sorted(taken, key=lambda x: x[2])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("abcde"), max_size=30),
+       st.lists(st.lists(st.sampled_from("abcd"), min_size=3, max_size=4), min_size=1, max_size=3), st.sampled_from([0.5, 0.7, 0.8]))
+def test_windows_are_taken_best_first(words, templates, threshold):
+    known = Templates({str(k): " ".join(t) for k, t in enumerate(templates)}, threshold)
+    grams, _, _ = word_bigrams(" ".join(words).encode())
+    if not any(known.level):
+        assert (known.scan(grams) if len(grams) else []) == plain_scan(words, templates, threshold)
+
+
 def test_repeated_notice_is_scanned_in_linear_work():
     grams, _, _ = word_bigrams(b"released under the mit license " * 4000)
     assert len(Templates(TEMPLATES, 0.8).scan(grams)) == 4000

@@ -5,13 +5,18 @@ bigrams of all templates. Around the hits, word windows are compared with a temp
 sets of distinct bigrams, ``2 |A & B| / (|A| + |B|)``. A window can reach the threshold t only if its size is between
 ``|B| t / (2 - t)`` and ``|B| (2 - t) / t`` and it shares at least ``|B| t / (2 - t)`` bigrams: templates without that
 many hits are never scored, nor are windows of more words than the upper bound.
+
+Neighbouring versions and variants are templates of their own, and a window counts for one of them only if it holds the
+words that tell it from the others (``TOLD_BY``). Templates that contain another one (a whole text its header, say) are
+searched before it, so that an edit in the rest of a text does not leave the part alone.
 """
 
 from __future__ import annotations
 
 import math
-from collections import defaultdict
 from collections.abc import Iterator, Mapping
+from heapq import heapify, heappop, heappush
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +69,93 @@ MPL was not distributed with this file, You can obtain one at http://mozilla.org
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+_DISCLAIMER = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_GNU = """This program is free software{sep} you can redistribute it and/or modify it under the terms of the GNU {name}
+as published by the Free Software Foundation{comma} either version {version} of the License, or (at your option) any later
+version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."""
+
+
+def _gnu(name: str, version: str) -> str:
+    return _GNU.format(name=f"{name}General Public License", version=version, sep=";", comma=";")
+
+
+TEMPLATES |= {
+    "ISC text": TEMPLATES["ISC"] + """
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+THIS SOFTWARE.""",
+    "BSD-2-Clause text": TEMPLATES["BSD-2-Clause"] + _DISCLAIMER,
+    "BSD-3-Clause": (_BSD_3 := TEMPLATES["BSD-2-Clause"] + """
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission."""),
+    "BSD-3-Clause text": _BSD_3 + _DISCLAIMER,
+    "GPL-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+    "LGPL-2.1 notice": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0 notice": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-3.0 notice": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "GPL-2.0": _gnu("", "2"),
+    "LGPL-2.0": _gnu("Library ", "2"),
+    "LGPL-2.1": _gnu("Lesser ", "2.1"),
+    "LGPL-3.0": _gnu("Lesser ", "3"),
+    "AGPL-3.0": _gnu("Affero ", "3"),
+    "CC-BY-ND-4.0 notice": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0 notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0 notice": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC0-1.0": """To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring
+rights to this software to the public domain worldwide. This software is distributed without any warranty.""",
+    "Unlicense text": TEMPLATES["Unlicense"] + """
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as
+a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all
+present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+}
+# Whole texts of the longer licences.
+TEMPLATES |= {f"{x.stem} text": x.read_text(encoding="utf-8")
+              for x in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+
+# Words (pairs of neighbours among them) that a window must hold to count for a template.
+TOLD_BY: dict[str, str] = {
+    "MIT notice": "the MIT", "MIT": "this permission notice", "ISC": "above copyright notice", "ISC text": "above copyright notice",
+    "BSD-3-Clause": "neither the name", "BSD-3-Clause text": "neither the name",
+    "Apache-2.0 notice": "Version 2.0", "Apache-2.0": "Version 2.0", "Apache-2.0 text": "Version 2.0",
+    "GPL-2.0 notice": "GNU General Public License, version 2", "GPL-3.0 notice": "GNU General Public License, version 3",
+    "LGPL-2.1 notice": "GNU Lesser General Public License, version 2.1", "LGPL-3.0 notice": "GNU Lesser General Public License, version 3",
+    "AGPL-3.0 notice": "GNU Affero General Public License, version 3",
+    "GPL-2.0": "version 2 of", "GPL-3.0": "version 3 of", "LGPL-2.1": "version 2.1 of",
+    "LGPL-3.0": "version 3 of", "AGPL-3.0": "version 3 of",
+    "GPL-2.0 text": "Version 2, June 1991", "GPL-3.0 text": "Use with the GNU Affero", "LGPL-2.1 text": "Version 2.1",
+    "LGPL-3.0 text": "version 3 of the GNU Lesser", "AGPL-3.0 text": "Remote Network Interaction",
+    "MPL-2.0": "v. 2.0", "MPL-2.0 text": "Version 2.0",
+    "CC-BY-4.0 notice": "BY 4.0", "CC-BY-SA-4.0 notice": "BY-SA 4.0", "CC-BY-NC-4.0 notice": "BY-NC 4.0", "CC-BY-ND-4.0 notice": "BY-ND 4.0",
+    "CC-BY-NC-SA-4.0 notice": "BY-NC-SA 4.0", "CC-BY-NC-ND-4.0 notice": "BY-NC-ND 4.0", "CC-BY-4.0": "Attribution 4.0",
+    "CC-BY-SA-4.0": "Attribution-ShareAlike 4.0", "CC-BY-NC-4.0": "Attribution-NonCommercial 4.0",
+}
+# The GNU headers name their licence by the word before "General".
+_GNU_NAMES = {"GPL": "GNU General", "LGPL": "Lesser General", "AGPL": "Affero General"}
+TOLD_BY |= {f"{k}-{v}": f"{TOLD_BY[f'{k}-{v}']} . {name}" for k, name in _GNU_NAMES.items() for v in ("2.0", "2.1", "3.0")
+            if f"{k}-{v}" in TOLD_BY}
+TOLD_BY["LGPL-2.0"] = "Library General"  # the only version of that name
+# A template comes before those that it contains for the most part, if it is so much longer.
+LONGER = 1.5
+
 # Letters, digits and all bytes from 0x80 up are word characters; capitals become small.
 _NORMAL = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256))
 _IS_WORD = np.frombuffer(_NORMAL, np.uint8) != 32
@@ -82,65 +174,96 @@ def word_bigrams(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return span_hashes(prefix_hash(joined), at[:-2], at[2:] - 1), starts, ends
 
 
+def _phrases(text: str) -> list[int]:
+    """Bigrams within the phrases of ``text``, which " . " sets apart."""
+    return [h for x in text.split(" . ") for h in word_bigrams(x.encode())[0].tolist()]
+
+
 class Templates:
-    def __init__(self, templates: Mapping[str, str], threshold: float):
+    def __init__(self, templates: Mapping[str, str], threshold: float, told_by: Mapping[str, str] = TOLD_BY):
         self.threshold = threshold
         self.names = list(templates)
-        self.sets = [frozenset(word_bigrams(x.encode())[0].tolist()) for x in templates.values()]
-        if not all(self.sets):
+        sets = [frozenset(word_bigrams(x.encode())[0].tolist()) for x in templates.values()]
+        if not all(sets):
             raise ValueError("a template needs two words or more")
-        self.of: dict[int, list[int]] = defaultdict(list)
-        for k, x in enumerate(self.sets):
-            for h in x:
-                self.of[h].append(k)
-        self.all = np.array(sorted(self.of), dtype=np.uint64)
-
-    def windows(self, template: int, hits: list[int], grams: list[int]) -> list[tuple[float, int, int]]:
-        """Windows of bigrams (first, last) that reach the threshold, by hits ``hits`` at bigram positions."""
-        t, size = self.threshold, len(self.sets[template])
-        least, most = math.ceil(size * t / (2 - t) - 1e-9), math.floor(size * (2 - t) / t + 1e-9)
-        found = []
-        for a, first in enumerate(hits):
-            seen: set[int] = set()
-            spread: set[int] = set()
-            filled = first
-            for last in hits[a:]:
-                if last - first >= most:
-                    break
-                spread.update(grams[filled:last + 1])
-                filled = last + 1
-                if grams[last] in seen:
-                    continue  # a longer window with nothing new is no better
-                seen.add(grams[last])
-                if len(seen) >= least and (dice := 2 * len(seen) / (len(spread) + size)) >= t:
-                    found.append((dice, first, last))
-        return found
+        self.sizes = np.array([len(x) for x in sets])
+        self.all = np.array(sorted(frozenset().union(*sets)), dtype=np.uint64)
+        self.member = np.array([np.isin(self.all, np.array(list(x), np.uint64)) for x in sets]).T.reshape(-1, len(sets))
+        self.needed = [[h for h in _phrases(told_by.get(n, "")) if h in x] for n, x in zip(self.names, sets)]
+        self.level = [0] * len(sets)
+        for k in np.argsort(-self.sizes, kind="stable").tolist():
+            above = [self.level[j] + 1 for j, x in enumerate(sets)
+                     if len(x) >= LONGER * len(sets[k]) and len(x & sets[k]) >= threshold * len(sets[k])]
+            self.level[k] = max(above, default=0)
 
     def scan(self, grams: np.ndarray) -> list[tuple[int, float, int, int]]:
-        """(template, dice, first bigram, last bigram): the best windows, none inside or across another."""
+        """(template, dice, first bigram, last bigram): the best windows, none inside or across another.
+
+        Each hit starts a best window; the best of all is taken, and a window that runs into a taken one is searched again
+        up to there.
+        """
+        t = self.threshold
         at = np.searchsorted(self.all, grams)
         at[at == len(self.all)] = 0
-        positions = np.flatnonzero(self.all[at] == grams).tolist()
-        if not positions:
+        known = self.all[at] == grams
+        if not known.any():
+            return []
+        hits_of = self.member[np.unique(at[known])].sum(axis=0)
+        candidates = np.flatnonzero(hits_of * (2 - t) >= self.sizes * t - 1e-9).tolist()
+        if not candidates:
             return []
-        by_template = defaultdict(list)
-        for p in positions:
-            for k in self.of[int(grams[p])]:
-                by_template[k].append(p)
-        own = grams.tolist()
-        found = []
-        for k, hits in by_template.items():
-            if len({own[p] for p in hits}) * (2 - self.threshold) >= len(self.sets[k]) * self.threshold - 1e-9:
-                found += [(dice, len(self.sets[k]), first, last, k) for dice, first, last in self.windows(k, hits, own)]
-        found.sort(key=lambda x: (-x[0], -x[1], x[2], x[3], x[4]))
+        order = np.argsort(grams, kind="stable")
+        before = np.full(len(grams), -1)  # where the same bigram stands before
+        same = grams[order[1:]] == grams[order[:-1]]
+        before[order[1:][same]] = order[:-1][same]
+        used = np.zeros(len(grams) + 1, dtype=bool)
         taken: list[tuple[int, float, int, int]] = []
-        used = np.zeros(len(own) + 1, dtype=bool)
-        for dice, _, first, last, k in found:
-            if not used[first:last + 2].any():
-                used[first:last + 2] = True
-                taken.append((k, dice, first, last))
+        for level in sorted({self.level[k] for k in candidates}):
+            searches, heap = {}, []
+            for k in candidates:
+                if self.level[k] == level:
+                    searches[k] = self._search(k, grams, known & self.member[at, k], before)
+                    heap += [found for first in searches[k][0] if (found := searches[k][1](first, len(grams) - 1))]
+            heapify(heap)
+            while heap:
+                dice, _, first, last, k = heappop(heap)
+                inside = used[first:last + 2]
+                if not inside.any():
+                    used[first:last + 2] = True
+                    taken.append((k, -dice, first, last))
+                elif (free := int(inside.argmax())) > 1 and (found := searches[k][1](first, first + free - 2)):
+                    heappush(heap, found)
         return sorted(taken, key=lambda x: x[2])
 
+    def _search(self, k: int, grams: np.ndarray, is_hit: np.ndarray, before: np.ndarray):
+        """First bigrams of windows for a template, and the search for the best window from one of them up to a limit."""
+        t, size = self.threshold, int(self.sizes[k])
+        least, most = math.ceil(size * t / (2 - t) - 1e-9), math.floor(size * (2 - t) / t + 1e-9)
+        needed = [np.flatnonzero(grams == np.uint64(h)) for h in self.needed[k]]
+        hits = np.flatnonzero(is_hit)
+        enough = np.searchsorted(hits, hits + most) - np.arange(len(hits)) >= least
+
+        def best(first: int, limit: int) -> tuple[float, int, int, int, int] | None:
+            end = min(first + most - 1, limit) + 1
+            if end - first < least:
+                return None
+            low = first
+            for places in needed:
+                if (j := int(np.searchsorted(places, first))) == len(places) or places[j] >= end:
+                    return None
+                low = max(low, int(places[j]))
+            fresh = before[first:end] < first
+            new = fresh & is_hit[first:end]
+            ends = np.flatnonzero(new)  # a longer window with nothing new is no better
+            seen = np.arange(1, len(ends) + 1)
+            dice = 2 * seen / (np.cumsum(fresh)[ends] + size)
+            dice[(seen < least) | (ends < low - first)] = 0.0
+            if not len(ends) or dice[j := int(dice.argmax())] < t:
+                return None
+            return -float(dice[j]), -size, first, first + int(ends[j]), k
+
+        return hits[enough].tolist(), best
+
 
 FOUND = "doc_id long, licence string, start long, length long, dice double"
 _FOUND = pa.schema([("doc_id", pa.int64()), ("licence", pa.string()), ("start", pa.int64()), ("length", pa.int64()),
@@ -151,7 +274,8 @@ def scan_licences(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, *,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per licence found: ``doc_id, licence, start, length`` (bytes of the UTF-8 text), ``dice``.
 
-    Windows of a document do not overlap: the highest Dice first, then the longer template. Null, empty and
+    Windows of a document do not overlap: templates that contain others first, then the highest Dice, then the longer
+    template. Null, empty and
     one-word texts hold no licence; repeated rows give their findings each; an empty table gives no rows; other
     columns are not read. One pass without a shuffle; the templates are part of the task.
     """
