@@ -60,6 +60,42 @@ def test_the_lexicon_is_the_band(workers):
     assert codes.tolist() == imatch.term_codes(b" ".join(b"word%d" % k for k in range(10))).tolist()
 
 
+def test_copies_count_once_in_the_lexicon(workers):
+    rows = [(k, f"common word{k % 10} rare{k}") for k in range(100)] + [(1000 + k, "common word1 rare1") for k in range(200)]
+    df = workers.createDataFrame(rows + [(5000, None), (5001, None)], "doc_id long, text string")
+    from tidemark.llm.common import Stages
+    codes = imatch.lexicon(df, Stages(workers, "t"), (0.05, 0.5))
+    assert codes.tolist() == imatch.term_codes(b" ".join(b"word%d" % k for k in range(10))).tolist()
+
+
+def test_a_third_of_copies_and_near_copies_keep_their_likeness(workers):
+    rnd = random.Random(8)
+    terms = [f"t{k}" for k in range(6000)]
+    base = rnd.sample(terms, 200)
+    rows = []
+    for k in range(300):
+        if k < 30:
+            words = base
+        elif k < 110:  # near copies: one word differs
+            words = list(base)
+            words[rnd.randrange(200)] = f"own{k}"
+        else:
+            words = rnd.sample(terms, 200)
+        rows.append((k, " ".join(words)))
+    near = {r.doc_id: (r.near_edited, r.near_next) for r in compare(workers, rows, rows_per_range=50)}
+    group, rest = [near[k] for k in range(30, 109)], [near[k] for k in range(110, 299)]
+    assert all(near[k] == (1.0, 1.0) or near[k][1] > 0.5 for k in range(109))
+    assert min(n for _, n in group) > 0.5 and min(e for e, _ in group) > 0.25      # half of the terms stay
+    assert np.mean([e for e, _ in rest]) > 0.2 and np.mean([n for _, n in rest]) < 0.1
+
+
+def test_few_lexicon_terms_and_many_are_compared_over_all_terms():
+    words = [f"w{k}" for k in range(60)]
+    prints = imatch.Fingerprints(imatch.term_codes(" ".join(words[:imatch.LEAST_TERMS]).encode()))
+    a, b = (prints.print_of(" ".join(x).encode()) for x in (words, words[1:]))
+    assert not a.whole and b.whole and prints.near(a, b) == prints.near(b, a) > 0.7
+
+
 def test_likeness_grows_with_what_two_texts_share():
     rnd = random.Random(3)
     terms = [f"t{k}" for k in range(4000)]

@@ -6,7 +6,11 @@ randomised subsets of the lexicon. Subsets keep a quarter, a sixteenth, ... of t
 have subsets in which few terms, and hence few edits, can occur. The likeness of two fingerprints is the share of
 equal hashes among the subsets that hold a term of either text.
 
-The band is relative to the number of documents, which bounds the lexicon: at most (mean distinct terms of a document)
+Copies count once: document frequencies are those of the distinct texts. A text with fewer than ``LEAST_TERMS`` lexicon
+terms (one of a large group of near copies, whose terms are all common, or a short one) has its hashes over all its terms,
+within the same subsets, and is compared by them; so is the other text of the pair.
+
+The band is relative to the number of distinct texts, which bounds the lexicon: at most (mean distinct terms of a document)
 / (lower bound) terms, whatever the corpus size. It is kept as 64-bit term codes, 8 bytes each.
 """
 
@@ -15,6 +19,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from hashlib import sha256
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -22,14 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix64, out_batch, prefix_hash, small, span_hashes, Stages, utf8
+from tidemark.llm.common import broadcast_if_small, mix64, out_batch, prefix_hash, small, span_hashes, Stages, utf8
 
-# Lexicon: terms in this share of all documents (lower and upper bound).
+# Lexicon: terms in this share of the distinct texts (lower and upper bound).
 BAND = (0.002, 0.2)
 # Randomised lexicons: how many, and the share of the terms that each keeps.
 SUBSETS = tuple(rate for rate, times in ((1 / 4, 4), (1 / 16, 8), (1 / 64, 16), (1 / 256, 24)) for _ in range(times))
 # A rate needs so many subsets with a term of either text to be judged by.
 LEAST_SUBSETS = 4
+# A text with fewer lexicon terms is hashed over all its terms.
+LEAST_TERMS = 16
 ROWS_PER_RANGE = 2048
 MOST_RANGES = 100_000
 EMPTY = "-" * 8
@@ -49,7 +56,7 @@ def term_codes(text: bytes) -> np.ndarray:
 
 
 def lexicon(docs: DataFrame, stages: Stages, band: tuple[float, float] = BAND) -> np.ndarray:
-    """Sorted codes of the terms whose document frequency lies in ``band``, counted over all documents."""
+    """Sorted codes of the terms whose document frequency lies in ``band``, counted over the distinct texts."""
     schema = pa.schema([("code", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,12 +79,19 @@ def lexicon(docs: DataFrame, stages: Stages, band: tuple[float, float] = BAND) -
             yield flush()
         yield out_batch(schema, [[None], [rows]])  # the null code counts the documents
 
-    counted = docs.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    # Only texts that repeat are dealt out, one of each from a task; all others are counted where they are read.
+    hashed = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumns(
+        {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), "text")})
+    repeated = stages.put(hashed.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2"), "repeated")
+    repeated = broadcast_if_small(repeated, 16)
+    once = hashed.join(repeated, ["h1", "h2"], "left_anti").select("text").unionByName(
+        hashed.join(repeated, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"]).select("text"))
+    counted = once.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     terms = stages.put(counted, "terms")
     total = terms.where("code IS NULL").agg(F.sum("n").alias("n")).first()["n"] or 0
     kept = terms.where(F.col("code").isNotNull() & F.col("n").between(band[0] * total, band[1] * total))
     codes = kept.select("code").toArrow().column(0).to_numpy()
-    stages.drop("terms")
+    stages.drop("terms", "repeated")
     return np.sort(codes.view(np.uint64))
 
 
@@ -86,28 +100,54 @@ class Fingerprints:
         import xxhash
 
         self.digest: Callable[[bytes], str] = xxhash.xxh32_hexdigest
-        self.codes = codes
-        seeds = mix64(np.arange(1, len(subsets) + 1, dtype=np.uint64) + np.uint64(seed << 32))
-        self.member = np.empty((len(codes), len(subsets)), dtype=bool)
-        for k, rate in enumerate(subsets):
-            self.member[:, k] = mix64(codes ^ seeds[k]) < np.uint64(int(rate * 2.0**64))
+        self.codes, self.rates = codes, subsets
+        self.seeds = mix64(np.arange(1, len(subsets) + 1, dtype=np.uint64) + np.uint64(seed << 32))
+        self.member = self._members(codes)
+
+    def _members(self, codes: np.ndarray) -> np.ndarray:
+        """For each term and subset, whether the subset has the term: a function of its code, whatever the lexicon."""
+        member = np.empty((len(codes), len(self.rates)), dtype=bool)
+        for k, rate in enumerate(self.rates):
+            member[:, k] = mix64(codes ^ self.seeds[k]) < np.uint64(int(rate * 2.0**64))
+        return member
+
+    def _hashes(self, own: np.ndarray, member: np.ndarray) -> str:
+        return self.digest(own.tobytes()) + "".join(
+            self.digest(own[member[:, k]].tobytes()) if some else EMPTY for k, some in enumerate(member.any(axis=0)))
+
+    def of_terms(self, terms: np.ndarray) -> tuple[str, bool]:
+        """The hashes of a text's distinct terms, and whether they are over all of them."""
+        if len(self.codes):
+            at = np.searchsorted(self.codes, terms)
+            at[at == len(self.codes)] = 0
+            at = at[self.codes[at] == terms]
+            if len(at) >= LEAST_TERMS:
+                return self._hashes(self.codes[at], self.member[at]), False
+        return self._hashes(terms, self._members(terms)), True
 
     def of(self, text: bytes) -> str:
         """The hashes, eight hexadecimal digits each; a subset without terms of the text has none.
 
-        A text without lexicon terms has only the first hash, of all its distinct terms.
+        A text with fewer than ``LEAST_TERMS`` lexicon terms is hashed over all its distinct terms.
         """
+        return self.of_terms(term_codes(text))[0]
+
+    def near(self, a: "Print", b: "Print") -> float:
+        """Likeness of two texts; where one is hashed over all its terms, the other is for this, too."""
+        if a.whole == b.whole:
+            return likeness(a.hashes, b.hashes, self.rates)
+        x, y = (p.hashes if p.whole else self._hashes(p.terms, self._members(p.terms)) for p in (a, b))
+        return likeness(x, y, self.rates)
+
+    def print_of(self, text: bytes) -> "Print":
         terms = term_codes(text)
-        if not len(self.codes):
-            return self.digest(terms.tobytes()) + EMPTY * self.member.shape[1]
-        at = np.searchsorted(self.codes, terms)
-        at[at == len(self.codes)] = 0
-        at = at[self.codes[at] == terms]
-        if not len(at):
-            return self.digest(terms.tobytes()) + EMPTY * self.member.shape[1]
-        own, member = self.codes[at], self.member[at]
-        return self.digest(own.tobytes()) + "".join(
-            self.digest(own[member[:, k]].tobytes()) if some else EMPTY for k, some in enumerate(member.any(axis=0)))
+        return Print(terms, *self.of_terms(terms))
+
+
+class Print(NamedTuple):
+    terms: np.ndarray
+    hashes: str
+    whole: bool
 
 
 def likeness(a: str, b: str, subsets: tuple[float, ...] = SUBSETS) -> float:
@@ -204,18 +244,18 @@ def compare_edits(docs: DataFrame, *, band: tuple[float, float] = BAND, subsets:
         prints = Fingerprints(codes, subsets)
         held = None  # (range, doc_id, text, fingerprint), waiting for its next document
 
-        def result(row: tuple, text: str, own: str) -> tuple:
+        def result(row: tuple, text: str, own: Print) -> tuple:
             edited = edited_text(row[2], text).encode()
-            changed = prints.of(edited)
-            return (row[1], len(row[2]), sha256(edited).hexdigest(), row[3], changed, likeness(row[3], changed, subsets),
-                    likeness(row[3], own, subsets))
+            changed = prints.print_of(edited)
+            return (row[1], len(row[2]), sha256(edited).hexdigest(), row[3].hashes, changed.hashes,
+                    prints.near(row[3], changed), prints.near(row[3], own))
 
         for batch in small(batches):
             out = []
             for at, extra, doc_id, text in zip(*[c.to_pylist() for c in batch.columns]):
                 if extra and held is None:
                     continue  # a further row with the first id of the next range
-                own = prints.of(text.encode())
+                own = prints.print_of(text.encode())
                 if held is not None:
                     out.append(result(held, text, own))
                 held = None if extra else (at, doc_id, text, own)
