@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitsliced, imatch, jaccard, licences, mixing, packing, pseudonyms, quality, repeats, warc
+from tidemark.llm import (
+    bitsliced, imatch, jaccard, licences, mixing, packing, pseudonyms, quality, repeats, warc, whitening, windows)
 from tidemark.llm.common import read, workers_import
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -70,7 +71,20 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(read(spark, sf_dir, "documents"))
 
 
-OPERATORS = (op1_packing, op2_imatch, op3_topk, op4_mixing, op5_quality, op6_jaccard, op7_warc, op8_repeats, op9_pii, op10_licences)
+def op12_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.remove_repeated_windows(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256", "text")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = whitening.whiten(read(spark, sf_dir, "embeddings"))
+    return done.select("vec_id", "n", "deviation", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "of"),
+                       "identity_error").select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error")
+
+
+OPERATORS = (op1_packing, op2_imatch, op3_topk, op4_mixing, op5_quality, op6_jaccard, op7_warc, op8_repeats, op9_pii,
+             op10_licences, op12_windows, op13_whitening)
 
 
 def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
