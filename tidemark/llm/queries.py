@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bitsliced, imatch, jaccard, licences, mixing, packing, pseudonyms, quality, repeats, warc, whitening, windows)
+    bitsliced, imatch, jaccard, licences, mixing, packing, pseudonyms, quality, repeats, spelling, warc, whitening, windows)
 from tidemark.llm.common import read, workers_import
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -71,6 +71,10 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan_licences(read(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
 def op12_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.remove_repeated_windows(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256", "text")
@@ -84,7 +88,7 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OPERATORS = (op1_packing, op2_imatch, op3_topk, op4_mixing, op5_quality, op6_jaccard, op7_warc, op8_repeats, op9_pii,
-             op10_licences, op12_windows, op13_whitening)
+             op10_licences, op11_spelling, op12_windows, op13_whitening)
 
 
 def _registered(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
