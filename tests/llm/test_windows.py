@@ -56,7 +56,7 @@ def rows(messy_rows):
     return out
 
 
-@pytest.mark.parametrize("window, chunk_words, bucket_windows", [(13, 2_000_000, 250_000), (5, 200, 10), (1, 900, 100)])
+@pytest.mark.parametrize("window, chunk_words, bucket_windows", [(13, 1_000_000, 250_000), (5, 200, 10), (1, 900, 100)])
 def test_every_repeated_window(workers, rows, window, chunk_words, bucket_windows):
     found = result(frame(workers, rows), window=window, chunk_words=chunk_words, bucket_windows=bucket_windows)
     assert found == plain(rows, window)

@@ -29,15 +29,13 @@ from tidemark.llm.common import (
     BLANK, broadcast_if_small, by_bytes, mix64, out_batch, powers, BASE, prefix_hash, small, span_hashes, Stages, utf8)
 
 WINDOW = 13
-CHUNK_WORDS = 2_000_000
+CHUNK_WORDS = 1_000_000
 BUCKET_WINDOWS = 250_000
 # Mean bytes of a word and the blank after it, for the number of buckets alone.
 WORD_BYTES = 7
 SEGMENT = 1 << 20
 # A start that is sent carries the number of the text among those of its id above this bit.
 TEXT_BIT = 32
-# Starts of repeats that a task holds before it gives them out.
-HELD_STARTS = 1_000_000
 
 _BLANK = re.compile(rb"[ \t-\r]")
 _SECOND = np.uint64(0xD1B54A32D192ED03)  # tells the hashes of the bucket from those of the value
@@ -178,55 +176,38 @@ def _columns(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 
 # ---- 3. repeats of a bucket ---------------------------------------------------------------
 
-_STARTS = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("starts", pa.list_(pa.int32()))])
+_STARTS = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("start", pa.int32())])
 
 
-def starts_by_text(ids: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-    order = np.lexsort((starts, ids))
-    ids, tags, starts = ids[order], starts[order] >> TEXT_BIT, starts[order] & ((1 << TEXT_BIT) - 1)
-    head = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1]))))
-    lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(ids)), pa.int32()), pa.array(starts.astype(np.int32)))
-    return pa.RecordBatch.from_arrays([pa.array(ids[head]), pa.array(tags[head]), lists], schema=_STARTS)
+def _starts(ids: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    return out_batch(_STARTS, [ids, starts >> TEXT_BIT, (starts & ((1 << TEXT_BIT) - 1)).astype(np.int32)])
 
 
 def repeated_starts(buckets: DataFrame) -> DataFrame:
-    """``id, tag, starts`` of windows that a smaller id has too (a text may have several rows)."""
-    def solve(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """``id, tag, start`` of windows that a smaller id has too."""
+    def solve(rows: list[tuple]) -> pa.RecordBatch:
         value = np.concatenate([np.frombuffer(h, np.uint64) for h, _ in rows])
         ids, starts = (np.concatenate(x) for x in zip(*[unpacked(p) for _, p in rows]))
         repeat = later(value, ids, np.lexsort((ids, value)))
-        return ids[repeat], starts[repeat]
+        return _starts(ids[repeat], starts[repeat])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        at, size = None, 0
-
-        def give() -> Iterator[pa.RecordBatch]:
-            if sum(len(x) for x, _ in found):
-                yield starts_by_text(*(np.concatenate(x) for x in zip(*found)))
-            found.clear()
-
+        at = None
         for batch in small(batches, 64):
             for bucket, hashes, places in zip(*[c.to_pylist() for c in batch.columns]):
                 if bucket != at and held:
-                    found.append(solve(held))
-                    size, held = size + len(found[-1][0]), []
+                    yield solve(held)
+                    held = []
                 at = bucket
                 if hashes is None:
-                    found.append(unpacked(places))
-                    size += len(found[-1][0])
+                    yield _starts(*unpacked(places))
                 else:
                     held.append((hashes, places))
-                if size >= HELD_STARTS:
-                    yield from give()
-                    size = 0
         if held:
-            found.append(solve(held))
-        yield from give()
+            yield solve(held)
 
-    return buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        run, "id long, tag long, starts array<int>")
+    return buckets.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "id long, tag long, start int")
 
 
 def united(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -251,7 +232,7 @@ def repeated_spans(starts: DataFrame, window: int) -> DataFrame:
                 spans.append([{"start": a, "end": b} for a, b in zip(first.tolist(), end.tolist())])
             yield out_batch(schema, [batch.column(0), batch.column(1), spans])
 
-    gathered = starts.groupBy("id", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    gathered = starts.groupBy("id", "tag").agg(F.collect_list("start").alias("starts"))
     return gathered.mapInArrow(run, "id long, tag long, spans array<struct<start:long,end:long>>")
 
 
