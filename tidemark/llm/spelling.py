@@ -31,6 +31,8 @@ LEAST_SYMBOLS = 4
 # Comparisons that one pair of reduced words may stand for before its words are reduced with more symbols.
 MOST_COMPARISONS = 4096
 
+WORDS_PER_TASK = 20_000
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LETTERS = LOWER + "".join(map(chr, range(0xC0, 0x100)))
 # Symbols of reduced words; with one per letter the reduced word is the word.
@@ -106,7 +108,9 @@ def reduced_pairs(words: DataFrame, symbols: int, stages: Stages, name: str) ->
     coded = stages.put(words.select("word", "n", code.alias("code"), F.xxhash64(code).alias("h")), f"{name}-coded")
     sizes = coded.groupBy("h").agg(F.count("*").alias("c"))
     # hashes of different reduced words may be equal, so the neighbourhoods are those of the words
-    codes = coded.select("h", "code").distinct()
+    # by hash into tasks of so many words: their neighbourhoods are a hundred times as many rows
+    tasks = max(8, coded.count() // WORDS_PER_TASK)
+    codes = coded.select("h", "code").repartition(tasks, "h", "code").distinct()
     near = codes.select(F.col("h").alias("a"), F.explode(neighbourhood(F.col("code"), symbols)).alias("s")).select(
         "a", F.xxhash64("s").alias("b"))
     sizes = stages.put(sizes, f"{name}-sizes")
