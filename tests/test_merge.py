@@ -1,13 +1,14 @@
-"""MERGE semantics: update / insert / keep, cardinality guard, range update, idempotence, bucket sink."""
+"""MERGE semantics: update / insert / keep, cardinality guard, range update, idempotence, bucket-wise table."""
 
 import datetime as dt
-import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from tidemark.operators.merge import merge_range_update, merge_upsert
-from tidemark.sources.tables import MergeSink
+from tidemark.sources.merge_table import MergeTable
 
 D = dt.date
 
@@ -52,17 +53,30 @@ def test_range_update_latest_and_error(spark):
                            set_col="u", from_col="flag", target_key=["k", "s"]).collect()
 
 
-def test_merge_sink_rewrites_only_touched_buckets(spark):
-    sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/t", ["k"], buckets=8)
-    sink.create(spark.range(0, 100).selectExpr("id AS k", "DATE '2021-01-01' AS s", "'old' AS v"))
-    before = sink._manifest(spark)["buckets"]
+def _table(prefix="t", **options) -> MergeTable:
+    return MergeTable(f"{prefix}_{uuid.uuid4().hex[:8]}", ["k"], **options)
+
+
+def _files(spark, table):
+    """Files of the base table by bucket."""
+    rows = spark.table(table.base).select("_bucket", F.input_file_name().alias("f")).distinct().collect()
+    return {(r[0], r.f) for r in rows}
+
+
+def test_merge_rewrites_only_touched_buckets(spark):
+    table = _table(buckets=8)
+    table.create(spark.range(0, 100).selectExpr("id AS k", "DATE '2021-01-01' AS s", "'old' AS v"))
+    before = _files(spark, table)
     src = spark.createDataFrame([Row(k=5, s=D(2021, 1, 1), v="new"), Row(k=500, s=D(2021, 1, 1), v="ins")])
-    touched = {str(r.b) for r in src.select(sink.bucket_of().alias("b")).collect()}
-    sink.upsert(src, ["k", "s"])
-    out = {r.k: r.v for r in sink.read(spark).collect()}
+    touched = {r.b for r in src.select(table.bucket_of().alias("b")).collect()}
+    table.upsert(src, ["k", "s"])
+    out = {r.k: r.v for r in spark.sql(f"SELECT k, v FROM {table.name}").collect()}   # plain SQL reads it
     assert len(out) == 101 and out[5] == "new" and out[500] == "ins" and out[6] == "old"
-    after = sink._manifest(spark)["buckets"]
-    assert {b for b in after if after[b] != before.get(b)} == touched
+    assert table.read(spark).columns == ["k", "s", "v"]
+    after = _files(spark, table)
+    assert {b for b, _ in before ^ after} == touched
+    assert not spark.catalog.tableExists(table.delta)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
 
 
 def test_broadcast_path_equals_full_outer_join(spark):
@@ -86,33 +100,48 @@ def test_broadcast_path_equals_full_outer_join(spark):
     assert sorted(map(str, r_fast.collect())) == sorted(map(str, r_full.collect()))
 
 
-def test_sink_keeps_columns_that_only_some_buckets_have(spark):
-    sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/t", ["k"], buckets=8)
-    sink.create(spark.createDataFrame([(k, f"v{k}") for k in range(40)], "k long, v string"))
-    sink.upsert(spark.createDataFrame([(5, "new", "X")], "k long, v string, added string"), ["k"])
-    sink.upsert(spark.createDataFrame([(6, "other")], "k long, v string"), ["k"])
-    out = {r.k: (r.v, r.added) for r in sink.read(spark).collect()}
+def test_columns_that_only_some_buckets_have(spark):
+    table = _table(buckets=8)
+    table.create(spark.createDataFrame([(k, f"v{k}") for k in range(40)], "k long, v string"))
+    table.upsert(spark.createDataFrame([(5, "new", "X")], "k long, v string, added string"), ["k"])
+    table.upsert(spark.createDataFrame([(6, "other")], "k long, v string"), ["k"])
+    out = {r.k: (r.v, r.added) for r in table.read(spark).collect()}
     assert out[5] == ("new", "X") and out[6] == ("other", None) and out[7] == ("v7", None) and len(out) == 40
 
 
-def test_a_reader_keeps_its_version_during_a_merge(spark):
-    sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/t", ["k"], buckets=2)
-    sink.create(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
-    before = sink.read(spark)
-    sink.upsert(spark.createDataFrame([(1, "A"), (3, "c")], "k long, v string"), ["k"])
-    assert {r.k: r.v for r in before.collect()} == {1: "a", 2: "b"}
-    assert {r.k: r.v for r in sink.read(spark).collect()} == {1: "A", 2: "b", 3: "c"}
-    assert {r.k: r.v for r in sink.read(spark, 1).collect()} == {1: "a", 2: "b"}
-    sink.vacuum(spark, keep=1)
-    assert sink.versions(spark) == [2] and sink.read(spark).count() == 3
-
-
-def test_the_second_of_two_writers_of_a_version_fails(spark):
-    sink = MergeSink(tempfile.mkdtemp(prefix="tidemark-sink-") + "/t", ["k"], buckets=2)
-    df = spark.createDataFrame([(1, "a")], "k long, v string")
-    sink.create(df)
-    with pytest.raises(RuntimeError, match="another writer"):
-        sink._commit(spark, 1, {}, df.schema)
+class _Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("dies_at", ["_show", "_fold"])
+def test_a_merge_that_dies_is_seen_whole_or_not_at_all(spark, dies_at):
+    table = _table(buckets=4)
+    table.create(spark.createDataFrame([(k, f"v{k}") for k in range(20)], "k long, v string"))
+
+    def stop(*args):
+        raise _Stopped
+
+    dying = MergeTable(table.name, ["k"], buckets=4)
+    setattr(dying, dies_at, stop)
+    with pytest.raises(_Stopped):
+        dying.upsert(spark.createDataFrame([(1, "A"), (50, "new")], "k long, v string"), ["k"])
+    seen = {r.k: r.v for r in table.read(spark).collect()}
+    if dies_at == "_show":
+        assert seen == {k: f"v{k}" for k in range(20)}
+    else:
+        assert seen == {k: f"v{k}" for k in range(20)} | {1: "A", 50: "new"}
+    table.upsert(spark.createDataFrame([(2, "B")], "k long, v string"), ["k"])     # finishes what was shown
+    seen = {r.k: r.v for r in table.read(spark).collect()}
+    assert seen == ({k: f"v{k}" for k in range(20)} | {2: "B"} | ({1: "A", 50: "new"} if dies_at == "_fold" else {}))
+
+
+def test_create_replaces_the_rows(spark):
+    table = _table(buckets=2)
+    table.create(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"))
+    table.create(spark.createDataFrame([(3, 1.5)], "k long, w double"))
+    assert [tuple(r) for r in table.read(spark).collect()] == [(3, 1.5)]
+    table.upsert(spark.createDataFrame([], "k long, w double"), ["k"])            # nothing touched
+    assert table.read(spark).count() == 1
 
 
 def test_a_repeated_target_key_is_not_inserted_again(spark):

@@ -3,13 +3,13 @@
 import datetime as dt
 import tempfile
 
-from tidemark.sources.tables import MergeSink
+from tidemark.sources.merge_table import MergeTable
 from tidemark.streaming.incremental import foreach_batch_upsert
 
 
 def test_stream_of_change_files_merges_into_sink(spark):
     base = tempfile.mkdtemp(prefix="tidemark-stream-")
-    sink = MergeSink(f"{base}/table", ["k"], buckets=4)
+    sink = MergeTable("streamed_history", ["k"], buckets=4)
     sink.create(spark.createDataFrame([(1, dt.date(2021, 1, 1), "a"), (2, dt.date(2021, 1, 1), "b")],
                                       "k long, s date, v string"))
     schema = "k long, s date, v string"

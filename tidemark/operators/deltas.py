@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import UNSET_TEXT_DATE, text_to_date
 from tidemark.operators.common import ITEM_KEYS, all_of, broadcast_bounded
-from tidemark.params import RunDates
+from tidemark.params import RowDates, RunDates
 
 # Fixed codes of the source system.
 ACTIVE_SUBSCRIPTION_TYPE = "IN"
@@ -72,39 +72,65 @@ def with_trial_flag(subs: DataFrame, params: DataFrame) -> DataFrame:
     )
 
 
-def plan_delta(plans: DataFrame, rd: RunDates, guard_all: bool = False) -> DataFrame:
+def touches_window(rd: RunDates | RowDates, guard_all: bool = False, last: RunDates | None = None) -> Column:
+    """The plan item's dates touch the window. With ``last``, the window of some cutoff from ``rd`` to ``last``."""
+    o, f, e = c("ofkdat"), c("fkdat"), c("bp_end_date")
+    guard = (o != UNSET_TEXT_DATE) & (f != UNSET_TEXT_DATE)
+    in_window = (o >= rd.cutoff_text) & (o < rd.today_text)
+    spans_cutoff = (o <= (last or rd).cutoff_scd_text) & (e >= rd.cutoff_scd_text)
+    spans_today = (o <= rd.today_text) & (e >= rd.today_text)
+    return guard & (in_window | spans_cutoff | spans_today) if guard_all else (guard & in_window) | spans_cutoff | spans_today
+
+
+def plan_delta(plans: DataFrame, rd: RunDates, guard_all: bool = False, last: RunDates | None = None) -> DataFrame:
     """Billing plan items touching the window, with ``bp_start_date``.
 
     Kept verbatim: the unset-date guard binds only to the first branch
     (``guard & in_window | spans_cutoff | spans_today``); ``guard_all=True``
-    applies it to all three.
+    applies it to all three. ``last`` widens the window to all cutoffs from ``rd`` to it (``plan_items`` then takes each row's own).
     """
-    o, f, e = c("ofkdat"), c("fkdat"), c("bp_end_date")
-    guard = (o != UNSET_TEXT_DATE) & (f != UNSET_TEXT_DATE)
-    in_window = (o >= rd.cutoff_text) & (o < rd.today_text)
-    spans_cutoff = (o <= rd.cutoff_scd_text) & (e >= rd.cutoff_scd_text)
-    spans_today = (o <= rd.today_text) & (e >= rd.today_text)
-    cond = guard & (in_window | spans_cutoff | spans_today) if guard_all else (guard & in_window) | spans_cutoff | spans_today
-    return plans.where(cond).withColumn("bp_start_date", F.when(o > f, f).otherwise(o))
+    o, f = c("ofkdat"), c("fkdat")
+    return plans.where(touches_window(rd, guard_all, last)).withColumn("bp_start_date", F.when(o > f, f).otherwise(o))
 
 
-def plan_items(plan_rows: DataFrame, subs: DataFrame) -> DataFrame:
-    """Billing plan rows joined to their subscription (``bp_no = bill_plan_number``)."""
+def own_cutoff(subs: DataFrame, alias: str) -> list[Column]:
+    """The cutoff column of subscriptions that carry one."""
+    return [c(f"{alias}.cutoff_date")] if "cutoff_date" in subs.columns else []
+
+
+def plan_items(plan_rows: DataFrame, subs: DataFrame, own: RowDates | None = None) -> DataFrame:
+    """Billing plan rows joined to their subscription (``bp_no = bill_plan_number``).
+
+    ``own`` keeps the rows that touch the window of their subscription's cutoff, which the result then carries.
+    """
     p = plan_rows.drop("client").alias("p")
     s = subs.alias("s")
-    return p.join(s, c("p.bp_no") == c("s.bill_plan_number"), "inner").select(
+    rows = p.join(s, c("p.bp_no") == c("s.bill_plan_number"), "inner")
+    return (rows if own is None else rows.where(touches_window(own))).select(
         c("s.client"), c("s.sales_document"), c("s.sales_document_item"),
         c("p.bp_no"), c("p.bp_item"), c("p.bp_start_date"), c("p.bp_end_date"),
         c("p.bp_billing_block"), c("p.bp_net_price"), c("p.bp_upd_ind"), c("s.subscription_category"),
+        *own_cutoff(subs, "s"),
     )
 
 
-def plans_starting(items: DataFrame, rd: RunDates) -> DataFrame:
+def since_own_cutoff(rows: DataFrame, subs: DataFrame, at: Column, small: Small, name: str) -> DataFrame:
+    """Rows (with item keys) of which some subscription exists whose cutoff is not after ``at`` (a date).
+
+    The earliest cutoff of an item decides, so subscriptions are one row per item and cannot repeat a row.
+    """
+    rows = small(rows, name)
+    keys = rows.select(*ITEM_KEYS).distinct()
+    first = subs.join(keys, ITEM_KEYS, "left_semi").groupBy(*ITEM_KEYS).agg(F.min("cutoff_date").alias("_own_cutoff"))
+    return rows.join(first, ITEM_KEYS).where(at >= c("_own_cutoff")).select(*rows.columns)
+
+
+def plans_starting(items: DataFrame, rd: RunDates | RowDates) -> DataFrame:
     """Plan items whose start falls in ``[cutoff, today]`` (text dates, inclusive)."""
     return items.where(c("bp_start_date").between(rd.cutoff_text, rd.today_text))
 
 
-def plans_ending(items: DataFrame, rd: RunDates) -> DataFrame:
+def plans_ending(items: DataFrame, rd: RunDates | RowDates) -> DataFrame:
     """Plan items ending in ``[cutoff - 1, today - 1]``; the event is the day after the end."""
     return items.where(c("bp_end_date").between(rd.cutoff_scd_text, rd.yesterday_text)).withColumn(
         "event_date", F.date_add(text_to_date("bp_end_date"), 1))
@@ -141,7 +167,8 @@ def bill_docs(bill_item: DataFrame, bill_hdr: DataFrame, items: DataFrame, small
     cond = (c("p.client") == c("b.mandt")) & (c("p.bp_no") == c("b.bp_no")) & (c("p.bp_item") == c("b.bp_item"))
     rows = b.join(p, cond, "inner").select(
         c("p.client"), c("b.billing_document"), c("b.billing_document_item"),
-        c("p.sales_document"), c("p.sales_document_item"), c("p.bp_no"), c("p.bp_item"), c("b.created_date"))
+        c("p.sales_document"), c("p.sales_document_item"), c("p.bp_no"), c("p.bp_item"), c("b.created_date"),
+        *own_cutoff(items, "p"))
     return of_kind(rows, bill_hdr, INVOICE, small, "bill_rows")
 
 
@@ -152,7 +179,8 @@ def bill_docs_sibling(bill_item: DataFrame, bill_hdr: DataFrame, items: DataFram
             & (c("p.bp_end_date") == c("b.bp_end_date")) & (c("p.bp_item") != c("b.bp_item")))
     rows = b.join(p, cond, "inner").select(
         c("p.client"), c("b.billing_document"), c("b.billing_document_item"),
-        c("p.sales_document"), c("p.sales_document_item"), c("p.bp_no"), c("p.bp_end_date"), c("b.created_date"))
+        c("p.sales_document"), c("p.sales_document_item"), c("p.bp_no"), c("p.bp_end_date"), c("b.created_date"),
+        *own_cutoff(items, "p"))
     return of_kind(rows, bill_hdr, INVOICE, small, "sibling_rows")
 
 
@@ -175,6 +203,8 @@ def bill_docs_cancelled(bill_item: DataFrame, bill_hdr: DataFrame, scd: DataFram
     own = {k: k for k in ITEM_KEYS}
     rows = of_kind(rows, bill_hdr, INVOICE, small, "window_rows")
     rows = existing(rows, cancel_reason_docs(scd), own, small, "window_invoices")
+    if "cutoff_date" in subs.columns:
+        return since_own_cutoff(rows, subs, text_to_date(c("created_date")), small, "window_cancelled")
     return existing(rows, subs, own, small, "window_cancelled")
 
 
@@ -197,7 +227,10 @@ def credit_memos(bill_item: DataFrame, bill_hdr: DataFrame, order_line: DataFram
     lines = small(lines, "memo_lines").alias("m")
     owned = subs.alias("s").join(
         lines, (c("s.client") == c("m.client")) & (c("s.sales_document") == c("m.vgbel"))
-        & (c("s.sales_document_item") == c("m.vgpos")), "inner").select(
+        & (c("s.sales_document_item") == c("m.vgpos")), "inner")
+    if "cutoff_date" in subs.columns:
+        owned = owned.where(text_to_date(c("m.created_date")) >= c("s.cutoff_date"))
+    owned = owned.select(
         c("m.client"), c("m.billing_document"), c("m.billing_document_item"), c("m.sales_document").alias("memo_order"),
         c("s.sales_document"), c("s.sales_document_item"), c("m.created_date"), c("s.billing_frequency"))
     owned = small(owned, "memo_owners").alias("m")
@@ -208,7 +241,7 @@ def credit_memos(bill_item: DataFrame, bill_hdr: DataFrame, order_line: DataFram
         text_to_date(c("m.created_date")).alias("created_date_yyyy_mm_dd"))
 
 
-def contract_starts(subs: DataFrame, rd: RunDates) -> DataFrame:
+def contract_starts(subs: DataFrame, rd: RunDates | RowDates) -> DataFrame:
     """Subscriptions whose contract starts in the window, after the item was created."""
     return (
         subs.where(c("contract_start_date_bp").between(F.lit(rd.cutoff), F.lit(rd.today))

@@ -41,7 +41,15 @@ def version_at(events: DataFrame, history: DataFrame, at: str | Column, keys: li
 
 
 def scd_rows_starting(scd: DataFrame, subs: DataFrame, cutoff, today) -> DataFrame:
-    """History versions that start inside the window, for items of active subscriptions."""
+    """History versions that start inside the window, for items of active subscriptions.
+
+    With subscriptions that carry their ``cutoff_date``, ``cutoff`` is the earliest one, for the scan, and a version has to
+    start at its own (one row per item, so no version is repeated).
+    """
+    if "cutoff_date" in subs.columns:
+        first = subs.groupBy(*ITEM_KEYS).agg(F.min("cutoff_date").alias("_own_cutoff"))
+        rows = scd.where(c("start_date").between(F.lit(cutoff), F.lit(today)))
+        return rows.join(first, ITEM_KEYS).where(c("start_date") >= c("_own_cutoff")).select(*SCD_ROW)
     s = subs.select(*ITEM_KEYS)
     return scd.where(c("start_date").between(F.lit(cutoff), F.lit(today))).join(s, ITEM_KEYS, "left_semi").select(*SCD_ROW)
 

@@ -10,7 +10,7 @@ more than one source row fails the job through ``raise_error`` (no extra
 action on the driver), unless a deterministic resolution is requested. The
 upsert is stricter on purpose: two source rows with one key fail even when no
 target row has that key, as they would insert the key twice.
-The writer that persists the result is ``tidemark.sources.tables.MergeSink``.
+The writer that persists the result is ``tidemark.sources.merge_table.MergeTable``.
 """
 
 from __future__ import annotations

@@ -331,6 +331,36 @@ LEFT JOIN (
         for t in BASE_TABLES),
 }
 
+# The stages of one run, from the plan delta to the rows it merges: what depends on the run's cutoff and categories.
+RUN_STAGES = ["plan_delta", "subs", "plan_items", "plans_starting", "plans_ending", "bill_docs", "bill_docs_sibling",
+              "bill_docs_cancelled", "credit_memos", "contract_starts", "scd_starts", "scd_at_contract_start",
+              "scd_at_plan_start", "scd_after_plan_end", "scd_at_cancelled_bill", "scd_at_credit_memo", "scd_at_bill",
+              "scd_at_sibling_bill", "delta_versions", "with_plans", "billed_before", "sibling_billed_before",
+              "pipeline_status_input", "pipeline_ruled", "status_rows", "reopened", "union_reopened", "deduped", "dropped",
+              "collapsed", "versions", "enriched", "final_rows", "plan_ranges"]
+
+# The runs by cutoff that the log of FIXTURE_PARAMS asks for: (name, cutoff, the day before, categories).
+RUNS = [("a", "1998-05-29", "1998-05-28", "= 'BUILDING'"), ("b", "1998-05-12", "1998-05-11", "= 'SERV'"),
+        ("c", "1998-01-01", "1997-12-31", "NOT IN ('BUILDING', 'SERV')")]
+
+
+def run_stage(name: str, run: tuple[str, str, str, str]) -> str:
+    """The stage of one run: the dates of its window, its own predecessors, and its categories' subscriptions."""
+    tag, cutoff, day_before, categories = run
+    sql = STAGES[name]
+    for old, new in (("1998-06-01", cutoff), ("1998-05-31", day_before)):
+        sql = sql.replace(old, new).replace(old.replace("-", ""), new.replace("-", ""))
+    for dep in RUN_STAGES:
+        sql = sql.replace("{" + dep + "}", "{" + f"{dep}_{tag}" + "}")
+    if name == "subs":
+        sql += f" AND d.subscription_category {categories}"
+    if name == "plan_ranges":
+        sql += f" WHERE d.subscription_category {categories}"
+    return sql
+
+
+STAGES |= {f"{name}_{run[0]}": run_stage(name, run) for run in RUNS for name in RUN_STAGES}
+
 # Registered query -> final SQL over stages/views.
 QUERIES: dict[str, str] = {
     "scan_table": "SELECT * FROM {orders}",
@@ -451,6 +481,8 @@ FROM (SELECT * EXCLUDE (_prev) FROM (SELECT *, lag(status) {w('start_ts', ['user
     "enrich_final": "SELECT * FROM {enriched}",
     "reason_rewrite": "SELECT " + ", ".join(FINAL_COLS) + " FROM {final_rows}",
     "merge_upsert": "SELECT * FROM {merged}",
+    "final_rows_by_cutoff": " UNION ALL ".join("SELECT " + ", ".join(FINAL_COLS) + f" FROM {{final_rows_{run[0]}}}" for run in RUNS),
+    "plan_ranges_by_cutoff": " UNION ALL ".join(f"SELECT * FROM {{plan_ranges_{run[0]}}}" for run in RUNS),
     "merge_range_update": "SELECT * FROM {merged_with_plan_flag}",
     # governance over customers with their country
     "row_filter_if": """
@@ -515,7 +547,8 @@ def render(sql: str) -> str:
     ctes = []
     for n in order:
         body = _resolve(n)
-        ctes.append(f"{n} AS ({body.format(**{d: d for d in view_deps(body)})}\n)")
+        # a stage that several others read is computed once
+        ctes.append(f"{n} AS {'MATERIALIZED ' if n in STAGES else ''}({body.format(**{d: d for d in view_deps(body)})}\n)")
     final = sql.format(**names)
     return ("WITH " + ",\n".join(ctes) + "\n" + final) if ctes else final
 

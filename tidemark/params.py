@@ -51,6 +51,54 @@ class RunDates:
         return to_text(self.yesterday)
 
 
+class RowDates:
+    """The boundaries of ``RunDates`` as columns, from a column that holds each row's own cutoff.
+
+    Every filter that takes ``RunDates`` takes this as well: the conditions are the same, with columns for literals.
+    """
+
+    def __init__(self, cutoff: str, today: _dt.date):
+        self.cutoff = F.col(cutoff)
+        self.today = today
+        self.yesterday = today - _dt.timedelta(days=1)
+        self.cutoff_scd = F.date_sub(self.cutoff, 1)
+        self.cutoff_text = F.date_format(self.cutoff, "yyyyMMdd")
+        self.cutoff_scd_text = F.date_format(self.cutoff_scd, "yyyyMMdd")
+        self.today_text = to_text(self.today)
+        self.yesterday_text = to_text(self.yesterday)
+
+
+@dataclass(frozen=True)
+class CategoryWindows:
+    """Windows of one run in which every category has its own cutoff.
+
+    ``cutoffs`` (``subscription_category, cutoff_date``, one row per category) is joined to the subscriptions; ``first``
+    and ``last`` are the least and greatest cutoff, literals that bound the scans before a row's category is known.
+    """
+
+    cutoffs: DataFrame
+    first: _dt.date
+    last: _dt.date
+    today: _dt.date
+
+    @classmethod
+    def of(cls, cutoffs: DataFrame, today: _dt.date) -> "CategoryWindows":
+        """From a frame of cutoffs (pass a staged one): one aggregate, two dates to the driver."""
+        row = cutoffs.agg(F.min("cutoff_date").alias("first"), F.max("cutoff_date").alias("last")).first()
+        return cls(cutoffs.select("subscription_category", "cutoff_date"), row["first"] or today, row["last"] or today, today)
+
+    @property
+    def earliest(self) -> RunDates:
+        return RunDates(self.first, self.today)
+
+    @property
+    def latest(self) -> RunDates:
+        return RunDates(self.last, self.today)
+
+    def row(self, column: str = "cutoff_date") -> RowDates:
+        return RowDates(column, self.today)
+
+
 @dataclass(frozen=True)
 class RunParams:
     """Inputs of the cutoff lookup (the job's widgets)."""

@@ -11,8 +11,9 @@ Stages (each a property, so any intermediate can be inspected or tested):
 6. enrichment, reason rewrite, and the two merges into the target.
 
 All categories run in one job: the category is a column of the subscription
-dimension, not a driver loop. Categories whose cutoffs differ run as one job
-per distinct cutoff (``tidemark.streaming.incremental.runs_by_cutoff``).
+dimension, not a driver loop. With ``CategoryWindows`` the cutoff is one too: the
+scans are bounded by the earliest and latest cutoff as literals, and each row is
+held against the cutoff of its own category once its subscription is joined.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from tidemark.operators.history import (
 from tidemark.operators.intervals import SCD_ROW, event_points, scd_rows_starting, version_at
 from tidemark.operators.merge import merge_range_update, merge_upsert
 from tidemark.operators.rules import derive_status, init_inactive_flag, reason_rewrite
-from tidemark.params import RunDates
+from tidemark.params import CategoryWindows, RunDates
 from tidemark.sources.tables import drop_stages, stage_table
 
 c = F.col
@@ -79,7 +80,9 @@ class HistorySources:
 
 
 class StatusHistoryJob:
-    """The history job over ``src`` for the window ``rd``.
+    """The history job over ``src`` for the window ``rd``, or for a window per category (``CategoryWindows``).
+
+    With windows per category an item belongs to one category, and categories without a cutoff are not part of the run.
 
     ``materialize`` decides what happens at the stage boundaries where a small
     change frame feeds several consumers (plan items, change versions, planned
@@ -96,14 +99,17 @@ class StatusHistoryJob:
     shuffled; beyond the bound Spark and AQE choose the join.
     """
 
-    def __init__(self, src: HistorySources, rd: RunDates, categories: list[str] | None = None,
+    def __init__(self, src: HistorySources, rd: RunDates | CategoryWindows, categories: list[str] | None = None,
                  on_multi_plan: str = "latest", materialize: str | None = "stage"):
         self.src = src
-        self.rd = rd
+        self.windows = rd if isinstance(rd, CategoryWindows) else None
+        # literal bounds of the scans; and of the rows, once they know their subscription
+        self.rd = rd.earliest if self.windows else rd
+        self.own = rd.row() if self.windows else rd
         self.categories = categories
         self.on_multi_plan = on_multi_plan
         self.materialize = materialize
-        self._run_id = f"run-{rd.cutoff_text}-{rd.today_text}-{uuid.uuid4().hex[:12]}"
+        self._run_id = f"run-{self.rd.cutoff_text}-{self.rd.today_text}-{uuid.uuid4().hex[:12]}"
         self._staged: dict[str, DataFrame] = {}
 
     @property
@@ -141,11 +147,18 @@ class StatusHistoryJob:
     # ---- 1. change extraction -------------------------------------------------
     @cached_property
     def subs(self) -> DataFrame:
-        return dl.with_trial_flag(dl.subscriptions(self.src.dim, self.categories), self.src.params)
+        rows = dl.with_trial_flag(dl.subscriptions(self.src.dim, self.categories), self.src.params)
+        return self._with_cutoff(rows)
+
+    def _with_cutoff(self, rows: DataFrame) -> DataFrame:
+        """With windows per category: the rows of their categories, with the cutoff (the frame is broadcast if small)."""
+        if self.windows is None:
+            return rows
+        return rows.join(broadcast_bounded(self.windows.cutoffs), "subscription_category").select(*rows.columns, "cutoff_date")
 
     @cached_property
     def plan_delta(self) -> DataFrame:
-        return dl.plan_delta(self.src.plans, self.rd)
+        return dl.plan_delta(self.src.plans, self.rd, last=self.windows and self.windows.latest)
 
     @cached_property
     def plan_items(self) -> DataFrame:
@@ -155,15 +168,16 @@ class StatusHistoryJob:
         and bounded, it is broadcast, so the subscription dimension is streamed
         instead of shuffled.
         """
-        return self._cut(dl.plan_items(self._small(self.plan_delta, "plan_delta"), self.subs), "plan_items")
+        return self._cut(dl.plan_items(self._small(self.plan_delta, "plan_delta"), self.subs,
+                                       self.own if self.windows else None), "plan_items")
 
     @cached_property
     def plans_starting(self) -> DataFrame:
-        return dl.plans_starting(self.plan_items, self.rd)
+        return dl.plans_starting(self.plan_items, self.own)
 
     @cached_property
     def plans_ending(self) -> DataFrame:
-        return dl.plans_ending(self.plan_items, self.rd)
+        return dl.plans_ending(self.plan_items, self.own)
 
     @cached_property
     def bill_docs(self) -> DataFrame:
@@ -187,12 +201,14 @@ class StatusHistoryJob:
 
     @cached_property
     def contract_starts(self) -> DataFrame:
-        return dl.contract_starts(self.subs, self.rd)
+        # the literal bound reaches the scan; a row's own cutoff is a column of the joined windows
+        bounded = self.subs.where(c("contract_start_date_bp") >= F.lit(self.rd.cutoff)) if self.windows else self.subs
+        return dl.contract_starts(bounded, self.own)
 
     # ---- 2. versions at the change points -----------------------------------
     def change_points(self) -> dict[str, DataFrame]:
         """Every change source reduced to ``(item keys, at_date)``."""
-        window = (c("created_date") >= self.rd.cutoff_text) & (c("created_date") <= self.rd.today_text)
+        window = (c("created_date") >= self.own.cutoff_text) & (c("created_date") <= self.own.today_text)
         return {
             "contract_start": event_points(self.contract_starts, "contract_start_date"),
             "plan_start": event_points(self.plans_starting, text_to_date("bp_start_date")),
@@ -321,8 +337,13 @@ class StatusHistoryJob:
             F.max("subscription_category").alias("subscription_category"), F.max("bp_upd_ind").alias("bp_upd_ind"))
         changed = self._small(changed, "changed_items")   # the target history is streamed, not shuffled
         cut = F.lit(self.rd.cutoff_scd)
-        open_rows = self.src.target.where((c("start_date") <= cut) & (c("end_date") >= cut))
-        return open_rows.select(*TARGET_COLS).join(changed, ITEM_KEYS, "inner").select(*STATUS_COLS)
+        last = F.lit(self.windows.latest.cutoff_scd) if self.windows else cut
+        open_rows = self.src.target.where((c("start_date") <= last) & (c("end_date") >= cut))
+        rows = open_rows.select(*TARGET_COLS).join(changed, ITEM_KEYS, "inner")
+        if self.windows:
+            own = self.windows.row()
+            rows = self._with_cutoff(rows).where((c("start_date") <= own.cutoff_scd) & (c("end_date") >= own.cutoff_scd))
+        return rows.select(*STATUS_COLS)
 
     @cached_property
     def union_reopened(self) -> DataFrame:
@@ -379,8 +400,11 @@ class StatusHistoryJob:
         p = self._small(self.plan_delta, "plan_delta").drop("client").alias("p")
         dim = self.src.dim if self.categories is None else self.src.dim.where(
             c("subscription_category").isin(list(self.categories)))
-        d = dim.alias("d")
-        return self._cut(p.join(d, c("p.bp_no") == c("d.bill_plan_number"), "inner").select(
+        d = self._with_cutoff(dim).alias("d")
+        rows = p.join(d, c("p.bp_no") == c("d.bill_plan_number"), "inner")
+        if self.windows:
+            rows = rows.where(dl.touches_window(self.windows.row()))
+        return self._cut(rows.select(
             *[c(f"d.{k}") for k in ITEM_KEYS], c("p.bp_no"), c("p.bp_item"),
             text_to_date(c("p.bp_start_date")).alias("bp_start_date"),
             text_to_date(c("p.bp_end_date")).alias("bp_end_date"), c("p.bp_upd_ind")), "plan_ranges")

@@ -22,7 +22,7 @@ from tidemark.operators import inventory as inv
 from tidemark.operators.common import ITEM_KEYS, VERSION_KEYS
 from tidemark.operators.neighbors import by_key_size
 from tidemark.operators.rules import derive_status, init_inactive_flag
-from tidemark.params import RunDates, RunParams, cutoff_lookup, run_dates_frame
+from tidemark.params import CategoryWindows, RunDates, RunParams, cutoff_lookup, run_dates_frame
 from tidemark.plans.status_history import HistorySources, StatusHistoryJob
 from tidemark.sources.fixtures import BASE_TABLES, Fixtures
 
@@ -256,6 +256,20 @@ def q_reason_rewrite(spark, sf_dir):
     return _job(spark, sf_dir).final_rows
 
 
+def _cutoff_job(spark, sf_dir) -> StatusHistoryJob:
+    """One job whose categories have the cutoffs of the log: three different ones."""
+    windows = CategoryWindows.of(q_cutoff_lookup(spark, sf_dir), FIXTURE_PARAMS.as_of)
+    return StatusHistoryJob(HistorySources.from_fixtures(_fx(spark, sf_dir)), windows)
+
+
+def q_final_rows_by_cutoff(spark, sf_dir):
+    return _cutoff_job(spark, sf_dir).final_rows
+
+
+def q_plan_ranges_by_cutoff(spark, sf_dir):
+    return _cutoff_job(spark, sf_dir).plan_ranges
+
+
 # ---- governance --------------------------------------------------------------------------
 
 def q_row_filter_if(spark, sf_dir):
@@ -405,6 +419,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reason_rewrite": q_reason_rewrite,
         "merge_upsert": _stage("merged"),
         "merge_range_update": _stage("merged_with_plan_flag"),
+        "final_rows_by_cutoff": q_final_rows_by_cutoff,
+        "plan_ranges_by_cutoff": q_plan_ranges_by_cutoff,
         "row_filter_if": q_row_filter_if,
         "row_filter_null_safe": q_row_filter_null_safe,
         "tag_rule_filter": q_tag_rule_filter,

@@ -1,17 +1,9 @@
-"""Table readers and writers: catalog/parquet scans, JDBC, staging and merge sinks."""
+"""Table readers and writers: catalog/parquet scans, JDBC and staging."""
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Callable, Sequence
+from pyspark.sql import DataFrame, SparkSession
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from tidemark.operators.common import MAX_BROADCAST_BYTES
-from tidemark.operators.merge import merge_range_update, merge_upsert
 from tidemark.session import ensure_checkpoint_dir
 
 
@@ -101,129 +93,3 @@ def truncate(spark: SparkSession, *tables: str) -> None:
     """``TRUNCATE TABLE`` for each table (stages written with ``overwrite`` need no separate step)."""
     for t in tables:
         spark.sql(f"TRUNCATE TABLE {t}")
-
-
-# ---- merge sink ---------------------------------------------------------------------------
-
-class MergeSink:
-    """A parquet history table that is merged into bucket by bucket, one committed version after another.
-
-    Rows are hash-partitioned by ``bucket_keys`` (all versions of an item share one bucket directory). A merge reads
-    only the buckets its source touches, writes their new rows into a directory of its own, and commits by
-    creating the next manifest: a small file that names the directory of every bucket and the table's schema. The
-    manifest appears by one rename that fails if another writer was first, so a reader sees the table before or
-    after a merge, never half of it; a frame that was read keeps its version's files until ``vacuum``. All buckets are
-    read with the manifest's schema: columns that a merge adds are NULL in buckets it did not touch.
-
-    The source is staged once, so every part of a merge sees the same rows. A source of at most ``broadcast_bytes``
-    is broadcast, so even the touched target rows are not shuffled.
-    """
-
-    BUCKET = "_bucket"
-
-    def __init__(self, path: str, bucket_keys: Sequence[str], buckets: int = 256):
-        self.path = path.rstrip("/")
-        self.bucket_keys = list(bucket_keys)
-        self.buckets = buckets
-
-    # -- manifests
-    def _fs(self, spark: SparkSession):
-        jvm = spark._jvm
-        root = jvm.org.apache.hadoop.fs.Path(self.path)
-        return jvm.org.apache.hadoop.fs.Path, root.getFileSystem(spark._jsc.hadoopConfiguration())
-
-    def versions(self, spark: SparkSession) -> list[int]:
-        path, fs = self._fs(spark)
-        folder = path(f"{self.path}/_manifests")
-        if not fs.exists(folder):
-            return []
-        names = [f.getPath().getName() for f in fs.listStatus(folder)]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
-
-    def _manifest(self, spark: SparkSession, version: int | None = None) -> dict:
-        version = self.versions(spark)[-1] if version is None else version
-        path, fs = self._fs(spark)
-        stream = fs.open(path(f"{self.path}/_manifests/{version}.json"))
-        try:
-            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text) | {"version": version}
-
-    def _commit(self, spark: SparkSession, version: int, buckets: dict[str, str], schema: StructType) -> None:
-        path, fs = self._fs(spark)
-        final = path(f"{self.path}/_manifests/{version}.json")
-        draft = path(f"{self.path}/_manifests/.{version}-{uuid.uuid4().hex}")
-        out = fs.create(draft, False)
-        out.write(bytearray(json.dumps({"buckets": buckets, "schema": schema.jsonValue()}).encode()))
-        out.close()
-        if fs.exists(final) or not fs.rename(draft, final):
-            fs.delete(draft, False)
-            raise RuntimeError(f"version {version} of {self.path} was committed by another writer; run the merge again")
-
-    def _write(self, df: DataFrame) -> dict[str, str]:
-        """Write rows into a new directory; the directory of each bucket that got rows."""
-        spark, folder = df.sparkSession, f"data/{uuid.uuid4().hex}"
-        df.withColumn(self.BUCKET, self.bucket_of()).write.partitionBy(self.BUCKET).parquet(f"{self.path}/{folder}")
-        path, fs = self._fs(spark)
-        prefix = f"{self.BUCKET}="
-        names = [f.getPath().getName() for f in fs.listStatus(path(f"{self.path}/{folder}"))]
-        return {n.removeprefix(prefix): f"{folder}/{n}" for n in names if n.startswith(prefix)}
-
-    def _scan(self, spark: SparkSession, manifest: dict, only: list[int] | None = None) -> DataFrame:
-        schema = StructType.fromJson(manifest["schema"])
-        folders = [f for b, f in manifest["buckets"].items() if only is None or int(b) in set(only)]
-        if not folders:
-            return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(*[f"{self.path}/{f}" for f in folders])
-
-    # -- table
-    def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.bucket_keys]), F.lit(self.buckets)).cast("int")
-
-    def create(self, df: DataFrame) -> None:
-        """Write a new version that holds exactly ``df`` and has its schema."""
-        spark = df.sparkSession
-        version = (self.versions(spark) or [0])[-1] + 1
-        self._commit(spark, version, self._write(df), df.schema)
-
-    def read(self, spark: SparkSession, version: int | None = None) -> DataFrame:
-        return self._scan(spark, self._manifest(spark, version))
-
-    def vacuum(self, spark: SparkSession, keep: int = 2) -> None:
-        """Forget all but the newest ``keep`` versions and delete files that none of them names."""
-        path, fs = self._fs(spark)
-        versions = self.versions(spark)
-        used = {f.rsplit("/", 1)[0] for v in versions[-keep:] for f in self._manifest(spark, v)["buckets"].values()}
-        for v in versions[:-keep]:
-            fs.delete(path(f"{self.path}/_manifests/{v}.json"), False)
-        data = path(f"{self.path}/data")
-        if fs.exists(data):
-            for f in fs.listStatus(data):
-                if f"data/{f.getPath().getName()}" not in used:
-                    fs.delete(f.getPath(), True)
-
-    def _merge(self, source: DataFrame, tag: str, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-        spark = source.sparkSession
-        source = stage_table(source, f"merge/{tag}-{uuid.uuid4().hex[:12]}")
-        # at most `buckets` small integers cross the driver
-        touched = [r[0] for r in source.select(self.bucket_of().alias("b")).distinct().collect()]
-        if not touched:
-            return
-        before = self._manifest(spark)
-        merged = merge(self._scan(spark, before, touched), source)
-        self._commit(spark, before["version"] + 1, before["buckets"] | self._write(merged), merged.schema)
-
-    def upsert(self, source: DataFrame, keys: Sequence[str], update: Sequence[str] | None = None,
-               insert: Sequence[str] | None = None, tag: str = "upsert",
-               broadcast_bytes: int | None = MAX_BROADCAST_BYTES) -> None:
-        self._merge(source, tag, lambda target, rows: merge_upsert(
-            target, rows, keys, update, insert, broadcast_bytes=broadcast_bytes))
-
-    def range_update(self, source: DataFrame, keys: Sequence[str], at: str, start: str, end: str,
-                     set_col: str, from_col: str, target_key: Sequence[str], on_multi: str = "error",
-                     prefer: Sequence[str] = (), tag: str = "range",
-                     broadcast_bytes: int | None = MAX_BROADCAST_BYTES) -> None:
-        self._merge(source, tag, lambda target, rows: merge_range_update(
-            target, rows, keys, at, start, end, set_col, from_col, target_key, on_multi=on_multi, prefer=prefer,
-            broadcast_bytes=broadcast_bytes))

@@ -3,71 +3,68 @@
 The source job is incremental in batch form: each run re-reads the last
 ``days_back`` days before the logged cutoff, so late changes are picked up,
 and merges by key, so re-processing a day is idempotent. This module runs
-that loop: look up the cutoff of every category (one small aggregate), group
-categories that share a cutoff (normally all of them) into one job each,
-merge the result into the sink, and only then return the log rows to append.
+that loop: look up the cutoff of every category (one small aggregate), run
+one job in which the cutoff is a column of the category, merge its result
+into the table, and only then return the log rows to append.
 
 ``foreach_batch_upsert`` is the same merge for change rows that arrive as a
 Structured Streaming source: ``writeStream.foreachBatch`` hands each
-micro-batch to the bucket-wise merge of ``MergeSink``.
+micro-batch to the bucket-wise merge of ``MergeTable``.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators import deltas as dl
 from tidemark.operators.common import ITEM_KEYS, VERSION_KEYS
-from tidemark.params import RunDates, RunParams, cutoff_lookup
+from tidemark.params import CategoryWindows, RunParams, cutoff_lookup
 from tidemark.plans.status_history import FINAL_COLS, HistorySources, StatusHistoryJob
-from tidemark.sources.tables import MergeSink
+from tidemark.sources.merge_table import MergeTable
+from tidemark.sources.tables import drop_stages, stage_table
+
 
 @dataclass
 class RunResult:
-    runs: list[tuple[RunDates, list[str]]]
+    job: StatusHistoryJob
+    windows: CategoryWindows
     next_log: DataFrame
 
 
-def runs_by_cutoff(cutoffs: DataFrame, as_of: _dt.date,
-                   category: str = "subscription_category") -> list[tuple[RunDates, list[str]]]:
-    """Group categories by cutoff: one job per distinct cutoff, not one per category.
-
-    Spark groups; the driver gets one row per distinct cutoff with its categories, as it has to plan a job for each.
-    """
-    rows = cutoffs.groupBy("cutoff_date").agg(F.sort_array(F.collect_set(category)).alias("c")).orderBy("cutoff_date").collect()
-    return [(RunDates(cutoff=r["cutoff_date"], today=as_of), list(r["c"])) for r in rows]
+def category_windows(src: HistorySources, cutoff_log: DataFrame, params: RunParams, stage: str) -> CategoryWindows:
+    """The cutoffs of all categories, staged (the log changes after the run); two dates reach the driver."""
+    cutoffs = stage_table(cutoff_lookup(dl.distinct_categories(src.dim), cutoff_log, params), stage)
+    return CategoryWindows.of(cutoffs, params.as_of)
 
 
 def run_incremental(spark: SparkSession, src: HistorySources, cutoff_log: DataFrame, params: RunParams,
-                    sink: MergeSink | None = None, materialize: str | None = "stage") -> RunResult:
-    """One incremental run for all categories; merges into ``sink`` when given.
+                    sink: MergeTable | None = None, materialize: str | None = "stage") -> RunResult:
+    """One incremental run, one job for all categories however many cutoffs they have; merges into ``sink`` if given.
 
-    Returns the runs performed and the cutoff-log rows to append (category,
-    today) once the merge succeeded; the log is never written here.
+    Returns the job (its frames, when there is no sink), the windows, and the cutoff-log rows to append (category,
+    today) once the merge succeeded; the log is never written here. After a merge the stages of the run are dropped.
     """
-    cutoffs = cutoff_lookup(dl.distinct_categories(src.dim), cutoff_log, params)
-    runs = runs_by_cutoff(cutoffs, params.as_of)
-    for rd, cats in runs:
-        # each group merges into what the groups before it have committed
-        own = src if sink is None else replace(src, target=sink.read(spark))
-        job = StatusHistoryJob(own, rd, categories=cats, materialize=materialize)
-        if sink is not None:
-            sink.upsert(job.final_rows, VERSION_KEYS, update=FINAL_COLS[4:], insert=FINAL_COLS)
-            sink.range_update(job.plan_ranges, keys=ITEM_KEYS, at="start_date", start="bp_start_date",
-                              end="bp_end_date", set_col="upd_ind", from_col="bp_upd_ind",
-                              target_key=VERSION_KEYS, on_multi="latest",
-                              prefer=["bp_start_date", "bp_item", "bp_no"])
-            job.drop_stages()
-    next_log = params.log_rows(cutoffs)
-    return RunResult(runs=runs, next_log=next_log)
-
-
-def foreach_batch_upsert(sink: MergeSink, keys: Sequence[str], update: Sequence[str] | None = None,
+    windows = category_windows(src, cutoff_log, params, f"cutoffs/{uuid.uuid4().hex[:12]}")
+    own = src if sink is None else replace(src, target=sink.read(spark))
+    job = StatusHistoryJob(own, windows, materialize=materialize)
+    if sink is not None:
+        # both sources are staged before the first merge changes the target they were derived from
+        rows, ranges = job.final_rows, job.plan_ranges
+        sink.upsert(rows, VERSION_KEYS, update=FINAL_COLS[4:], insert=FINAL_COLS)
+        sink.range_update(ranges, keys=ITEM_KEYS, at="start_date", start="bp_start_date",
+                          end="bp_end_date", set_col="upd_ind", from_col="bp_upd_ind",
+                          target_key=VERSION_KEYS, on_multi="latest",
+                          prefer=["bp_start_date", "bp_item", "bp_no"])
+        job.drop_stages()
+        drop_stages(spark, f"merge/{sink.name}")
+    return RunResult(job, windows, params.log_rows(windows.cutoffs))
+
+
+def foreach_batch_upsert(sink: MergeTable, keys: Sequence[str], update: Sequence[str] | None = None,
                          insert: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function merging each micro-batch into ``sink``.
 
@@ -75,5 +72,5 @@ def foreach_batch_upsert(sink: MergeSink, keys: Sequence[str], update: Sequence[
     as MERGE does; no row is silently preferred.
     """
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        sink.upsert(batch, keys, update, insert, tag=f"epoch-{epoch_id}")
+        sink.upsert(batch, keys, update, insert)
     return apply
