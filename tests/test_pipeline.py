@@ -152,6 +152,15 @@ def test_one_job_for_three_cutoffs_equals_three_jobs(spark, src, materialize):
 
 
 def test_bounds_of_all_cutoffs_reach_the_scans(spark, src):
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        _check_bounds(spark, src)
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+
+
+def _check_bounds(spark, src):
     frame = spark.createDataFrame(list(CUTOFFS.items()), "subscription_category string, cutoff_date date")
     job = StatusHistoryJob(src, CategoryWindows.of(frame, dt.date(1998, 6, 30)), materialize=None)
 

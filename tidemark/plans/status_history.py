@@ -19,9 +19,11 @@ held against the cutoff of its own category once its subscription is joined.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +37,7 @@ from tidemark.operators.intervals import SCD_ROW, event_points, scd_rows_startin
 from tidemark.operators.merge import merge_range_update, merge_upsert
 from tidemark.operators.rules import derive_status, init_inactive_flag, reason_rewrite
 from tidemark.params import CategoryWindows, RunDates
-from tidemark.sources.tables import drop_stages, stage_table
+from tidemark.sources.tables import drop_stages, stage_measured
 
 c = F.col
 
@@ -111,6 +113,7 @@ class StatusHistoryJob:
         self.materialize = materialize
         self._run_id = f"run-{self.rd.cutoff_text}-{self.rd.today_text}-{uuid.uuid4().hex[:12]}"
         self._staged: dict[str, DataFrame] = {}
+        self._sizes: dict[str, int] = {}
 
     @property
     def _broadcast_bytes(self) -> int | None:
@@ -121,17 +124,20 @@ class StatusHistoryJob:
         if self.materialize != "stage":
             return df
         if name not in self._staged:
-            self._staged[name] = broadcast_bounded(self._cut(df, name))
+            rows, size = stage_measured(df, f"{self._run_id}/{name}")
+            self._staged[name] = F.broadcast(rows) if size <= MAX_BROADCAST_BYTES else rows
         return self._staged[name]
 
     def _bc(self, df: DataFrame, name: str) -> DataFrame:
-        """Broadcast an already staged change frame once its size is measured within the bound."""
-        if self.materialize != "stage":
-            return df
-        key = f"broadcast:{name}"
-        if key not in self._staged:
-            self._staged[key] = broadcast_bounded(df)
-        return self._staged[key]
+        """Broadcast an already staged change frame if its size, measured as it was written, is within the bound."""
+        return F.broadcast(df) if self._sizes.get(name, MAX_BROADCAST_BYTES + 1) <= MAX_BROADCAST_BYTES else df
+
+    def _together(self, *names: str) -> None:
+        """Compute stages that do not depend on each other at the same time: each is a few small jobs."""
+        if self.materialize == "stage":
+            spark = self.src.dim.sparkSession
+            with ThreadPoolExecutor(len(names)) as pool:
+                list(pool.map(inheritable_thread_target(spark)(lambda name: getattr(self, name)), names))
 
     def drop_stages(self) -> None:
         """Remove this run's stage tables, once nothing reads its frames any more."""
@@ -139,7 +145,8 @@ class StatusHistoryJob:
 
     def _cut(self, df: DataFrame, name: str) -> DataFrame:
         if self.materialize == "stage":
-            return stage_table(df, f"{self._run_id}/{name}")
+            rows, self._sizes[name] = stage_measured(df, f"{self._run_id}/{name}")
+            return rows
         if self.materialize == "persist":
             return df.persist()
         return df
@@ -208,6 +215,8 @@ class StatusHistoryJob:
     # ---- 2. versions at the change points -----------------------------------
     def change_points(self) -> dict[str, DataFrame]:
         """Every change source reduced to ``(item keys, at_date)``."""
+        self.subs, self.plan_items  # noqa: B018 - what the others start from
+        self._together("bill_docs", "bill_docs_sibling", "bill_docs_cancelled", "credit_memos")
         window = (c("created_date") >= self.own.cutoff_text) & (c("created_date") <= self.own.today_text)
         return {
             "contract_start": event_points(self.contract_starts, "contract_start_date"),

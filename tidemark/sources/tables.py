@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from tidemark.operators.common import total_bytes
 from tidemark.session import ensure_checkpoint_dir
 
 
@@ -78,6 +79,13 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_measured(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``stage_table``, and the bytes of its values, observed while they are written (no job of its own)."""
+    seen = Observation()
+    staged = stage_table(df.observe(seen, total_bytes(df).alias("bytes")), name)
+    return staged, seen.get["bytes"]
+
+
 def drop_stages(spark: SparkSession, name: str | None = None) -> None:
     """Remove the stage tables of this application, or those below ``name``, once nothing reads them any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{_stage_root(spark)}/{name}" if name else _stage_root(spark))
