@@ -7,7 +7,9 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.operators import history as hs
-from tidemark.operators.neighbors import by_key_size, hot_keys
+from tidemark.operators.neighbors import SEGMENT, by_key_size, cut_by_density, hot_keys
+
+c = F.col
 
 D0 = dt.date(2020, 1, 1)
 
@@ -155,4 +157,33 @@ def test_hot_keys_on_timestamps(spark):
         key = dict(keys=["user_id"], order=["start_ts"], split=split)
         return hs.close_intervals(hs.collapse_runs(d, status="status", **key), start="start_ts", end="end_ts", **key)
 
-    assert _rows(by_key_size(df, ["user_id"], 20, steps, bucket_width=2.0)) == _rows(steps(df, None))
+    assert _rows(by_key_size(df, ["user_id"], 20, steps, order="start_ts")) == _rows(steps(df, None))
+
+
+def test_a_key_with_all_rows_in_one_day_is_cut_by_density(spark):
+    """A million rows of one key within one day, most of them within a second, spread over many segments."""
+    n = 1_000_000
+    at = F.when(c("id") < 50_000, c("id") * F.lit(1_000_000)).otherwise(F.lit(50_000_000_000) + c("id"))
+    df = spark.range(n).select(F.lit(7).alias("user_id"), F.timestamp_micros(F.lit(1_700_000_000_000_000) + at).cast(
+        "timestamp_ntz").alias("start_ts"), F.when(F.hash("id") % 3 == 0, "A").otherwise("B").alias("status"))
+    cut = cut_by_density(df, ["user_id"], "start_ts", n, 50_000)
+    sizes = [r["count"] for r in cut.groupBy(SEGMENT).count().collect()]
+    assert len(sizes) >= 18 and max(sizes) < 2.5 * 50_000
+
+    def steps(d, split):
+        key = dict(keys=["user_id"], order=["start_ts"], split=split)
+        return hs.close_intervals(hs.collapse_runs(d, status="status", **key), start="start_ts", end="end_ts", **key)
+
+    def digest(d):
+        return d.agg(F.count("*"), F.sum(F.xxhash64("user_id", "start_ts", "status", "end_ts").cast("decimal(38,0)"))).first()
+
+    assert digest(by_key_size(df, ["user_id"], 100_000, steps, order="start_ts")) == digest(steps(df, None))
+
+
+def test_filtered_segments_and_segments_without_rows(spark):
+    """Steps that drop whole segments still carry the right neighbour over them."""
+    rows = [Row(client="c", sales_document=1, sales_document_item=10, start_date=D0 + dt.timedelta(k),
+                subscription_status="A" if 20 <= k < 80 else "AB"[k % 2]) for k in range(100)]
+    df = spark.createDataFrame(rows)
+    assert _rows(by_key_size(df, ITEM, 10, lambda d, s: hs.close_intervals(hs.collapse_runs(d, split=s), split=s))) == _rows(
+        hs.close_intervals(hs.collapse_runs(df)))

@@ -6,8 +6,8 @@ steps keep the partitioning and the order), so the cost is one shuffle of the
 rows no matter how many steps run.
 
 A key's rows all go to one task under that spec. Every operator therefore
-takes ``split``: rows of keys too large for one task are computed in time
-buckets of that width and stitched together, with the same result. Use
+takes ``split``, the segment column of rows of keys too large for one task: they
+are computed in segments and stitched together, with the same result. Use
 ``by_key_size`` (``tidemark.operators.neighbors``), which finds the hot keys
 once and runs a whole chain of steps both ways. The history job's own window
 pass does not need it: after one version per ``(key, start)`` a key has at most
@@ -32,7 +32,7 @@ ACTIVE = "ACTIVE"
 INACTIVE = "INACTIVE"
 
 
-def _with_prev(df: DataFrame, keys, order, src: str, out: str, split: float | None, lead: bool = False) -> DataFrame:
+def _with_prev(df: DataFrame, keys, order, src: str, out: str, split: str | None, lead: bool = False) -> DataFrame:
     """``out`` = previous (or, with ``lead``, next) value of ``src`` per key in ``order``."""
     if split is None:
         fn = F.lead if lead else F.lag
@@ -41,7 +41,7 @@ def _with_prev(df: DataFrame, keys, order, src: str, out: str, split: float | No
         raise ValueError("split rows are ordered by exactly one column")
     spec = {src: out}
     return with_neighbors(df, keys, order[0], lead_cols=spec if lead else None, lag_cols=None if lead else spec,
-                          bucket_width=split)
+                          segment=split)
 
 
 def version_window(keys: Sequence[str] = ITEM_KEYS, order: Sequence[str | Column] = ("start_date",)):
@@ -50,14 +50,14 @@ def version_window(keys: Sequence[str] = ITEM_KEYS, order: Sequence[str | Column
 
 def lag_status(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
                status: str = "subscription_status", out: str = "lag_subscription_status",
-               split: float | None = None) -> DataFrame:
+               split: str | None = None) -> DataFrame:
     """Previous version's status (NULL on the first version)."""
     return _with_prev(df, keys, order, status, out, split)
 
 
 def drop_reactivation(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
                       status: str = "subscription_status", reason: str = "cancellation_reason",
-                      old_reason: str = "cancellation_reason_old", split: float | None = None) -> DataFrame:
+                      old_reason: str = "cancellation_reason_old", split: str | None = None) -> DataFrame:
     """Drop ACTIVE-after-INACTIVE rows whose cancellation reason went SA -> SC (reactivation noise).
 
     A NULL comparison does not mark the row as noise, so it is kept.
@@ -68,7 +68,7 @@ def drop_reactivation(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Seq
 
 
 def collapse_runs(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-                  status: str = "subscription_status", split: float | None = None) -> DataFrame:
+                  status: str = "subscription_status", split: str | None = None) -> DataFrame:
     """Gaps-and-islands: keep the first row of every run of equal status.
 
     A row survives unless its status equals the previous row's; the first row
@@ -79,14 +79,14 @@ def collapse_runs(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequenc
 
 
 def link_versions(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-                  link: str = "link_id", prev_link: str = "prev_link_id", split: float | None = None) -> DataFrame:
+                  link: str = "link_id", prev_link: str = "prev_link_id", split: str | None = None) -> DataFrame:
     """Back-link each version to its predecessor's link id."""
     d = _with_prev(df.drop(prev_link) if prev_link in df.columns else df, keys, order, link, prev_link, split)
     return d.select(*[c(x) for x in df.columns] + ([c(prev_link)] if prev_link not in df.columns else []))
 
 
 def close_intervals(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
-                    start: str = "start_date", end: str = "end_date", split: float | None = None) -> DataFrame:
+                    start: str = "start_date", end: str = "end_date", split: str | None = None) -> DataFrame:
     """End of each version = next version's start minus one unit; the last version stays open.
 
     Dates step by one day and end on 9999-12-31; timestamps step by one
@@ -105,7 +105,7 @@ def close_intervals(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Seque
 
 def close_intervals_observed(df: DataFrame, keys: Sequence[str] = ITEM_KEYS, order: Sequence[str] = ("start_date",),
                              start: str = "start_date", end: str = "end_date", link: str = "link_id",
-                             prev_link: str = "prev_link_id", split: float | None = None) -> DataFrame:
+                             prev_link: str = "prev_link_id", split: str | None = None) -> DataFrame:
     """Parity variant of linking + closing without ``otherwise``.
 
     Only the last version gets an end ('9999-12-31' as text, others NULL) and

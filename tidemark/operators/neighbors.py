@@ -3,22 +3,19 @@
 ``lag``/``lead`` over ``Window.partitionBy(keys)`` sends every row of a key to
 one task. ``by_key_size`` therefore finds the hot keys once (one aggregate),
 runs a chain of window steps plainly on all other rows (one exchange, one
-sort), and on the staged rows of the hot keys with neighbours computed in two
-levels:
-
-1. rows get ``bucket = floor(order_value / bucket_width)``, rows without an
-   order value a bucket before all others; ``lag``/``lead`` run over
-   ``(keys, bucket)``;
-2. a boundary frame (first and last row of every bucket, via ``min_by`` /
-   ``max_by`` aggregates) is windowed over ``keys`` ordered by bucket: one
-   row per bucket, so even a hot key has few rows there;
-3. each bucket's first row takes its previous value from the previous
-   non-empty bucket's last row, and each bucket's last row its next value from
-   the following bucket's first row.
+sort), and on the rows of the hot keys with neighbours computed in segments:
+
+1. the hot rows are range-partitioned by key and order value, with cut points
+   that Spark takes from a sample of the rows, so every segment holds about as
+   many rows however densely they lie; the segment of each row is stored;
+2. ``lag``/``lead`` run over ``(keys, segment)``;
+3. the last row before each cut and the first one after it (``max_by`` /
+   ``min_by`` aggregates, one row per key and segment) are carried over the cut:
+   windowed over ``keys`` in the order of the segments and joined back.
 
 Both ways give the same rows whatever the size of a key. The order column must
-be unique within a key (ties make lag/lead nondeterministic anyway) and be a
-date, timestamp or number; NULLs come first, as in a plain window.
+be unique within a key (ties make lag/lead nondeterministic anyway); NULLs come
+first, as in a plain window.
 """
 
 from __future__ import annotations
@@ -26,62 +23,64 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.common import all_of, broadcast_bounded
 from tidemark.sources.tables import stage_table
 
 c = F.col
-BUCKET = "_nb_bucket"
+SEGMENT = "_nb_segment"
 
 
-def _order_number(df: DataFrame, order: str) -> Column:
-    dt = df.schema[order].dataType
-    if isinstance(dt, T.DateType):
-        return F.datediff(c(order), F.lit("1970-01-01").cast("date"))
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c(order).cast("timestamp")) / F.lit(86_400_000_000)
-    return c(order).cast("double")
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, and their ``count`` (at most ``rows / hot_rows`` keys)."""
+    return df.groupBy(*keys).count().where(c("count") > hot_rows)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows (at most ``rows / hot_rows`` of them)."""
-    return df.groupBy(*keys).count().where(c("count") > hot_rows).select(*keys)
+def cut_by_density(df: DataFrame, keys: Sequence[str], order: str, rows: int, segment_rows: int) -> DataFrame:
+    """``df`` (of ``rows`` rows) stored with the segment of each row; a segment is a range of ``(keys, order)``.
+
+    Rows that agree in both share a segment. The cut points come from a sample, so a segment holds ``segment_rows`` rows
+    on average; it is stored because another sample would cut elsewhere.
+    """
+    parts = max(1, -(-rows // segment_rows))
+    cut = df.repartitionByRange(parts, *keys, order).withColumn(SEGMENT, F.spark_partition_id())
+    return stage_table(cut, f"segments/{uuid.uuid4().hex}")
 
 
-def by_key_size(df: DataFrame, keys: Sequence[str], hot_rows: int, steps: Callable[[DataFrame, float | None], DataFrame],
-                bucket_width: float = 30.0) -> DataFrame:
-    """``steps(rows, split)`` on the rows of ordinary keys (split None) and of hot keys (split ``bucket_width``).
+def by_key_size(df: DataFrame, keys: Sequence[str], hot_rows: int, steps: Callable[[DataFrame, str | None], DataFrame],
+                order: str = "start_date") -> DataFrame:
+    """``steps(rows, split)`` on the rows of ordinary keys (split None) and of hot keys (split: their segment column).
 
-    ``steps`` is a chain of the operators of ``tidemark.operators.history``, each called with ``split``. The hot
-    keys are staged; without any, the plan is the plain chain over ``df``.
+    ``steps`` is a chain of the operators of ``tidemark.operators.history``, each called with ``split``. Without hot
+    keys the plan is the plain chain over ``df``.
     """
     keys = list(keys)
     hot = stage_table(hot_keys(df, keys, hot_rows), f"hot-keys/{uuid.uuid4().hex}")
-    if hot.isEmpty():
+    rows = hot.agg(F.sum("count")).first()[0]
+    if not rows:
         return steps(df, None)
-    hot = broadcast_bounded(hot)
+    hot = broadcast_bounded(hot.drop("count"))
     # null-safe, so that rows with a null in their key stay with their key
     same = all_of([df[k].eqNullSafe(hot[k]) for k in keys])
-    return steps(df.join(hot, same, "left_anti"), None).unionByName(steps(df.join(hot, same, "left_semi"), bucket_width))
+    cut = cut_by_density(df.join(hot, same, "left_semi"), keys, order, rows, max(1, hot_rows // 2))
+    return steps(df.join(hot, same, "left_anti"), None).unionByName(steps(cut, SEGMENT).drop(SEGMENT))
 
 
 def with_neighbors(df: DataFrame, keys: Sequence[str], order: str, lag_cols: dict[str, str] | None = None,
-                   lead_cols: dict[str, str] | None = None, bucket_width: float = 30.0) -> DataFrame:
+                   lead_cols: dict[str, str] | None = None, segment: str = SEGMENT) -> DataFrame:
     """Add ``lag_cols`` (source -> output name) and ``lead_cols`` neighbour values per key.
 
     Equal to ``lag(src).over(w)`` / ``lead(src).over(w)`` with
-    ``w = Window.partitionBy(keys).orderBy(order)``, computed in ``bucket_width``-day buckets
-    (``bucket_width`` order units for numbers). The input is staged, as it is read twice.
+    ``w = Window.partitionBy(keys).orderBy(order)``, for rows whose ``segment`` column rises with ``order`` within a
+    key (``cut_by_density``; rows may have been filtered out since). The input is staged, as it is read twice.
     """
     keys = list(keys)
     lag_cols = dict(lag_cols or {})
     lead_cols = dict(lead_cols or {})
-    bucket = F.coalesce(F.floor(_order_number(df, order) / bucket_width).cast("long"), F.lit(-(1 << 62)))
-    rows = stage_table(df.withColumn(BUCKET, bucket), f"neighbors/{uuid.uuid4().hex}")
-    w = Window.partitionBy(*keys, BUCKET).orderBy(order)
+    rows = stage_table(df, f"neighbors/{uuid.uuid4().hex}")
+    w = Window.partitionBy(*keys, segment).orderBy(order)
     place = F.struct(c(order).isNotNull(), c(order))
     inner = rows.withColumns({
         **{f"_nb_lag_{o}": F.lag(s).over(w) for s, o in lag_cols.items()},
@@ -89,19 +88,19 @@ def with_neighbors(df: DataFrame, keys: Sequence[str], order: str, lag_cols: dic
         "_nb_first": F.lag(F.lit(1)).over(w).isNull(),
         "_nb_last": F.lead(F.lit(1)).over(w).isNull(),
     })
-    # one row per (key, bucket): its last values (for the next bucket) and first values (for the previous one)
+    # one row per (key, segment): its last values (for the next segment) and first values (for the previous one)
     aggs = [F.count(F.lit(1)).alias("_nb_n")]
     if lag_cols:
         aggs.append(F.max_by(F.struct(*[c(s).alias(o) for s, o in lag_cols.items()]), place).alias("_nb_lastv"))
     if lead_cols:
         aggs.append(F.min_by(F.struct(*[c(s).alias(o) for s, o in lead_cols.items()]), place).alias("_nb_firstv"))
-    bounds = rows.groupBy(*keys, BUCKET).agg(*aggs)
-    wb = Window.partitionBy(*keys).orderBy(BUCKET)
+    bounds = rows.groupBy(*keys, segment).agg(*aggs)
+    wb = Window.partitionBy(*keys).orderBy(segment)
     edge = bounds.select(
-        *[c(k).alias(f"_nb_{k}") for k in keys], c(BUCKET).alias("_nb_at"),
+        *[c(k).alias(f"_nb_{k}") for k in keys], c(segment).alias("_nb_at"),
         *([F.lag("_nb_lastv").over(wb).alias("_nb_prev")] if lag_cols else []),
         *([F.lead("_nb_firstv").over(wb).alias("_nb_next")] if lead_cols else []))
-    same = all_of([c(k).eqNullSafe(c(f"_nb_{k}")) for k in keys] + [c(BUCKET) == c("_nb_at")])
+    same = all_of([c(k).eqNullSafe(c(f"_nb_{k}")) for k in keys] + [c(segment) == c("_nb_at")])
     out = inner.join(edge, same, "left")
     return out.select(
         *[c(x) for x in df.columns],

@@ -30,7 +30,7 @@ c = F.col
 
 FIXTURE_DATES = RunDates(cutoff=_dt.date(1998, 6, 1), today=_dt.date(1998, 6, 30))
 FIXTURE_PARAMS = RunParams(as_of=_dt.date(1998, 6, 30), days_back=3, default_start=_dt.date(1998, 1, 1))
-# Keys with more rows than this are split into time buckets in whole-history window queries (same result).
+# Keys with more rows than this are cut into segments of half as many rows in whole-history window queries (same result).
 HOT_ROWS = 1_000_000
 
 SCHEMA_OF = {**{t: "tpch" for t in "region nation customer supplier part orders lineitem".split()},
@@ -231,7 +231,9 @@ def _versions(steps, keys=ITEM_KEYS):
     """A chain of window steps over a whole history, split for hot keys where there are any."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         fx = _fx(spark, sf_dir)
-        return by_key_size(fx.hist if keys is ITEM_KEYS else fx.user_hist, keys, HOT_ROWS, steps)
+        if keys is ITEM_KEYS:
+            return by_key_size(fx.hist, keys, HOT_ROWS, steps)
+        return by_key_size(fx.user_hist, keys, HOT_ROWS, steps, order="start_ts")
     return q
 
 
@@ -244,7 +246,7 @@ q_close_intervals_observed = _versions(lambda d, split: hs.close_intervals_obser
     _link(hs.collapse_runs(d, split=split)).withColumn("prev_link_id", F.lit(None).cast("string")), split=split))
 
 
-def _user_intervals(d: DataFrame, split: float | None) -> DataFrame:
+def _user_intervals(d: DataFrame, split: str | None) -> DataFrame:
     key = dict(keys=["user_id"], order=["start_ts"], split=split)
     return hs.close_intervals(hs.collapse_runs(d, status="status", **key), start="start_ts", end="end_ts", **key)
 
