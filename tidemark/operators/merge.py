@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.common import is_bounded
+from tidemark.operators.intervals import HOT_ITEM_ROWS, interval_join
 
 c = F.col
 
@@ -106,7 +107,8 @@ def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str]
                        start: str, end: str, set_col: str, from_col: str,
                        target_key: Sequence[str], on_multi: str = "error",
                        prefer: Sequence[str] = (), broadcast_bytes: int | None = None,
-                       stage: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                       stage: Callable[[DataFrame], DataFrame] | None = None,
+                       hot_rows: int = HOT_ITEM_ROWS) -> DataFrame:
     """``MERGE ... ON keys AND target.at BETWEEN source.start AND source.end WHEN MATCHED UPDATE SET set_col``.
 
     Matches are resolved per target row (``target_key`` identifies it):
@@ -118,7 +120,8 @@ def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str]
     target is split by ``keys`` against the broadcast source keys: rows of
     untouched keys pass through a broadcast anti join, and only rows of
     touched keys are shuffled for the match resolution. ``stage`` writes those
-    touched rows once, as the resolution reads them twice.
+    touched rows once, as the resolution reads them twice. Items with more than
+    ``hot_rows`` rows on both sides are matched by time cells (``interval_join``).
     """
     if on_multi not in ("error", "latest"):
         raise ValueError(f"on_multi must be 'error' or 'latest', not {on_multi!r}")
@@ -134,22 +137,18 @@ def merge_range_update(target: DataFrame, source: DataFrame, keys: Sequence[str]
         if stage is not None:
             touched = stage(touched)
         return rest.unionByName(_range_update(touched, src, keys, at, start, end, set_col, from_col,
-                                              target_key, on_multi, prefer, out_cols, current))
+                                              target_key, on_multi, prefer, out_cols, current, hot_rows))
     return _range_update(target, source, keys, at, start, end, set_col, from_col, target_key, on_multi,
-                         prefer, out_cols, current)
+                         prefer, out_cols, current, hot_rows)
 
 
 def _range_update(target, source, keys, at, start, end, set_col, from_col, target_key, on_multi, prefer,
-                  out_cols, current) -> DataFrame:
-    t = target.select(*target_key, *[k for k in keys if k not in target_key]).alias("t")
-    s = source.alias("s")
-    cond = [c(f"t.{k}") == c(f"s.{k}") for k in keys] + [c(f"t.{at}") >= c(f"s.{start}"), c(f"t.{at}") <= c(f"s.{end}")]
-    cond_all = cond[0]
-    for x in cond[1:]:
-        cond_all = cond_all & x
-    matches = t.join(s, cond_all, "inner").select(
-        *[c(f"t.{k}").alias(k) for k in target_key], c(f"s.{from_col}").alias("_val"),
-        F.struct(*[c(f"s.{p}") for p in prefer], c(f"s.{from_col}")).alias("_ord"))
+                  out_cols, current, hot_rows) -> DataFrame:
+    needed = list(dict.fromkeys([*target_key, *keys, at]))
+    matches = interval_join(target.select(*needed), source, at, [
+        *[c(f"e.{k}").alias(k) for k in target_key], c(f"h.{from_col}").alias("_val"),
+        F.struct(*[c(f"h.{p}") for p in prefer], c(f"h.{from_col}")).alias("_ord")],
+        keys=keys, start=start, end=end, count_first="intervals", hot_rows=hot_rows)
     resolved = matches.groupBy(*target_key).agg(
         F.max_by("_val", "_ord").alias("_val"), F.count(F.lit(1)).alias("_n"))
     if on_multi == "error":

@@ -33,7 +33,8 @@ from tidemark.operators.common import (
     ITEM_KEYS, MAX_BROADCAST_BYTES, VERSION_KEYS, all_of, broadcast_bounded, typed_null)
 from tidemark.operators.history import (
     close_intervals, collapse_runs, drop_reactivation, link_versions, one_version_per_start)
-from tidemark.operators.intervals import SCD_ROW, event_points, scd_rows_starting, version_at
+from tidemark.operators.intervals import (
+    HOT_ITEM_ROWS, SCD_ROW, event_points, interval_join, scd_rows_starting)
 from tidemark.operators.merge import merge_range_update, merge_upsert
 from tidemark.operators.rules import derive_status, init_inactive_flag, reason_rewrite
 from tidemark.params import CategoryWindows, RunDates
@@ -102,7 +103,7 @@ class StatusHistoryJob:
     """
 
     def __init__(self, src: HistorySources, rd: RunDates | CategoryWindows, categories: list[str] | None = None,
-                 on_multi_plan: str = "latest", materialize: str | None = "stage"):
+                 on_multi_plan: str = "latest", materialize: str | None = "stage", hot_rows: int = HOT_ITEM_ROWS):
         self.src = src
         self.windows = rd if isinstance(rd, CategoryWindows) else None
         # literal bounds of the scans; and of the rows, once they know their subscription
@@ -111,6 +112,7 @@ class StatusHistoryJob:
         self.categories = categories
         self.on_multi_plan = on_multi_plan
         self.materialize = materialize
+        self.hot_rows = hot_rows
         self._run_id = f"run-{self.rd.cutoff_text}-{self.rd.today_text}-{uuid.uuid4().hex[:12]}"
         self._staged: dict[str, DataFrame] = {}
         self._sizes: dict[str, int] = {}
@@ -230,9 +232,9 @@ class StatusHistoryJob:
 
     def versions_at(self, points: DataFrame) -> DataFrame:
         """Sales-document version valid at each point, re-dated to the point (12 columns)."""
-        return version_at(points, self.src.scd, "at_date").select(
-            *[c(f"h.{k}") for k in ITEM_KEYS], c("e.at_date").alias("start_date"),
-            *[c(f"h.{a}") for a in SCD_ROW[4:]])
+        return interval_join(points, self.src.scd, "at_date", [
+            *[c(f"h.{k}") for k in ITEM_KEYS], c("e.at_date").alias("start_date"), *[c(f"h.{a}") for a in SCD_ROW[4:]]],
+            hot_rows=self.hot_rows)
 
     @cached_property
     def scd_starts(self) -> DataFrame:
@@ -255,12 +257,10 @@ class StatusHistoryJob:
     def with_plans(self) -> DataFrame:
         """Change versions left-joined to the plan item whose text interval holds the start date."""
         v = self.delta_versions.withColumn("end_date", typed_null("date")).withColumn(
-            "_start_text", F.date_format("start_date", "yyyyMMdd")).alias("v")
-        p = self.plan_items.alias("p")
-        cond = all_of([c(f"v.{k}") == c(f"p.{k}") for k in ITEM_KEYS]
-                      + [c("v._start_text") >= c("p.bp_start_date"), c("v._start_text") <= c("p.bp_end_date")])
-        return self._cut(v.join(p, cond, "left").select(*[
-            c(f"p.{x}") if x.startswith("bp_") else c(f"v.{x}") for x in PLANNED_COLS]), "with_plans")
+            "_start_text", F.date_format("start_date", "yyyyMMdd"))
+        return self._cut(interval_join(v, self.plan_items, "_start_text", [
+            c(f"h.{x}") if x.startswith("bp_") else c(f"e.{x}") for x in PLANNED_COLS],
+            start="bp_start_date", end="bp_end_date", how="left", hot_rows=self.hot_rows), "with_plans")
 
     @cached_property
     def billed_before(self) -> DataFrame:
@@ -426,4 +426,4 @@ class StatusHistoryJob:
             end="bp_end_date", set_col="upd_ind", from_col="bp_upd_ind", target_key=VERSION_KEYS,
             on_multi=self.on_multi_plan, prefer=["bp_start_date", "bp_item", "bp_no"],
             stage=(lambda rows: self._cut(rows, "touched")) if self.materialize == "stage" else None,
-            broadcast_bytes=self._broadcast_bytes)
+            broadcast_bytes=self._broadcast_bytes, hot_rows=self.hot_rows)
