@@ -1,5 +1,6 @@
 """Row filters, masks, membership and tag rules on the literal tables of the governance demos."""
 
+import pytest
 from pyspark.sql import Row
 
 from tidemark.operators import governance as gov
@@ -91,3 +92,59 @@ def test_tag_rule_applies_to_tagged_tables_for_members_only(spark, tmp_path):
     assert gov.secured(reread, "cities", reg, "alice", _members(spark)).count() == 1   # admin: rule applies
     assert gov.secured(reread, "cities", reg, "bob", _members(spark)).count() == 4     # not in group
     assert gov.secured(_cities(spark), "cities", reg, "alice", _members(spark)).count() == 4  # untagged table
+
+
+# ---- groups in groups, and policies resolved by the query ---------------------------------------
+
+def _closure(edges):
+    found = {(a, b) for a, b in edges if a and b}
+    while True:
+        more = {(a, d) for a, b in found for c_, d in edges if c_ == b and d} - found
+        if not more:
+            return {(a, b) for a, b in found if a != b}
+        found |= more
+
+
+@pytest.mark.parametrize("edges", [
+    [], [("a", "b"), ("b", "c"), ("c", "a")], [("a", "a")], [("a", "b"), ("a", "b"), (None, "c"), ("b", None)],
+    [(f"g{k}", f"g{k + 1}") for k in range(12)], [(f"g{i}", f"g{j}") for i in range(6) for j in range(6)]])
+def test_group_closure_with_cycles(spark, edges):
+    df = spark.createDataFrame(edges, "group_name string, in_group string")
+    assert {tuple(r) for r in gov.group_closure(df).collect()} == _closure(edges)
+
+
+def test_groups_of_a_user(spark):
+    nesting = spark.createDataFrame([("eng", "staff"), ("staff", "all"), ("all", "staff")], "group_name string, in_group string")
+    own = spark.createDataFrame([("ann", "eng"), ("ann", "staff"), ("bob", "all"), (None, "eng"), ("eve", None)],
+                                "principal string, group_name string")
+    assert {tuple(r) for r in gov.groups_of(own, nesting, "ann").collect()} == {("eng", True), ("staff", True), ("all", False)}
+    every = gov.all_memberships(own, nesting)
+    assert gov.is_member(every, "bob", "staff") and not gov.is_member(every, "bob", "eng") and not gov.is_member(every, "eve", "all")
+
+
+def test_one_view_two_principals(spark):
+    spark.createDataFrame([(1, "x", "US"), (2, "y", "FR"), (3, "z", None)], "id int, name string, country string").createOrReplaceTempView("pv_rows")
+    spark.createDataFrame([("ann", "HR"), ("bob", "eng"), ("o'neil", "it's")], "principal string, group_name string").createOrReplaceTempView("pv_members")
+    spark.createDataFrame([("ann", "US"), ("ann", "US"), ("ann", "FR"), ("bob", "FR")], "principal string, country string").createOrReplaceTempView("pv_access")
+    who = gov.set_principal(spark, "ann")
+    gov.secured_view(spark, "pv_seen", "pv_rows", membership="pv_members", who=who, allowed=("country", "pv_access"),
+                     masks={"name": ("HR", "concat(left(name, 0), '-')")})
+
+    def seen(principal):
+        gov.set_principal(spark, principal)
+        return sorted(tuple(r) for r in spark.table("pv_seen").collect())
+
+    assert seen("ann") == [(1, "x", "US"), (2, "y", "FR")]
+    assert seen("bob") == [(2, "-", "FR")]
+    assert seen("o'neil") == []
+    gov.secured_view(spark, "pv_seen", "pv_rows", membership="pv_members", who=who, masks={"name": ("it's", "'-'")})
+    assert [r[1] for r in seen("o'neil")] == ["x", "y", "z"] and [r[1] for r in seen("bob")] == ["-"] * 3
+
+
+def test_a_stored_view_for_the_current_user(spark):
+    spark.createDataFrame([(1, "US"), (2, "FR")], "id int, country string").write.mode("overwrite").saveAsTable("pv_stored")
+    user = spark.sql("SELECT current_user()").first()[0]
+    spark.createDataFrame([(user, "FR"), ("other", "US")], "principal string, country string").write.mode("overwrite").saveAsTable("pv_stored_access")
+    gov.secured_view(spark, "pv_stored_seen", "pv_stored", membership="pv_stored_access", who="current_user()",
+                     allowed=("country", "pv_stored_access"), temporary=False)
+    assert [tuple(r) for r in spark.newSession().table("pv_stored_seen").collect()] == [(2, "FR")]

@@ -8,16 +8,23 @@ so filtering stays in whole-stage codegen and pushes down like any predicate.
 
 Membership is resolved once per principal and group into a boolean literal;
 the membership table is a policy table, and the lookup reads at most one row.
+Groups may be members of groups (``group_closure``), in cycles too.
+
+``secured_view`` states the same policies as one SQL view that resolves them when it is queried: the principal is a
+session variable (or ``current_user()``), the allowed values are a semi join and the masks a lookup.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.tables import stage_table
+
 TAG_KEY = "tags"
 
 
@@ -56,6 +63,44 @@ def is_member(membership: DataFrame, principal: str, group: str,
     return len(hit.take(1)) > 0
 
 
+def group_closure(nesting: DataFrame, group_col: str = "group_name", in_col: str = "in_group") -> DataFrame:
+    """Every group with every other group it is in, directly or through groups: distinct ``group_col, in_col``.
+
+    Each round extends the pairs found last by one step and keeps the new ones, so a cycle ends it and a pair that many
+    paths lead to is followed once (a recursive query with UNION ALL would follow every path). Rounds are as many as the
+    longest chain of groups; pairs are staged, and only their emptiness reaches the driver.
+    """
+    run = uuid.uuid4().hex[:12]
+    a, b = F.col(group_col), F.col(in_col)
+    step = nesting.where(a.isNotNull() & b.isNotNull() & (a != b)).select(a.alias(group_col), b.alias(in_col)).distinct()
+    step = stage_table(step, f"groups/{run}/step")
+    found = new = step
+    k = 0
+    while not new.isEmpty():
+        longer = new.select(a, b.alias("_via")).join(step.select(a.alias("_via"), b), "_via").select(group_col, in_col)
+        new = stage_table(longer.where(a != b).distinct().join(found, [group_col, in_col], "left_anti"), f"groups/{run}/new-{k}")
+        found = stage_table(found.unionByName(new), f"groups/{run}/found-{k}")
+        k += 1
+    return found
+
+
+def all_memberships(membership: DataFrame, nesting: DataFrame, principal_col: str = "principal",
+                    group_col: str = "group_name", in_col: str = "in_group") -> DataFrame:
+    """``principal_col, group_col, direct``: the groups of every principal, its own and those that they are in."""
+    own = membership.where(F.col(principal_col).isNotNull() & F.col(group_col).isNotNull()).select(principal_col, group_col)
+    through = own.join(group_closure(nesting, group_col, in_col), group_col).select(
+        F.col(principal_col), F.col(in_col).alias(group_col))
+    both = own.withColumn("direct", F.lit(True)).unionByName(through.withColumn("direct", F.lit(False)))
+    return both.groupBy(principal_col, group_col).agg(F.max("direct").alias("direct"))
+
+
+def groups_of(membership: DataFrame, nesting: DataFrame, principal: str, principal_col: str = "principal",
+              group_col: str = "group_name", in_col: str = "in_group") -> DataFrame:
+    """The groups of one user, ``group_col, direct`` (the listing of a user's groups)."""
+    own = membership.where(F.col(principal_col) == principal)
+    return all_memberships(own, nesting, principal_col, group_col, in_col).select(group_col, "direct")
+
+
 Mask = object | Callable[[Column], Column]
 
 
@@ -161,3 +206,39 @@ def secured(df: DataFrame, table: str, registry: PolicyRegistry, principal: str,
     for m in registry.masks.get(table, []):
         out = mask_column(out, m.column, member_of(m.group), m.mask)
     return out
+
+
+# ---- policies resolved by the query -----------------------------------------------------------
+
+def set_principal(spark: SparkSession, principal: str, variable: str = "tidemark_principal") -> str:
+    """Set (declare, if need be) the session variable that names who is asking; returns its name."""
+    spark.sql(f"DECLARE OR REPLACE VARIABLE {variable} STRING DEFAULT :who", args={"who": principal})
+    return variable
+
+
+def secured_view(spark: SparkSession, name: str, table: str, *, membership: str, who: str,
+                 allowed: tuple[str, str] | None = None, masks: dict[str, tuple[str, str]] | None = None,
+                 principal_col: str = "principal", group_col: str = "group_name", temporary: bool = True) -> str:
+    """Create the view ``name`` over ``table`` in which filter and masks follow who asks, and return its SQL.
+
+    ``who`` is a SQL expression: a session variable (``set_principal``; such a view is temporary) or ``current_user()``
+    (the view may be stored). ``allowed`` = (column, access table): a row is shown if the access table (``principal_col``
+    and the same column) holds its value for the principal; a NULL is not shown. ``masks``: column -> (group, SQL
+    expression of the masked value); members of the group see the value.
+    """
+    columns = []
+    for column in spark.table(table).columns:
+        shown = f"t.`{column}`"
+        if masks and column in masks:
+            group, masked = masks[column]
+            literal = group.replace("'", "''")
+            inside = (f"(SELECT count(*) > 0 FROM {membership} m WHERE m.`{principal_col}` = {who} "
+                      f"AND m.`{group_col}` = '{literal}')")
+            shown = f"CASE WHEN {inside} THEN {shown} ELSE {masked} END AS `{column}`"
+        columns.append(shown)
+    sql = f"SELECT {', '.join(columns)} FROM {table} t"
+    if allowed:
+        column, access = allowed
+        sql += f" LEFT SEMI JOIN {access} a ON a.`{principal_col}` = {who} AND a.`{column}` = t.`{column}`"
+    spark.sql(f"CREATE OR REPLACE {'TEMPORARY ' if temporary else ''}VIEW {name} AS {sql}")
+    return sql

@@ -1,7 +1,7 @@
 """Table-size inventory: a ``(name, sizeinbytes)`` frame and two size reports.
 
-Three measures: ``stored_sizes`` lists files (no data is read; the one for large tables), ``catalog_sizes`` walks the
-session catalog's statistics, and ``table_sizes`` reads the tables for the size of their values, which does not depend
+Three measures: ``stored_sizes`` lists files (no data is read; the one for large tables), ``catalog_sizes`` does so for
+the folders that the session catalog names, and ``table_sizes`` reads the tables for the size of their values, which does not depend
 on the file format. The reports group by the parts of the three-part name.
 """
 
@@ -26,12 +26,27 @@ def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def stored_sizes(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """One row per table: ``name`` and the bytes of its files, from a file listing alone."""
-    def one(name: str, path: str) -> DataFrame:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-        return files.agg(F.lit(name).alias("name"), F.coalesce(F.sum("length"), F.lit(0)).alias("sizeinbytes"))
+    """One row per table: ``name`` and the bytes of its files, from one listing of all tables.
 
-    return reduce(DataFrame.unionByName, [one(n, p) for n, p in paths.items()])
+    Spark lists many folders on the executors; no file is opened. A file counts for the table whose folder it lies in,
+    found by equality with its parent folders. A table without files has size 0.
+    """
+    schema = "name string, root string"
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def qualified(path: str) -> str:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(conf).makeQualified(p).toString()
+
+    roots = spark.createDataFrame([(name, qualified(path)) for name, path in paths.items()], schema)
+    if not paths:
+        return roots.select("name", F.lit(0).cast("long").alias("sizeinbytes"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(sorted(set(paths.values())))
+    parts = F.split("path", "/")
+    parents = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.concat_ws("/", F.slice(parts, F.lit(1), k)))
+    per_file = files.select("length", F.explode(parents).alias("root"))
+    return roots.join(per_file, "root", "left").groupBy("name").agg(
+        F.coalesce(F.sum("length"), F.lit(0)).alias("sizeinbytes"))
 
 
 def _parts(name: Column) -> tuple[Column, Column, Column]:
@@ -65,37 +80,38 @@ def inventory_by_table(info: DataFrame, unit: float = 1e9, size_col: str = "size
             .orderBy(F.col("sizeinbytes").desc()))
 
 
-def catalog_sizes(spark: SparkSession, skip_catalogs=("samples", "system"),
-                  skip_schemas=("information_schema", "default")) -> tuple[DataFrame, DataFrame]:
-    """Walk catalogs -> schemas -> managed tables and read each table's size statistic.
+def catalog_tables(spark: SparkSession, skip_catalogs=("samples", "system"),
+                   skip_schemas=("information_schema", "default")) -> tuple[dict[str, str], DataFrame]:
+    """Folders of the managed tables of all catalogs, and one error row per schema that failed.
 
-    Returns ``(sizes, errors)``: sizes as ``(name, sizeinbytes)``, and one
-    error row per schema that failed (class, parameters, SQLSTATE) instead of
-    printing it. Views and external tables are skipped. Only metadata crosses
-    the driver; the number of rows is the number of tables.
+    One statement per schema; views and external tables are left out. An error row holds class, parameters and SQLSTATE
+    instead of a printed message. Only metadata crosses the driver.
     """
-    sizes: list[tuple[str, int]] = []
+    folders: dict[str, str] = {}
     errors: list[tuple[str, str, str, str]] = []
     for cat in spark.catalog.listCatalogs():
         if cat.name in skip_catalogs:
             continue
-        schemas = [r[0] for r in spark.sql(f"SHOW SCHEMAS IN `{cat.name}`").collect()]
-        for schema in schemas:
+        for schema in [r[0] for r in spark.sql(f"SHOW SCHEMAS IN `{cat.name}`").collect()]:
             if schema in skip_schemas:
                 continue
             try:
-                for t in spark.catalog.listTables(f"{cat.name}.{schema}"):
-                    if t.tableType in ("VIEW", "EXTERNAL", "TEMPORARY") or t.isTemporary:
-                        continue
-                    full = f"{cat.name}.{schema}.{t.name}"
-                    spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS NOSCAN")
-                    stats = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {full}").collect()
-                             if r.col_name == "Statistics"]
-                    size = int(stats[0].split()[0]) if stats else 0
-                    sizes.append((full, size))
+                for t in spark.sql(f"SHOW TABLE EXTENDED IN `{cat.name}`.`{schema}` LIKE '*'").collect():
+                    facts = dict(x.split(": ", 1) for x in t["information"].splitlines() if ": " in x)
+                    if facts.get("Type") == "MANAGED" and not t["isTemporary"] and "Location" in facts:
+                        folders[f"{cat.name}.{schema}.{t['tableName']}"] = facts["Location"]
             except PySparkException as ex:
                 errors.append((f"{cat.name}.{schema}", str(ex.getCondition()),
                                str(ex.getMessageParameters()), str(ex.getSqlState())))
-    sizes_df = spark.createDataFrame(sizes, "name string, sizeinbytes bigint")
-    errors_df = spark.createDataFrame(errors, "schema_name string, error_class string, parameters string, sqlstate string")
-    return sizes_df, errors_df
+    return folders, spark.createDataFrame(
+        errors, "schema_name string, error_class string, parameters string, sqlstate string")
+
+
+def catalog_sizes(spark: SparkSession, skip_catalogs=("samples", "system"),
+                  skip_schemas=("information_schema", "default")) -> tuple[DataFrame, DataFrame]:
+    """``(sizes, errors)``: ``name, sizeinbytes`` of every managed table, from one listing of their folders.
+
+    Nothing is written to the catalog (no ANALYZE).
+    """
+    folders, errors = catalog_tables(spark, skip_catalogs, skip_schemas)
+    return stored_sizes(spark, folders), errors

@@ -499,6 +499,32 @@ SELECT c_custkey, '(hidden)' AS c_name, c_acctbal, c_mktsegment, country_name FR
     "column_mask_member": "SELECT * FROM {customer_geo}",
     "column_mask_function": """
 SELECT c_custkey, '..' || right(c_name, 3) AS c_name, c_acctbal, c_mktsegment, country_name FROM {customer_geo}""",
+    "membership_nested": """
+SELECT principal, group_name, max(direct) AS direct FROM (
+ SELECT principal, group_name, true AS direct FROM {customer_groups}
+ UNION ALL SELECT g.principal, c.in_group, false FROM {customer_groups} g JOIN (
+  WITH RECURSIVE inside(group_name, in_group) AS (
+   SELECT group_name, in_group FROM {group_nesting} UNION
+   SELECT i.group_name, n.in_group FROM inside i JOIN {group_nesting} n ON i.in_group = n.group_name)
+  SELECT * FROM inside WHERE group_name <> in_group) c ON c.group_name = g.group_name)
+GROUP BY ALL""",
+    "groups_of_user": """
+SELECT group_name, max(direct) AS direct FROM (
+ SELECT group_name, true AS direct FROM {customer_groups} WHERE principal = (SELECT min(c_name) FROM {customer})
+ UNION ALL SELECT in_group, false FROM (
+  WITH RECURSIVE inside(group_name, in_group) AS (
+   SELECT group_name, in_group FROM {group_nesting} WHERE group_name IN (
+     SELECT group_name FROM {customer_groups} WHERE principal = (SELECT min(c_name) FROM {customer})) UNION
+   SELECT i.group_name, n.in_group FROM inside i JOIN {group_nesting} n ON i.in_group = n.group_name)
+  SELECT * FROM inside WHERE group_name <> in_group))
+GROUP BY ALL""",
+    "policy_view_member": """
+SELECT g.* FROM {customer_geo} g
+WHERE EXISTS (SELECT 1 FROM {country_access} a WHERE a.principal = 'building' AND a.country_name = g.country_name)""",
+    "policy_view_other": """
+SELECT c_custkey, '(hidden)' AS c_name, c_acctbal, c_mktsegment, country_name FROM {customer_geo} g
+WHERE EXISTS (SELECT 1 FROM {country_access} a WHERE a.principal = 'machinery' AND a.country_name = g.country_name)""",
+    "split_scan": "SELECT o_orderkey, o_orderdate, o_orderpriority FROM {orders}",
     "tag_rule_two_columns": """
 SELECT DISTINCT l_orderkey, l_suppkey, g.country_name, n_name AS supplier_country
 FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer_geo} g ON o_custkey = c_custkey

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark import inheritable_thread_target
@@ -38,7 +38,7 @@ from tidemark.operators.intervals import (
 from tidemark.operators.merge import merge_range_update, merge_upsert
 from tidemark.operators.rules import derive_status, init_inactive_flag, reason_rewrite
 from tidemark.params import CategoryWindows, RunDates
-from tidemark.sources.tables import drop_stages, stage_measured
+from tidemark.sources.tables import drop_stages, stage_measured, write_stage
 
 c = F.col
 
@@ -74,6 +74,23 @@ class HistorySources:
     business: DataFrame     # sales document business data
     scd: DataFrame          # sales-document history (closed intervals)
     target: DataFrame       # status history merged into
+    dim_by_plan: DataFrame | None = None  # the dimension stored by plan number, if there is such a copy
+
+    def stored_by_key(self, prefix: str, buckets: int) -> "HistorySources":
+        """The sources as tables ``<prefix>_<name>``, bucketed by the keys that the job joins them on.
+
+        A change frame beyond the broadcast bound is then shuffled to the buckets of a table, and the table is read in
+        place. The dimension is joined on two keys and stored twice.
+        """
+        spark = self.dim.sparkSession
+        keys = {"dim": ITEM_KEYS, "dim_by_plan": ["bill_plan_number"], "plans": ["bp_no"], "scd": ITEM_KEYS,
+                "target": ITEM_KEYS, "bill_item": ["mandt", "bp_no", "bp_item"], "bill_hdr": ["mandt", "vbeln"],
+                "order_hdr": ["mandt", "vbeln"], "order_line": ["mandt", "vbeln", "posnr"],
+                "business": ["mandt", "vbeln", "posnr"]}
+        for name, columns in keys.items():
+            frame = self.dim if name == "dim_by_plan" else getattr(self, name)
+            write_stage(frame, f"{prefix}_{name}", keys=columns, buckets=buckets)
+        return replace(self, **{name: spark.table(f"{prefix}_{name}") for name in keys})
 
     @classmethod
     def from_fixtures(cls, fx) -> "HistorySources":
@@ -156,8 +173,10 @@ class StatusHistoryJob:
     # ---- 1. change extraction -------------------------------------------------
     @cached_property
     def subs(self) -> DataFrame:
-        rows = dl.with_trial_flag(dl.subscriptions(self.src.dim, self.categories), self.src.params)
-        return self._with_cutoff(rows)
+        return self._subs(self.src.dim)
+
+    def _subs(self, dim: DataFrame) -> DataFrame:
+        return self._with_cutoff(dl.with_trial_flag(dl.subscriptions(dim, self.categories), self.src.params))
 
     def _with_cutoff(self, rows: DataFrame) -> DataFrame:
         """With windows per category: the rows of their categories, with the cutoff (the frame is broadcast if small)."""
@@ -177,7 +196,8 @@ class StatusHistoryJob:
         and bounded, it is broadcast, so the subscription dimension is streamed
         instead of shuffled.
         """
-        return self._cut(dl.plan_items(self._small(self.plan_delta, "plan_delta"), self.subs,
+        by_plan = self.subs if self.src.dim_by_plan is None else self._subs(self.src.dim_by_plan)
+        return self._cut(dl.plan_items(self._small(self.plan_delta, "plan_delta"), by_plan,
                                        self.own if self.windows else None), "plan_items")
 
     @cached_property

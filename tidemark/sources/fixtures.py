@@ -109,6 +109,23 @@ FROM {events}""",
     "membership": """
 SELECT *
 FROM (VALUES ('alice','HR'),('alice','admins'),('bob','eng')) AS t(principal, group_name)""",
+    # groups of customers: one per country, one per market segment
+    "customer_groups": """
+SELECT c_name AS principal, 'country ' || n_name AS group_name
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
+UNION ALL SELECT c_name, 'segment ' || c_mktsegment FROM {customer}""",
+    # groups in groups: countries in regions, regions in one group, which is in the group of some countries (cycles)
+    "group_nesting": """
+SELECT 'country ' || n_name AS group_name, 'region ' || r_name AS in_group
+FROM {nation} JOIN {region} ON n_regionkey = r_regionkey
+UNION ALL SELECT 'region ' || r_name, 'everywhere' FROM {region}
+UNION ALL SELECT 'everywhere', 'country ' || n_name FROM {nation} WHERE n_nationkey % 10 = 3
+UNION ALL SELECT 'segment ' || c_mktsegment, 'region ' || r_name
+FROM (SELECT DISTINCT c_mktsegment, c_nationkey FROM {customer} WHERE c_custkey % 50 = 0) JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey""",
+    # countries whose customers each segment's manager may see (access table of the policy view)
+    "country_access": """
+SELECT DISTINCT lower(c_mktsegment) AS principal, n_name AS country_name
+FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey WHERE c_acctbal > 9000""",
     # customers with their country: the governed table of the policy queries
     "customer_geo": """
 SELECT c_custkey, c_name, c_acctbal, c_mktsegment, n_name AS country_name

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.common import total_bytes
 from tidemark.session import ensure_checkpoint_dir
@@ -42,14 +46,55 @@ def jdbc_options(url: str, dbtable: str, *, user: str | None = None, password: s
     return opts
 
 
+def split_points(sample: DataFrame, column: str, parts: int) -> list:
+    """At most ``parts - 1`` ascending values that cut ``column`` into ranges of about as many rows.
+
+    For every ordered type: Spark range-partitions the (sampled) values, and the first value of each range but the lowest
+    is a cut point; at most ``parts`` values reach the driver. NULLs and repeats of a value do not move a cut.
+    """
+    values = sample.where(F.col(column).isNotNull()).select(F.col(column).alias("v"))
+    firsts = values.repartitionByRange(parts, "v").groupBy(F.spark_partition_id()).agg(F.min("v").alias("v"))
+    return sorted({r["v"] for r in firsts.collect()})[1:]
+
+
+def sql_literal(value) -> str:
+    """A value as an ANSI SQL literal."""
+    if isinstance(value, _dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, _dt.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def split_predicates(column: str, points: Sequence) -> list[str]:
+    """Disjoint conditions that hold every row exactly once: the ranges between the points, NULLs in the first.
+
+    The points ascend in the order of the database (its collation, for text).
+    """
+    at = [sql_literal(p) for p in points]
+    if not at:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(at, at[1:])]
+    return [f"({column} < {at[0]} OR {column} IS NULL)", *inner, f"{column} >= {at[-1]}"]
+
+
 def read_jdbc(spark: SparkSession, url: str, dbtable: str, *, partition_column: str | None = None,
-              num_partitions: int = 10, bounds: tuple[int, int] | None = None, **conn) -> DataFrame:
+              num_partitions: int = 10, bounds: tuple[int, int] | None = None, points: Sequence | None = None,
+              **conn) -> DataFrame:
     """JDBC scan of a table or parenthesised sub-query, split on ``partition_column`` when given.
 
     Bounds default to ``min``/``max`` of the partition column, read with one
-    pushed-down aggregate query. Filters applied to the result are pushed to
-    the database by Spark, so no literal needs to be formatted into SQL.
+    pushed-down aggregate query; that needs whole numbers. A text, date or skewed column is split at ``points``
+    (``split_points`` of a sample): one task per range, as disjoint predicates. Filters applied to the result are pushed
+    to the database by Spark, so no literal needs to be formatted into SQL.
     """
+    if points is not None:
+        if partition_column is None:
+            raise ValueError("points need the partition column")
+        properties = {k: v for k, v in jdbc_options(url, dbtable, **conn).items() if k not in ("url", "dbtable")}
+        return spark.read.jdbc(url, dbtable, predicates=split_predicates(partition_column, points), properties=properties)
     if partition_column is not None and bounds is None:
         probe = f"(SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {dbtable} t) b"
         row = spark.read.format("jdbc").options(**jdbc_options(url, probe, **conn)).load().first()
@@ -92,9 +137,17 @@ def drop_stages(spark: SparkSession, name: str | None = None) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def write_stage(df: DataFrame, table: str, mode: str = "overwrite") -> None:
-    """Append to or replace a managed stage table (``saveAsTable``)."""
-    df.write.mode(mode).saveAsTable(table)
+def write_stage(df: DataFrame, table: str, mode: str = "overwrite", keys: Sequence[str] = (), buckets: int = 0) -> None:
+    """Append to or replace a managed stage table (``saveAsTable``).
+
+    With ``keys`` and ``buckets`` it is bucketed and sorted by the keys: a join on exactly these keys then moves the other
+    side alone, and two tables with the same buckets meet without any shuffle. Rows are clustered before the write, so
+    each bucket is one file per write.
+    """
+    if keys:
+        df.repartition(buckets, *keys).write.mode(mode).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    else:
+        df.write.mode(mode).saveAsTable(table)
 
 
 def truncate(spark: SparkSession, *tables: str) -> None:
