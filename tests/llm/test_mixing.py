@@ -103,3 +103,18 @@ def test_first_words(workers):
 
 def test_frame_has_clashing_columns(messy):
     assert {"key", "size", "hash", "target"} <= set(messy.columns) and frame is not None
+
+
+def test_targets_do_not_depend_on_the_files_of_a_session(workers):
+    from tests.conftest import SF001
+    from tidemark.llm import queries
+
+    def rows():
+        return sorted(map(tuple, queries.queries()["op4_mixing"](workers, SF001).collect()))
+
+    before = rows()
+    workers.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    try:
+        assert rows() == before
+    finally:
+        workers.conf.unset("spark.sql.files.maxRecordsPerFile")

@@ -80,3 +80,15 @@ def test_query(workers):
         ids = np.array(expected_ids(text), dtype="<u4")
         for p in out[out.doc_id == doc_id].itertuples():
             assert zlib.crc32(ids[p.start:p.start + p.length].tobytes()) == p.ids_crc32 and p.doc_tokens == len(ids)
+
+
+def test_sequence_ids_do_not_depend_on_the_files_of_a_session(workers):
+    from tests.conftest import SF001
+    from tidemark.llm import queries
+
+    workers.conf.set("spark.sql.files.maxRecordsPerFile", "2")
+    try:
+        pieces = packing.pack(workers.read.parquet(f"{SF001}/documents.parquet").repartition(3), queries.vocabulary())
+        assert pieces.count() == pieces.select("sequence_id").distinct().count()
+    finally:
+        workers.conf.unset("spark.sql.files.maxRecordsPerFile")

@@ -34,8 +34,12 @@ class Stages:
         return f"{self.root}/{name}"
 
     def put(self, df: DataFrame, name: str, partition_by: list[str] | None = None, tasks: int | None = None) -> DataFrame:
-        """Write and read back; with ``tasks`` at most that many write (for tables known to be small)."""
-        writer = (df if tasks is None else df.coalesce(tasks)).write.mode("overwrite").option("compression", "zstd")
+        """Write and read back; with ``tasks`` at most that many write (for tables known to be small).
+
+        A task writes one file per folder whatever the session's record limit, so (task number, row in file) is a place.
+        """
+        writer = (df if tasks is None else df.coalesce(tasks)).write.mode("overwrite").option(
+            "compression", "zstd").option("maxRecordsPerFile", 0)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(name))
