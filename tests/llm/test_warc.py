@@ -91,3 +91,16 @@ def test_query(workers):
     out = queries.queries()["op7_warc"](workers, SF01).collect()
     pages = [(r.page_id, None, r.html) for r in workers.read.parquet(f"{SF01}/pages.parquet").collect()]
     assert sorted((tuple(r) for r in out), key=str) == plain(pages) and random is not None
+
+
+def test_files_are_bounded_by_bytes(workers):
+    pages = [(k, f"http://h.example/{k}", f"{k} " + "x" * (10 if k % 10 else 60_000)) for k in range(60)]
+    stages = Stages(workers, "t")
+    path = warc.write_archives(frame(workers, pages).coalesce(1), stages, file_bytes=200_000)
+    sizes = [r.length for r in workers.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "part-*").load(path).collect()]
+    assert max(sizes) < 200_000 and len(sizes) > 2
+    out = warc.archive_pages(frame(workers, pages), file_bytes=200_000, keep_archives=False).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in out), key=str) == plain(pages)
+    one = warc.archive_pages(frame(workers, pages), file_bytes=1000).collect()         # a record above the bound stands alone
+    assert len(one) == len(pages)

@@ -22,6 +22,10 @@ from tidemark.llm.common import Stages, broadcast_if_small, out_batch
 
 LEAST_BYTES = 100
 RECORDS_PER_FILE = 4096
+# Bytes of an archive, but for one longer record alone: a file is read as one value, which may have 2 GB.
+FILE_BYTES = 128 * 1024 * 1024
+# Bytes of a record besides its payload, at most: headers and URL.
+HEAD_BYTES = 8192
 # Captures without a time of their own: this moment (UTC) and the page id in seconds.
 FIRST_CAPTURE = 1_577_836_800
 
@@ -66,8 +70,13 @@ def with_revisits(pages: DataFrame, stages: Stages, least_bytes: int) -> DataFra
 
 def write_archives(pages: DataFrame, stages: Stages, *, id_col: str = "page_id", url_col: str = "url",
                    html_col: str = "html", captured_col: str | None = None, least_bytes: int = LEAST_BYTES,
-                   records_per_file: int = RECORDS_PER_FILE) -> str:
-    """Write the archives and return their folder."""
+                   records_per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES) -> str:
+    """Write the archives and return their folder.
+
+    Files are bounded by ``records_per_file`` and by ``file_bytes``: records are written by size class (powers of two),
+    each class with as many records to a file as fit at its largest size. Usually all records are in the first class, and
+    there is one write; there are at most as many as classes.
+    """
     seconds = (F.lit(FIRST_CAPTURE) + F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(10**9)) if captured_col is None
                else F.unix_seconds(F.col("captured_at")))
     source = [F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").cast("string").alias("url"),
@@ -94,10 +103,19 @@ def write_archives(pages: DataFrame, stages: Stages, *, id_col: str = "page_id",
         _header("X-Refers-To-Page-ID", F.col("refers_to").cast("string")),
         F.lit("Content-Type: application/http; msgtype=response"),
         _header("Content-Length", F.octet_length("block").cast("string")), F.lit(CRLF))
-    records = rows.withColumn("block", block).select(F.concat(head, F.col("block")).alias("value"))
     path = stages.path("archives")
-    records.write.mode("overwrite").option("lineSep", CRLF + CRLF).option(
-        "maxRecordsPerFile", records_per_file).text(path)
+    # class k: records of at most 2**k bytes; the first one is what fits records_per_file times
+    first = max(1, (max(1, file_bytes // records_per_file)).bit_length() - 1)
+    size = F.col("payload_bytes") + HEAD_BYTES + F.coalesce(F.octet_length("url"), F.lit(0))
+    power = F.greatest(F.lit(first), F.ceil(F.log2(size.cast("double"))).cast("int"))
+    given = pages.select(F.octet_length(F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit(""))).cast("long").alias(
+        "payload_bytes"), F.col(f"`{url_col}`").cast("string").alias("url"))
+    classes = sorted(r[0] for r in given.select(power.alias("k")).distinct().collect()) or [first]
+    for k in classes:
+        own = rows.where(power == k) if len(classes) > 1 else rows
+        records = own.withColumn("block", block).select(F.concat(head, F.col("block")).alias("value"))
+        records.write.mode("overwrite").option("lineSep", CRLF + CRLF).option(
+            "maxRecordsPerFile", min(records_per_file, max(1, file_bytes >> k))).text(f"{path}/size={k}")
     return path
 
 
@@ -153,7 +171,7 @@ ORDER = ("url_key", "captured", "archive", "offset")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """One sorted run of captures per archive file (a file is bounded by its number of records)."""
+    """One sorted run of captures per archive file (a file is bounded by its records and bytes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for archive, data in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -162,7 +180,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield out_batch(_CAPTURES, list(zip(*rows)))
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInArrow(run, CAPTURES)
 
 
@@ -233,9 +251,11 @@ def merge_runs(runs: DataFrame) -> DataFrame:
     return runs.repartitionByRange(*ORDER).mapInArrow(run, CAPTURES)
 
 
-def archive_pages(pages: DataFrame, **options) -> DataFrame:
+def archive_pages(pages: DataFrame, keep_archives: bool = True, **options) -> DataFrame:
     """Write ``pages`` to WARC files, read them back and return the merged capture index.
 
+    The archives stay in the shared folder, as the index names their records, unless ``keep_archives`` is false.
+
     Of payloads of at least ``least_bytes`` bytes that are equal, the row with the smallest page id is the response
     and larger ids revisit it; rows that repeat that very id are responses too, as are null ids. Null html is an
     empty payload; a null URL has an empty key; an empty table gives no captures; other columns are not read.
@@ -244,5 +264,8 @@ def archive_pages(pages: DataFrame, **options) -> DataFrame:
     path = write_archives(pages, stages, **options)
     runs = stages.put(read_archives(pages.sparkSession, path), "runs")
     captures = stages.put(merge_runs(runs), "captures")
-    stages.keep("captures")  # the archives are no stage table and stay
+    stages.keep("captures")
+    stages.names.add("archives")
+    if not keep_archives:
+        stages.drop("archives")
     return captures
