@@ -122,3 +122,25 @@ def test_query(workers):
     f = P.Feistel(queries.PSEUDONYM_KEY)
     assert all(out[i].text == P.pseudonymise(t, f)[0] and (out[i].n_private > 0) == (out[i].text != t) for i, t in docs.items())
     assert any(r.n_private for r in out.values())
+
+
+def test_long_runs_of_digits_are_passed_once():
+    import time
+
+    f = P.Feistel(b"0123456789abcdef")
+    start = time.process_time()
+    assert P.pseudonymise("1 " * 200_000, f) == ("1 " * 200_000, [])
+    assert time.process_time() - start < 10
+
+
+@pytest.mark.parametrize("chars", [80, 1 << 16])
+def test_values_in_and_behind_long_runs_of_digits(monkeypatch, chars):
+    monkeypatch.setattr(P, "_RUN_CHARS", chars)
+    f = P.Feistel(b"0123456789abcdef")
+    for before in ("1 " * 40, "1 " * 41, "1 " * 100, "11 1-" * 50, "1 " * 333):
+        for value, kind in (("4111 1111 1111 1111", "card"), ("4111111111111111", "card"), ("123-45-6789", "social"),
+                            ("2021-03-04", "date"), ("555-123-4567", "phone")):
+            text = before + value + " end"
+            new, found = P.pseudonymise(text, f)
+            assert any(kind == k and start + length >= len(before) for k, start, length in found), (before, value, found)
+            assert P.pseudonymise(new, P.Feistel(b"0123456789abcdef", True))[0] == text

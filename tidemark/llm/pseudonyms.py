@@ -22,6 +22,7 @@ import re
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -256,6 +257,7 @@ def _patterns() -> dict[str, str]:
 
 _FIND = re.compile("|".join(_patterns().values()))
 _AT = {group: re.compile(pattern) for group, pattern in _patterns().items()}
+_REST = re.compile("|".join(pattern for group, pattern in _patterns().items() if group != "card"))
 _FORMATS = {name.replace(" ", "_"): make for name, _, make in KINDS}
 # Every kind holds a digit, an at sign or an assignment; texts without any are left at once.
 _ANY = re.compile(r"[0-9@=:]")
@@ -270,10 +272,14 @@ def _parts(kind: str, text: str, start: int, end: int) -> Iterator[tuple[int, in
                 yield start, e
     elif kind == "card":
         yield start, end
+        before = [0]  # digits before each character
+        for k in range(start, end):
+            before.append(before[-1] + text[k].isdigit())
         starts = [start, *(k + 1 for k in range(start, end) if text[k] == " ")]
         ends = [*(k for k in range(start, end) if not text[k].isdigit()), end]
-        sized = [(-len(_digits(text[a:e])), a, e) for a in starts for e in ends if a < e and (a, e) != (start, end)]
-        yield from ((a, e) for n, a, e in sorted(sized) if 13 <= -n <= 19)
+        sized = [(before[a - start] - before[e - start], a, e) for a in starts if before[-1] - before[a - start] >= 13
+                 for e in ends if before[e - start] - before[a - start] >= 13 and (a, e) != (start, end)]
+        yield from ((a, e) for n, a, e in sorted(sized) if -n <= 19)
     else:
         yield start, end
 
@@ -290,14 +296,60 @@ def _value_at(f: Feistel, text: str, at: int) -> tuple[int, str, int, int, str]
     return None
 
 
+_DIGIT_RUN = re.compile(r"\d(?:[ -]?\d)*")
+# Characters from which a run of digits is long, and of a run that are looked at together.
+_LONG_RUN = 64
+_RUN_CHARS = 1 << 16
+
+
+def _next_card(text: str, at: int) -> tuple[int, int]:
+    """The first place from ``at`` on in its run of digits where a card match may hold a valid card, and the run's end.
+
+    The check sums of all parts of 13 to 19 digits between separators come from running sums over the run, so that a
+    long run without a card is passed once, not once per digit.
+    """
+    run = _DIGIT_RUN.match(text, at, at + _RUN_CHARS).group()
+    end = at + len(run)
+    chars = np.array([ord(c) for c in run])
+    place = np.flatnonzero((chars != 32) & (chars != 45))
+    digit = np.array([int(run[k]) for k in place])
+    double = digit * 2 - 9 * (digit > 4)
+    even = np.arange(len(place)) % 2 == 0
+    sums = [np.concatenate(([0], np.cumsum(np.where(plain, digit, double)))) for plain in (~even, even)]
+    starts = np.concatenate(([True], chars[place[1:] - 1] == 32))
+    ends = np.concatenate((np.diff(place) > 1, [True]))
+    first = len(place)
+    for n in range(13, 20):
+        if n <= len(place):
+            last = np.arange(n - 1, len(place))
+            total = np.where(last % 2 == 1, sums[0][n:] - sums[0][:-n], sums[1][n:] - sums[1][:-n])
+            valid = np.flatnonzero(starts[:len(last)] & ends[n - 1:] & (total % 10 == 0))
+            first = min([first, *valid[:1]])
+    if first == len(place) and len(run) < _RUN_CHARS - 1:
+        return end, end
+    # a match has at most 19 digits, so one that holds the part starts at most 6 digits before it; a run that goes on
+    # is looked at again from where its next part of 13 digits may start
+    return at + int(place[max(0, min(first, len(place) - 20) - 6)]), end
+
+
 # Characters behind a match that may belong to a longer one at the same place.
 _REACH = 64
 
 
+def _search(text: str, at: int, no_card: int) -> re.Match | None:
+    """The next match from ``at`` on; before ``no_card`` there is no card."""
+    if at < no_card:
+        m = _REST.search(text, at)
+        if m is not None and m.start() < no_card:
+            return m
+        at = no_card
+    return _FIND.search(text, at)
+
+
 def _next_value(f: Feistel, text: str, at: int) -> tuple[str, int, int, str, int | None] | None:
     """Kind, start, end and pseudonym of the first value from ``at`` on, and where a match that failed reaches into it."""
-    failed, reach = None, 0
-    while m := _FIND.search(text, at):
+    failed, reach, no_card = None, 0, 0
+    while m := _search(text, at, no_card):
         found = _value_at(f, text, m.start())
         if failed is None or reach <= m.start():
             failed = m.start()
@@ -305,6 +357,10 @@ def _next_value(f: Feistel, text: str, at: int) -> tuple[str, int, int, str, int
             number, kind, start, end, new = found
             return kind, start, end, new, failed if number or failed < m.start() else None
         reach = max(reach, m.end() + _REACH)
+        if m.start() >= no_card and (run := _DIGIT_RUN.match(text, m.start(), m.start() + _LONG_RUN)) and (
+                run.end() >= m.start() + _LONG_RUN - 1):
+            no_card, end = _next_card(text, m.start())
+            reach = max(reach, min(no_card + 40, end) + _REACH)
         at = m.start() + 1
         # no value here: look again behind its first run of word characters
         while at < m.end() and text[at].isalnum() and text[at - 1].isalnum():
