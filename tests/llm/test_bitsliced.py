@@ -69,3 +69,19 @@ def test_bitmap_sums_and_selection(rows, query, k, low):
     found, scores = block.search(-1, q, k)
     want = sorted((-int(s), i) for i, s in enumerate(x @ q))[:k]
     assert [(-int(s), int(i)) for i, s in zip(found, scores)] == want
+
+
+def test_registered_query_over_all_vectors(workers):
+    from tests.conftest import SF001
+    from tidemark.llm import queries
+
+    rows = workers.read.parquet(f"{SF001}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r.vec_id for r in rows])
+    x = np.floor(256 * np.array([r.embedding for r in rows], dtype=np.float64)).astype(np.int64)
+    want = []
+    for q in np.flatnonzero(ids % 50 == 0):
+        scores = x @ x[q]
+        order = [k for k in np.lexsort((ids, -scores)) if ids[k] != ids[q]][:5]
+        want += [(int(ids[q]), n + 1, int(ids[k]), int(scores[k])) for n, k in enumerate(order)]
+    found = queries.queries()["op3_topk"](workers, SF001).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found) == sorted(want)

@@ -95,3 +95,14 @@ def test_boundaries_and_suffix_arrays_find_equal_strings(texts):
     strings = {(n, k): text[k:k + length] for n, text in enumerate(texts) for k in range(len(text) - length + 1)}
     count = Counter(strings.values())
     assert got == {where for where, s in strings.items() if count[s] > 1}
+
+
+def test_registered_query_over_whole_texts(workers):
+    from tests.conftest import SF001
+    from tidemark.llm import queries
+
+    docs = [(r.doc_id, r.text) for r in workers.read.parquet(f"{SF001}/documents.parquet").collect()]
+    found = queries.queries()["op8_repeats"](workers, SF001).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == plain(docs, 400)
+    whole = [r for r in found if sha256(r.text.encode()).hexdigest() == r.kept_sha256]
+    assert len(whole) > 0.9 * len(found) and all(len(r.text.encode()) <= r.n_bytes + 12 * r.n_spans for r in found)
