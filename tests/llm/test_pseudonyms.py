@@ -137,10 +137,18 @@ def test_long_runs_of_digits_are_passed_once():
 def test_values_in_and_behind_long_runs_of_digits(monkeypatch, chars):
     monkeypatch.setattr(P, "_RUN_CHARS", chars)
     f = P.Feistel(b"0123456789abcdef")
-    for before in ("1 " * 40, "1 " * 41, "1 " * 100, "11 1-" * 50, "1 " * 333):
-        for value, kind in (("4111 1111 1111 1111", "card"), ("4111111111111111", "card"), ("123-45-6789", "social"),
-                            ("2021-03-04", "date"), ("555-123-4567", "phone")):
+    for before in ("1 " * 40, "1 " * 41, "1 " * 100, "1 " * 333):
+        for value, kind in (("4111111111111111", "card"), ("123-45-6789", "social"), ("2021-03-04", "date")):
             text = before + value + " end"
             new, found = P.pseudonymise(text, f)
-            assert any(kind == k and start + length >= len(before) for k, start, length in found), (before, value, found)
+            assert found == [(kind, len(before), len(value))]
             assert P.pseudonymise(new, P.Feistel(b"0123456789abcdef", True))[0] == text
+
+
+@pytest.mark.parametrize("value", ["4111 1111 1111 1111", "555-123-4567"])
+def test_a_value_that_forms_numbers_with_the_digits_around_it_is_hidden_in_bounded_time(value):
+    import time
+
+    start = time.process_time()
+    new, found = P.pseudonymise("1 " * 100 + value + " end", P.Feistel(b"0123456789abcdef"))
+    assert found and value not in new and time.process_time() - start < 20

@@ -9,7 +9,9 @@ ones. With the key the permutation can be undone (``reverse=True``), and a pseud
 Where a match reaches into digits or capitals that follow a value and its check fails, its parts between separators are
 tried (an IBAN has the length of its country, cards the longest first), then the other kinds at the same place. A
 pseudonym there that would read as another value with what stands around it is permuted again until it does not, so
-that the way back finds it; only such values may lose the link to equal ones elsewhere.
+that the way back finds it; only such values may lose the link to equal ones elsewhere. After ``MOST_WALKS`` attempts
+the first pseudonym stays: the value is hidden, but the way back need not find it (long runs of single digits before a
+card, for example).
 
 The permutation numbers the values of a format from 0 to N - 1 and applies a balanced Feistel network of keyed BLAKE2b
 rounds, walking the cycle until the result lies in the range again.
@@ -332,6 +334,8 @@ def _next_card(text: str, at: int) -> tuple[int, int]:
     return at + int(place[max(0, min(first, len(place) - 20) - 6)]), end
 
 
+# Pseudonyms that are tried where digits around a value form other numbers with them.
+MOST_WALKS = 64
 # Characters behind a match that may belong to a longer one at the same place.
 _REACH = 64
 
@@ -376,12 +380,14 @@ def pseudonymise(text: str, f: Feistel) -> tuple[str, list[tuple[str, int, int]]
     while value := _next_value(f, text, done):
         kind, start, end, new, failed = value
         if failed is not None:  # with some pseudonyms another value would be found here: walk on to one that is found
-            low, high = max(done, failed - 2), end + 2 * _REACH
-            while True:
+            low, high, first = max(done, failed - 2), end + 2 * _REACH, new
+            for _ in range(MOST_WALKS):
                 again = _next_value(f, text[low:start] + new + text[end:high], failed - low)
                 if again is not None and again[:3] == (kind, start - low, end - low):
                     break
                 new = _FORMATS[kind](f, new)
+            else:  # among digits in which nearly every pseudonym forms other numbers: hidden, but the way back may differ
+                new = first
         out += [text[done:start], new]
         found.append((kind, start, end - start))
         done = end
