@@ -196,3 +196,19 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert "end_date" in df.columns and "subscription_status" in df.columns
+
+
+def test_queries_follow_changed_files(spark, tmp_path):
+    import shutil
+
+    from tidemark.queries import queries
+
+    folder = tmp_path / "sf"
+    shutil.copytree(SF001, folder, copy_function=shutil.copyfile)
+    delta = queries()["plan_delta_filter"]
+    before = delta(spark, str(folder)).count()
+    half = spark.read.parquet(f"{SF001}/lineitem.parquet").where("l_orderkey % 2 = 0")
+    (folder / "lineitem.parquet").unlink()
+    half.coalesce(1).write.parquet(str(folder / "lineitem.parquet"))
+    after = delta(spark, str(folder)).count()
+    assert 0 < after < before

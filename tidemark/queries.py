@@ -39,17 +39,21 @@ SCHEMA_OF = {**{t: "tpch" for t in "region nation customer supplier part orders
              **{t: "corpus" for t in "documents embeddings pages benchmark labels conversations".split()}}
 
 
-# The job of a session and folder is built once: its staged frames feed all queries that read them.
-_JOBS: dict[tuple[str, str], StatusHistoryJob] = {}
+# The job of a session and folder is built once for a state of its files: its staged frames feed all queries that read
+# them. When the files change, the old job and its stages go.
+_JOBS: dict[tuple[str, str], tuple[str, StatusHistoryJob]] = {}
 _LOCK = threading.RLock()
 
 
 def _job(spark: SparkSession, sf_dir: str) -> StatusHistoryJob:
     key = (spark.sparkContext.applicationId, sf_dir)
     with _LOCK:
+        fx = Fixtures(spark, sf_dir)
+        if key in _JOBS and _JOBS[key][0] != fx.version:
+            _JOBS.pop(key)[1].drop_stages()
         if key not in _JOBS:
-            _JOBS[key] = StatusHistoryJob(HistorySources.from_fixtures(Fixtures(spark, sf_dir)), FIXTURE_DATES)
-        return _JOBS[key]
+            _JOBS[key] = fx.version, StatusHistoryJob(HistorySources.from_fixtures(fx), FIXTURE_DATES)
+        return _JOBS[key][1]
 
 
 def forget_jobs() -> None:

@@ -8,6 +8,7 @@ Placeholders ``{name}`` name another view or a base table.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import string
 import threading
@@ -153,7 +154,7 @@ def view_deps(sql: str) -> list[str]:
 
 
 # Derived views staged once per process and session (they stand for stored source tables).
-_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+_STAGED: dict[tuple[str, str, str, str], DataFrame] = {}
 
 
 def _session_key(spark: SparkSession) -> str:
@@ -162,6 +163,24 @@ def _session_key(spark: SparkSession) -> str:
         return spark.sparkContext.applicationId
     except Exception:  # noqa: BLE001 - sessions without a SparkContext
         return str(id(spark))
+
+
+def files_version(spark: SparkSession, sf_dir: str) -> str:
+    """Changes when a file of the folder does: names, lengths and times from a listing (files, and folders of files)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(sf_dir).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def listed(folder) -> list[str]:
+        out = []
+        for f in fs.listStatus(folder):
+            out.append(f"{f.getPath().getName()} {f.getLen()} {f.getModificationTime()}")
+            if f.isDirectory():
+                out += listed(f.getPath())
+        return out
+
+    return hashlib.md5("\n".join(sorted(listed(path(sf_dir)))).encode()).hexdigest()
+
+
 _PROCESS_TOKEN = f"{os.getpid()}-{uuid.uuid4().hex[:8]}"
 _LOCK = threading.RLock()
 
@@ -179,6 +198,7 @@ class Fixtures:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.stage = stage
+        self.version = files_version(spark, self.sf_dir)
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -190,7 +210,7 @@ class Fixtures:
             if name in BASE_TABLES:
                 self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
-                key = (_session_key(self.spark), self.sf_dir, name)
+                key = (_session_key(self.spark), self.sf_dir, self.version, name)
                 if self.stage and key in _STAGED:
                     self._cache[name] = _STAGED[key]
                     return self._cache[name]
@@ -200,7 +220,7 @@ class Fixtures:
                 if self.stage:
                     from tidemark.sources.tables import stage_table
                     tag = self.sf_dir.strip("/").replace("/", "_")
-                    df = stage_table(df, f"fixtures-{_PROCESS_TOKEN}/{tag}/{name}")
+                    df = stage_table(df, f"fixtures-{_PROCESS_TOKEN}/{tag}/{self.version}/{name}")
                     _STAGED[key] = df
                 self._cache[name] = df
         return self._cache[name]
