@@ -45,8 +45,7 @@ def letter_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 least_length: int = LEAST_LENGTH) -> DataFrame:
     """``doc, run``: every maximal run of at least ``least_length`` letters, A-Z in lower case."""
     pattern = f"[A-Za-z\\u00C0-\\u00FF]{{{least_length},}}"
-    found = F.expr(f"regexp_extract_all(`{text_col}`, r'{pattern}', 0)") if "'" not in text_col and "`" not in text_col \
-        else F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(0))
     return docs.select(F.col(id_col).cast("string").alias("doc"), F.explode(found).alias("run")).select(
         "doc", F.translate("run", UPPER, LOWER).alias("run"))
 
