@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tidemark.functions import predicates
 from tidemark.operators.history import ACTIVE, INACTIVE
 
 # Fixed code lists of the rules.
@@ -83,12 +84,10 @@ def status_rules(df: DataFrame, names: StatusInputs = StatusInputs()) -> list[Co
         return n in df.columns and isinstance(df.schema[n].dataType, StringType)
 
     def present(field: str) -> Column:
-        x = cols[field]
-        return ((x != "") & x.isNotNull()) if is_str(field) else x.isNotNull()
+        return predicates.present(cols[field], is_str(field))
 
     def absent(field: str) -> Column:
-        x = cols[field]
-        return ((x == "") | x.isNull()) if is_str(field) else x.isNull()
+        return predicates.absent(cols[field], is_str(field))
 
     start, reason, freq = cols["start_date"], cols["reason"], cols["frequency"]
     rej, order_reason, block = cols["rejection"], cols["order_reason"], cols["plan_block"]
