@@ -64,13 +64,47 @@ def test_very_long_text_in_segments(workers, monkeypatch):
     data = a.encode()
     whole = {tuple(x) for x in zip(*repeats.unpack(repeats.boundaries(data, 50)[0]))}
     monkeypatch.setattr(repeats, "SEGMENT", 700)
-    places, key = repeats.boundaries(data, 50)
+    places, _, _ = repeats.boundaries(data, 50)
     covered = lambda found: {p - t for p, low, high in found for t in range(low, high + 1)}
     parts = {tuple(x) for x in zip(*repeats.unpack(places))}
     assert covered(parts) == covered(whole) == set(range(len(data) - 49))
     assert {p for p, _, _ in parts} == {p for p, _, _ in whole}
 
 
+def test_large_groups_are_split_by_ranges_of_starts(workers, monkeypatch):
+    """A passage in many texts, with other words close around it, so that its groups stay large through all levels."""
+    rnd = random.Random(11)
+    passage = sentence(rnd, 25)
+    rows = [(k, sentence(rnd, rnd.randrange(3)) + " " + passage[rnd.randrange(9):len(passage) - rnd.randrange(9)] + sentence(rnd, 3))
+            for k in range(60)]
+    want = plain(rows, 48)
+    widths = []
+    split = repeats.split_boundaries
+    monkeypatch.setattr(repeats, "split_boundaries", lambda t, c, width, n: widths.append(width) or split(t, c, width, n))
+    assert result(frame(workers, rows), length=48, most_group=2) == want
+    assert widths and widths == [3, 1][:len(widths)]
+    monkeypatch.setattr(repeats, "RANGES", 2)
+    widths.clear()
+    assert result(frame(workers, rows), length=48, most_group=1) == want
+    assert widths == [12, 6, 3, 2, 1]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="ab", min_size=32, max_size=90), min_size=1, max_size=6), st.sampled_from([1, 3, 8, 16]))
+def test_ranges_keep_equal_strings_together(texts, width):
+    """Every string start lies in one range, and equal strings (which start equally far before it) have equal keys."""
+    length, keys, starts = 32, {}, []
+    for n, text in enumerate(texts):
+        data = text.encode()
+        for place, key, _ in zip(*repeats.parted(data, repeats.boundaries(data, length)[0].tolist(), width, length)):
+            at, least, most = repeats.unpack(place)
+            for t in range(least, most + 1):
+                keys.setdefault(data[at - t:at - t + length], set()).add(key)
+                starts.append((n, at - t))
+    assert sorted(starts) == [(n, k) for n, text in enumerate(texts) for k in range(len(text) - length + 1)]
+    assert all(len(k) == 1 for k in keys.values())
+
+
 def test_empty_table(no_rows):
     assert result(no_rows) == []
 
@@ -82,7 +116,7 @@ def test_boundaries_and_suffix_arrays_find_equal_strings(texts):
     length, groups = 32, {}
     for n, text in enumerate(texts):
         data = text.encode()
-        places, keys = repeats.boundaries(data, length)
+        places, keys, _ = repeats.boundaries(data, length)
         for p, key in zip(places, keys):
             at, _, most = repeats.unpack(p)
             groups.setdefault(int(key), []).append((n, p, data[at - most:at], data[at:at + length]))

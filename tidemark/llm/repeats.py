@@ -8,16 +8,21 @@ another one. Texts are cut into phrases at triggers, as in prefix-free parsing,
    place; a boundary serves a run of string starts before it. About 1 position in 100 is a boundary.
 2. Equal strings agree on what follows their boundary for more than half the length. Boundaries are counted by the hash
    of those bytes; those that occur once cannot lie in a repeat and leave, nearly all of them.
-3. The others are grouped by that hash with the phrase before (up to the trigger) and the bytes after. Two suffix
-   arrays are built: of the dictionary (phrase ends, read backwards) and of the parse (what follows the boundary), each
-   with common-prefix lengths. The string that starts t bytes before a boundary is the last t bytes of the phrase
-   and ``length - t`` bytes of the parse; it is repeated if another boundary is in the same interval of both
-   arrays. This is the corpus order of all strings of the groups, without sorting them one by one.
-4. Intervals of repeated strings are united per document.
+3. The dictionary. The context of a boundary is all that its strings cover: the phrase before (up to the trigger) and the
+   bytes after. Equal contexts are one entry, found by partial aggregation of their hashes. An entry that occurs more than
+   once is repeated throughout at every occurrence; only one occurrence of each entry goes on.
+4. Entries that agree on the bytes of step 2 are a group. Two suffix arrays are built of its entries: of the phrase ends,
+   read backwards, and of the parse (what follows the boundary), each with common-prefix lengths. The string that starts t
+   bytes before a boundary is the last t bytes of the phrase and ``length - t`` bytes of the parse; it is repeated if
+   another entry is in the same interval of both arrays. This is the corpus order of all strings of the group, without
+   sorting them one by one.
+5. A group of more than ``most_group`` entries does not go to one task. Equal strings have the same t, so its boundaries are
+   split by ranges of t; the strings of a range agree on more bytes on both sides, which part the group, and steps 2 to 4
+   follow for the parts, with ever narrower ranges. At one t the entries of a part are one string, so this ends.
+6. Intervals of repeated strings are united per document.
 
 Equal texts are one class first: a class of several texts of ``length`` bytes or more is repeated throughout, and only
-its first text is parsed. A boundary that occurs more than ``most_group`` times does not go to one task: its strings
-are hashed (128 bits) and counted by partial aggregation instead.
+its first text is parsed. Entries are equal by 128 bits of hashes; strings of different entries are compared byte by byte.
 """
 
 from __future__ import annotations
@@ -35,6 +40,8 @@ from tidemark.llm.common import broadcast_if_small, out_batch, prefix_hash, smal
 LENGTH = 400
 GRAM = 16
 MOST_GROUP = 20_000
+# A group beyond that is split into so many ranges of string starts at a time.
+RANGES = 8
 # Rows of boundaries that a task sorts at a time, besides the last group.
 CHUNK_ROWS = 20_000
 SEGMENT = 1 << 20
@@ -56,10 +63,10 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:count], ahead[width - 1:width - 1 + count])
 
 
-def boundaries(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
-    """Packed boundaries of a whole text and the hash of the bytes that follow each."""
+def boundaries(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Packed boundaries of a whole text, the hash of the bytes that follow each, and that of all its strings cover."""
     half = length // 2
-    packed, keys = [], []
+    packed, keys, contexts = [], [], []
     for first in range(0, max(0, len(text) - length + 1), SEGMENT):
         part = text[first:first + SEGMENT + length - 1]
         prefix = prefix_hash(part)
@@ -73,9 +80,26 @@ def boundaries(text: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarra
         place = trigger[run]
         packed.append(((first + place) * _SHIFT + (place - last) * 4096 + (place - run)))
         keys.append(span_hashes(prefix, place, place + length - half + 1))
+        contexts.append(span_hashes(prefix, run, last + length))
     if not packed:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
-    return np.concatenate(packed), np.concatenate(keys)
+        return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+    return np.concatenate(packed), np.concatenate(keys), np.concatenate(contexts)
+
+
+def parted(text: bytes, packed: list[int], width: int, length: int) -> tuple[list[int], list[int], list[int]]:
+    """Boundaries by ranges of ``width`` string starts: places, hashes of what a range agrees on, and of its context."""
+    import xxhash
+
+    places, keys, contexts = [], [], []
+    for place in packed:
+        at, least, most = place // _SHIFT, place % _SHIFT // 4096, place % 4096
+        for low in range(least - least % width, most + 1, width):
+            high = min(low + width, length // 2) - 1  # the range is low to high in every text
+            first, last = max(low, least), min(high, most)
+            places.append(at * _SHIFT + first * 4096 + last)
+            keys.append(xxhash.xxh3_64_intdigest(text[at - low:at + length - high], low))
+            contexts.append(xxhash.xxh3_64_intdigest(text[at - last:at + length - first], length))
+    return places, keys, contexts
 
 
 def unpack(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,23 +167,44 @@ SPANS = "id long, x1 long, start long, end long"
 _SPANS = pa.schema([("id", pa.int64()), ("x1", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-def find_boundaries(texts: DataFrame, length: int) -> DataFrame:
-    """``id, x1, key, place`` of every boundary."""
-    schema = pa.schema([("id", pa.int64()), ("x1", pa.int64()), ("key", pa.list_(pa.int64())),
-                        ("place", pa.list_(pa.int64()))])
+_PLACES = pa.schema([("id", pa.int64()), ("x1", pa.int64()), ("key", pa.list_(pa.int64())), ("context", pa.list_(pa.int64())),
+                     ("place", pa.list_(pa.int64()))])
+PLACES = f"{ROW}, key array<long>, context array<long>, place array<long>"
+
+
+def one_per_row(found: DataFrame) -> DataFrame:
+    return found.select("id", "x1", F.explode(F.arrays_zip("key", "context", "place")).alias("b")).select("id", "x1", "b.*")
 
+
+def find_boundaries(texts: DataFrame, length: int) -> DataFrame:
+    """``id, x1, key, context, place`` of every boundary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for id_, x1, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch, "text")):
-                place, key = boundaries(text, length)
+                place, key, context = boundaries(text, length)
                 if len(place):
-                    for column, value in zip(out, (id_, x1, key.view(np.int64), place)):
+                    for column, value in zip(out, (id_, x1, key.view(np.int64), context.view(np.int64), place)):
                         column.append(value)
-            yield out_batch(schema, out)
+            yield out_batch(_PLACES, out)
+
+    return one_per_row(texts.where(F.octet_length("text") >= length).mapInArrow(run, PLACES))
+
+
+def split_boundaries(texts: DataFrame, chosen: DataFrame, width: int, length: int) -> DataFrame:
+    """The boundaries ``places`` of each chosen row by ranges of ``width`` string starts, as ``find_boundaries`` gives them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches, 64):
+            out: list[list] = [[], [], [], [], []]
+            for id_, x1, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                             utf8(batch, "text"), batch.column(3).to_pylist()):
+                place, key, context = parted(text, [p["place"] for p in places], width, length)
+                as_long = [np.array(x, dtype=np.uint64).view(np.int64) for x in (key, context)]
+                for column, value in zip(out, (id_, x1, *as_long, place)):
+                    column.append(value)
+            yield out_batch(_PLACES, out)
 
-    found = texts.where(F.octet_length("text") >= length).mapInArrow(run, f"{ROW}, key array<long>, place array<long>")
-    return found.select("id", "x1", F.explode(F.arrays_zip("key", "place")).alias("b")).select("id", "x1", "b.*")
+    return one_per_row(texts.join(chosen, ["id", "x1"]).select("id", "x1", "text", "places").mapInArrow(run, PLACES))
 
 
 def with_context(texts: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
@@ -173,9 +218,9 @@ def with_context(texts: DataFrame, chosen: DataFrame, length: int) -> DataFrame:
             for id_, x1, text, places in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                              utf8(batch, "text"), batch.column(3).to_pylist()):
                 for p in places:
-                    at, _, most = unpack(p["place"])
+                    at, least, most = unpack(p["place"])
                     for column, value in zip(out, (p["key"], id_, x1, p["place"], text[at - most:at],
-                                                   text[at:at + length])):
+                                                   text[at:at + length - least])):
                         column.append(value)
                 if len(out[0]) >= 4096:
                     yield out_batch(schema, out)
@@ -208,29 +253,6 @@ def spans_by_order(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.repartition("key").sortWithinPartitions("key").mapInArrow(run, SPANS)
 
 
-def spans_by_count(contexts: DataFrame, length: int) -> DataFrame:
-    """Repeated spans of boundaries in very large groups: every string by its 128-bit hash, counted."""
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), *_SPANS])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in small(batches):
-            for _, id_, x1, place, before, after in zip(*[c.to_pylist() for c in batch.columns]):
-                at, least, most = unpack(place)
-                text = before + after
-                starts = range(least, most + 1)
-                both = np.frombuffer(b"".join(xxhash.xxh3_128_digest(text[most - t:most - t + length]) for t in starts),
-                                     np.int64).reshape(-1, 2)
-                start = np.array([at - t for t in starts])
-                n = len(start)
-                yield out_batch(schema, [both[:, 0], both[:, 1], [id_] * n, [x1] * n, start, start + length])
-
-    strings = contexts.mapInArrow(run, f"h1 long, h2 long, {SPANS}")
-    often = strings.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").drop("c")
-    return strings.join(often, ["h1", "h2"], "left_semi").select("id", "x1", "start", "end")
-
-
 def united_spans(gathered: DataFrame) -> DataFrame:
     """``id, x1, spans`` with the spans of each row united."""
     schema = pa.schema([("id", pa.int64()), ("x1", pa.int64()), ("spans", pa.list_(
@@ -247,24 +269,40 @@ def united_spans(gathered: DataFrame) -> DataFrame:
 
 def repeated_spans(texts: DataFrame, stages: Stages, length: int, most_group: int) -> DataFrame:
     """``id, x1, spans`` of the rows of ``texts`` (``id, x1, text``) that hold repeated strings."""
-    found = stages.put(find_boundaries(texts, length), "boundaries")
-    counts = stages.put(found.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "counts")
-    kept = found.join(broadcast_if_small(counts, 16), "key")
-
-    def contexts(rows: DataFrame, name: str) -> DataFrame:
-        places = F.collect_list(F.struct("key", "place"))
-        chosen = stages.put(rows.groupBy("id", "x1").agg(places.alias("places")), name)
-        # the places grow with the corpus, so this join is a shuffle at every size
-        return with_context(texts, chosen, length)
-
-    spans = spans_by_order(contexts(kept.where(F.col("c") <= most_group), "chosen"), length)
-    if not counts.where(F.col("c") > most_group).isEmpty():
-        hot = stages.put(contexts(kept.where(F.col("c") > most_group), "chosen-hot"), "hot")
-        spans = spans.union(spans_by_count(hot, length))
+    def rows_of(places: DataFrame, name: str) -> DataFrame:
+        of_row = F.collect_list(F.struct("key", "place"))
+        return stages.put(places.groupBy("id", "x1").agg(of_row.alias("places")), name)
+
+    at, least, most = F.expr(f"place div {_SHIFT}"), F.expr(f"place % {_SHIFT} div 4096"), F.expr("place % 4096")
+    found = stages.put(find_boundaries(texts, length), "boundaries-0")
+    parts, width, level = [], length // 2, 0
+    while True:
+        counts = stages.put(found.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), f"counts-{level}")
+        kept = stages.put(found.join(broadcast_if_small(counts, 8), "key").withColumn("shape", F.expr(f"place % {_SHIFT}")),
+                          f"kept-{level}")
+        stages.drop(f"boundaries-{level}", f"counts-{level}")
+        entry = ["key", "context", "shape"]
+        entries = stages.put(kept.groupBy(entry).agg(F.count("*").alias("c"), F.min(F.struct("id", "x1", "place")).alias("one")),
+                             f"entries-{level}")
+        often = broadcast_if_small(entries.where("c > 1").select(entry), 24)
+        parts.append(kept.join(often, entry, "left_semi").select(
+            "id", "x1", (at - most).alias("start"), (at - least + length).alias("end")))
+        sizes = stages.put(entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), f"sizes-{level}")
+        ones = entries.select("key", "one.*").join(broadcast_if_small(sizes, 16), "key")
+        # the places grow with the corpus, so their join with the texts is a shuffle at every size
+        parts.append(spans_by_order(with_context(
+            texts, rows_of(ones.where(F.col("n") <= most_group), f"chosen-{level}"), length), length))
+        if width == 1 or sizes.where(F.col("n") > most_group).isEmpty():
+            break
+        width = -(-width // RANGES)
+        split = rows_of(ones.where(F.col("n") > most_group), f"split-{level}")
+        found = stages.put(split_boundaries(texts, split, width, length), f"boundaries-{level + 1}")
+        level += 1
+    spans = parts[0]
+    for part in parts[1:]:
+        spans = spans.unionByName(part)
     gathered = spans.groupBy("id", "x1").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    out = stages.put(united_spans(gathered), "spans")
-    stages.drop("boundaries", "counts", "chosen", "chosen-hot", "hot")
-    return out
+    return stages.put(united_spans(gathered), "spans")
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept string, kept_sha256 string"
