@@ -4,6 +4,7 @@ import random
 from hashlib import sha256
 
 import numpy as np
+import pytest
 
 from tests.llm.conftest import sentence
 from tidemark.llm import imatch
@@ -92,8 +93,31 @@ def test_a_third_of_copies_and_near_copies_keep_their_likeness(workers):
 def test_few_lexicon_terms_and_many_are_compared_over_all_terms():
     words = [f"w{k}" for k in range(60)]
     prints = imatch.Fingerprints(imatch.term_codes(" ".join(words[:imatch.LEAST_TERMS]).encode()))
-    a, b = (prints.print_of(" ".join(x).encode()) for x in (words, words[1:]))
-    assert not a.whole and b.whole and prints.near(a, b) == prints.near(b, a) > 0.7
+    a, b = (prints.of(" ".join(x).encode()) for x in (words, words[1:]))
+    assert a[:8] != imatch.EMPTY == b[:8] and imatch.likeness(a, b) == imatch.likeness(b, a) > 0.7
+    few = imatch.Fingerprints(imatch.term_codes(b""))                        # no lexicon at all
+    assert imatch.likeness(few.of(b"x y z"), few.of(b"z y x")) == 1.0 == imatch.likeness(few.of(b""), few.of(b" "))
+
+
+def test_published_fingerprints_tell_the_likeness(workers, messy_rows):
+    rows = [(i, t) for i, t in messy_rows if i not in (None, 400)]
+    got = sorted(compare(workers, rows, band=(0.02, 1.0)), key=lambda r: r.doc_id)
+    lists = {imatch.EMPTY == r.fingerprint[:8] for r in got}
+    assert lists == {True, False}                                            # few and many lexicon terms
+    for r, after in zip(got, got[1:] + got[:1]):
+        assert r.near_edited == imatch.likeness(r.fingerprint, r.edited_fingerprint)
+        assert r.near_next == imatch.likeness(r.fingerprint, after.fingerprint)
+
+
+def test_subsets_keep_their_share_of_the_terms(monkeypatch):
+    codes = imatch.term_codes(" ".join(f"t{k}" for k in range(60_000)).encode())
+    prints = imatch.Fingerprints(codes)
+    share = prints.member.mean(axis=0)
+    assert np.allclose(share, imatch.SUBSETS, rtol=0.2) and len(set(share)) > 40
+    monkeypatch.setattr(imatch, "CHUNK_TERMS", 1000)
+    assert (prints._members(codes) == prints.member).all()
+    with pytest.raises(ValueError):
+        imatch.Fingerprints(codes, (0.3,))
 
 
 def test_likeness_grows_with_what_two_texts_share():
@@ -114,5 +138,5 @@ def test_likeness_grows_with_what_two_texts_share():
 def test_order_and_case_of_terms_do_not_matter():
     prints = imatch.Fingerprints(imatch.term_codes(b"ab cd ef"))
     assert prints.of(b"ab cd, EF") == prints.of(b"ef-cd ab ab") != prints.of(b"ab cd")
-    assert prints.of(b"") == prints.of(b" .") and len(prints.of(b"")) == 8 * (1 + len(imatch.SUBSETS))
+    assert prints.of(b"") == prints.of(b" .") and len(prints.of(b"")) == 16 * (1 + len(imatch.SUBSETS))
     assert sentence(random.Random(1), 2)

@@ -6,9 +6,10 @@ randomised subsets of the lexicon. Subsets keep a quarter, a sixteenth, ... of t
 have subsets in which few terms, and hence few edits, can occur. The likeness of two fingerprints is the share of
 equal hashes among the subsets that hold a term of either text.
 
-Copies count once: document frequencies are those of the distinct texts. A text with fewer than ``LEAST_TERMS`` lexicon
-terms (one of a large group of near copies, whose terms are all common, or a short one) has its hashes over all its terms,
-within the same subsets, and is compared by them; so is the other text of the pair.
+Copies count once: document frequencies are those of the distinct texts. A fingerprint holds two lists of hashes, over the
+lexicon terms and over all terms of the text, within the same subsets. A text with fewer than ``LEAST_TERMS`` lexicon terms
+(one of a large group of near copies, whose terms are all common, or a short one) has no hashes in the first list, and it
+and the texts it is compared with are judged by the second. So any two published fingerprints can be compared.
 
 The band is relative to the number of distinct texts, which bounds the lexicon: at most (mean distinct terms of a document)
 / (lower bound) terms, whatever the corpus size. It is kept as 64-bit term codes, 8 bytes each.
@@ -19,7 +20,6 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from hashlib import sha256
-from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -35,8 +35,10 @@ BAND = (0.002, 0.2)
 SUBSETS = tuple(rate for rate, times in ((1 / 4, 4), (1 / 16, 8), (1 / 64, 16), (1 / 256, 24)) for _ in range(times))
 # A rate needs so many subsets with a term of either text to be judged by.
 LEAST_SUBSETS = 4
-# A text with fewer lexicon terms is hashed over all its terms.
+# A text with fewer lexicon terms is compared over all its terms.
 LEAST_TERMS = 16
+# Terms whose subsets are found at a time.
+CHUNK_TERMS = 1 << 16
 ROWS_PER_RANGE = 2048
 MOST_RANGES = 100_000
 EMPTY = "-" * 8
@@ -100,69 +102,54 @@ class Fingerprints:
         import xxhash
 
         self.digest: Callable[[bytes], str] = xxhash.xxh32_hexdigest
-        self.codes, self.rates = codes, subsets
-        self.seeds = mix64(np.arange(1, len(subsets) + 1, dtype=np.uint64) + np.uint64(seed << 32))
-        self.member = self._members(codes)
+        # a subset has the terms whose byte for it, of some seeded mixes of the term code, is below its share of 256
+        self.below = np.array([round(256 * rate) for rate in subsets], dtype=np.uint16)
+        if any(below != 256 * rate or not 1 <= below <= 256 for below, rate in zip(self.below.tolist(), subsets)):
+            raise ValueError("a subset keeps a multiple of 1/256 of the terms")
+        self.seeds = mix64(np.arange(1, len(subsets) // 8 + 2, dtype=np.uint64) + np.uint64(seed << 32))
+        self.codes, self.member = codes, self._members(codes)
 
     def _members(self, codes: np.ndarray) -> np.ndarray:
         """For each term and subset, whether the subset has the term: a function of its code, whatever the lexicon."""
-        member = np.empty((len(codes), len(self.rates)), dtype=bool)
-        for k, rate in enumerate(self.rates):
-            member[:, k] = mix64(codes ^ self.seeds[k]) < np.uint64(int(rate * 2.0**64))
+        member = np.empty((len(codes), len(self.below)), dtype=bool)
+        for k in range(0, len(codes), CHUNK_TERMS):
+            mixed = mix64(codes[k:k + CHUNK_TERMS, None] ^ self.seeds)
+            member[k:k + CHUNK_TERMS] = mixed.astype("<u8").view(np.uint8)[:, :len(self.below)] < self.below
         return member
 
     def _hashes(self, own: np.ndarray, member: np.ndarray) -> str:
         return self.digest(own.tobytes()) + "".join(
             self.digest(own[member[:, k]].tobytes()) if some else EMPTY for k, some in enumerate(member.any(axis=0)))
 
-    def of_terms(self, terms: np.ndarray) -> tuple[str, bool]:
-        """The hashes of a text's distinct terms, and whether they are over all of them."""
-        if len(self.codes):
-            at = np.searchsorted(self.codes, terms)
-            at[at == len(self.codes)] = 0
-            at = at[self.codes[at] == terms]
-            if len(at) >= LEAST_TERMS:
-                return self._hashes(self.codes[at], self.member[at]), False
-        return self._hashes(terms, self._members(terms)), True
-
     def of(self, text: bytes) -> str:
-        """The hashes, eight hexadecimal digits each; a subset without terms of the text has none.
+        """The hashes, eight hexadecimal digits each: over the lexicon terms, then over all terms of the text.
 
-        A text with fewer than ``LEAST_TERMS`` lexicon terms is hashed over all its distinct terms.
+        A subset without terms of the text has none; a text with fewer than ``LEAST_TERMS`` lexicon terms has none
+        in the first list.
         """
-        return self.of_terms(term_codes(text))[0]
-
-    def near(self, a: "Print", b: "Print") -> float:
-        """Likeness of two texts; where one is hashed over all its terms, the other is for this, too."""
-        if a.whole == b.whole:
-            return likeness(a.hashes, b.hashes, self.rates)
-        x, y = (p.hashes if p.whole else self._hashes(p.terms, self._members(p.terms)) for p in (a, b))
-        return likeness(x, y, self.rates)
-
-    def print_of(self, text: bytes) -> "Print":
         terms = term_codes(text)
-        return Print(terms, *self.of_terms(terms))
-
-
-class Print(NamedTuple):
-    terms: np.ndarray
-    hashes: str
-    whole: bool
+        at = np.searchsorted(self.codes, terms)
+        at = at[self.codes[np.minimum(at, len(self.codes) - 1)] == terms] if len(self.codes) else at[:0]
+        known = EMPTY * (1 + len(self.below)) if len(at) < LEAST_TERMS else self._hashes(self.codes[at], self.member[at])
+        return known + self._hashes(terms, self._members(terms))
 
 
 def likeness(a: str, b: str, subsets: tuple[float, ...] = SUBSETS) -> float:
     """Share of equal hashes among the subsets that hold a term of either text, at the rate where it is highest.
 
-    In dense subsets every text differs after few edits; sparse ones tell how much two long texts share.
+    Over the lexicon terms where both texts have enough of them, else over all terms. In dense subsets every text
+    differs after few edits; sparse ones tell how much two long texts share.
     """
-    if a == b:
+    size = 8 * (1 + len(subsets))
+    x, y = (a[:size], b[:size]) if EMPTY not in (a[:8], b[:8]) else (a[size:], b[size:])
+    if x == y:
         return 1.0
     told: dict[float, list[int]] = {}
-    for k, rate in enumerate((None, *subsets)):
-        x, y = a[8 * k:8 * k + 8], b[8 * k:8 * k + 8]
-        if rate is not None and (x != EMPTY or y != EMPTY):
+    for k, rate in enumerate(subsets, 1):
+        p, q = x[8 * k:8 * k + 8], y[8 * k:8 * k + 8]
+        if p != EMPTY or q != EMPTY:
             own = told.setdefault(rate, [0, 0])
-            own[0] += x == y
+            own[0] += p == q
             own[1] += 1
     return max((same / n for same, n in told.values() if n >= LEAST_SUBSETS), default=0.0)
 
@@ -244,18 +231,18 @@ def compare_edits(docs: DataFrame, *, band: tuple[float, float] = BAND, subsets:
         prints = Fingerprints(codes, subsets)
         held = None  # (range, doc_id, text, fingerprint), waiting for its next document
 
-        def result(row: tuple, text: str, own: Print) -> tuple:
+        def result(row: tuple, text: str, own: str) -> tuple:
             edited = edited_text(row[2], text).encode()
-            changed = prints.print_of(edited)
-            return (row[1], len(row[2]), sha256(edited).hexdigest(), row[3].hashes, changed.hashes,
-                    prints.near(row[3], changed), prints.near(row[3], own))
+            changed = prints.of(edited)
+            return (row[1], len(row[2]), sha256(edited).hexdigest(), row[3], changed,
+                    likeness(row[3], changed, subsets), likeness(row[3], own, subsets))
 
         for batch in small(batches):
             out = []
             for at, extra, doc_id, text in zip(*[c.to_pylist() for c in batch.columns]):
                 if extra and held is None:
                     continue  # a further row with the first id of the next range
-                own = prints.print_of(text.encode())
+                own = prints.of(text.encode())
                 if held is not None:
                     out.append(result(held, text, own))
                 held = None if extra else (at, doc_id, text, own)
