@@ -44,11 +44,11 @@ def test_templates_are_found_whole_edited_and_inside_other_text(workers):
             words[rnd.randrange(len(words))] = "changed"
         rows.append((k, "Some é words before;\n" + "\n".join(words).upper() + " and some behind them"))
         want[k] = name
-    rows += [(100, None), (101, ""), (102, "one"), (103, "a licence is not named here"), (104, rows[0][1]), (104, rows[0][1])]
+    rows += [(1100, None), (1101, ""), (1102, "one"), (1103, "a licence is not named here"), (1104, rows[0][1]), (1104, rows[0][1])]
     df = workers.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, licence string, start int")
     out = licences.scan_licences(df).collect()
-    assert {r.doc_id: r.licence for r in out if r.doc_id < 100} == want
-    assert all(r.dice > 0.9 for r in out) and sum(r.doc_id == 104 for r in out) == 2 and not {100, 101, 102, 103} & {r.doc_id for r in out}
+    assert {r.doc_id: r.licence for r in out if r.doc_id < 1000} == want
+    assert all(r.dice > 0.9 for r in out) and sum(r.doc_id == 1104 for r in out) == 2 and not {1100, 1101, 1102, 1103} & {r.doc_id for r in out}
     for r in out:
         text = dict(rows)[r.doc_id].encode()
         inside = text[r.start:r.start + r.length].decode()
@@ -81,6 +81,31 @@ def test_versions_and_variants_get_their_own_name(name, old, new, want):
     assert set(names(text)) == set(want)
 
 
+@pytest.mark.parametrize("line, want", [
+    ("SPDX-License-Identifier: MIT", "MIT SPDX"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0-or-later SPDX"),
+    ("SPDX-License-Identifier: MIT-0", "MIT-0 SPDX"), ("SPDX-License-Identifier: BSD-3-Clause-Clear", "BSD-3-Clause-Clear SPDX"),
+    ("SPDX-License-Identifier: GPL-3.0+", "GPL-3.0 SPDX"), ("SPDX-License-Identifier: Apache-1.1", None),
+    ("SPDX-License-Identifier: GPL-1.0", None), ("SPDX-License-Identifier: CC-BY-3.0", None), ("SPDX-License-Identifier:", None),
+    ("Licensed under the Apache 2.0 license.", "Apache-2.0 notice, Licensed under the Apache 2.0 License"),
+    ("Released under the Apache License 2.0.", "Apache-2.0 notice, Licensed under the Apache License 2.0"),
+    ("Licensed under the Apache 1.1 license.", None), ("Licensed under the Apache license.", None),
+    ("Released under the GPL v3.", "GPL-3.0 notice, Licensed under the GPL v3"), ("It is distributed under the GPLv2.", "GPL-2.0 notice, Licensed under the GPLv2"),
+    ("Released under the GPL v1.", None), ("Released under the GPL.", None),
+    ("You may use it under the terms of the LGPLv3.", "LGPL-3.0 notice, Terms of the LGPLv3"),
+    ("Released under the GNU Affero General Public License v3.0.", "AGPL-3.0 notice, Licensed under the GNU Affero General Public License v3.0"),
+    ("Released under the BSD License.", "BSD notice, Licensed under the BSD License"),
+    ("Licensed under the BSD 3-Clause License.", "BSD-3-Clause notice, Licensed under the BSD 3-Clause License"),
+    ("Licensed under the 2-clause BSD license.", "BSD-2-Clause notice, Licensed under the 2-Clause BSD License"),
+    ("Licensed under the BSD 4-Clause License.", None),
+    ("Distributed under the Boost Software License, Version 1.0. (See accompanying file)", "BSL-1.0 notice"),
+    ("Distributed under the Boost Software License, Version 2.0.", None),
+    ("Licensed under the Mozilla Public License 2.0.", "MPL-2.0 notice, Licensed under the Mozilla Public License 2.0"),
+    ("Licensed under the Mozilla Public License 1.1.", None), ("The house was sold under the terms of the contract.", None),
+    ("He was licensed under the old law of the land.", None), ("They work under the MIT campus roof.", None)])
+def test_one_line_notices_and_identifiers(line, want):
+    assert names(line) == ([want] if want else [])
+
+
 def plain_scan(words, templates, threshold):
     """All windows that start and end with a hit, best first, taken unless they meet a taken one."""
     grams = list(zip(words, words[1:]))

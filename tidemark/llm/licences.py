@@ -127,6 +127,65 @@ WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEM
 LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
 OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
 }
+TEMPLATES |= {
+    "0BSD text": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+hereby granted.""" + TEMPLATES["ISC text"].removeprefix(TEMPLATES["ISC"]),
+    "Zlib text": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it
+and redistribute it freely, subject to the following restrictions:
+1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you
+use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
+2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
+3. This notice may not be removed or altered from any source distribution.""",
+    "BSL-1.0 notice": "Distributed under the Boost Software License, Version 1.0.",
+    "BSL-1.0 text": """Boost Software License - Version 1.0 - August 17th, 2003
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is
+furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and
+the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of
+the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by
+a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT
+HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+}
+
+# Identifiers of the public licence list that are looked for behind "SPDX-License-Identifier:".
+SPDX_IDS = (
+    "0BSD", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause",
+    "BSD-3-Clause-Clear", "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0",
+    "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only",
+    "GPL-3.0-or-later", "ISC", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only",
+    "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-2.0", "Unlicense", "Zlib")
+# How one-line notices name a licence (behind "licensed under the" or "terms of the").
+NAMED_AS: dict[str, tuple[str, ...]] = {
+    "MIT": ("MIT License",),
+    "Apache-2.0": ("Apache 2.0 License", "Apache License 2.0", "Apache License v2.0", "Apache License, Version 2.0"),
+    "BSD": ("BSD License",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License"),
+    "ISC": ("ISC License",),
+    "Zlib": ("zlib License",),
+    "BSL-1.0": ("Boost Software License 1.0",),
+    "Unlicense": ("Unlicense License",),
+    "MPL-2.0": ("Mozilla Public License 2.0", "Mozilla Public License v2.0", "MPL 2.0"),
+    "EPL-2.0": ("Eclipse Public License 2.0", "Eclipse Public License v2.0", "EPL 2.0"),
+    "Artistic-2.0": ("Artistic License 2.0",),
+    "GPL-2.0": ("GPLv2", "GPL v2", "GNU GPL v2", "GNU GPLv2", "GNU General Public License v2.0"),
+    "GPL-3.0": ("GPLv3", "GPL v3", "GNU GPL v3", "GNU GPLv3", "GNU General Public License v3.0"),
+    "LGPL-2.1": ("LGPL v2.1", "GNU LGPL v2.1", "GNU Lesser General Public License v2.1"),
+    "LGPL-3.0": ("LGPLv3", "LGPL v3", "GNU LGPL v3", "GNU Lesser General Public License v3.0"),
+    "AGPL-3.0": ("AGPLv3", "AGPL v3", "GNU AGPL v3", "GNU Affero General Public License v3.0"),
+}
+TEMPLATES |= {f"{x} SPDX": f"SPDX-License-Identifier: {x}" for x in SPDX_IDS}
+_ONE_LINE = {f"{x} notice, {lead} the {name}": (f"{lead} the {name}", f"the {name}")
+             for x, names in NAMED_AS.items() for name in names for lead in ("Licensed under", "Terms of")}
+_ONE_LINE = {k: v for k, v in _ONE_LINE.items() if v[0] + "." not in TEMPLATES.values()}
+TEMPLATES |= {k: text for k, (text, _) in _ONE_LINE.items()}
 # Whole texts of the longer licences.
 TEMPLATES |= {f"{x.stem} text": x.read_text(encoding="utf-8")
               for x in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
@@ -148,6 +207,9 @@ TOLD_BY: dict[str, str] = {
     "CC-BY-NC-SA-4.0 notice": "BY-NC-SA 4.0", "CC-BY-NC-ND-4.0 notice": "BY-NC-ND 4.0", "CC-BY-4.0": "Attribution 4.0",
     "CC-BY-SA-4.0": "Attribution-ShareAlike 4.0", "CC-BY-NC-4.0": "Attribution-NonCommercial 4.0",
 }
+TOLD_BY |= {"BSL-1.0 notice": "Boost Software License, Version 1.0", "BSL-1.0 text": "this entire statement"}
+# An identifier and a name in a notice count only as a whole.
+TOLD_BY |= {f"{x} SPDX": f"Identifier: {x}" for x in SPDX_IDS} | {k: name for k, (_, name) in _ONE_LINE.items()}
 # The GNU headers name their licence by the word before "General".
 _GNU_NAMES = {"GPL": "GNU General", "LGPL": "Lesser General", "AGPL": "Affero General"}
 TOLD_BY |= {f"{k}-{v}": f"{TOLD_BY[f'{k}-{v}']} . {name}" for k, name in _GNU_NAMES.items() for v in ("2.0", "2.1", "3.0")
