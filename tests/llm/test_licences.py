@@ -86,20 +86,20 @@ def test_versions_and_variants_get_their_own_name(name, old, new, want):
     ("SPDX-License-Identifier: MIT-0", "MIT-0 SPDX"), ("SPDX-License-Identifier: BSD-3-Clause-Clear", "BSD-3-Clause-Clear SPDX"),
     ("SPDX-License-Identifier: GPL-3.0+", "GPL-3.0 SPDX"), ("SPDX-License-Identifier: Apache-1.1", None),
     ("SPDX-License-Identifier: GPL-1.0", None), ("SPDX-License-Identifier: CC-BY-3.0", None), ("SPDX-License-Identifier:", None),
-    ("Licensed under the Apache 2.0 license.", "Apache-2.0 notice, Licensed under the Apache 2.0 License"),
-    ("Released under the Apache License 2.0.", "Apache-2.0 notice, Licensed under the Apache License 2.0"),
+    ("Licensed under the Apache 2.0 license.", "Apache-2.0 notice, Apache 2.0 License"),
+    ("Released under the Apache License 2.0.", "Apache-2.0 notice, Apache License 2.0"),
     ("Licensed under the Apache 1.1 license.", None), ("Licensed under the Apache license.", None),
-    ("Released under the GPL v3.", "GPL-3.0 notice, Licensed under the GPL v3"), ("It is distributed under the GPLv2.", "GPL-2.0 notice, Licensed under the GPLv2"),
+    ("Released under the GPL v3.", "GPL-3.0 notice, GPL v3"), ("It is distributed under the GPLv2.", "GPL-2.0 notice, GPLv2"),
     ("Released under the GPL v1.", None), ("Released under the GPL.", None),
-    ("You may use it under the terms of the LGPLv3.", "LGPL-3.0 notice, Terms of the LGPLv3"),
-    ("Released under the GNU Affero General Public License v3.0.", "AGPL-3.0 notice, Licensed under the GNU Affero General Public License v3.0"),
-    ("Released under the BSD License.", "BSD notice, Licensed under the BSD License"),
-    ("Licensed under the BSD 3-Clause License.", "BSD-3-Clause notice, Licensed under the BSD 3-Clause License"),
-    ("Licensed under the 2-clause BSD license.", "BSD-2-Clause notice, Licensed under the 2-Clause BSD License"),
+    ("Licensed under the LGPLv3.", "LGPL-3.0 notice, LGPLv3"),
+    ("Released under the GNU Affero General Public License v3.0.", "AGPL-3.0 notice, GNU Affero General Public License v3.0"),
+    ("Released under the BSD License.", "BSD notice, BSD License"),
+    ("Licensed under the BSD 3-Clause License.", "BSD-3-Clause notice, BSD 3-Clause License"),
+    ("Licensed under the 2-clause BSD license.", "BSD-2-Clause notice, 2-Clause BSD License"),
     ("Licensed under the BSD 4-Clause License.", None),
     ("Distributed under the Boost Software License, Version 1.0. (See accompanying file)", "BSL-1.0 notice"),
     ("Distributed under the Boost Software License, Version 2.0.", None),
-    ("Licensed under the Mozilla Public License 2.0.", "MPL-2.0 notice, Licensed under the Mozilla Public License 2.0"),
+    ("Licensed under the Mozilla Public License 2.0.", "MPL-2.0 notice, Mozilla Public License 2.0"),
     ("Licensed under the Mozilla Public License 1.1.", None), ("The house was sold under the terms of the contract.", None),
     ("He was licensed under the old law of the land.", None), ("They work under the MIT campus roof.", None)])
 def test_one_line_notices_and_identifiers(line, want):

@@ -161,7 +161,7 @@ SPDX_IDS = (
     "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only",
     "GPL-3.0-or-later", "ISC", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only",
     "LGPL-3.0-or-later", "MIT", "MIT-0", "MPL-2.0", "Unlicense", "Zlib")
-# How one-line notices name a licence (behind "licensed under the" or "terms of the").
+# How one-line notices name a licence (behind "licensed under the").
 NAMED_AS: dict[str, tuple[str, ...]] = {
     "MIT": ("MIT License",),
     "Apache-2.0": ("Apache 2.0 License", "Apache License 2.0", "Apache License v2.0", "Apache License, Version 2.0"),
@@ -182,8 +182,8 @@ NAMED_AS: dict[str, tuple[str, ...]] = {
     "AGPL-3.0": ("AGPLv3", "AGPL v3", "GNU AGPL v3", "GNU Affero General Public License v3.0"),
 }
 TEMPLATES |= {f"{x} SPDX": f"SPDX-License-Identifier: {x}" for x in SPDX_IDS}
-_ONE_LINE = {f"{x} notice, {lead} the {name}": (f"{lead} the {name}", f"the {name}")
-             for x, names in NAMED_AS.items() for name in names for lead in ("Licensed under", "Terms of")}
+_ONE_LINE = {f"{x} notice, {name}": (f"Licensed under the {name}", f"the {name}")
+             for x, names in NAMED_AS.items() for name in names}
 _ONE_LINE = {k: v for k, v in _ONE_LINE.items() if v[0] + "." not in TEMPLATES.values()}
 TEMPLATES |= {k: text for k, (text, _) in _ONE_LINE.items()}
 # Whole texts of the longer licences.
