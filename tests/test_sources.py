@@ -156,3 +156,59 @@ def test_bucketed_stage_is_one_file_per_bucket(spark):
     write_stage(spark.range(1000).withColumn("v", F.col("id") % 7), "bucketed_t", keys=["id"], buckets=4)
     files = spark.table("bucketed_t").select(F.input_file_name().alias("f")).distinct().count()
     assert files == 4 and spark.table("bucketed_t").count() == 1000
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _copy_of_sf001(tmp_path) -> str:
+    import shutil
+
+    folder = tmp_path / "sf"
+    shutil.copytree(SF001, folder, copy_function=shutil.copyfile)
+    return str(folder)
+
+
+def test_a_query_stages_only_the_views_it_reads(spark, tmp_path):
+    from tidemark.sources import fixtures
+
+    folder = _copy_of_sf001(tmp_path)
+    src = HistorySources.from_fixtures(Fixtures(spark, folder))
+    job = StatusHistoryJob(src, FIXTURE_DATES)
+    staged = lambda: {key[-1] for key in fixtures._STAGED if key[1] == folder}
+    assert staged() == set()
+    job.plan_ranges.count()
+    assert staged() == {"lineitem by l_orderkey", "plans", "dim"}
+
+
+def test_views_stored_by_item_meet_without_a_shuffle(spark):
+    from pyspark.sql import Window
+
+    from tidemark.operators.common import ITEM_KEYS
+
+    fx = Fixtures(spark, SF001)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        w = Window.partitionBy(*ITEM_KEYS).orderBy("start_date")
+        assert "Exchange" not in _plan(fx.hist.withColumn("n", F.lag("end_date").over(w)))
+        assert "Exchange" not in _plan(fx.hist.join(fx.dim, ITEM_KEYS))
+        points = fx.dim.limit(100).select(*ITEM_KEYS).repartition(fx.buckets, *ITEM_KEYS)
+        plan = _plan(fx.hist.join(points, ITEM_KEYS))
+        assert "ENSURE_REQUIREMENTS" not in plan.split("REPARTITION_BY_NUM")[0]     # the history stays in place
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert not [t.name for t in spark.catalog.listTables("default") if t.name.startswith("tidemark_stage_")]
+
+
+@pytest.mark.parametrize("moved", [True, False])
+def test_stage_by_key_keeps_every_row(spark, moved):
+    from tidemark.sources.tables import stage_by_key
+
+    df = spark.range(50).selectExpr("if(id % 7 = 0, null, id % 5) AS k", "id")
+    staged = stage_by_key(df, f"test/by-key-{moved}", ["k"], 8, moved=moved)
+    assert sorted(map(str, staged.collect())) == sorted(map(str, df.collect()))
+    counts = {r.k: r["count"] for r in staged.groupBy("k").count().collect()}
+    assert counts == {r.k: r["count"] for r in df.groupBy("k").count().collect()}
+    assert staged.where("k = 3").count() == df.where("k = 3").count()
