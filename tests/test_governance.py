@@ -148,3 +148,16 @@ def test_a_stored_view_for_the_current_user(spark):
     gov.secured_view(spark, "pv_stored_seen", "pv_stored", membership="pv_stored_access", who="current_user()",
                      allowed=("country", "pv_stored_access"), temporary=False)
     assert [tuple(r) for r in spark.newSession().table("pv_stored_seen").collect()] == [(2, "FR")]
+
+
+def test_memberships_are_dealt_by_their_number(spark, monkeypatch):
+    own = spark.createDataFrame([(f"p{k}", "g0") for k in range(10)] + [("p0", "g0"), ("p1", "g1")], "principal string, group_name string")
+    nesting = spark.createDataFrame([("g0", "g1"), ("g1", "g2"), ("g2", "g3")], "group_name string, in_group string")
+    monkeypatch.setattr(gov, "MEMBERSHIP_ROWS", 8)
+    got = gov.all_memberships(own, nesting)
+    # 11 rows of a group that is in three others, one of a group in two: 47 rows, 8 to a task
+    assert "hashpartitioning(principal" in got._jdf.queryExecution().executedPlan().toString()
+    assert ", 6), REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+    rows = {(r.principal, r.group_name): r.direct for r in got.collect()}
+    assert rows == {(f"p{k}", f"g{g}"): g == 0 or (k, g) == (1, 1) for k in range(10) for g in range(4)}
+    assert gov.all_memberships(own.limit(0), nesting).count() == 0

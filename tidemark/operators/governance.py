@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from tidemark.sources.tables import stage_table
 
 TAG_KEY = "tags"
+# Rows of all memberships that one task makes distinct.
+MEMBERSHIP_ROWS = 1_000_000
 
 
 # ---- predicates and SQL functions --------------------------------------------
@@ -86,11 +88,19 @@ def group_closure(nesting: DataFrame, group_col: str = "group_name", in_col: str
 
 def all_memberships(membership: DataFrame, nesting: DataFrame, principal_col: str = "principal",
                     group_col: str = "group_name", in_col: str = "in_group") -> DataFrame:
-    """``principal_col, group_col, direct``: the groups of every principal, its own and those that they are in."""
+    """``principal_col, group_col, direct``: the groups of every principal, its own and those that they are in.
+
+    Nested groups multiply the rows, so they are counted first (own rows by group, times the groups that one is in) and
+    dealt to as many tasks as hold ``MEMBERSHIP_ROWS`` each before they are made distinct.
+    """
     own = membership.where(F.col(principal_col).isNotNull() & F.col(group_col).isNotNull()).select(principal_col, group_col)
-    through = own.join(group_closure(nesting, group_col, in_col), group_col).select(
-        F.col(principal_col), F.col(in_col).alias(group_col))
+    closure = group_closure(nesting, group_col, in_col)
+    through = own.join(closure, group_col).select(F.col(principal_col), F.col(in_col).alias(group_col))
+    outer = closure.groupBy(group_col).agg(F.count(F.lit(1)).alias("_outer"))
+    rows = own.groupBy(group_col).count().join(outer, group_col, "left").agg(
+        F.sum(F.col("count") * (F.coalesce("_outer", F.lit(0)) + 1))).first()[0] or 0
     both = own.withColumn("direct", F.lit(True)).unionByName(through.withColumn("direct", F.lit(False)))
+    both = both.repartition(max(1, -(-rows // MEMBERSHIP_ROWS)), principal_col, group_col)
     return both.groupBy(principal_col, group_col).agg(F.max("direct").alias("direct"))
 
 
