@@ -205,6 +205,7 @@ def test_queries_follow_changed_files(spark, tmp_path):
 
     folder = tmp_path / "sf"
     shutil.copytree(SF001, folder, copy_function=shutil.copyfile)
+    folder.chmod(0o755)  # the copy of a read-only folder is read-only
     delta = queries()["plan_delta_filter"]
     before = delta(spark, str(folder)).count()
     half = spark.read.parquet(f"{SF001}/lineitem.parquet").where("l_orderkey % 2 = 0")
