@@ -27,3 +27,9 @@ def spark():
     ensure_checkpoint_dir(s)
     yield s
     s.stop()
+
+
+def shuffle_files(spark) -> set[str]:
+    """Shuffle files on the disk of a local session."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(";")
+    return {f for f in files.split(";") if "shuffle_" in f}
