@@ -116,3 +116,19 @@ def test_reason_rewrite_reads_original_values(spark):
     ]
     out = reason_rewrite(spark.createDataFrame(rows)).collect()
     assert [(r.cancellation_reason, r.reason_for_rejection) for r in out] == [("SA", ""), ("SA", ""), ("SC", "R1")]
+
+
+@pytest.mark.parametrize("query", ["status_rules"])
+def test_rules_read_the_history_where_it_is_stored(spark, query):
+    """Neither the joins with the facts nor the distinct move the wide rows; the trial offers alone are few and moved."""
+    from tests.conftest import SF001
+    from tidemark.queries import queries
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = queries()[query](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+        moved = plan.count("Exchange hashpartitioning(")
+        assert "SortMergeJoin" in plan and moved == plan.count("Exchange hashpartitioning(_trial_offer#")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

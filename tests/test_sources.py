@@ -212,3 +212,35 @@ def test_stage_by_key_keeps_every_row(spark, moved):
     counts = {r.k: r["count"] for r in staged.groupBy("k").count().collect()}
     assert counts == {r.k: r["count"] for r in df.groupBy("k").count().collect()}
     assert staged.where("k = 3").count() == df.where("k = 3").count()
+
+
+def test_order_lines_go_once_all_views_over_them_are_stored(spark, tmp_path):
+    from tidemark.sources import fixtures
+
+    folder = _copy_of_sf001(tmp_path)
+    fx = Fixtures(spark, folder)
+    held = lambda: {key[-1] for key in fixtures._STAGED if key[1] == folder}
+    lines = "lineitem by l_orderkey"
+    for view in fixtures.OF_LINES[:-1]:
+        fx.table(view)
+    assert lines in held()
+    last = fx.table(fixtures.OF_LINES[-1]).count()
+    assert held() == set(fixtures.OF_LINES)
+    pure = Fixtures(spark, folder, stage=False)
+    assert last == pure.table(fixtures.OF_LINES[-1]).count() and fx.plans.count() == pure.plans.count()
+
+
+def test_stage_by_key_gives_back_the_shuffle_files(spark, monkeypatch):
+    import time
+
+    from tests.conftest import shuffle_files
+    from tidemark import session
+    from tidemark.sources.tables import stage_by_key
+
+    monkeypatch.setattr(session, "FREE_EVERY_S", 0)
+    before = shuffle_files(spark)
+    stage_by_key(spark.range(1000).withColumn("v", F.col("id") % 7), "test/freed", ["id"], 5)
+    end = time.monotonic() + 20
+    while shuffle_files(spark) - before and time.monotonic() < end:
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
