@@ -118,7 +118,7 @@ def test_reason_rewrite_reads_original_values(spark):
     assert [(r.cancellation_reason, r.reason_for_rejection) for r in out] == [("SA", ""), ("SA", ""), ("SC", "R1")]
 
 
-@pytest.mark.parametrize("query", ["status_rules"])
+@pytest.mark.parametrize("query", ["status_rules", "init_inactive_flag"])
 def test_rules_read_the_history_where_it_is_stored(spark, query):
     """Neither the joins with the facts nor the distinct move the wide rows; the trial offers alone are few and moved."""
     from tests.conftest import SF001
