@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import merge_range_update, merge_upsert
+from tidemark.operators.merge import merge_range_update, merge_upsert, upsert_near
 from tidemark.sources.merge_table import MergeTable
 
 D = dt.date
@@ -149,3 +149,64 @@ def test_a_repeated_target_key_is_not_inserted_again(spark):
     out = merge_upsert(target, spark.createDataFrame([(1, "A"), (3, "c")], "k long, v string"), ["k"],
                        broadcast_bytes=1 << 20)
     assert sorted(r.v for r in out.collect()) == ["A"] * 50 + ["b", "c"]
+
+
+def _stored(spark):
+    """A target and a source with two-part items: repeated target keys, nulls, items of one side only."""
+    day = lambda k: None if k == 9 else D(2021, 1, 1 + k)
+    target = [(k % 5 if k % 7 else None, "x", day(k % 10), f"t{k}", k) for k in range(40)]
+    source = [(k, "x", D(2021, 1, d), f"s{k}{d}", None) for k in range(7) for d in (1, 3, 20)] + [(None, "x", D(2021, 1, 1), "n", 1)]
+    return (spark.createDataFrame(target, "k int, j string, s date, v string, u int"),
+            spark.createDataFrame(source, "k int, j string, s date, v string, extra int"))
+
+
+@pytest.mark.parametrize("hot_rows", [10_000, 2])
+def test_upsert_near_equals_the_full_outer_join(spark, hot_rows):
+    target, source = _stored(spark)
+    expected = merge_upsert(target, source, ["k", "j", "s"], update=["v", "extra"])
+    kept, new = upsert_near(target, source, ["k", "j", "s"], ["v", "extra"], None, True,
+                            lambda rows, name: rows.repartition(4, "k", "j"), hot_rows)
+    assert kept.dtypes == new.dtypes == expected.dtypes
+    assert kept.count() == target.count() and new.count() > 0
+    assert sorted(map(str, kept.unionByName(new).collect())) == sorted(map(str, expected.collect()))
+
+
+def test_upsert_near_rejects_two_source_rows_per_key(spark):
+    target, source = _stored(spark)
+    twice = spark.createDataFrame([(99, "x", D(2021, 1, 1), "a", 1)] * 2, source.schema)     # no target row has the key
+    with pytest.raises(Exception, match="cardinality"):
+        kept, new = upsert_near(target, twice, ["k", "j", "s"], None, None, True, lambda rows, name: rows.repartition(4, "k", "j"))
+        kept.unionByName(new).collect()
+
+
+def test_range_update_near_equals_the_plain_one(spark):
+    target, _ = _stored(spark)
+    ranges = spark.createDataFrame([(k, "x", D(2021, 1, a), D(2021, 1, a + 3), a, 10 * a + k) for k in range(5) for a in (1, 3, 4)],
+                                   "k int, j string, a date, b date, item int, u2 int")
+    args = dict(keys=["k", "j"], at="s", start="a", end="b", set_col="u", from_col="u2", target_key=["k", "j", "s"],
+                on_multi="latest", prefer=["a", "item"])
+    expected = merge_range_update(target, ranges, **args)
+    got = merge_range_update(target, ranges, **args, near=lambda rows, name: rows.repartition(4, "k", "j"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_large_merges_leave_the_target_where_it_is_stored(spark, monkeypatch):
+    """Beyond the broadcast bound nothing is moved between the stored tables and the merged rows."""
+    from tests.conftest import SF001
+    from tidemark.plans import status_history
+    from tidemark.plans.status_history import HistorySources, StatusHistoryJob
+    from tidemark.queries import FIXTURE_DATES
+    from tidemark.sources.fixtures import Fixtures
+
+    src = HistorySources.from_fixtures(Fixtures(spark, SF001))
+    expected = StatusHistoryJob(src, FIXTURE_DATES).merged_with_plan_flag
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(status_history, "MAX_BROADCAST_BYTES", -1)
+    try:
+        got = StatusHistoryJob(src, FIXTURE_DATES).merged_with_plan_flag
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+        assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
